@@ -58,8 +58,9 @@ def inherited(
 
 
 def _combine(how: str, carried: Column, local: Column) -> Column:
+    # Null on both sides stays null, as in a window over the whole group.
     if how == "sum":
-        return F.coalesce(carried, F.lit(0)) + local
+        return F.coalesce(carried + local, carried, local)
     return (F.greatest if how == "max" else F.least)(carried, local)
 
 
@@ -70,8 +71,12 @@ def running(
     values: Mapping[str, tuple[str, Column]],
     hot_rows: int = HOT_ROWS,
     current: bool = True,
+    hot: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
-    """Running sum/max/min per key, up to the current row (or the row before it)."""
+    """Running sum/max/min per key, up to the current row (or the row before it).
+
+    ``hot`` is the answer of ``hot_keys`` where the caller already has it.
+    """
     end = 0 if current else -1
 
     def local(part: DataFrame, by: Sequence[str]) -> dict[str, Column]:
@@ -81,10 +86,10 @@ def running(
     def plain(part: DataFrame) -> DataFrame:
         return part.select("*", *[c.alias(n) for n, c in local(part, keys).items()])
 
-    hot, limit = hot_keys(df, keys, hot_rows)
-    if hot is None:
+    listed, limit = hot_keys(df, keys, hot_rows) if hot is None else hot
+    if listed is None:
         return plain(df)
-    cold_rows, hot_part = split_hot(df, keys, hot)
+    cold_rows, hot_part = split_hot(df, keys, listed)
     blocked = with_blocks(hot_part, order, limit)
     carry = inherited(blocked, keys, values).select(
         *keys, BLOCK, *[F.col(n).alias(f"_carry_{n}") for n in values]

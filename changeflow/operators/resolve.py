@@ -19,7 +19,7 @@ from changeflow.operators import blocks
 KEY = model.KEY
 _ORDER = ["kafka_offset", "kafka_partition"]
 # Rows that stand for the state and for carried marks sort before every event.
-_SEED_OFFSET = -1
+_SEED_OFFSET = -(2**62)
 
 
 def _seeds(state: DataFrame | None, marks: DataFrame | None) -> list[DataFrame]:
@@ -54,7 +54,8 @@ def _before(*keys: str):
 
 def _ordinary(rows: DataFrame) -> DataFrame:
     """Candidates and earlier marks; every key's rows in one task, both windows on one shuffle."""
-    flagged = rows.withColumn("_candidate", _is_candidate(F.max("row_version").over(_before(*KEY))))
+    ordered = rows.withColumn("_previous", F.max("row_version").over(_before(*KEY)))
+    flagged = ordered.withColumn("_candidate", _is_candidate(F.col("_previous"))).drop("_previous")
     return flagged.withColumn("_marked_at", F.min(_mark_time()).over(_before(*KEY, "event_id")))
 
 

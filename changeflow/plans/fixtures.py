@@ -90,7 +90,9 @@ def build_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, "log", sf_dir, lambda: build_change_log(spark, sf_dir))
+    # Spread over the cores: the decode of the text, not its size, sets the cost of a split.
+    cores = spark.sparkContext.defaultParallelism
+    return stage(spark, "log", sf_dir, lambda: build_change_log(spark, sf_dir).repartition(cores))
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
