@@ -36,12 +36,13 @@ class Thresholds:
 WINDOWS = {"5m": 300, "15m": 900, "1h": 3600, "6h": 21600}
 
 
-def signals(grid: DataFrame, gauges: DataFrame, step: int = M.STEP) -> DataFrame:
-    """Rolling sums the rules read, with the gauges (``bucket, consumer_lag, mismatches``) beside them."""
+def signals(grid: DataFrame, lag: DataFrame, mismatches: Column, step: int = M.STEP) -> DataFrame:
+    """Rolling sums the rules read, with two gauges beside them: ``lag`` (``bucket, consumer_lag``
+    at every step) and the mismatch count of the last reconciliation."""
     sums = M.rolling(
         grid, M.per_window([*M.LE, "latency_count", model.APPLIED, model.DLQ, "warnings"], WINDOWS), step
     )
-    return sums.join(gauges, "bucket", "left")
+    return sums.join(lag, "bucket", "left").withColumn("mismatches", mismatches)
 
 
 def p95(window: str) -> Column:
@@ -95,8 +96,9 @@ def backlog(outcomes: DataFrame, commit_seconds: Column, log_seconds: Column, st
     """Events committed at the source but not yet logged, at the end of every step: the lag over time.
 
     Each event is +1 at its commit and -1 at its arrival; the running sum is taken
-    over the net change per step.
+    over the net change per step, with a row for every step.
     """
+
     def start(seconds: Column) -> Column:
         return (F.floor(seconds / step) * step).cast("bigint")
 
@@ -112,8 +114,8 @@ def backlog(outcomes: DataFrame, commit_seconds: Column, log_seconds: Column, st
         )
         .groupBy("bucket")
         .agg(F.sum("change").alias("change"))
-        .withColumn("_all", F.lit(0))
     )
-    return blocks.running(changes, ["_all"], "bucket", {"consumer_lag": ("sum", F.col("change"))}).select(
+    steps = M.fill_grid(changes, step).withColumn("_all", F.lit(0))
+    return blocks.running(steps, ["_all"], "bucket", {"consumer_lag": ("sum", F.col("change"))}).select(
         "bucket", "consumer_lag"
     )

@@ -217,7 +217,7 @@ def _alert_sql() -> str:
     return f"""WITH {_SERIES}, {_STOCK},
 gauge AS (SELECT least(count(*), 1000) AS gauge FROM mm),
 moves AS (SELECT (commit_ms // 60000) // 15 * 15 AS bucket, 1 AS d FROM (SELECT CASE WHEN broken THEN log_ms ELSE commit_ms END AS commit_ms FROM oc)
-          UNION ALL SELECT (log_ms // 60000) // 15 * 15, -1 FROM oc),
+          UNION ALL SELECT (log_ms // 60000) // 15 * 15, -1 FROM oc UNION ALL SELECT bucket, 0 FROM sr),
 backlog AS (SELECT bucket, CAST(sum(sum(d)) OVER (ORDER BY bucket) AS BIGINT) AS lag FROM moves GROUP BY bucket),
 w AS (SELECT bucket, {windows}, {_latency_windows("a", 300)}, {_latency_windows("h", 3600)},
         {_latency_windows("s", 21600)} FROM sr),

@@ -752,9 +752,7 @@ LIMITS = alerts.Thresholds(p95_seconds=7.7, lag=0, dlq_per_second=0.06, warnings
 def alert_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = series_grid(spark, sf_dir)
     lag = alerts.backlog(outcomes(spark, sf_dir), compressed("commit_ts"), compressed())
-    # Steps without a change keep the last value; lag and mismatches are gauges.
-    gauges = lag.withColumn("mismatches", F.lit(_gauge(spark, sf_dir)))
-    return alerts.signals(grid, gauges)
+    return alerts.signals(grid, lag, F.lit(_gauge(spark, sf_dir)))
 
 
 @query
