@@ -50,8 +50,9 @@ def append_audit(events: DataFrame, root: str, batch_id: int) -> DataFrame:
     """
     target = f"{root}/batch_id={batch_id}"
     day = F.to_date(F.coalesce("commit_ts", "log_ts"))
-    events.withColumn("event_date", day).write.mode("overwrite").partitionBy("event_date").parquet(target)
-    return events.sparkSession.read.parquet(target)
+    dated = events.withColumn("event_date", day)
+    dated.write.mode("overwrite").partitionBy("event_date").parquet(target)
+    return events.sparkSession.read.schema(dated.schema).parquet(target)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
