@@ -241,7 +241,9 @@ def decode(log: DataFrame, renames: Mapping[str, str] | None = None) -> DataFram
 
     table = _blank(leaf("source.table"))
     lsn = normalize_lsn(leaf("source.lsn"), F.when(F.col("_suspect"), V.is_null_leaf(doc, "source.lsn")))
-    return flagged.select(
+    # One event per message, through a generator: a filter on a decoded column stays above
+    # it, so the optimizer never copies the whole decode into a predicate.
+    event = F.struct(
         "topic",
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
@@ -273,6 +275,7 @@ def decode(log: DataFrame, renames: Mapping[str, str] | None = None) -> DataFram
         valid(row("after")).alias("after"),
         by_shape(F.lit(model.DEBEZIUM_SCHEMA_VERSION), _blank(leaf("schema_version"))).alias("schema_version"),
     )
+    return flagged.select(F.inline(F.array(event)))
 
 
 def latest_row(op: Column, before: Column, after: Column) -> Column:

@@ -169,9 +169,9 @@ def s7_merge_state(spark, sf_dir):
     # Three batches of ten days each, so in offset order; the table carries the read model between them.
     for batch_id in range(3):
         part = events.filter(F.floor((F.dayofmonth("commit_ts") - 1) / 10) == batch_id)
-        passing = part.filter(F.col("dlq_reason").isNull())
-        before = table.read(before=batch_id, only=table.touched(passing))
-        table.write(batch_id, resolve.versioned_upsert(before, part))
+        touched = table.touched(part.filter(F.col("dlq_reason").isNull()))
+        before = table.read(before=batch_id, only=touched)
+        table.write(batch_id, resolve.versioned_upsert(before, part), touched)
     return table.read().select(*KEY, "available_qty", "row_version")
 
 

@@ -41,6 +41,7 @@ class StateTable:
         return {r["bucket"]: r["batch"] for r in rows}
 
     def touched(self, events: DataFrame) -> list[int]:
+        """Buckets the events fall into; at most ``buckets`` entries."""
         return [r[0] for r in events.select(self.bucket_of().alias("b")).distinct().collect()]
 
     def read(self, before: int | None = None, only: list[int] | None = None) -> DataFrame:
@@ -52,9 +53,8 @@ class StateTable:
             return self.spark.createDataFrame([], model.STATE)
         return self.spark.read.schema(model.STATE).parquet(*paths)
 
-    def write(self, batch_id: int, content: DataFrame) -> None:
-        """Replace the content of every bucket that ``content`` has rows for."""
-        target = f"{self.root}/data/batch={batch_id}"
+    def write(self, batch_id: int, content: DataFrame, touched: list[int]) -> None:
+        """Replace the content of the touched buckets; ``content`` holds all their rows."""
         (
             content.select([f.name for f in model.STATE])
             .withColumn("bucket", self.bucket_of())
@@ -62,16 +62,17 @@ class StateTable:
             .sortWithinPartitions("bucket", *KEY)
             .write.mode("overwrite")
             .partitionBy("bucket")
-            .parquet(target)
+            .parquet(f"{self.root}/data/batch={batch_id}")
         )
-        named = self.spark.read.parquet(target).select("bucket").distinct()
-        named.select(
-            F.lit(batch_id).cast("bigint").alias("batch"), F.col("bucket").cast("int").alias("bucket")
-        ).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        # One row per touched bucket in one file: the file is the commit.
+        commit = self.spark.range(1, numPartitions=1).select(
+            F.lit(batch_id).cast("bigint").alias("batch"), F.explode(F.array(*map(F.lit, sorted(touched)))).alias("bucket")
+        )
+        commit.write.mode("append").parquet(f"{self.root}/commits")
 
 
 class MarkTable:
-    """Marks of applied ids, one directory per batch, split by the hour of the mark."""
+    """Marks of applied ids, one directory per batch, split by the day of the mark."""
 
     def __init__(self, spark: SparkSession, root: str, ttl_seconds: int = model.MARK_TTL_SECONDS):
         self.spark = spark
@@ -79,23 +80,23 @@ class MarkTable:
         self.ttl_seconds = ttl_seconds
 
     def read(self, before: int, earliest_log_second: int) -> DataFrame | None:
-        """Marks of earlier batches that may still be alive; dead hours are not read."""
+        """Marks of earlier batches that may still be alive; dead days are not read."""
         try:
             marks = self.spark.read.schema(
-                model.MARKS.simpleString()[len("struct<"):-1].replace(":", " ") + ", batch BIGINT, mark_hour BIGINT"
+                model.MARKS.simpleString()[len("struct<"):-1].replace(":", " ") + ", batch BIGINT, mark_day BIGINT"
             ).parquet(self.root)
         except AnalysisException:
             return None
-        oldest = (earliest_log_second - self.ttl_seconds) // 3600
-        return marks.filter((F.col("batch") < before) & (F.col("mark_hour") >= oldest)).select(
+        oldest = (earliest_log_second - self.ttl_seconds) // 86400
+        return marks.filter((F.col("batch") < before) & (F.col("mark_day") >= oldest)).select(
             [f.name for f in model.MARKS]
         )
 
     def write(self, batch_id: int, marks: DataFrame) -> None:
-        hour = F.floor(F.unix_seconds("marked_at") / 3600).cast("bigint")
+        day = F.floor(F.unix_seconds("marked_at") / 86400).cast("bigint")
         (
-            marks.withColumn("mark_hour", hour)
+            marks.withColumn("mark_day", day)
             .write.mode("overwrite")
-            .partitionBy("mark_hour")
+            .partitionBy("mark_day")
             .parquet(f"{self.root}/batch={batch_id}")
         )

@@ -42,8 +42,8 @@ def write_dlq(messages: DataFrame, path: str | None = None, kafka: Mapping[str,
     ).save()
 
 
-def append_audit(events: DataFrame, root: str, batch_id: int) -> DataFrame:
-    """Add a batch to the long-term history and read it back.
+def append_audit(events: DataFrame, root: str, batch_id: int, spark: SparkSession | None = None) -> DataFrame:
+    """Add a batch to the long-term history and read it back (with ``spark``, where given).
 
     The batch owns its directory, so writing it again replaces it. ``event_date``
     is the partition column replay prunes on.
@@ -52,7 +52,7 @@ def append_audit(events: DataFrame, root: str, batch_id: int) -> DataFrame:
     day = F.to_date(F.coalesce("commit_ts", "log_ts"))
     dated = events.withColumn("event_date", day)
     dated.write.mode("overwrite").partitionBy("event_date").parquet(target)
-    return events.sparkSession.read.schema(dated.schema).parquet(target)
+    return (spark or events.sparkSession).read.schema(dated.schema).parquet(target)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:

@@ -69,16 +69,21 @@ def snapshot_to_events(
 def read_bench_runs(
     spark: SparkSession, directory: str, pattern: str = "*.json"
 ) -> tuple[DataFrame, DataFrame]:
-    """(run records, files that are not valid JSON): a malformed file is reported and skipped."""
-    schema = model.BENCH_RUN.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
-    raw = (
-        spark.read.schema(f"{schema}, _corrupt_record STRING")
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
+    """(run records, files that are not valid JSON): a malformed file is reported and skipped.
+
+    One document per file, each a few lines long, so a file is read as one text.
+    """
+    schema = model.BENCH_RUN.simpleString()[len("struct<"):-1].replace(":", " ")
+    run = F.from_json(
+        "value", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    )
+    read = (
+        spark.read.option("wholetext", True)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .json(directory)
-        .withColumn("file", F.col("_metadata.file_path"))
+        .text(directory)
+        .select(F.col("_metadata.file_path").alias("file"), run.alias("run"))
     )
-    good = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "file")
-    return good, raw.filter(F.col("_corrupt_record").isNotNull()).select("file")
+    malformed = F.col("run").isNull() | F.col("run._corrupt").isNotNull()
+    good = read.filter(~malformed).select(*[F.col(f"run.{f.name}").alias(f.name) for f in model.BENCH_RUN])
+    return good, read.filter(malformed).select("file")

@@ -1,15 +1,17 @@
 """The kernel under Structured Streaming.
 
-Every micro-batch decodes its messages once into the audit history, resolves
-them against state and marks, and writes outcomes, dead letters, marks and state,
-each under the batch id. The checkpoint replaces offset commits: a batch that
+Decode and gates run as part of the stream. Every micro-batch writes its events
+once to the audit history, resolves them from there against state and marks, and
+writes outcomes, dead letters, marks and state, each under the batch id. The checkpoint replaces offset commits: a batch that
 fails part-way runs again under the same id and overwrites its own output.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,21 +50,28 @@ class Pipeline:
         self.state = StateTable(spark, f"{root}/state", settings.buckets)
         self.marks = MarkTable(spark, f"{root}/marks", settings.ttl_seconds)
 
+    def events(self, log: DataFrame) -> DataFrame:
+        """Decode and gates: stateless, so they are part of the streaming plan and planned once."""
+        s = self.settings
+        return gate(decode(log), s.contract, s.ignore_tombstones)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """One micro-batch; safe to repeat with the same id."""
+        """One micro-batch of gated events; safe to repeat with the same id."""
         s = self.settings
-        events = append_audit(
-            gate(decode(batch), s.contract, s.ignore_tombstones), self.audit, batch_id
-        )
-        earliest = events.agg(F.min(F.unix_seconds("log_ts"))).first()[0]
+        # The stream runs in a session of its own, without adaptive execution; from
+        # here on the batch is an ordinary table of the caller's session.
+        events = append_audit(batch, self.audit, batch_id, self.spark)
+        passing = F.col("dlq_reason").isNull()
+        # One pass for what the batch touches; the bucket list is at most ``buckets`` long.
+        earliest, touched = events.agg(
+            F.min(F.unix_seconds("log_ts")), F.collect_set(F.when(passing, self.state.bucket_of()))
+        ).first()
         if earliest is None:
             return
-        passing = events.filter(F.col("dlq_reason").isNull())
-        touched = self.state.touched(passing)
         before = self.state.read(before=batch_id, only=touched)
         marks = self.marks.read(before=batch_id, earliest_log_second=earliest)
 
-        keys = passing.select(*KEY).distinct()
+        keys = events.filter(passing).select(*KEY).distinct()
         outcomes = event_outcomes(
             events.drop("event_date"),
             before.join(keys, KEY, "left_semi"),
@@ -72,18 +81,29 @@ class Pipeline:
         )
         target = f"{self.outcomes_dir}/batch_id={batch_id}"
         outcomes.write.mode("overwrite").parquet(target)
-        written = self.spark.read.parquet(target)
+        written = self.spark.read.schema(outcomes.schema).parquet(target)
+
+        def dead_letters() -> None:
+            dead = dlq_envelope(written.filter(~passing))
+            write_dlq(dlq_messages(dead), f"{self.dlq}/batch_id={batch_id}")
+
+        def new_marks() -> None:
+            self.marks.write(batch_id, mark_applied(written))
+
+        def new_state() -> None:
+            if touched:
+                self.state.write(batch_id, versioned_upsert(before, events, s.delete_mode), touched)
 
-        dead = dlq_envelope(written.filter(F.col("dlq_reason").isNotNull()))
-        write_dlq(dlq_messages(dead), f"{self.dlq}/batch_id={batch_id}")
-        self.marks.write(batch_id, mark_applied(written))
-        if touched:
-            self.state.write(batch_id, versioned_upsert(before, events, s.delete_mode))
+        # The three sinks do not depend on each other; a failure of any fails the batch.
+        with ThreadPoolExecutor(3) as pool:
+            jobs = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in (dead_letters, new_marks, new_state)]
+            for job in jobs:
+                job.result()
 
     def outcomes(self) -> DataFrame:
         return self.spark.read.parquet(self.outcomes_dir)
 
     def start(self, log: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-        writer = log.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        writer = self.events(log).writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)
         return writer.start()

@@ -113,12 +113,13 @@ def test_state_table(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "s"), buckets=4)
     assert table.read().count() == 0
     first = gated_events(spark, [(i, f"a{i}", f"P{i}", "W", 1, 0) for i in range(20)])
-    table.write(0, resolve.versioned_upsert(None, first))
+    table.write(0, resolve.versioned_upsert(None, first), table.touched(first))
     second = gated_events(spark, [(30, "b", "P3", "W", 2, 5)])
 
     def step():
-        before = table.read(before=1, only=table.touched(second))
-        table.write(1, resolve.versioned_upsert(before, second))
+        touched = table.touched(second)
+        before = table.read(before=1, only=touched)
+        table.write(1, resolve.versioned_upsert(before, second), touched)
 
     for _ in range(2):
         step()
