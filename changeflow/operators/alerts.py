@@ -46,7 +46,7 @@ def signals(grid: DataFrame, lag: DataFrame, mismatches: Column, step: int = M.S
 
 
 def p95(window: str) -> Column:
-    return M.histogram_quantile(0.95, [F.col(f"{c}_{window}") for c in M.LE], F.col(f"latency_count_{window}"))
+    return M.histogram_quantile(0.95, f"_{window}")
 
 
 def _rate(name: str, window: str) -> Column:

@@ -29,16 +29,16 @@ SERIES = [*COUNTERS, *LATENCY]
 
 def series_aggregates() -> list[Column]:
     """Aggregates of every series; each is a sum or count, so partials combine map-side."""
-    is_late = [F.col("latency_ms") <= F.lit(int(b * 1000)) for b in BOUNDS]
-    return [
-        F.count(F.lit(1)).alias(model.RECEIVED),
-        *[F.count_if(F.col("result") == r).alias(r) for r in RESULTS],
-        *[F.count_if(F.col("dlq_reason") == r).alias(f"dlq_{r}") for r in REASONS],
-        F.count_if(F.col("schema_decision") == model.CONDITIONAL).alias("warnings"),
-        *[F.count_if(c).alias(name) for c, name in zip(is_late, LE)],
-        F.count("latency_ms").alias("latency_count"),
-        F.coalesce(F.sum("latency_ms"), F.lit(0)).cast("bigint").alias("latency_sum_ms"),
+    text = [
+        f"count(1) AS {model.RECEIVED}",
+        *[f"count_if(result = '{r}') AS {r}" for r in RESULTS],
+        *[f"count_if(dlq_reason = '{r}') AS dlq_{r}" for r in REASONS],
+        f"count_if(schema_decision = '{model.CONDITIONAL}') AS warnings",
+        *[f"count_if(latency_ms <= {int(bound * 1000)}) AS {name}" for bound, name in zip(BOUNDS, LE)],
+        "count(latency_ms) AS latency_count",
+        "CAST(coalesce(sum(latency_ms), 0) AS BIGINT) AS latency_sum_ms",
     ]
+    return [F.expr(t) for t in text]
 
 
 def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -65,19 +65,19 @@ def latency_histogram(outcomes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def histogram_quantile(q: float, cumulative: Sequence[Column] | None = None, total: Column | None = None) -> Column:
-    """Quantile from cumulative bucket counts: linear inside a bucket, the first bucket starting at
-    zero; above the last finite bound the answer is that bound; no events, no answer."""
-    counts = list(cumulative) if cumulative is not None else [F.col(c) for c in LE]
-    total = F.col("latency_count") if total is None else total
-    rank = F.lit(float(q)) * total
-    out = None
-    low, below = 0.0, F.lit(0)
-    for bound, count in zip(BOUNDS, counts):
-        here = F.lit(low) + F.lit(bound - low) * F.try_divide(rank - below, count - below)
-        out = F.when(count >= rank, here) if out is None else out.when(count >= rank, here)
+def histogram_quantile(q: float, suffix: str = "") -> Column:
+    """Quantile from the cumulative counts ``le_<i><suffix>``: linear inside a bucket, the first bucket
+    starting at zero; above the last finite bound the answer is that bound; no events, no answer."""
+    total = f"latency_count{suffix}"
+    rank = f"({float(q)!r}D * {total})"
+    arms, low, below = [], 0.0, "0"
+    for bound, name in zip(BOUNDS, LE):
+        count = f"{name}{suffix}"
+        arms.append(
+            f"WHEN {count} >= {rank} THEN {low!r}D + {bound - low!r}D * try_divide({rank} - {below}, {count} - {below})"
+        )
         low, below = bound, count
-    return F.when(total > 0, out.otherwise(F.lit(BOUNDS[-1])))
+    return F.expr(f"CASE WHEN {total} > 0 THEN CASE {' '.join(arms)} ELSE {BOUNDS[-1]!r}D END END")
 
 
 def latency_quantiles(outcomes: DataFrame, quantiles: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
@@ -119,10 +119,12 @@ SLICE_SECONDS = 24 * 3600
 def rolling(
     grid: DataFrame, sums: Mapping[str, tuple[str, int]], step: int = STEP
 ) -> DataFrame:
-    """Add rolling sums: ``sums`` maps an output name to (column, window in seconds).
+    """Add rolling sums to a gapless grid: ``sums`` maps an output name to (column, window in seconds).
 
-    Time is cut into slices; a row also goes to the next slices that still look
-    back on it, so slices are summed independently of each other.
+    A window's sum is the running sum now minus the running sum one window ago,
+    so its cost does not depend on its length. Time is cut into slices; a row
+    also goes to the next slices that still look back on it, so slices are
+    summed independently of each other.
     """
     longest = max(w for _, w in sums.values())
     width = max(SLICE_SECONDS, longest)
@@ -130,10 +132,20 @@ def rolling(
     last = F.floor((F.col("bucket") + (longest - step)) / width).cast("bigint")
     spread = grid.withColumn("_home", here).withColumn("_slice", F.explode(F.sequence(here, last)))
     order = Window.partitionBy("_slice").orderBy("bucket")
-    added = [
-        F.sum(column).over(order.rangeBetween(-(w - step), 0)).alias(out) for out, (column, w) in sums.items()
-    ]
-    return spread.select("*", *added).filter(F.col("_slice") == F.col("_home")).drop("_slice", "_home")
+    names = sorted({name for name, _ in sums.values()})
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    summed = spread.select("*", *[F.sum(n).over(so_far).alias(f"_sum_{n}") for n in names])
+    ago = {
+        (n, w): F.lag(f"_sum_{n}", w // step).over(order).alias(f"_ago_{n}_{w}") for n, w in set(sums.values())
+    }
+    looked_back = summed.select("*", *ago.values())
+    return looked_back.filter(F.col("_slice") == F.col("_home")).select(
+        *grid.columns,
+        *[
+            (F.col(f"_sum_{n}") - F.coalesce(f"_ago_{n}_{w}", F.lit(0))).alias(out)
+            for out, (n, w) in sums.items()
+        ],
+    )
 
 
 def per_window(names: Sequence[str], windows: Mapping[str, int]) -> dict[str, tuple[str, int]]:

@@ -74,7 +74,8 @@ def website(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.reservations(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    return stage(spark, "reservations", sf_dir, lambda: fx.reservations(spark, sf_dir).repartition(cores))
 
 
 def mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -727,7 +728,9 @@ def m8_success_rate(spark, sf_dir):
 
 
 def _gauge(spark: SparkSession, sf_dir: str) -> int:
-    return reconcile.mismatch_gauge(mismatches(spark, sf_dir)).first()["gauge"]
+    """The gauge as the last reconciliation run left it."""
+    run = stage(spark, "gauge", sf_dir, lambda: reconcile.mismatch_gauge(mismatches(spark, sf_dir)))
+    return run.first()["gauge"]
 
 
 @query
