@@ -78,10 +78,9 @@ def read_bench_runs(
         "value", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     read = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
+        spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .text(directory)
+        .text(directory, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), run.alias("run"))
     )
     malformed = F.col("run").isNull() | F.col("run._corrupt").isNotNull()
