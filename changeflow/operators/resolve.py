@@ -18,6 +18,8 @@ from changeflow.operators import blocks
 
 KEY = model.KEY
 _ORDER = ["kafka_offset", "kafka_partition"]
+# The message text and its images stay in the audit history; only dead letters carry them on.
+_BULKY = ["value", "source", "before", "after"]
 # Rows that stand for the state and for carried marks sort before every event.
 _SEED_OFFSET = -(2**62)
 
@@ -99,8 +101,9 @@ def event_outcomes(
     ``id_conflicts`` lists ids that do not.
 
     A key with more than ``hot_rows`` rows is resolved in blocks of its offsets.
+    Text and row images are null but for dead letters, so the shuffle moves narrow rows.
     """
-    passing = gated.filter(F.col("dlq_reason").isNull())
+    passing = gated.filter(F.col("dlq_reason").isNull()).drop(*_BULKY)
     dead = gated.filter(F.col("dlq_reason").isNotNull())
     seeds = _seeds(state, marks)
     hot, limit = blocks.hot_keys(passing, KEY, hot_rows)
@@ -118,8 +121,8 @@ def event_outcomes(
         F.when(live, F.lit(model.SKIPPED))
         .when(F.col("_candidate"), F.lit(model.APPLIED))
         .otherwise(F.lit(model.REJECTED)),
-    ).select(*gated.columns, "result")
-    everything = labelled.unionByName(dead.withColumn("result", F.lit(model.DLQ)))
+    ).select(*passing.columns, "result")
+    everything = dead.withColumn("result", F.lit(model.DLQ)).unionByName(labelled, allowMissingColumns=True)
     return everything.withColumn("latency_ms", sync_latency_ms())
 
 
