@@ -34,5 +34,31 @@ FROM p JOIN g USING (hex)
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: With a relation of documents in place of {{docs}}: per document n_words, n_hit, the items and contaminated.
+DECONTAMINATE = f"""
+items AS (SELECT item_id::VARCHAR AS item, {_ITEM_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n,
+         array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS gram
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items WHERE len(w) > 0)),
+doc_words AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM {{docs}}),
+lengths AS (SELECT DISTINCT n FROM windows),
+probes AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, lengths WHERE len(w) >= n)),
+found AS (SELECT doc_id, n, i, item FROM probes JOIN windows USING (n, gram)),
+covered AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM found GROUP BY doc_id),
+judged AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+         sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+  FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id))
+"""
+
+_DECONTAMINATE = f"WITH {DECONTAMINATE.format(docs='documents')} SELECT * FROM judged"
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_url_rules": _URL, "op9_archives": _WARC}
+    return {"op2_url_rules": _URL, "op4_decontaminate": _DECONTAMINATE, "op9_archives": _WARC}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import archives, token_planes, url_rules
+from changeflow.llm import archives, decontaminate, mixture, token_planes, url_rules
 from changeflow.llm.common import table, written
 
 #: Fixed values: (host, path, verdict) of the contract.
@@ -31,6 +31,16 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archives.read_arc(archives.write_arc(table(spark, sf_dir, "pages")))
     warcs = written(archives.write_warc(archives.mark_revisits(records)), "warc")
@@ -40,4 +50,4 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op9_archives)}
+    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op4_decontaminate, op7_mixture, op9_archives)}
