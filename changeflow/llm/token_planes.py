@@ -115,7 +115,7 @@ def unpack_segment(content: bytes) -> np.ndarray:
 
 #: Byte-level BPE never joins what stands before a lone space or line end with what follows, if both are visible.
 _CUT = re.compile(r"(?<=[!-~\w])(?=[ \n][!-~\w])")
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 
 
 class Encoder:
@@ -136,20 +136,52 @@ class Encoder:
             vocabulary = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        size = self.tokenizer.get_vocab_size()
+        #: By id, whether the token begins with a space, which this vocabulary writes as U+0120.
+        self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.cut(t) for t in texts]
-        if len(self.pieces) > CACHED_PIECES:
-            self.pieces.clear()
-        new = list(set().union(*cut).difference(self.pieces))
+        if len(self.pieces) > CACHED_PIECES:  # pieces that are used again come back from the older half
+            self.pieces, self.older = {}, self.pieces
+        self.learn(set().union(*cut))
+        get = self.pieces.__getitem__
+        return [b"".join(map(get, pieces)) for pieces in cut]
+
+    def learn(self, wanted: set[str]) -> None:
+        """All of these are in the cache afterwards."""
+        pieces, older, new, marked = self.pieces, self.older, [], []
+        for p in wanted.difference(pieces):
+            if p in older:
+                pieces[p] = older[p]
+            elif p[-1:] in (".", ",") and (word := p.rstrip(".,"))[-1:].isalpha():
+                marked.append((p, word, p[len(word) :]))  # the marks are tokens apart from the letters before them
+            else:
+                new.append(p)
+        if marked:
+            self.learn({x for _, *both in marked for x in both})
+            for p, word, marks in marked:
+                pieces[p] = pieces[word] + pieces[marks]
+        plain = [p for p in new if p[:1] == " " and p[1:].isalpha()]
+        for at in range(0, len(plain), 256):
+            self.encode_words(plain[at : at + 256])
+        self.encode_each([p for p in new if p not in pieces])
+
+    def encode_words(self, words: list[str]) -> None:
+        """Words with a space before each are encoded as one text: a word's first token alone begins with a space."""
+        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
+        data, ends = ids.tobytes(), (np.flatnonzero(self.begins[ids]) * 4).tolist() + [len(ids) * 4]
+        if len(ends) == len(words) + 1:
+            self.pieces.update(zip(words, map(data.__getitem__, map(slice, ends, ends[1:]))))
+
+    def encode_each(self, new: list[str]) -> None:
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self.pieces[piece] = np.array(e.ids, "<u4").tobytes()
-        get = self.pieces.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
 
     @staticmethod
     def cut(text: str) -> list[str]:
