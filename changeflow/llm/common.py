@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,16 @@ ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers on this machine find this package wherever the driver was started. A cluster gets it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

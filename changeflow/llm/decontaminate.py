@@ -34,8 +34,13 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
     return starts.select("item", "length", F.expr("array_join(slice(w, i, length), ' ')").alias("gram")).distinct()
 
 
+def _words_at(array: str, length: int) -> str:
+    """The window at i as arguments. slice() would copy the whole array for each window."""
+    return ", ".join(f"{array}[i + {k - 1}]" for k in range(length))
+
+
 def _window_hashes(length: int) -> str:
-    return f"transform(sequence(1, size(wh) - {length} + 1), i -> struct(int(i) as start, {length} as length, xxhash64(slice(wh, i, {length})) as hash))"
+    return f"transform(sequence(1, size(wh) - {length - 1}), i -> struct(int(i) as start, {length} as length, xxhash64({_words_at('wh', length)}) as hash))"
 
 
 def _hash_of(gram: str) -> str:
@@ -53,8 +58,8 @@ def _in_row(w: DataFrame, windows: DataFrame) -> DataFrame:
         hashes = ", ".join(f"{h}L" if h > -(1 << 63) else "bigint('-9223372036854775808')" for h in sorted({h for h, _ in rows}))
         grams = ", ".join(f"'{g}'" for g in sorted({g for _, g in rows}))
         found.append(
-            f"""if(size(w) >= {length}, transform(filter(sequence(1, size(w) - {length} + 1), i ->
-                xxhash64(slice(wh, i, {length})) in ({hashes}) and array_join(slice(w, i, {length}), ' ') in ({grams})),
+            f"""if(size(w) >= {length}, transform(filter(sequence(1, size(w) - {length - 1}), i ->
+                xxhash64({_words_at("wh", length)}) in ({hashes}) and concat_ws(' ', {_words_at("w", length)}) in ({grams})),
                 i -> struct(int(i) as start, {length} as length)), cast(array() as array<struct<start int, length int>>))"""
         )
     hits = f"concat({', '.join(found)})" if sets else "cast(array() as array<struct<start int, length int>>)"

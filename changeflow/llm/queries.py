@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import archives, decontaminate, mixture, token_planes, url_rules
+from changeflow.llm import archives, decontaminate, languages, mixture, token_planes, url_rules
 from changeflow.llm.common import table, written
 
 #: Fixed values: (host, path, verdict) of the contract.
@@ -37,6 +37,18 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def _remainder(key: str, of: int) -> Column:
+    return F.crc32(F.col(key).cast("string").cast("binary")) % of
+
+
+def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    profiles = languages.learn(docs.where(F.col("doc_id").isNotNull() & ~held_out))
+    judged = languages.identify(docs.select("doc_id", "text"), profiles)
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,4 +62,4 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op4_decontaminate, op7_mixture, op9_archives)}
+    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op4_decontaminate, op5_languages, op7_mixture, op9_archives)}
