@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import archives, decontaminate, languages, mixture, token_planes, url_rules
+from changeflow.llm import archives, decontaminate, languages, mixture, quality, token_planes, url_rules
 from changeflow.llm.common import table, written
 
 #: Fixed values: (host, path, verdict) of the contract.
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def _remainder(key: str, of: int) -> Column:
+    return F.crc32(F.col(key).cast("string").cast("binary")) % of
+
+
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_planes.read_digests(written(token_planes.encode(docs), "token-planes"))
@@ -31,16 +35,19 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    machine = quality.learn(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return quality.classify(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
-def _remainder(key: str, of: int) -> Column:
-    return F.crc32(F.col(key).cast("string").cast("binary")) % of
-
-
 def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
@@ -62,4 +69,4 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op4_decontaminate, op5_languages, op7_mixture, op9_archives)}
+    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op3_quality, op4_decontaminate, op5_languages, op7_mixture, op9_archives)}
