@@ -57,8 +57,28 @@ judged AS (
   FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id))
 """
 
+_SPACED = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+#: With a relation of documents in place of {{docs}}: doc_id, n_shingles, component_id.
+SIMILAR = f"""
+shingled AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM (SELECT doc_id, {_SPACED} AS w FROM {{docs}}) WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM shingled a JOIN shingled b USING (shingle) WHERE a.doc_id != b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM shared JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * i >= 90 * (a.n + b.n - i)),
+reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM {{docs}}
+  UNION
+  SELECT reach.node, links.v FROM reach JOIN links ON links.u = reach.other),
+linked AS (
+  SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+  FROM (SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node) LEFT JOIN sizes USING (doc_id))
+"""
+
+_SIMILAR = f"WITH RECURSIVE {SIMILAR.format(docs='documents')} SELECT * FROM linked"
+
 _DECONTAMINATE = f"WITH {DECONTAMINATE.format(docs='documents')} SELECT * FROM judged"
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_url_rules": _URL, "op4_decontaminate": _DECONTAMINATE, "op9_archives": _WARC}
+    return {"op2_url_rules": _URL, "op4_decontaminate": _DECONTAMINATE, "op6_similar": _SIMILAR, "op9_archives": _WARC}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import archives, decontaminate, languages, mixture, quality, token_planes, url_rules
+from changeflow.llm import archives, decontaminate, languages, mixture, quality, similar, token_planes, url_rules
 from changeflow.llm.common import table, written
 
 #: Fixed values: (host, path, verdict) of the contract.
@@ -56,6 +56,10 @@ def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.components(table(spark, sf_dir, "documents"))
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -69,4 +73,4 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op3_quality, op4_decontaminate, op5_languages, op7_mixture, op9_archives)}
+    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op3_quality, op4_decontaminate, op5_languages, op6_similar, op7_mixture, op9_archives)}
