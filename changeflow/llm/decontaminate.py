@@ -63,7 +63,8 @@ def _in_row(w: DataFrame, windows: DataFrame) -> DataFrame:
                 i -> struct(int(i) as start, {length} as length)), cast(array() as array<struct<start int, length int>>))"""
         )
     hits = f"concat({', '.join(found)})" if sets else "cast(array() as array<struct<start int, length int>>)"
-    return w.withColumn("hits", F.expr(hits))
+    # As a generator's output, hits are computed once: a filter on them isn't moved down with the whole expression in it.
+    return w.select("*", F.explode(F.array(F.expr(hits))).alias("hits"))
 
 
 def _joined(w: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:

@@ -23,7 +23,7 @@ from changeflow.llm.common import SPACED_WORD, col, written
 
 PATTERN = (5, 2, 1)
 MAX_EPOCHS = 3
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_000
 
 
 def size_of(text: Column) -> Column:

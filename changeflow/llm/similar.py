@@ -141,8 +141,8 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _index(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, int]) -> DataFrame:
-    """(doc_id, n, cls, lead, sketch, keys): lead is the first half of cls, as a number."""
-    rows = docs.select(col(key).cast("long"), col(text))
+    """(doc_id, text_hash, n, cls, lead, sketch, keys): lead is the first half of cls, as a number."""
+    rows = docs.select(col(key).cast("long"), col(text), F.xxhash64(col(text)))
     p, q = threshold
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +160,14 @@ def _index(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, i
                         seen.add(c)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.binary()),
+                        part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.binary()),
                         pa.array([int.from_bytes(c[:8], "little", signed=True) if c else None for c in classes], pa.int64()),
                         pa.array([sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n", "cls", "lead", "sketch", "keys"],
+                    names=["doc_id", "text_hash", "n", "cls", "lead", "sketch", "keys"],
                 )
 
-    return rows.mapInArrow(index, "doc_id long, n long, cls binary, lead long, sketch array<bigint>, keys array<bigint>")
+    return rows.mapInArrow(index, "doc_id long, text_hash long, n long, cls binary, lead long, sketch array<bigint>, keys array<bigint>")
 
 
 def _sets(docs: DataFrame, key: str, text: str, n: int, wanted: DataFrame) -> DataFrame:
@@ -214,14 +214,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, key: str, text: str, n: int, clas
     return met.where(shared * q >= (F.size("a") + F.size("b") - shared) * p).select("u", "v")
 
 
-def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document.
-
-    ``threshold`` (p, q) means a Jaccard similarity of p / q or more. Null texts
-    and texts without words have empty sets and link with nothing. Repeated
-    rows come as often as they are there. A null id is never the smallest
-    unless a component has no other.
-    """
+def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, int]) -> DataFrame:
+    """(doc_id, text_hash, n, cls, root, component_id) of every document; cls and root are null for empty sets."""
     index = written(_index(docs, key, text, n, threshold), "similar-index")
     classes = written(
         index.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("lead").alias("lead"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
@@ -257,7 +251,41 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
 
     known = classes.join(final, classes["cls"] == final["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     least = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = known.join(least, "root").select("cls", "component_id")
+    placed = known.join(least, "root").select("cls", "root", "component_id")
     return index.join(placed, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+        "doc_id", "text_hash", "n", "cls", "root",
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document.
+
+    ``threshold`` (p, q) means a Jaccard similarity of p / q or more. Null texts
+    and texts without words have empty sets and link with nothing. Repeated
+    rows come as often as they are there. A null id is never the smallest
+    unless a component has no other.
+    """
+    return _members(docs, key, text, n, threshold).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE_WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each component: that with the smallest id, null ids last.
+
+    Of several texts under that id one stays, and of repeated rows one.
+    Documents without words all stay.
+    """
+    members = written(_members(docs, key, text, n, threshold).where("cls is not null").select("doc_id", "text_hash", "root"), "similar-members")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = members.groupBy("root").agg(F.min(own).alias("best"))
+    gone = members.join(best, "root").where(~own.eqNullSafe(F.col("best"))).select("doc_id", "text_hash").distinct()
+    gone = written(gone.toDF("gone_id", "gone_hash"), "similar-gone")
+    twice = members.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    twice = written(twice.toDF("gone_id", "gone_hash"), "similar-twice")
+
+    same = lambda other: col(key).cast("long").eqNullSafe(other["gone_id"]) & (F.xxhash64(col(text)) == other["gone_hash"])
+    kept = docs.join(gone, same(gone), "left_anti")
+    if twice.isEmpty():
+        return kept
+    repeated = kept.join(twice, same(twice), "left_semi").dropDuplicates([key, text])
+    return kept.join(twice, same(twice), "left_anti").unionByName(repeated)
