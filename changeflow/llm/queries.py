@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import archives, decontaminate, languages, mixture, quality, similar, token_planes, url_rules
+from changeflow.llm import archives, bm25, decontaminate, languages, mixture, quality, secrets, similar, token_planes, url_rules
 from changeflow.llm.common import table, written
 
 #: Fixed values: (host, path, verdict) of the contract.
@@ -64,6 +64,15 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    findings = written(secrets.find(docs, secrets.dictionary(docs)), "secret-candidates")
+    known = findings.where(_remainder("doc_id", 3) != 1).withColumn("label", secrets.rule_label())
+    judged = secrets.judge(findings, secrets.learn(known))
+    held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    return judged.select("doc_id", "start", "length", held_out.alias("held_out"), "score", "secret")
+
+
 def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archives.read_arc(archives.write_arc(table(spark, sf_dir, "pages")))
     warcs = written(archives.write_warc(archives.mark_revisits(records)), "warc")
@@ -72,5 +81,16 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bm25.search(docs, docs.where(F.col("doc_id") % 50 == 0)).select("query_id", "rank", "doc_id", "score")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_planes, op2_url_rules, op3_quality, op4_decontaminate, op5_languages, op6_similar, op7_mixture, op9_archives)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_token_planes, op2_url_rules, op3_quality, op4_decontaminate, op5_languages,
+            op6_similar, op7_mixture, op8_secrets, op9_archives, op10_bm25,
+        )
+    }
