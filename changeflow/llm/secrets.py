@@ -73,8 +73,7 @@ def _covered(value: str, words: frozenset[str]) -> float:
 
 
 def features(text: str, start: int, end: int, path: str | None, words: frozenset[str]) -> list[float]:
-    whole = text[start:end]
-    value = whole[:4096]  # statistics of characters; the length below is the whole one
+    value = text[start:end]
     n, count = len(value), Counter(value)
     kinds = np.array([_kind(c) for c in value])
     share = np.bincount(kinds, minlength=_KINDS) / n
@@ -83,7 +82,7 @@ def features(text: str, start: int, end: int, path: str | None, words: frozenset
     names = [w.lower() for w in _WORD.findall(before)][-3:]
     place = (path or "").lower()
     return [
-        math.log1p(len(whole)), len(count) / n, -sum(k / n * math.log2(k / n) for k in count.values()), float(re.fullmatch("[0-9a-fA-F]+", value) is not None),
+        math.log1p(n), len(count) / n, -sum(k / n * math.log2(k / n) for k in count.values()), float(re.fullmatch("[0-9a-fA-F]+", value) is not None),
         float(value.isdigit()), float("@" in value), float("." in value), _covered(value, words), *share.tolist(), *moves.tolist(),
         float(any(x in w for w in names for x in NAMES)), float(bool(names) and any(x in names[-1] for x in NAMES)), float(re.search(r"[:=]\s?[\"']?$", before) is not None),
         float(before[-1:] in ("'", '"')), float(after[:1] in ("'", '"')), float(before[-2:].strip().startswith(")")),

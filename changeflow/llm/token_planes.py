@@ -185,8 +185,10 @@ class Encoder:
 
     @staticmethod
     def cut(text: str) -> list[str]:
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:  # some white space isn't a lone space or line end
+        if " ".join(text.split()) != text.replace("\n", " "):  # some white space isn't a lone space or line end
             return _CUT.split(text)
+        if not text:
+            return []
         first, *rest = text.replace("\n", " \n").split(" ")
         return [first, *(p if p[0] == "\n" else " " + p for p in rest)]
 

@@ -1,0 +1,39 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from changeflow.llm import secrets as S
+
+
+def test_candidates_are_wide_and_whole():
+    text = 'password = hunter-two, token: "abcdef0123456789" call 555-1234 or words only'
+    assert [text[a:b] for a, b in S.candidates(text)] == ["hunter-two,", "abcdef0123456789", "555-1234"]
+    far = "x " * 200_000 + "a1b2c3d4e5"
+    assert S.candidates(far) == [(400_000, 400_010)]
+    assert S.candidates(None) == S.candidates("") == []
+
+
+def test_feature_places():
+    f = S.features('my token = "0123456789abcdef0"', 12, 29, "docs/example.py", frozenset(["abc"]))
+    assert f[S.NAMED] == 1 and f[S.ASSIGNED] == 1 and abs(f[7] - 3 / 17) < 1e-9
+    assert S.features("call 555-1234", 5, 13, None, frozenset())[S.NAMED] == 0
+
+
+def test_held_out_accuracy(spark):
+    draw, rows = np.random.default_rng(0), []
+    for i in range(400):
+        hexed = "".join(draw.choice(list("0123456789abcdef"), 40))
+        rows.append((i, f'set token = "{hexed}" now' if i % 2 else f"call {draw.integers(10**9, 10**10)} or see commit {hexed[:12]}7", "src/a.py", i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, label int")
+    findings = S.find(docs, S.dictionary(docs)).join(docs.select("doc_id", "label"), "doc_id")
+    model = S.learn(findings.where("doc_id % 4 < 2"))
+    got = S.judge(findings.where("doc_id % 4 >= 2"), model).collect()
+    assert np.mean([r.secret == bool(r.label) for r in got]) > 0.95
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    found = S.find(odd_docs, S.dictionary(odd_docs))
+    assert found.count() > 0 and {r.doc_id for r in found.collect()} <= {6, 7, 9}
+    assert S.learn(found.withColumn("label", F.lit(1))) is None
+    assert S.judge(found, None).where("not secret").count() == 0
+    assert S.dictionary(no_docs) == [] and S.find(no_docs, []).count() == 0
+    assert S.find(odd_docs.drop("source"), []).count() == found.count()
