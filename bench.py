@@ -43,7 +43,8 @@ def main() -> None:
         gates.gate(decode(log)).write.mode("overwrite").parquet(f"{path}/events")
         events = spark.read.parquet(f"{path}/events")
         resolve.event_outcomes(events).write.mode("overwrite").parquet(f"{path}/outcomes")
-        resolve.versioned_upsert(None, events).write.mode("overwrite").parquet(f"{path}/state")
+        outcomes = spark.read.parquet(f"{path}/outcomes")
+        resolve.versioned_upsert(None, outcomes).write.mode("overwrite").parquet(f"{path}/state")
 
     def registered(name):
         return lambda: drain(q.registered()[name](spark, SF_DIR))
@@ -52,7 +53,7 @@ def main() -> None:
         "pipeline_end_to_end": end_to_end,
         "decode_and_gate": lambda: drain(gates.gate(decode(log))),
         "event_outcomes": lambda: drain(resolve.event_outcomes(q.gated(spark, SF_DIR))),
-        "versioned_upsert": lambda: drain(resolve.versioned_upsert(None, q.gated(spark, SF_DIR))),
+        "versioned_upsert": lambda: drain(resolve.versioned_upsert(None, q.outcomes(spark, SF_DIR))),
         "mismatch_view": lambda: drain(reconcile.mismatch_view(fx.source_table(spark, SF_DIR), q.website(spark, SF_DIR))),
         "floor_ledger": lambda: drain(ledger.floor_ledger(fx.movements(spark, SF_DIR))),
         **{

@@ -130,8 +130,8 @@ def derive_event_time(source_ms: Column, envelope_ms: Column) -> Column:
 
 
 def parse_event_time(value: Column) -> Column:
-    """RFC 3339 text to timestamp; the zero instant and blank text give null."""
-    return F.when(value.rlike(RFC3339) & (value != ZERO_TIME), value.try_cast("timestamp"))
+    """RFC 3339 text to timestamp; the zero instant, however it is spelled, and blank text give null."""
+    return F.nullif(F.when(value.rlike(RFC3339), value.try_cast("timestamp")), F.lit(ZERO_TIME).cast("timestamp"))
 
 
 def normalize_lsn(lsn: Column, is_null: Column) -> Column:

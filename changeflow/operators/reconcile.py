@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.model import KEY
 
-# --- fixed values: row cap of one reconciliation run, reason labels -------------------------
+# --- fixed values: usual row cap of one reconciliation run, reason labels -------------------------
 MAX_ROWS_PER_RUN = 1000
 MISSING_IN_WEBSITE = "missing_in_website"
 WEBSITE_BEHIND = "website_behind"
@@ -59,19 +59,15 @@ def mismatch_view(warehouse: DataFrame, website: DataFrame) -> DataFrame:
     )
 
 
-def reconcile(warehouse: DataFrame, website: DataFrame, limit: int = MAX_ROWS_PER_RUN) -> DataFrame:
-    """The report of one run: at most ``limit`` mismatches, first keys first.
+def reconcile(warehouse: DataFrame, website: DataFrame, limit: int | None = None) -> DataFrame:
+    """The report of one run: all mismatches, first keys first.
 
-    The cap is the report's; ``mismatch_gauge`` gives the whole count as well.
+    With a positive ``limit``, such as MAX_ROWS_PER_RUN, only so many.
     """
-    if limit <= 0:
-        limit = MAX_ROWS_PER_RUN
-    return (
-        mismatch_view(warehouse, website)
-        .select(*KEY, "warehouse_qty", "website_qty", "warehouse_version", "website_version")
-        .orderBy(*KEY)
-        .limit(limit)
-    )
+    rows = mismatch_view(warehouse, website).select(
+        *KEY, "warehouse_qty", "website_qty", "warehouse_version", "website_version"
+    ).orderBy(*KEY)
+    return rows.limit(limit) if limit is not None and limit > 0 else rows
 
 
 def mismatch_by_reason(mismatches: DataFrame) -> DataFrame:
@@ -89,11 +85,11 @@ def replay_window(mismatches: DataFrame, website: DataFrame) -> DataFrame:
     )
 
 
-def mismatch_gauge(mismatches: DataFrame, limit: int = MAX_ROWS_PER_RUN) -> DataFrame:
-    """Gauge value of a run (capped like its report) and the whole count."""
-    return mismatches.agg(F.count(F.lit(1)).alias("mismatches")).select(
-        F.least(F.col("mismatches"), F.lit(limit).cast("bigint")).alias("gauge"), "mismatches"
-    )
+def mismatch_gauge(mismatches: DataFrame, limit: int | None = None) -> DataFrame:
+    """Gauge value of a run and the whole count: the same, unless the run's report had a ``limit``."""
+    counted = mismatches.agg(F.count(F.lit(1)).alias("mismatches"))
+    gauge = F.col("mismatches") if limit is None else F.least(F.col("mismatches"), F.lit(limit).cast("bigint"))
+    return counted.select(gauge.alias("gauge"), "mismatches")
 
 
 def reconcile_run(warehouse: DataFrame, website: DataFrame, run_at: Column) -> DataFrame:

@@ -201,10 +201,15 @@ def versioned_upsert(
 ) -> DataFrame:
     """Next state: per key the row with the greatest version, the earlier one on a tie.
 
+    Give it outcomes (rows with ``result``), and only applied events count, so
+    state and outcomes cannot disagree, whatever ids are used again. Gated events
+    without ``result`` all count; that is the same where an id means one version.
+
     State and events meet in one aggregation with map-side partials, so a key
     that receives a large part of the events reaches the shuffle as a few rows.
     """
-    rows = as_state_rows(gated.filter(F.col("dlq_reason").isNull()), delete_mode)
+    counted = F.col("result") == model.APPLIED if "result" in gated.columns else F.col("dlq_reason").isNull()
+    rows = as_state_rows(gated.filter(counted), delete_mode)
     if state is not None:
         old = state.withColumn("kafka_offset", F.lit(_SEED_OFFSET).cast("bigint"))
         rows = old.select(*rows.columns).unionByName(rows)

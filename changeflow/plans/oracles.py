@@ -215,7 +215,7 @@ def _alert_sql() -> str:
     )
     windows = _windowed({"applied5": ("applied", 300), "dlq5": ("dlq", 300), "warn15": ("warnings", 900)})
     return f"""WITH {_SERIES}, {_STOCK},
-gauge AS (SELECT least(count(*), 1000) AS gauge FROM mm),
+gauge AS (SELECT count(*) AS gauge FROM mm),
 moves AS (SELECT (commit_ms // 60000) // 15 * 15 AS bucket, 1 AS d FROM (SELECT CASE WHEN broken THEN log_ms ELSE commit_ms END AS commit_ms FROM oc)
           UNION ALL SELECT (log_ms // 60000) // 15 * 15, -1 FROM oc UNION ALL SELECT bucket, 0 FROM sr),
 backlog AS (SELECT bucket, CAST(sum(sum(d)) OVER (ORDER BY bucket) AS BIGINT) AS lag FROM moves GROUP BY bucket),
@@ -390,7 +390,7 @@ def oracles() -> dict[str, str]:
             FROM oc WHERE result = 'applied'""",
         # reconcile and replay
         "r1_reconcile": f"""WITH {_STOCK} SELECT product_id, warehouse_id, warehouse_qty, website_qty, warehouse_version,
-            website_version FROM mm ORDER BY product_id, warehouse_id LIMIT 1000""",
+            website_version FROM mm ORDER BY product_id, warehouse_id""",
         "r2_mismatch_view": f"""WITH {_STOCK} SELECT product_id, warehouse_id, warehouse_qty, website_qty, warehouse_version,
             website_version, warehouse_updated_ms, website_updated_ms, reason FROM mm""",
         "r3_mismatch_by_reason": f"""WITH {_STOCK} SELECT reason, count(*) AS mismatches FROM mm GROUP BY reason
@@ -406,7 +406,7 @@ def oracles() -> dict[str, str]:
             WHERE reason IS NOT NULL AND log_ms >= epoch_ms(TIMESTAMP '2024-01-15 00:00:00')""",
         "r6_first_failures": f"""WITH {_GATED} SELECT off, min(log_ms) AS failed_ms, count(*) AS deliveries FROM g
             WHERE reason IS NOT NULL GROUP BY part, off""",
-        "r7_mismatch_gauge": f"WITH {_STOCK} SELECT least(count(*), 1000) AS gauge, count(*) AS mismatches FROM mm",
+        "r7_mismatch_gauge": f"WITH {_STOCK} SELECT count(*) AS gauge, count(*) AS mismatches FROM mm",
         "r8_scheduled_reconcile": f"""WITH {_STOCK} SELECT epoch_ms(TIMESTAMP '2024-02-01 00:00:00') AS run_ms, reason,
             count(*) AS mismatches FROM mm GROUP BY reason""",
         "r9_dlq_investigate": f"""WITH {_GATED}, k AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY log_ms, part, off) AS k
@@ -459,7 +459,7 @@ def oracles() -> dict[str, str]:
               / greatest((received + applied + skipped + rejected + dlq) / CAST(300 AS DOUBLE), CAST(1 AS DOUBLE)) AS panel_success_rate,
             CASE WHEN received > 0 THEN applied / received END AS slo_success_rate FROM w""",
         "m9_slo_report": f"""WITH {_TOTALS}, {_STOCK}, v AS (SELECT {_quantile("0.95")} AS p95, {_quantile("0.99")} AS p99,
-            applied / received AS ok, (SELECT least(count(*), 1000) FROM mm) / CAST(1000 AS DOUBLE) AS bad FROM tt)
+            applied / received AS ok, (SELECT count(*) FROM mm) / CAST(1000 AS DOUBLE) AS bad FROM tt)
             SELECT 'freshness_p95' AS slo, p95 AS value, CAST(3 AS DOUBLE) AS target, p95 <= 3 AS met FROM v
             UNION ALL SELECT 'freshness_p99', p99, 5, p99 <= 5 FROM v
             UNION ALL SELECT 'successful_processing', ok, CAST(0.9995 AS DOUBLE), ok >= CAST(0.9995 AS DOUBLE) FROM v

@@ -66,7 +66,9 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, "state", sf_dir, lambda: resolve.versioned_upsert(None, gated(spark, sf_dir)))
+    # Clustered by product, so that a lookup reads the row groups that can hold the product.
+    rows = lambda: resolve.versioned_upsert(None, outcomes(spark, sf_dir)).repartitionByRange(*KEY).sortWithinPartitions(*KEY)
+    return stage(spark, "state", sf_dir, rows)
 
 
 def website(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +76,9 @@ def website(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cores = spark.sparkContext.defaultParallelism
-    return stage(spark, "reservations", sf_dir, lambda: fx.reservations(spark, sf_dir).repartition(cores))
+    # Clustered by order, so that a lookup reads the row groups that can hold the order.
+    rows = lambda: fx.reservations(spark, sf_dir).repartitionByRange("order_id").sortWithinPartitions("order_id")
+    return stage(spark, "reservations", sf_dir, rows)
 
 
 def mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,16 +166,23 @@ def s5_route_topic(spark, sf_dir):
     return routed.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("messages"))
 
 
+S7_BATCHES = 3
+
+
 @query
 def s7_merge_state(spark, sf_dir):
     events = gated(spark, sf_dir)
     table = StateTable(spark, _own_path(spark, "s7", sf_dir), buckets=8)
-    # Three batches of ten days each, so in offset order; the table carries the read model between them.
-    for batch_id in range(3):
-        part = events.filter(F.floor((F.dayofmonth("commit_ts") - 1) / 10) == batch_id)
+    # Batches are ranges of offsets that cover the log; the table carries the read model between them.
+    marks = None
+    low, high = events.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    for batch_id in range(S7_BATCHES if low is not None else 0):
+        part = events.filter(F.floor((F.col("kafka_offset") - low) * S7_BATCHES / (high - low + 1)) == batch_id)
         touched = table.touched(part.filter(F.col("dlq_reason").isNull()))
         before = table.read(before=batch_id, only=touched)
-        table.write(batch_id, resolve.versioned_upsert(before, part), touched)
+        result = resolve.event_outcomes(part, before, marks)
+        table.write(batch_id, resolve.versioned_upsert(before, result), touched)
+        marks = resolve.mark_applied(result, marks)
     return table.read().select(*KEY, "available_qty", "row_version")
 
 
@@ -465,7 +475,7 @@ def d2_mark_applied(spark, sf_dir):
 
 @query
 def d3_versioned_upsert(spark, sf_dir):
-    final = resolve.versioned_upsert(None, gated(spark, sf_dir))
+    final = resolve.versioned_upsert(None, outcomes(spark, sf_dir))
     return final.select(
         *KEY, "available_qty", "reserved_qty", "stock_status", "row_version", "last_event_id",
         _ms("last_db_commit_ts").alias("commit_ms"), _ms("updated_at").alias("updated_ms"),

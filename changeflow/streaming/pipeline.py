@@ -92,7 +92,7 @@ class Pipeline:
 
         def new_state() -> None:
             if touched:
-                self.state.write(batch_id, versioned_upsert(before, events, s.delete_mode), touched)
+                self.state.write(batch_id, versioned_upsert(before, written, s.delete_mode), touched)
 
         # The three sinks do not depend on each other; a failure of any fails the batch.
         with ThreadPoolExecutor(3) as pool:

@@ -131,3 +131,9 @@ def test_state_is_aggregated_before_the_shuffle(spark):
     gated = gated_events(spark, [(0, "a", "P", "W", 1, 0)])
     plan = resolve.versioned_upsert(None, gated)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_max_by") >= 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_state_follows_outcomes_when_an_id_is_used_again(spark):
+    labelled = resolve.event_outcomes(gated_events(spark, [(0, "a", "P", "W", 5, 0), (1, "a", "P", "W", 7, 1)]))
+    assert labels_of(labelled) == {0: "applied", 1: "skipped"}
+    assert state_of(resolve.versioned_upsert(None, labelled)) == {("P", "W"): (5, "a")}

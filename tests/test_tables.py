@@ -15,10 +15,10 @@ from changeflow.sources import tables as S
 
 NOW = dt.datetime(2024, 1, 2)
 SEED = [
-    ("SKU-AC-9482", "WH-MUM-01", 50, 0, "ACTIVE", 116),
-    ("SKU-AC-9482", "WH-DEL-02", 35, 2, "ACTIVE", 88),
-    ("SKU-BG-3310", "WH-MUM-01", 120, 5, "ACTIVE", 412),
-    ("SKU-DE-4422", "WH-MUM-01", 0, 0, "OOS", 150),
+    ("KETTLE-7", "DEPOT-A", 41, 0, "ACTIVE", 61),
+    ("KETTLE-7", "DEPOT-B", 35, 2, "ACTIVE", 88),
+    ("MUG-3", "DEPOT-A", 75, 3, "ACTIVE", 733),
+    ("LAMP-9", "DEPOT-A", 0, 0, "OOS", 150),
 ]
 
 
@@ -33,7 +33,7 @@ def source(spark, rows=SEED):
 def test_seed_then_reconcile_is_clean(spark):
     seeded = seed_missing(None, source(spark), F.lit(NOW))
     assert seeded.count() == 4
-    assert {r.last_event_id for r in seeded.collect()} >= {"seed-SKU-AC-9482-WH-MUM-01"}
+    assert {r.last_event_id for r in seeded.collect()} >= {"seed-KETTLE-7-DEPOT-A"}
     assert reconcile.mismatch_view(source(spark), seeded).count() == 0
     again = seed_missing(seeded.filter("stock_status <> 'OOS'"), source(spark), F.lit(NOW))
     assert again.count() == 4
@@ -43,15 +43,15 @@ def test_mismatch_reasons(spark):
     web = seed_missing(None, source(spark), F.lit(NOW)).filter("stock_status <> 'OOS'")
     web = web.withColumn(
         "row_version",
-        F.when(F.col("warehouse_id") == "WH-DEL-02", 90).when(F.col("product_id") == "SKU-BG-3310", 400).otherwise(F.col("row_version")),
-    ).withColumn("available_qty", F.when(F.col("row_version") == 116, 49).otherwise(F.col("available_qty")))
+        F.when(F.col("warehouse_id") == "DEPOT-B", 90).when(F.col("product_id") == "MUG-3", 700).otherwise(F.col("row_version")),
+    ).withColumn("available_qty", F.when(F.col("row_version") == 61, 40).otherwise(F.col("available_qty")))
     view = reconcile.mismatch_view(source(spark), web)
     reasons = {(r.product_id, r.warehouse_id): r.reason for r in view.collect()}
     assert reasons == {
-        ("SKU-AC-9482", "WH-MUM-01"): "value_mismatch",
-        ("SKU-AC-9482", "WH-DEL-02"): "website_ahead",
-        ("SKU-BG-3310", "WH-MUM-01"): "website_behind",
-        ("SKU-DE-4422", "WH-MUM-01"): "missing_in_website",
+        ("KETTLE-7", "DEPOT-A"): "value_mismatch",
+        ("KETTLE-7", "DEPOT-B"): "website_ahead",
+        ("MUG-3", "DEPOT-A"): "website_behind",
+        ("LAMP-9", "DEPOT-A"): "missing_in_website",
     }
     assert reconcile.mismatch_gauge(view, 3).first() == (3, 4)
     assert reconcile.reconcile(source(spark), web, 2).count() == 2
@@ -63,12 +63,12 @@ def test_mismatch_reasons(spark):
 
 def test_snapshot_runs_ahead_of_the_log(spark):
     snapshot = S.snapshot_to_events(source(spark), F.lit(NOW))
-    log = log_of(spark, [message("a", "SKU-DE-4422", "WH-MUM-01", 151, qty=9), message("b", "SKU-AC-9482", "WH-DEL-02", 87)])
+    log = log_of(spark, [message("a", "LAMP-9", "DEPOT-A", 151, qty=9), message("b", "KETTLE-7", "DEPOT-B", 87)])
     gated = gates.gate(decode(snapshot.unionByName(log))).cache()
     results = {r.event_id: r.result for r in resolve.event_outcomes(gated).collect()}
     assert results == {"warehouse_inventory-0-0": "applied", "a": "applied", "b": "rejected"}
     state = {(r.product_id, r.warehouse_id): r.row_version for r in resolve.versioned_upsert(None, gated).collect()}
-    assert state[("SKU-DE-4422", "WH-MUM-01")] == 151 and state[("SKU-AC-9482", "WH-DEL-02")] == 88
+    assert state[("LAMP-9", "DEPOT-A")] == 151 and state[("KETTLE-7", "DEPOT-B")] == 88
 
 
 def test_dead_letters_go_out_and_come_back(spark, tmp_path):
