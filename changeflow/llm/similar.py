@@ -170,9 +170,8 @@ def _index(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, i
     return rows.mapInArrow(index, "doc_id long, text_hash long, n long, cls binary, lead long, sketch array<bigint>, keys array<bigint>")
 
 
-def _sets(docs: DataFrame, key: str, text: str, n: int, wanted: DataFrame) -> DataFrame:
-    """(cls, shingles) of the classes in ``wanted`` (cls, doc_id), from the texts of those documents."""
-    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
+def _sets(docs: DataFrame, key: str, text: str, n: int, ids: DataFrame) -> DataFrame:
+    """(cls, shingles) of the documents in ``ids`` (wanted_id), once for each class."""
     rows = docs.select(col(key).cast("long").alias("doc_id"), col(text).alias("text"))
     rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
 
@@ -197,17 +196,17 @@ def _may_link(a: str, b: str, threshold: tuple[int, int]) -> Column:
 
 
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
-    return rows.select(F.least(F.col(f"{a}.cls"), F.col(f"{b}.cls")).alias("u"), F.greatest(F.col(f"{a}.cls"), F.col(f"{b}.cls")).alias("v")).distinct()
+    end = lambda x: F.struct(F.col(f"{x}.cls").alias("cls"), F.col(f"{x}.doc_id").alias("doc_id"))
+    return rows.select(F.least(end(a), end(b)).alias("u"), F.greatest(end(a), end(b)).alias("v")).distinct()
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, key: str, text: str, n: int, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, int]) -> DataFrame:
     """The pairs whose sets reach the threshold, by exact count."""
     p, q = threshold
     pairs = written(pairs, "similar-pairs")
-    ends = pairs.select(F.col("u").alias("cls")).union(pairs.select(F.col("v").alias("cls"))).distinct()
-    sets = written(_sets(docs, key, text, n, ends.join(classes, "cls").select("cls", "doc_id")), "similar-sets")
-    sets = sets.join(ends, "cls", "left_semi")
-    met = pairs.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(
+    ids = pairs.select(F.col("u.doc_id").alias("wanted_id")).union(pairs.select("v.doc_id")).distinct()
+    sets = written(_sets(docs, key, text, n, ids), "similar-sets")
+    met = pairs.select(F.col("u.cls").alias("u"), F.col("v.cls").alias("v")).join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(
         sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v"
     )
     shared = F.size(F.array_intersect("a", "b"))
@@ -227,7 +226,7 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     of_key = Window.partitionBy("key")
     shared = entries.withColumn("low", F.min("lead").over(of_key)).withColumn("high", F.max("lead").over(of_key))
     shared = shared.where("low != high").select("key", "lead").distinct()
-    member = F.struct("cls", "n", "sketch").alias("x")
+    member = F.struct("cls", "doc_id", "n", "sketch").alias("x")
     lists = written(shared.join(classes, "lead").select("key", member), "similar-lists")
 
     order = lambda j: F.struct(F.xxhash64("x.cls", F.lit(j)).alias("at"), F.col("x").alias("y"))
@@ -235,7 +234,7 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     # Only leaders that the sketches allow are expanded.
     allowed = [F.when(F.col(f"leader{j}.cls") != F.col("x.cls"), F.when(_may_link("x", f"leader{j}", threshold), F.col(f"leader{j}"))) for j in range(LEADERS)]
     led = led.select("x", F.explode(F.array_compact(F.array(*allowed))).alias("leader"))
-    links = written(_linked(_pairs(led, "x", "leader"), docs, key, text, n, classes, threshold), "similar-links")
+    links = written(_linked(_pairs(led, "x", "leader"), docs, key, text, n, threshold), "similar-links")
     first = written(roots(links), "similar-roots")
 
     # Lists whose members are in several components; there, members outside the main one meet those of other components.
@@ -246,7 +245,7 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     outside = open_lists.where("root != main").select("key", F.col("x").alias("a"), F.col("root").alias("a_root"))
     others = open_lists.select("key", F.col("x").alias("b"), F.col("root").alias("b_root"), (F.col("root") == F.col("main")).alias("b_main"))
     meet = outside.join(others, (outside["key"] == others["key"]) & (F.col("a_root") != F.col("b_root")) & (F.col("b_main") | F.expr("a.cls < b.cls")) & _may_link("a", "b", threshold))
-    more = _linked(_pairs(meet, "a", "b"), docs, key, text, n, classes, threshold)
+    more = _linked(_pairs(meet, "a", "b"), docs, key, text, n, threshold)
     final = roots(first.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
 
     known = classes.join(final, classes["cls"] == final["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
