@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow import model
-from changeflow.operators import blocks
 from changeflow.operators import metrics as M
 
 
@@ -36,12 +35,16 @@ class Thresholds:
 WINDOWS = {"5m": 300, "15m": 900, "1h": 3600, "6h": 21600}
 
 
+#: The dead-letter counter has a series for each reason, and a rule holds for each series by itself.
+DLQ_SERIES = [f"dlq_{r}" for r in M.REASONS]
+
+
 def signals(grid: DataFrame, lag: DataFrame, mismatches: Column, step: int = M.STEP) -> DataFrame:
     """Rolling sums the rules read, with two gauges beside them: ``lag`` (``bucket, consumer_lag``
     at every step) and the mismatch count of the last reconciliation."""
-    sums = M.rolling(
-        grid, M.per_window([*M.LE, "latency_count", model.APPLIED, model.DLQ, "warnings"], WINDOWS), step
-    )
+    names = [*M.LE, "latency_count", model.APPLIED, "warnings"]
+    wanted = M.per_window(names, WINDOWS) | M.per_window(DLQ_SERIES, {"5m": WINDOWS["5m"]})
+    sums = M.rolling(grid, wanted, step)
     return sums.join(lag, "bucket", "left").withColumn("mismatches", mismatches)
 
 
@@ -61,7 +64,7 @@ def shipped_rules(limits: Thresholds = Thresholds()) -> list[Rule]:
         Rule("InventorySyncLatencySLOBurnSlow", "ticket", 1800, p95("6h") > slow),
         Rule("InventoryConsumerLagHigh", "page", 600, F.col("consumer_lag") > limits.lag),
         Rule("InventoryEventsThroughputZero", "page", 300, _rate(model.APPLIED, "5m") == 0),
-        Rule("InventoryDLQSpike", "page", 300, _rate(model.DLQ, "5m") > limits.dlq_per_second),
+        Rule("InventoryDLQSpike", "page", 300, F.greatest(*(_rate(n, "5m") for n in DLQ_SERIES)) > limits.dlq_per_second),
         Rule("InventorySchemaWarningRising", "ticket", 900, _rate("warnings", "15m") > limits.warnings_per_second),
         Rule("InventoryReconciliationMismatchHigh", "page", 600, F.col("mismatches") > limits.mismatches),
     ]
@@ -95,27 +98,38 @@ def alert_rules(signal_rows: DataFrame, rules: Sequence[Rule] | None = None, ste
 def backlog(outcomes: DataFrame, commit_seconds: Column, log_seconds: Column, step: int = M.STEP) -> DataFrame:
     """Events committed at the source but not yet logged, at the end of every step: the lag over time.
 
-    Each event is +1 at its commit and -1 at its arrival; the running sum is taken
-    over the net change per step, with a row for every step.
+    Each event is +1 at its commit and -1 at its arrival. The grid covers log
+    time, which producers don't control; a commit outside of it counts in the
+    first or last step, and ``outside`` says how many of a step's did.
+
+    The running sum is taken over days first and within each day then.
     """
 
     def start(seconds: Column) -> Column:
         return (F.floor(seconds / step) * step).cast("bigint")
 
+    moves = outcomes.filter(F.col("commit_ts").isNotNull()).select(
+        start(commit_seconds).alias("commit"), start(log_seconds).alias("log"), F.lit(1).alias("one")
+    )
+    span = moves.agg(F.min("log").alias("lo"), F.max("log").alias("hi")).withColumn("one", F.lit(1))
+    moves = moves.join(F.broadcast(span), "one")  # one row
+    inside = F.greatest(F.least("commit", "hi"), "lo")
     changes = (
-        outcomes.filter(F.col("commit_ts").isNotNull())
-        .select(
+        moves.select(
             F.inline(
                 F.array(
-                    F.struct(start(commit_seconds).alias("bucket"), F.lit(1).alias("change")),
-                    F.struct(start(log_seconds).alias("bucket"), F.lit(-1).alias("change")),
+                    F.struct(inside.alias("bucket"), F.lit(1).alias("change"), (inside != F.col("commit")).cast("int").alias("outside")),
+                    F.struct(F.col("log").alias("bucket"), F.lit(-1).alias("change"), F.lit(0).alias("outside")),
                 )
             )
         )
         .groupBy("bucket")
-        .agg(F.sum("change").alias("change"))
+        .agg(F.sum("change").alias("change"), F.sum("outside").alias("outside"))
     )
-    steps = M.fill_grid(changes, step).withColumn("_all", F.lit(0))
-    return blocks.running(steps, ["_all"], "bucket", {"consumer_lag": ("sum", F.col("change"))}).select(
-        "bucket", "consumer_lag"
+    steps = M.fill_grid(changes, step).withColumn("_day", F.floor(F.col("bucket") / M.SLICE_SECONDS).cast("bigint"))
+    so_far = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
+    days = steps.groupBy("_day").agg(F.sum("change").alias("_sum")).select("_day", F.coalesce(F.sum("_sum").over(so_far), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_day").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    return steps.join(days, "_day").select(
+        "bucket", (F.col("_before") + F.sum("change").over(within)).alias("consumer_lag"), "outside"
     )

@@ -18,6 +18,9 @@ from changeflow import model
 STEP = 15
 BOUNDS = [0.1, 0.25, 0.5, 1.0, 2.0, 3.0, 5.0, 10.0, 30.0]
 
+# Time slice of grids and rolling sums: a slice and the stretch before it are one task's work.
+SLICE_SECONDS = 24 * 3600
+
 RESULTS = [model.APPLIED, model.SKIPPED, model.REJECTED, model.DLQ]
 REASONS = [model.DECODE_ERROR, model.MISSING_REQUIRED, model.SCHEMA_BREAKING, model.PROJECTION_ERROR, model.NO_MAPPING]
 
@@ -103,19 +106,22 @@ def bucketize(outcomes: DataFrame, seconds: Column | None = None, step: int = ST
 
 
 def fill_grid(buckets: DataFrame, step: int = STEP) -> DataFrame:
-    """Every step from the first to the last bucket, absent ones as zeros."""
+    """Every step from the first to the last bucket, absent ones as zeros.
+
+    Days are expanded first, and steps within each day, so no row holds more
+    than a day's steps or the list of days.
+    """
     names = [c for c in buckets.columns if c != "bucket"]
     span = buckets.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).filter("lo IS NOT NULL")
-    grid = span.select(F.explode(F.sequence("lo", "hi", F.lit(step).cast("bigint"))).alias("bucket"))
+    day = F.lit(SLICE_SECONDS // step * step).cast("bigint")
+    days = span.select("hi", F.explode(F.sequence("lo", "hi", day)).alias("from"))
+    last = F.least(F.col("hi"), F.col("from") + day - step)
+    grid = days.select(F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias("bucket"))
     return grid.join(buckets, "bucket", "left").select(
         "bucket", *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names]
     )
 
 
-# Time slice of the rolling sums: a slice and the stretch before it are one task's work.
-SLICE_SECONDS = 24 * 3600
-
-
 def rolling(
     grid: DataFrame, sums: Mapping[str, tuple[str, int]], step: int = STEP
 ) -> DataFrame:
@@ -160,24 +166,17 @@ def event_rate(grid: DataFrame, name: str = model.APPLIED, window: int = 60, ste
     )
 
 
-def dlq_by_reason(outcomes: DataFrame, window: int = 3600, seconds: Column | None = None) -> DataFrame:
-    """Dead letters per reason and window."""
-    seconds = log_seconds() if seconds is None else seconds
-    return (
-        outcomes.filter(F.col("dlq_reason").isNotNull())
-        .groupBy((F.floor(seconds / window) * window).cast("bigint").alias("window_start"), F.col("dlq_reason").alias("reason"))
-        .agg(F.count(F.lit(1)).alias("events"))
-    )
+def dlq_by_reason(grid: DataFrame, window: int = 3600, step: int = STEP) -> DataFrame:
+    """Dead letters of the last ``window`` seconds per reason, at every step that has any."""
+    sums = rolling(grid, {r: (f"dlq_{r}", window) for r in REASONS}, step)
+    wide = sums.select((F.col("bucket") + step).alias("eval_ts"), *REASONS)
+    return wide.unpivot(["eval_ts"], REASONS, "reason", "events").filter("events > 0")
 
 
-def schema_warning_count(outcomes: DataFrame, window: int = 3600, seconds: Column | None = None) -> DataFrame:
-    """Conditional verdicts per window; repeats that were skipped later count too."""
-    seconds = log_seconds() if seconds is None else seconds
-    return (
-        outcomes.filter(F.col("schema_decision") == model.CONDITIONAL)
-        .groupBy((F.floor(seconds / window) * window).cast("bigint").alias("window_start"))
-        .agg(F.count(F.lit(1)).alias("warnings"))
-    )
+def schema_warning_count(grid: DataFrame, window: int = 3600, step: int = STEP) -> DataFrame:
+    """Conditional verdicts of the last ``window`` seconds, at every step that has any; repeats that were skipped later count too."""
+    sums = rolling(grid, {"warnings_w": ("warnings", window)}, step)
+    return sums.select((F.col("bucket") + step).alias("eval_ts"), F.col("warnings_w").alias("warnings")).filter("warnings > 0")
 
 
 def consumer_lag(log: DataFrame, processed: DataFrame) -> DataFrame:

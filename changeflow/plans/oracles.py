@@ -113,6 +113,7 @@ led AS (SELECT product_id, n, delta, i, CAST(50 AS BIGINT) AS opening, greatest(
 
 # --- series on a 15-second grid -----------------------------------------------------------------------
 
+_REASONS = ["decode_error", "missing_required", "schema_breaking", "projection_error", "no_mapping"]
 _BOUNDS = ["0.1", "0.25", "0.5", "1", "2", "3", "5", "10", "30"]
 
 _SERIES = _OUTCOMES + f""",
@@ -123,11 +124,13 @@ ag AS (SELECT bucket, count(*) AS received, count(*) FILTER (result = 'applied')
          count(*) FILTER (result = 'skipped') AS skipped, count(*) FILTER (result = 'rejected') AS rejected,
          count(*) FILTER (result = 'dlq') AS dlq, count(*) FILTER (decision = 'conditional') AS warnings,
          {", ".join(f"count(*) FILTER (lat_ms <= {b} * 1000) AS c{i}" for i, b in enumerate(_BOUNDS))},
+         {", ".join(f"count(*) FILTER (reason = '{r}') AS dlq_{r}" for r in _REASONS)},
          count(lat_ms) AS cn
        FROM pt GROUP BY bucket),
 sr AS (SELECT gd.bucket, coalesce(received, 0) AS received, coalesce(applied, 0) AS applied,
          coalesce(skipped, 0) AS skipped, coalesce(rejected, 0) AS rejected, coalesce(dlq, 0) AS dlq,
          coalesce(warnings, 0) AS warnings,
+         {", ".join(f"coalesce(dlq_{r}, 0) AS dlq_{r}" for r in _REASONS)},
          {", ".join(f"coalesce(c{i}, 0) AS c{i}" for i in range(len(_BOUNDS)))}, coalesce(cn, 0) AS cn
        FROM gd LEFT JOIN ag ON gd.bucket = ag.bucket)"""
 
@@ -205,7 +208,7 @@ def _alert_sql() -> str:
         ("InventorySyncLatencySLOBurnSlow", "ticket", 1800, "q360 > 7.7"),
         ("InventoryConsumerLagHigh", "page", 600, "lag > 0"),
         ("InventoryEventsThroughputZero", "page", 300, "applied5 = 0"),
-        ("InventoryDLQSpike", "page", 300, "dlq5 / CAST(300 AS DOUBLE) > CAST(0.06 AS DOUBLE)"),
+        ("InventoryDLQSpike", "page", 300, " OR ".join(f"{r}5 / CAST(300 AS DOUBLE) > CAST(0.06 AS DOUBLE)" for r in _REASONS)),
         ("InventorySchemaWarningRising", "ticket", 900, "warn15 / CAST(900 AS DOUBLE) > CAST(0.004 AS DOUBLE)"),
         ("InventoryReconciliationMismatchHigh", "page", 600, "gauge > 100"),
     ]
@@ -213,7 +216,7 @@ def _alert_sql() -> str:
         f"SELECT bucket, '{n}' AS alert, '{sev}' AS severity, {hold} AS hold, coalesce({cond}, false) AS active FROM sig"
         for n, sev, hold, cond in rules
     )
-    windows = _windowed({"applied5": ("applied", 300), "dlq5": ("dlq", 300), "warn15": ("warnings", 900)})
+    windows = _windowed({"applied5": ("applied", 300), "warn15": ("warnings", 900)} | {f"{r}5": (f"dlq_{r}", 300) for r in _REASONS})
     return f"""WITH {_SERIES}, {_STOCK},
 gauge AS (SELECT count(*) AS gauge FROM mm),
 moves AS (SELECT (commit_ms // 60000) // 15 * 15 AS bucket, 1 AS d FROM (SELECT CASE WHEN broken THEN log_ms ELSE commit_ms END AS commit_ms FROM oc)
@@ -221,7 +224,7 @@ moves AS (SELECT (commit_ms // 60000) // 15 * 15 AS bucket, 1 AS d FROM (SELECT
 backlog AS (SELECT bucket, CAST(sum(sum(d)) OVER (ORDER BY bucket) AS BIGINT) AS lag FROM moves GROUP BY bucket),
 w AS (SELECT bucket, {windows}, {_latency_windows("a", 300)}, {_latency_windows("h", 3600)},
         {_latency_windows("s", 21600)} FROM sr),
-sig AS (SELECT w.bucket, applied5, dlq5, warn15, lag, gauge, {_quantile("0.95", "a")} AS q5, {_quantile("0.95", "h")} AS q60,
+sig AS (SELECT w.bucket, applied5, {', '.join(f'{r}5' for r in _REASONS)}, warn15, lag, gauge, {_quantile("0.95", "a")} AS q5, {_quantile("0.95", "h")} AS q60,
           {_quantile("0.95", "s")} AS q360
         FROM w LEFT JOIN backlog ON w.bucket = backlog.bucket, gauge),
 ev AS ({arms}),
@@ -445,10 +448,12 @@ def oracles() -> dict[str, str]:
         ),
         "m4_event_rate": f"""WITH {_SERIES} SELECT bucket + 15 AS eval_ts, {_over("applied", 60)} / CAST(60 AS DOUBLE) AS rate
             FROM sr""",
-        "m5_dlq_by_reason": f"""WITH {_GATED} SELECT log_ms // 3600000 * 3600 AS window_start, reason, count(*) AS events
-            FROM g WHERE reason IS NOT NULL GROUP BY 1, 2""",
-        "m6_schema_warning_count": f"""WITH {_GATED} SELECT log_ms // 3600000 * 3600 AS window_start, count(*) AS warnings
-            FROM g WHERE decision = 'conditional' GROUP BY 1""",
+        "m5_dlq_by_reason": f"WITH {_SERIES}, w AS (SELECT bucket, "
+        + _windowed({f"{r}_w": (f"dlq_{r}", 3600) for r in _REASONS})
+        + " FROM sr) "
+        + " UNION ALL ".join(f"SELECT bucket + 15 AS eval_ts, '{r}' AS reason, {r}_w AS events FROM w WHERE {r}_w > 0" for r in _REASONS),
+        "m6_schema_warning_count": f"""WITH {_SERIES}, w AS (SELECT bucket, {_windowed({"n": ("warnings", 3600)})} FROM sr)
+            SELECT bucket + 15 AS eval_ts, n AS warnings FROM w WHERE n > 0""",
         "m7_consumer_lag": f"""WITH {_FLAT}, {_LAG} SELECT {_TOPIC} AS topic, part AS "partition", end_offset, committed_offset,
             end_offset - coalesce(committed_offset, first_offset - 1) AS lag FROM lag""",
         "m7_topic_lag": f"""WITH {_FLAT}, {_LAG} SELECT {_TOPIC} AS topic,

@@ -710,12 +710,12 @@ def m4_event_rate(spark, sf_dir):
 
 @query
 def m5_dlq_by_reason(spark, sf_dir):
-    return metrics.dlq_by_reason(outcomes(spark, sf_dir))
+    return metrics.dlq_by_reason(series_grid(spark, sf_dir))
 
 
 @query
 def m6_schema_warning_count(spark, sf_dir):
-    return metrics.schema_warning_count(outcomes(spark, sf_dir))
+    return metrics.schema_warning_count(series_grid(spark, sf_dir))
 
 
 @query

@@ -40,8 +40,39 @@ def test_counts_and_histogram(spark):
     rows = {r.le: r for r in metrics.latency_histogram(df).collect()}
     assert rows["0.1"].events == 1 and rows["30.0"].events == 1 and rows["+Inf"].events == 2
     assert rows["+Inf"].latency_sum == 40.09 and rows["+Inf"].latency_count == 2
-    assert [r.warnings for r in metrics.schema_warning_count(df).collect()] == [2]
-    assert [(r.reason, r.events) for r in metrics.dlq_by_reason(df).collect()] == [("decode_error", 1)]
+    grid = metrics.fill_grid(metrics.bucketize(df))
+    assert [r.warnings for r in metrics.schema_warning_count(grid).collect()] == [2]
+    assert [(r.reason, r.events) for r in metrics.dlq_by_reason(grid).collect()] == [("decode_error", 1)]
+
+
+def test_dead_letters_of_the_last_hour_by_reason(spark):
+    df = outcomes(spark, [(t, "dlq", r, None, None) for t, r in ((0, "decode_error"), (1800, "decode_error"), (3590, "missing_required"), (5400, None))])
+    got = {(r.eval_ts, r.reason): r.events for r in metrics.dlq_by_reason(metrics.fill_grid(metrics.bucketize(df))).collect()}
+    first = min(t for t, _ in got)
+    assert got[(first + 1800, "decode_error")] == 2 and got[(first + 3600, "decode_error")] == 1
+    assert got[(first + 3585, "missing_required")] == 1 and (first + 5400, "decode_error") not in got
+
+
+def test_two_reasons_below_the_limit_do_not_add_up(spark):
+    def firing(*reasons):
+        rows = [(i / 6, "dlq", r, None, None) for r in reasons for i in range(0, 720 * 6)] + [(0, "applied", None, None, 5)]
+        grid = metrics.fill_grid(metrics.bucketize(outcomes(spark, rows)))
+        lag = grid.select("bucket", F.lit(0).alias("consumer_lag"))
+        rule = [r for r in alerts.shipped_rules() if r.name == "InventoryDLQSpike"]
+        return alerts.alert_rules(alerts.signals(grid, lag, F.lit(0)), rule).filter("firing").count() > 0
+
+    assert not firing("decode_error", "missing_required")
+    assert firing("decode_error", "decode_error")
+
+
+@pytest.mark.parametrize("when", ["0002-01-01 00:00:00", "1970-01-01 00:00:00", "9999-01-01 00:00:00"])
+def test_a_far_commit_time_stays_in_the_grid(spark, when):
+    df = outcomes(spark, [(i, "applied", None, None, 5) for i in range(0, 120, 5)])
+    odd = F.when(F.second("log_ts") == 30, F.lit(when).cast("timestamp")).otherwise(F.col("log_ts"))
+    df = df.withColumn("commit_ts", odd)
+    seconds = F.floor(F.unix_millis("commit_ts") / 1000).cast("bigint")
+    out = alerts.backlog(df, seconds, metrics.log_seconds()).orderBy("bucket").collect()
+    assert len(out) == 8 and sum(r.outside for r in out) == 2 and out[-1].consumer_lag == 0
 
 
 def test_rolling_sums_cross_slices(spark, monkeypatch):
