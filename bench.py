@@ -17,9 +17,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from changeflow.functions.decode import decode  # noqa: E402
-from changeflow.operators import gates, ledger, reconcile, resolve  # noqa: E402
+from changeflow.operators import gates, ledger, reconcile, resolve, slo  # noqa: E402
 from changeflow.plans import fixtures as fx  # noqa: E402
 from changeflow.plans import queries as q  # noqa: E402
+from changeflow.streaming.pipeline import Pipeline, Settings  # noqa: E402
 from changeflow.session import local_session, scratch_path, use_utc  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -46,11 +47,22 @@ def main() -> None:
         outcomes = spark.read.parquet(f"{path}/outcomes")
         resolve.versioned_upsert(None, outcomes).write.mode("overwrite").parquet(f"{path}/state")
 
+    def micro_batch():
+        """One batch of a stream, from log text to audit, outcomes, marks and state of an empty root."""
+        pipeline = Pipeline(spark, Settings(scratch_path(spark, f"bench-stream-{next(runs)}")))
+        pipeline.process(pipeline.events(log.filter(F.col("offset") < 34_000)), 0)
+
+    def cold_report():
+        """Log text to the service-level report, with nothing staged."""
+        drain(slo.slo_report(resolve.event_outcomes(gates.gate(decode(log))), 0))
+
     def registered(name):
         return lambda: drain(q.registered()[name](spark, SF_DIR))
 
     work = {
         "pipeline_end_to_end": end_to_end,
+        "stream_micro_batch": micro_batch,
+        "cold_log_to_slo_report": cold_report,
         "decode_and_gate": lambda: drain(gates.gate(decode(log))),
         "event_outcomes": lambda: drain(resolve.event_outcomes(q.gated(spark, SF_DIR))),
         "versioned_upsert": lambda: drain(resolve.versioned_upsert(None, q.outcomes(spark, SF_DIR))),

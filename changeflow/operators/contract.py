@@ -121,6 +121,19 @@ def contract_types(df: DataFrame, contract: Contract, value: str = "value") -> D
     return parsed.withColumn("type_errors", F.array_compact(F.array(*found))).drop("_typed")
 
 
+def refuse_types(verdict: Column, type_errors: Column, contract: Contract) -> Column:
+    """Turn a verdict that isn't breaking into a breaking one where a leaf has another type than declared."""
+    return F.when(
+        (verdict["decision"] != model.BREAKING) & (F.size(type_errors) > 0),
+        F.struct(
+            F.lit(model.BREAKING).alias("decision"),
+            F.lit("FIELD_TYPE_MISMATCH").alias("reason"),
+            F.get(type_errors, F.lit(0)).alias("field"),
+            F.lit(contract.version).alias("contract"),
+        ),
+    ).otherwise(verdict)
+
+
 # --- fixed values: top-level keys of the two envelopes ------------------------------------
 KNOWN_KEYS = [
     "event_id", "event_time", "source", "op", "product_id", "warehouse_id", "before", "after", "schema_version",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow import model
 from changeflow.functions.decode import projection_defaults
-from changeflow.operators.contract import Contract, load_contract, schema_guard
+from changeflow.operators.contract import Contract, contract_types, load_contract, refuse_types, schema_guard, unknown_fields, warn_unknown
 
 
 def required_fields() -> Column:
@@ -69,20 +69,37 @@ def validate_constraints(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return counts.unpivot([], list(checks), "constraint_name", "violations")
 
 
-def gate(decoded: DataFrame, contract: Contract | None = None, ignore_tombstones: bool = False) -> DataFrame:
+def gate(
+    decoded: DataFrame,
+    contract: Contract | None = None,
+    ignore_tombstones: bool = False,
+    check_types: bool = False,
+    warn_unknown_fields: bool = False,
+) -> DataFrame:
     """Decoded events tagged with ``dlq_reason`` / ``dlq_detail`` (null = passes) and the guard's verdict.
 
     Order: decode, required fields, contract, projection. An event that the read
     model's constraints would refuse is a ``projection_error``: a property of
     the event, so it goes to the dead letters rather than stopping the stream.
+
+    Off by default: ``check_types`` makes a leaf of another type than the contract
+    declares breaking; ``warn_unknown_fields`` makes an otherwise compatible event
+    with an unknown top-level field conditional, if the contract lets such fields through.
     """
     contract = contract or load_contract()
     if ignore_tombstones:
         decoded = decoded.filter(F.coalesce(F.length("value"), F.lit(0)) > 0)
-    tagged = projection_defaults(decoded).select(
+    rows, judged = projection_defaults(decoded), schema_guard(contract)
+    if warn_unknown_fields:
+        rows = unknown_fields(rows)
+        judged = warn_unknown(judged, F.col("unknown_fields"), contract)
+    if check_types:
+        rows = contract_types(rows, contract)
+        judged = refuse_types(judged, F.col("type_errors"), contract)
+    tagged = rows.select(
         "*",
         F.when(F.col("decode_error").isNull(), required_fields()).alias("_missing"),
-        F.when(F.col("decode_error").isNull(), schema_guard(contract)).alias("_verdict"),
+        F.when(F.col("decode_error").isNull(), judged).alias("_verdict"),
     )
     verdict = F.col("_verdict")
     detail = F.concat_ws(":", verdict["reason"], verdict["field"])

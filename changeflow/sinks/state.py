@@ -32,12 +32,15 @@ class StateTable:
     def _versions(self, before: int | None) -> dict[int, int]:
         """bucket -> batch holding its content; at most ``buckets`` entries."""
         try:
-            commits = self.spark.read.schema("batch BIGINT, bucket INT").parquet(f"{self.root}/commits")
+            commits = self.spark.read.schema("batch BIGINT, bucket INT, buckets INT").parquet(f"{self.root}/commits")
         except AnalysisException:
             return {}
         if before is not None:
             commits = commits.filter(F.col("batch") < before)
-        rows = commits.groupBy("bucket").agg(F.max("batch").alias("batch")).collect()
+        rows = commits.groupBy("bucket").agg(F.max("batch").alias("batch"), F.min("buckets").alias("buckets")).collect()
+        # A key's bucket depends on their number, so a table keeps the one it was made with.
+        if other := {r["buckets"] for r in rows} - {self.buckets}:
+            raise ValueError(f"{self.root} has {other.pop()} buckets, not {self.buckets}")
         return {r["bucket"]: r["batch"] for r in rows}
 
     def touched(self, events: DataFrame) -> list[int]:
@@ -66,7 +69,9 @@ class StateTable:
         )
         # One row per touched bucket in one file: the file is the commit.
         commit = self.spark.range(1, numPartitions=1).select(
-            F.lit(batch_id).cast("bigint").alias("batch"), F.explode(F.array(*map(F.lit, sorted(touched)))).alias("bucket")
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            F.explode(F.array(*map(F.lit, sorted(touched)))).alias("bucket"),
+            F.lit(self.buckets).alias("buckets"),
         )
         commit.write.mode("append").parquet(f"{self.root}/commits")
 

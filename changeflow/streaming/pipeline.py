@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow import model
 from changeflow.model import KEY
 from changeflow.operators import blocks
-from changeflow.operators.contract import Contract
+from changeflow.operators.contract import Contract, load_contract
 from changeflow.operators.gates import dlq_envelope, gate
 from changeflow.operators.resolve import event_outcomes, mark_applied, versioned_upsert
 from changeflow.functions.decode import decode
@@ -36,6 +36,9 @@ class Settings:
     ttl_seconds: int = model.MARK_TTL_SECONDS
     delete_mode: str = "reference"
     ignore_tombstones: bool = False
+    check_types: bool = False
+    warn_unknown_fields: bool = False
+    apply_mapping: bool = False
     hot_rows: int = blocks.HOT_ROWS
 
 
@@ -53,7 +56,9 @@ class Pipeline:
     def events(self, log: DataFrame) -> DataFrame:
         """Decode and gates: stateless, so they are part of the streaming plan and planned once."""
         s = self.settings
-        return gate(decode(log), s.contract, s.ignore_tombstones)
+        contract = s.contract or load_contract()
+        decoded = decode(log, contract.mapping if s.apply_mapping else None)
+        return gate(decoded, contract, s.ignore_tombstones, s.check_types, s.warn_unknown_fields)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch of gated events; safe to repeat with the same id."""

@@ -144,3 +144,14 @@ def test_declared_types_and_unknown_fields(spark):
                        F.lit(None).cast("string").alias("field"), F.lit("v3").alias("contract"))
     out = unknown_fields(log).select(warn_unknown(verdict, F.col("unknown_fields"), load_contract()).alias("v"), "offset")
     assert [r.v.decision for r in out.orderBy("offset").collect()] == ["compatible", "conditional"]
+
+
+def test_switches_are_off_by_default_and_act_when_on(spark):
+    typed = Contract("v3", SIX.required_fields, types={"after.available_qty": "int"}, allow_unknown_optional=True)
+    big, extra = message("a", "P", "W", 1, qty=3_000_000_000), message("a", "P", "W", 1, colour="red")
+    assert gate_of(spark, big, contract=typed).dlq_reason == "projection_error"
+    e = gate_of(spark, big, contract=typed, check_types=True)
+    assert (e.dlq_reason, e.dlq_detail) == ("schema_breaking", "FIELD_TYPE_MISMATCH:after.available_qty")
+    assert gate_of(spark, extra, contract=typed).schema_decision == "compatible"
+    e = gate_of(spark, extra, contract=typed, warn_unknown_fields=True, check_types=True)
+    assert (e.dlq_reason, e.schema_decision, e.schema_field) == (None, "conditional", "colour")

@@ -126,6 +126,8 @@ def test_state_table(spark, tmp_path):
         rows = {r.product_id: r.row_version for r in table.read().collect()}
         assert len(rows) == 20 and rows["P3"] == 2 and rows["P4"] == 1
     assert {r.row_version for r in table.read(before=1).collect()} == {1}
+    with pytest.raises(ValueError):
+        StateTable(spark, str(tmp_path / "s"), buckets=8).read()
 
 
 def test_read_model_queries(spark):
