@@ -1,13 +1,16 @@
 """Exact top-k search: BM25 over an inverted index with block-max pruning, by shard.
 
 A shard is an inverted index of some thousand documents, built where they are
-read. Its postings are cut into blocks of document numbers, and the largest
-impact of each term in each block is kept. For a query the sums of those maxima
-bound every document of a block. As in block-max WAND a threshold, the k-th best
-score so far, decides which blocks can be passed over; here the blocks with the
-largest bounds are scored first, then all whose bound reaches the threshold, each
-time as one array operation. A block is left out only if none of its documents
-can be among the best, so the result is that of scoring everything.
+read. Its postings are cut into blocks of document numbers; the largest impact
+of each term, and of each term in each block, is kept. As in block-max WAND a
+floor, the k-th best score known so far, decides what is passed over: the terms
+whose bounds together stay below the floor can't lift a document over it alone,
+so only the other terms' postings are walked; what the passed-over terms can add
+is bounded first for all documents, then by the block maxima; documents that
+still may reach the floor get their whole score. Each step is one array
+operation. A document is left out only if it can't be among the best, so the
+result is that of scoring everything. The floor starts from one shard that every
+query is held against, and rises with each shard a task reads.
 
 Document frequencies, the number of documents and their mean length are taken
 over all shards before any is searched, so the scores of all shards are on one
@@ -33,6 +36,10 @@ SHARD_DOCS = 4096
 SHARD_POSTINGS = 4_000_000
 BLOCK_DOCS = 64
 QUERY_BLOCK = 4096
+QUERY_TASKS = 48
+#: Of the floor, what passed-over terms may add up to. With less, fewer documents are left to score; with more, fewer postings are walked.
+SHARE = 0.05
+NO_ID = -(1 << 63)
 
 _SHARD = "doc_ids array<bigint>, lengths array<int>, terms array<bigint>, counts array<int>, docs binary, tf binary"
 
@@ -99,21 +106,26 @@ def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 class Shard:
-    """A shard in memory, with impacts and block maxima."""
+    """A shard in memory, with impacts, and the largest of each term and of each term in each block."""
 
     def __init__(self, row: dict, mean: float, block: int = BLOCK_DOCS):
-        self.ids, lengths = row["doc_ids"], row["lengths"].astype(np.float64)
+        self.ids, lengths, self.block = row["doc_ids"], row["lengths"].astype(np.float64), block
         self.terms, self.doc = row["terms"], np.frombuffer(row["docs"], np.int32)
         tf = np.frombuffer(row["tf"], np.int32).astype(np.float64)
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(mean, 1e-9)))
-        in_block = self.doc // block
         term = np.repeat(np.arange(len(self.terms)), row["counts"])
+        self.start = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
+        self.term_max = np.maximum.reduceat(self.impact, self.start[:-1]) if len(term) else np.zeros(0)
+        in_block = self.doc // block
         new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])])) if len(term) else np.zeros(0, np.int64)
-        self.run_start = np.append(new, len(term))
         self.run_block = in_block[new]
         self.run_max = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.term_run = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
+        self.run_start = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
         self.blocks = -(-len(self.ids) // block)
+        by_doc = np.argsort(self.doc, kind="stable")  # the same postings by document
+        self.doc_term, self.doc_impact = term[by_doc], self.impact[by_doc]
+        self.doc_start = np.searchsorted(self.doc[by_doc], np.arange(len(self.ids) + 1))
+        self.weight = np.zeros(len(self.terms))
 
     @staticmethod
     def _expand(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,42 +134,47 @@ class Shard:
         of = np.repeat(np.arange(len(n)), n)
         return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + starts[of], of
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Document numbers and scores of at least the k best that reach ``floor``, of documents that share a term."""
+    def search(self, terms: np.ndarray, weights: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Document numbers and scores of all documents that share a term and reach ``floor``."""
         at = np.searchsorted(self.terms, terms)
         known = at < len(self.terms)
         known[known] = self.terms[at[known]] == terms[known]
         at, weights = at[known], weights[known]
-        runs, of = self._expand(self.term_run[at], self.term_run[at + 1])
-        weight, block = weights[of], self.run_block[runs]
-        bound = np.bincount(block, weight * self.run_max[runs], self.blocks) * (1 + 1e-9)
-        order = np.argsort(-bound, kind="stable")
-        docs, scores, done = [], [], 0
-        step = max(1, -(-2 * k // BLOCK_DOCS))
-        while done < len(order):
-            some = order[done : done + step]
-            some = some[(bound[some] >= floor) & (bound[some] > 0)]
-            if not len(some):
-                break
-            wanted = np.zeros(self.blocks, bool)
-            wanted[some] = True
-            chosen = wanted[block]
-            r = runs[chosen]
-            postings, of = self._expand(self.run_start[r], self.run_start[r + 1])
-            total = np.bincount(self.doc[postings], weight[chosen][of] * self.impact[postings], len(self.ids))
-            found = np.flatnonzero(total > 0)
-            docs.append(found)
-            scores.append(total[found])
-            done += step
-            step *= 4
-            best = np.concatenate(scores)
-            if len(best) >= k:
-                floor = max(floor, float(np.partition(best, len(best) - k)[len(best) - k]) * (1 - 1e-9))
-        if not docs:
-            return np.zeros(0, np.int64), np.zeros(0)
-        docs, scores = np.concatenate(docs), np.concatenate(scores)
+        bound = weights * self.term_max[at]
+        order = np.argsort(bound, kind="stable")
+        total = np.cumsum(bound[order])
+        slack = 1 + 1e-9
+        few = int(np.searchsorted(total, SHARE * floor / slack))  # terms that together stay below a share of the floor
+        rest, lead = order[:few], order[few:]
+        postings, of = self._expand(self.start[at[lead]], self.start[at[lead] + 1])
+        scores = np.bincount(self.doc[postings], weights[lead][of] * self.impact[postings], len(self.ids))
+        if not few:
+            found = np.flatnonzero((scores > 0) & (scores >= floor))
+            return found, scores[found]
+        found = np.flatnonzero((scores > 0) & ((scores + total[few - 1]) * slack >= floor))
+        if len(found) > BLOCK_DOCS:  # block maxima bound what the rest can add
+            runs, of = self._expand(self.run_start[at[rest]], self.run_start[at[rest] + 1])
+            more = np.bincount(self.run_block[runs], weights[rest][of] * self.run_max[runs], self.blocks)
+            found = found[(scores[found] + more[found // self.block]) * slack >= floor]
+        self.weight[at[rest]] = weights[rest]
+        own, of = self._expand(self.doc_start[found], self.doc_start[found + 1])
+        added = np.bincount(of, self.weight[self.doc_term[own]] * self.doc_impact[own], len(found))
+        self.weight[at[rest]] = 0
+        scores = scores[found] + added
         kept = scores >= floor
-        return docs[kept], scores[kept]
+        return found[kept], scores[kept]
+
+
+def _floor(scores: np.ndarray, k: int) -> float:
+    """Nothing below can be among the k best, rounding included."""
+    return max(0.0, float(np.partition(scores, len(scores) - k)[len(scores) - k]) - 2e-6) if len(scores) >= k else 0.0
+
+
+def _read_shard(batch: pa.RecordBatch, i: int, mean: float) -> Shard:
+    row = {n: batch.column(n)[i] for n in batch.schema.names}
+    ids = row["doc_ids"].values.fill_null(NO_ID)
+    arrays = {n: np.array(ids if n == "doc_ids" else v.values) for n, v in row.items() if n not in ("docs", "tf")}
+    return Shard(arrays | {n: row[n].as_py() for n in ("docs", "tf")}, mean)
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,22 +182,37 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
+def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> list:
+    """The queries of a block, with a floor each: their k-th best score in one shard, which is sent to all tasks."""
+    first = index.limit(1).toArrow()  # SHARD_DOCS documents
+    shared = index.sparkSession.sparkContext.broadcast(first.to_batches())
+
+    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = next((_read_shard(b, 0, mean) for b in shared.value if b.num_rows), None)
+        for batch in batches:
+            found = []
+            for terms, weights in zip(batch.column(1), batch.column(2)):
+                scores = shard.search(np.array(terms.values), np.array(weights.values), 0.0)[1] if shard else np.zeros(0)
+                found.append(_floor(scores, k))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["query_id", "terms", "weights", "floor"])
+
+    spread = queries.select("query_id", "terms", "weights").repartition(QUERY_TASKS)
+    return spread.mapInArrow(floors, "query_id long, terms array<bigint>, weights array<double>, floor double").collect()
+
+
 def _search_block(index: DataFrame, queries: list, mean: float, k: int) -> DataFrame:
     shared = index.sparkSession.sparkContext.broadcast(
-        [(r.query_id, np.array(r.terms, np.int64), np.array(r.weights, np.float64)) for r in queries]
+        [(r.query_id, np.array(r.terms, np.int64), np.array(r.weights, np.float64), r.floor) for r in queries]
     )  # QUERY_BLOCK queries
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in shared.value]
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i] for n in batch.schema.names}
-                row = {n: v.as_py() if n in ("docs", "tf") else np.array(v.values.fill_null(-(1 << 63)) if n == "doc_ids" else v.values) for n, v in row.items()}
-                shard = Shard(row, mean)
-                for q, (_, terms, weights) in enumerate(shared.value):
+                shard = _read_shard(batch, i, mean)
+                for q, (_, terms, weights, floor) in enumerate(shared.value):
                     ids, scores = best[q]
-                    floor = scores[-1] * (1 - 1e-9) if len(scores) >= k else 0.0
-                    docs, new = shard.search(terms, weights, k, floor)
+                    docs, new = shard.search(terms, weights, max(floor, _floor(scores, k)))
                     if len(docs):
                         new = np.round(new, 6)  # one value, however the sum was ordered
                         best[q] = _best(np.concatenate([ids, shard.ids[docs]]), np.concatenate([scores, new]), k)
@@ -216,8 +248,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
     ready = written(ready.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "bm25-weights")
     found = None
     for b in range(blocks):
-        some = ready.where(F.col("block") == b).orderBy("query_id").collect()
+        some = _with_floors(ready.where(F.col("block") == b), index, mean, k)
         part = written(_search_block(index, some, mean, k), "bm25-found")
         found = part if found is None else found.union(part)
-    null_id = F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id"))
+    null_id = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     return found.select("query_id", "rank", null_id.alias("doc_id"), "score")

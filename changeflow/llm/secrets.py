@@ -34,8 +34,12 @@ MAX_ROWS = 20_000
 NAMES = ("key", "token", "secret", "passwd", "password", "pwd", "auth", "credential", "bearer", "apikey")
 PLACES = ("test", "example", "sample", "doc", "readme", "fixture", "mock", "vendor")
 
-_RUN = re.compile(r"(?=[A-Za-z+/_.=@-]*[0-9])[A-Za-z0-9+/_.=@-]{8,}")
-_ASSIGNED = re.compile(rf"(?i)(?:{'|'.join(NAMES)})\w{{0,20}}[\"']?\s?(?:=>|:=|[:=])\s?[\"']?([^\s\"']{{6,}})")
+_TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=@-")
+_DIGIT = re.compile("[0-9]")
+_REST = re.compile("[A-Za-z0-9+/_.=@-]*")
+_SIGN = re.compile("=>|:=|[:=]")
+_NAMED = re.compile(rf"(?i)(?:{'|'.join(NAMES)})\w{{0,20}}[\"']?\s?\Z")
+_VALUE = re.compile(r"\s?[\"']?([^\s\"']{6,})")
 _WORD = re.compile(r"[^\W\d_]+")
 _KINDS = 4
 #: Where features() says whether a word before is a secret's name, and whether the value is assigned.
@@ -45,7 +49,18 @@ NAMED, ASSIGNED = 8 + _KINDS + _KINDS**2, 10 + _KINDS + _KINDS**2
 def candidates(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of the candidates of the whole text, in characters; overlapping ones are joined."""
     text = text or ""
-    spans = sorted([m.span() for m in _RUN.finditer(text)] + [m.span(1) for m in _ASSIGNED.finditer(text)])
+    spans, end = [], 0
+    for m in _DIGIT.finditer(text):  # digits are rare, so runs are found from them
+        if m.start() >= end:
+            start, end = m.start(), _REST.match(text, m.end()).end()
+            while start and text[start - 1] in _TOKEN:
+                start -= 1
+            if end - start >= 8:
+                spans.append((start, end))
+    for m in _SIGN.finditer(text):
+        if _NAMED.search(text, max(0, m.start() - 48), m.start()) and (v := _VALUE.match(text, m.end())):
+            spans.append(v.span(1))
+    spans.sort()
     out: list[tuple[int, int]] = []
     for a, b in spans:
         if out and a < out[-1][1]:
