@@ -17,8 +17,19 @@ ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
-def importable(spark: SparkSession) -> None:
-    """Python workers on this machine find this package wherever the driver was started. A cluster gets it with --py-files."""
+#: Documents may be long: a batch between the JVM and a Python worker holds so many rows and bytes at most, not Spark's 10,000 and 64 MB.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators with Python in their tasks.
+
+    Small batches keep workers and the JVM's buffers small. Workers on this
+    machine find this package wherever the driver was started; a cluster gets it
+    with --py-files.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -26,7 +37,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -29,6 +29,7 @@ MAX_LANGUAGES = 2000
 UNKNOWN = "und"
 _SLICE = 1 << 18
 _SPACE = 32
+#: N-grams a task holds before it sums and emits them.
 _FLUSH = 400_000
 
 
@@ -123,7 +124,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if len(codes):
                 held.setdefault(lang.as_py(), []).append((codes, counts))
                 size += len(codes)
-            if size > _FLUSH * 10:
+            if size > _FLUSH:
                 yield _emit(held)
                 held, size = {}, 0
     if held:
