@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import decontaminate, languages, mixture, similar, token_planes
-from changeflow.llm.common import importable, table, written
+from changeflow.llm.common import prepare, table, written
 
 #: A text whose n-grams lie further from every language's profile than this is none of them.
 LEAST_LANGUAGE_SCORE = 0.2
@@ -19,7 +19,7 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay; those without a letter or near no profile go."""
-    importable(spark)
+    prepare(spark)
     judged = languages.identify(docs, languages.learn(docs), lang_pred="judged_lang", score="judged_score")
     known = (F.col("judged_lang") != languages.UNKNOWN) & (F.col("judged_score") >= LEAST_LANGUAGE_SCORE)
     return judged.where(known).select(docs.columns)
@@ -27,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links join, that with the smallest doc_id stays."""
-    importable(spark)
+    prepare(spark)
     return similar.keep_one(docs)
 
 
@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as planes of token ids, in ascending doc_id order; per document what is read back."""
-    importable(spark)
+    prepare(spark)
     return token_planes.read_digests(written(token_planes.encode(docs), "token-planes"))
 
 
