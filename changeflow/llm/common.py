@@ -36,6 +36,17 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps in a worker process between its tasks; another operator's task there frees it."""
+    for other, held in _caches.items():
+        if other != owner:
+            held.clear()
+    return _caches.setdefault(owner, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.codepoints import LOWER, UPPER, classes, points
-from changeflow.llm.common import col, free
+from changeflow.llm.common import col, free, worker_cache
 
 PROFILE = 400
 MAX_LANGUAGES = 2000
@@ -116,6 +116,7 @@ def _emit(held: dict[str, list]) -> pa.RecordBatch:
 
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language, summed within the task as far as they fit."""
+    worker_cache("languages")
     held: dict[str, list] = {}
     size = 0
     for batch in batches:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import col, written
+from changeflow.llm.common import col, worker_cache, written
 from changeflow.llm.components import roots
 
 SHINGLE_WORDS = 3
@@ -146,6 +146,7 @@ def _index(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, i
     p, q = threshold
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("similar")
         bands, seen = Bands(p, q), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

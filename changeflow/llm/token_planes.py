@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import col
+from changeflow.llm.common import col, worker_cache
 
 MAGIC = b"IDPLANE1"
 END_ID = 0
@@ -193,14 +193,12 @@ class Encoder:
         return [first, *(p if p[0] == "\n" else " " + p for p in rest)]
 
 
-_encoders: dict[str | None, Encoder] = {}
-
-
 def _encoder(vocabulary: str | None) -> Encoder:
     """One per worker process; tasks that reuse the process reuse it."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+    held = worker_cache("encoder")
+    if vocabulary not in held:
+        held[vocabulary] = Encoder(vocabulary)
+    return held[vocabulary]
 
 
 # --- tables ------------------------------------------------------------------------------------
