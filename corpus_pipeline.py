@@ -16,6 +16,9 @@ from changeflow.llm.common import prepare, table, written
 #: A text whose n-grams lie further from every language's profile than this is none of them.
 LEAST_LANGUAGE_SCORE = 0.2
 
+#: Near copies share four fifths of their five-word shingles; op6's query has bounds of its own.
+NEAR_WORDS, NEAR_THRESHOLD = 5, (80, 100)
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay; those without a letter or near no profile go."""
@@ -28,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links join, that with the smallest doc_id stays."""
     prepare(spark)
-    return similar.keep_one(docs)
+    return similar.keep_one(docs, n=NEAR_WORDS, threshold=NEAR_THRESHOLD)
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,3 +36,31 @@ def test_stages_on_odd_and_empty_tables(spark, small_dir, odd_docs, no_docs):
         for name, stage in P.STAGES:
             docs = P.written(stage(spark, docs, small_dir), name)
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_near_copies_go_at_five_words_and_four_fifths(spark, small_dir, documents):
+    words = [f"w{i}" for i in range(100)]
+    near, far = list(words), list(words)
+    near[30], near[60] = "a", "b"  # 5-word Jaccard 86/106, 3-word 92/104
+    for i in (20, 40, 60):
+        far[i] = f"c{i}"  # 81/111
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    first = max(d for d, _ in rows) + 1
+    rows += [(first + i, " ".join(w)) for i, w in enumerate((words, near, far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in dict(P.STAGES)["ngram_jaccard_join"](spark, docs, small_dir).collect()}
+    assert {first, first + 2} <= kept and first + 1 not in kept
+
+    sets = {}
+    for d, text in rows:
+        w = text.lower().split()
+        sets[d] = {tuple(w[i : i + min(5, len(w))]) for i in range(max(len(w) - 4, min(len(w), 1)))}
+    component = {d: {d} for d, _ in rows}
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            if sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                component[a] |= component[b]
+                for d in component[a]:
+                    component[d] = component[a]
+    assert kept == {d for d in ids if d == min(component[d])}
