@@ -202,14 +202,14 @@ def _burn_sql() -> str:
     return f"WITH {_SERIES}, w AS (SELECT bucket, {_windowed(windows)} FROM sr) {' UNION ALL '.join(arms)}"
 
 
-def _alert_sql() -> str:
+def _alert_sql(slow: str = "7.7", dlq: str = "0.06", warnings: str = "0.004") -> str:
     rules = [
-        ("InventorySyncLatencySLOBurnFast", "page", 300, "q5 > 7.7 AND q60 > 7.7"),
-        ("InventorySyncLatencySLOBurnSlow", "ticket", 1800, "q360 > 7.7"),
+        ("InventorySyncLatencySLOBurnFast", "page", 300, f"q5 > {slow} AND q60 > {slow}"),
+        ("InventorySyncLatencySLOBurnSlow", "ticket", 1800, f"q360 > {slow}"),
         ("InventoryConsumerLagHigh", "page", 600, "lag > 0"),
         ("InventoryEventsThroughputZero", "page", 300, "applied5 = 0"),
-        ("InventoryDLQSpike", "page", 300, " OR ".join(f"{r}5 / CAST(300 AS DOUBLE) > CAST(0.06 AS DOUBLE)" for r in _REASONS)),
-        ("InventorySchemaWarningRising", "ticket", 900, "warn15 / CAST(900 AS DOUBLE) > CAST(0.004 AS DOUBLE)"),
+        ("InventoryDLQSpike", "page", 300, " OR ".join(f"{r}5 / CAST(300 AS DOUBLE) > CAST({dlq} AS DOUBLE)" for r in _REASONS)),
+        ("InventorySchemaWarningRising", "ticket", 900, f"warn15 / CAST(900 AS DOUBLE) > CAST({warnings} AS DOUBLE)"),
         ("InventoryReconciliationMismatchHigh", "page", 600, "gauge > 100"),
     ]
     arms = " UNION ALL ".join(
@@ -274,7 +274,24 @@ _LAG = f"""lag AS (SELECT part, max(off) AS end_offset, min(off) AS first_offset
 _TOPIC = "'cdc.inventory.warehouse'"
 
 
+#: Metric queries that are registered a second time, on the log's own seconds.
+_ON_LOG_SECONDS = [
+    "m4_event_rate", "m5_dlq_by_reason", "m6_schema_warning_count", "m8_success_rate", "m11_burn_rate", "m12_alert_rules",
+    "m13_threshold_band",
+]
+
+
+def _log_seconds(sql: str) -> str:
+    return sql.replace("(log_ms // 60000)", "(log_ms // 1000)").replace("(commit_ms // 60000)", "(commit_ms // 1000)")
+
+
 def oracles() -> dict[str, str]:
+    found = _on_test_clock()
+    real = {n: found[n] for n in _ON_LOG_SECONDS} | {"m12_alert_rules": _alert_sql("3", "0.003", "0.001")}
+    return found | {f"{n}_log_seconds": _log_seconds(sql) for n, sql in real.items()}
+
+
+def _on_test_clock() -> dict[str, str]:
     present = {
         "event_id": "true", "op": "true", "product_id": "pid <> ''", "warehouse_id": "true", "schema_version": "true",
         "event_time": "true", "after.available_qty": "op <> 'd'", "after.row_version": "op <> 'd' AND ver > 0",

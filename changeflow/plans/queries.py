@@ -814,6 +814,70 @@ def m14_severity_triage(spark, sf_dir):
     return sums.select((F.col("bucket") + metrics.STEP).alias("eval_ts"), level.alias("severity"))
 
 
+# --- metrics on the log's own seconds: a 15 s step is 15 s, a hold of 5 m 5 m -------------------------
+
+
+def log_series_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(spark, "log-grid", sf_dir, lambda: metrics.fill_grid(metrics.bucketize(outcomes(spark, sf_dir))))
+
+
+def log_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    commit = F.floor(F.unix_millis("commit_ts") / F.lit(1000)).cast("bigint")
+    return alerts.backlog(outcomes(spark, sf_dir), commit, metrics.log_seconds())
+
+
+# The test log has few events a minute; rates in events per second, so that every rule has steps on both sides.
+LOG_LIMITS = alerts.Thresholds(p95_seconds=3.0, lag=0, dlq_per_second=0.003, warnings_per_second=0.001, mismatches=100)
+
+
+@query
+def m4_event_rate_log_seconds(spark, sf_dir):
+    return metrics.event_rate(log_series_grid(spark, sf_dir))
+
+
+@query
+def m5_dlq_by_reason_log_seconds(spark, sf_dir):
+    return metrics.dlq_by_reason(log_series_grid(spark, sf_dir))
+
+
+@query
+def m6_schema_warning_count_log_seconds(spark, sf_dir):
+    return metrics.schema_warning_count(log_series_grid(spark, sf_dir))
+
+
+@query
+def m8_success_rate_log_seconds(spark, sf_dir):
+    return metrics.success_rate(log_series_grid(spark, sf_dir))
+
+
+@query
+def m11_burn_rate_log_seconds(spark, sf_dir):
+    return slo.burn_rate(log_series_grid(spark, sf_dir))
+
+
+def alert_rules_on_log(spark: SparkSession, sf_dir: str, limits: alerts.Thresholds = LOG_LIMITS) -> DataFrame:
+    rows = alerts.signals(log_series_grid(spark, sf_dir), log_backlog(spark, sf_dir), F.lit(_gauge(spark, sf_dir)))
+    return alerts.alert_rules(rows, alerts.shipped_rules(limits))
+
+
+@query
+def m12_alert_rules_log_seconds(spark, sf_dir):
+    return alert_rules_on_log(spark, sf_dir)
+
+
+@query
+def m13_threshold_band_log_seconds(spark, sf_dir):
+    grid = metrics.rolling(
+        log_series_grid(spark, sf_dir), metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300})
+    )
+    p95 = alerts.p95("5m")
+    return grid.select(
+        (F.col("bucket") + metrics.STEP).alias("eval_ts"),
+        metrics.threshold_band(p95, 2, 3).alias("latency_band"),
+        metrics.threshold_band(p95, 7.0, 7.8).alias("tight_band"),
+    )
+
+
 @query
 def m15_bench_summary(spark, sf_dir):
     return metrics.bench_summary(_bench_runs(spark, sf_dir))

@@ -165,3 +165,15 @@ def test_severity(spark):
     assert level(schema_warnings=1) == "SEV-3" and level(burn=3.5) == "SEV-3" and level(burn=None) is None
     assert level(dlq_last_5m=51, burn=9.0) == "SEV-2" and level(dlq_last_5m=50) is None
     assert level(halted=True, lag_high=True) == "SEV-1"
+
+
+def test_registered_metrics_on_the_log_s_own_clock(spark, small_dir):
+    """A step of 15 s is 15 s of the log, so a month has sixty times the steps of the compressed queries."""
+    from changeflow.plans import queries as Q
+
+    found = Q.registered()
+    seconds = Q.outcomes(spark, small_dir).select(F.min(metrics.log_seconds()), F.max(metrics.log_seconds())).first()
+    lo, hi = (v // 15 * 15 for v in seconds)
+    for name in ("m4_event_rate_log_seconds", "m13_threshold_band_log_seconds"):
+        steps = found[name](spark, small_dir).agg(F.count("*"), F.min("eval_ts"), F.max("eval_ts")).first()
+        assert tuple(steps) == ((hi - lo) // 15 + 1, lo + 15, hi + 15)
