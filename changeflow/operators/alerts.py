@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,6 +95,36 @@ def alert_rules(signal_rows: DataFrame, rules: Sequence[Rule] | None = None, ste
     return counted.select((F.col("bucket") + step).alias("eval_ts"), F.inline(F.array(*rows)))
 
 
+def held(rows: DataFrame, conditions: Mapping[str, tuple[Column, int]], step: int = M.STEP) -> DataFrame:
+    """Add a flag per (condition, hold in seconds): true at every step of the hold time and now."""
+    flags = {f"_is_{n}": F.coalesce(c, F.lit(False)).cast("int") for n, (c, _) in conditions.items()}
+    sums = {f"_held_{n}": (f"_is_{n}", hold + step) for n, (_, hold) in conditions.items()}
+    counted = M.rolling(rows.select("*", *(c.alias(n) for n, c in flags.items())), sums, step)
+    return counted.select(
+        *rows.columns, *((F.col(f"_held_{n}") == hold // step + 1).alias(n) for n, (_, hold) in conditions.items())
+    )
+
+
+def latest_run(grid: DataFrame, runs: DataFrame, step: int = M.STEP) -> DataFrame:
+    """(bucket, mismatches, critical_mismatches) of the last run (``reconcile.run_summary``) at or before
+    each step's evaluation time. Steps before the first run have no row.
+
+    Days of a run are expanded first, and steps within each day, as in ``fill_grid``.
+    """
+    span = grid.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).filter("lo IS NOT NULL")
+    at = F.unix_millis("run_at") / F.lit(1000)
+    first = ((F.ceil(at / step) - 1) * step).cast("bigint")  # evaluated at the end of the step
+    in_order = Window.orderBy("run_at")  # one row a run
+    values = ["mismatches", "critical_mismatches"]
+    runs = runs.select(*values, first.alias("from"), (F.lead(first).over(in_order) - step).alias("to"))
+    runs = runs.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one")  # one row
+    day = F.lit(M.SLICE_SECONDS // step * step).cast("bigint")
+    runs = runs.select(*values, F.greatest("from", "lo").alias("from"), F.least(F.coalesce("to", "hi"), "hi").alias("to"))
+    days = runs.filter("`from` <= `to`").select(*values, "to", F.explode(F.sequence("from", "to", day)).alias("from"))
+    last = F.least(F.col("to"), F.col("from") + day - step)
+    return days.select(F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias("bucket"), *values)
+
+
 def backlog(outcomes: DataFrame, commit_seconds: Column, log_seconds: Column, step: int = M.STEP) -> DataFrame:
     """Events committed at the source but not yet logged, at the end of every step: the lag over time.
 

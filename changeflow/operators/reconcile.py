@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,6 +102,17 @@ def reconcile_run(warehouse: DataFrame, website: DataFrame, run_at: Column) -> D
     return mismatch_by_reason(mismatch_view(warehouse, website)).select(run_at.alias("run_at"), "reason", "mismatches")
 
 
+def run_summary(mismatches: DataFrame, run_at: Column, critical: Sequence[str] = ()) -> DataFrame:
+    """One run as one row ``(run_at, mismatches, critical_mismatches)``, of zeros where nothing differs.
+
+    ``critical`` lists the products whose mismatches count as critical.
+    """
+    is_critical = F.col("product_id").isin(list(critical))
+    return mismatches.agg(
+        F.count(F.lit(1)).alias("mismatches"), F.count_if(is_critical).alias("critical_mismatches")
+    ).select(run_at.alias("run_at"), "mismatches", "critical_mismatches")
+
+
 def dlq_investigate(dead: DataFrame, per_reason: int = 5) -> DataFrame:
     """The first dead letters of every reason, to look at by hand.
 

@@ -274,6 +274,11 @@ _LAG = f"""lag AS (SELECT part, max(off) AS end_offset, min(off) AS first_offset
 _TOPIC = "'cdc.inventory.warehouse'"
 
 
+_TRIAGE = {
+    "applied10": ("applied", 600), "dlq5": ("dlq", 300), "warn15": ("warnings", 900),
+    "received2h": ("received", 7200), "applied2h": ("applied", 7200),
+}
+
 #: Metric queries that are registered a second time, on the log's own seconds.
 _ON_LOG_SECONDS = [
     "m4_event_rate", "m5_dlq_by_reason", "m6_schema_warning_count", "m8_success_rate", "m11_burn_rate", "m12_alert_rules",
@@ -281,13 +286,48 @@ _ON_LOG_SECONDS = [
 ]
 
 
+_RUNS = """
+runs AS (SELECT epoch_ms(TIMESTAMP '2024-01-08 10:00:07') // 1000 AS ran, count(*) AS gauge,
+           count(*) FILTER (product_id IN ('SKU-1', 'SKU-3')) AS critical FROM mm
+         UNION ALL SELECT epoch_ms(TIMESTAMP '2024-01-15 10:00:00') // 1000, count(*),
+           count(*) FILTER (product_id IN ('SKU-1', 'SKU-3')) FROM mm WHERE reason <> 'missing_in_website'
+         UNION ALL SELECT epoch_ms(TIMESTAMP '2024-01-22 10:00:00') // 1000, 0, 0)"""
+_BACKLOG = """
+moves AS (SELECT (commit_ms // 60000) // 15 * 15 AS bucket, 1 AS d FROM (SELECT CASE WHEN broken THEN log_ms ELSE commit_ms END AS commit_ms FROM oc)
+          UNION ALL SELECT (log_ms // 60000) // 15 * 15, -1 FROM oc UNION ALL SELECT bucket, 0 FROM sr),
+backlog AS (SELECT bucket, CAST(sum(sum(d)) OVER (ORDER BY bucket) AS BIGINT) AS lag FROM moves GROUP BY bucket)"""
+
+
+def _alert_history_sql() -> str:
+    """The alert rules with the gauge as the last run before each step left it."""
+    sql = _alert_sql("3", "0.003", "0.001").replace("gauge AS (SELECT count(*) AS gauge FROM mm)", _RUNS.strip())
+    sql = sql.replace("ON w.bucket = backlog.bucket, gauge)", "ON w.bucket = backlog.bucket ASOF LEFT JOIN runs ON w.bucket + 15 >= runs.ran)")
+    return sql.replace("gauge > 100", "gauge > 5")
+
+
+def _triage_sql(triage: dict[str, tuple[str, int]]) -> str:
+    high = "sum(CASE WHEN {} THEN 1 ELSE 0 END) OVER (ORDER BY bucket RANGE BETWEEN 600 PRECEDING AND CURRENT ROW) = 41"
+    return f"""WITH {_SERIES}, {_STOCK}, {_RUNS}, {_BACKLOG},
+w AS (SELECT bucket, {_windowed(triage)}, {_latency_windows("a", 300)} FROM sr),
+sig AS (SELECT w.*, {_quantile("0.95", "a")} AS p95, lag, critical FROM w LEFT JOIN backlog ON w.bucket = backlog.bucket
+        ASOF LEFT JOIN runs ON w.bucket + 15 >= runs.ran),
+hd AS (SELECT *, {high.format("p95 > 3")} AS slow, {high.format("lag > 0")} AS lagging FROM sig)
+SELECT bucket + 15 AS eval_ts, CASE WHEN applied10 = 0 OR coalesce(critical > 0, false) THEN 'SEV-1'
+  WHEN slow OR dlq5 > 1 OR lagging THEN 'SEV-2'
+  WHEN warn15 > 0 OR (CASE WHEN received2h > 0 THEN (received2h - applied2h) / received2h END) / {_BUDGET} > 3
+  THEN 'SEV-3' END AS severity FROM hd"""
+
+
 def _log_seconds(sql: str) -> str:
     return sql.replace("(log_ms // 60000)", "(log_ms // 1000)").replace("(commit_ms // 60000)", "(commit_ms // 1000)")
 
 
 def oracles() -> dict[str, str]:
     found = _on_test_clock()
-    real = {n: found[n] for n in _ON_LOG_SECONDS} | {"m12_alert_rules": _alert_sql("3", "0.003", "0.001")}
+    real = {n: found[n] for n in _ON_LOG_SECONDS} | {
+        "m12_alert_rules": _alert_history_sql(),
+        "m14_severity_triage": _triage_sql(_TRIAGE),
+    }
     return found | {f"{n}_log_seconds": _log_seconds(sql) for n, sql in real.items()}
 
 
@@ -297,10 +337,7 @@ def _on_test_clock() -> dict[str, str]:
         "event_time": "true", "after.available_qty": "op <> 'd'", "after.row_version": "op <> 'd' AND ver > 0",
         "after.colour": "false",
     }
-    triage = {
-        "applied10": ("applied", 600), "dlq5": ("dlq", 300), "warn15": ("warnings", 900),
-        "received2h": ("received", 7200), "applied2h": ("applied", 7200),
-    }
+    triage = _TRIAGE
     ledger = (
         f"WITH RECURSIVE {_LEDGER} SELECT product_id, n, delta, CAST(on_hand AS BIGINT) AS on_hand, i AS row_version FROM led"
     )

@@ -827,7 +827,7 @@ def log_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The test log has few events a minute; rates in events per second, so that every rule has steps on both sides.
-LOG_LIMITS = alerts.Thresholds(p95_seconds=3.0, lag=0, dlq_per_second=0.003, warnings_per_second=0.001, mismatches=100)
+LOG_LIMITS = alerts.Thresholds(p95_seconds=3.0, lag=0, dlq_per_second=0.003, warnings_per_second=0.001, mismatches=5)
 
 
 @query
@@ -855,8 +855,25 @@ def m11_burn_rate_log_seconds(spark, sf_dir):
     return slo.burn_rate(log_series_grid(spark, sf_dir))
 
 
+CRITICAL_SKUS = ["SKU-1", "SKU-3"]
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs within the log: at first all mismatches, then without the missing rows, seeded meanwhile, then none."""
+    wrong = stage(spark, "wrong", sf_dir, lambda: mismatches(spark, sf_dir).select("product_id", "reason"))
+    runs = {
+        "2024-01-08 10:00:07": wrong,
+        "2024-01-15 10:00:00": wrong.filter(F.col("reason") != reconcile.MISSING_IN_WEBSITE),
+        "2024-01-22 10:00:00": wrong.filter("false"),
+    }
+    rows = [reconcile.run_summary(df, F.lit(at).cast("timestamp"), CRITICAL_SKUS) for at, df in runs.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def alert_rules_on_log(spark: SparkSession, sf_dir: str, limits: alerts.Thresholds = LOG_LIMITS) -> DataFrame:
-    rows = alerts.signals(log_series_grid(spark, sf_dir), log_backlog(spark, sf_dir), F.lit(_gauge(spark, sf_dir)))
+    grid = log_series_grid(spark, sf_dir)
+    gauges = log_backlog(spark, sf_dir).join(alerts.latest_run(grid, run_history(spark, sf_dir)), "bucket", "left")
+    rows = alerts.signals(grid, gauges, F.col("mismatches"))
     return alerts.alert_rules(rows, alerts.shipped_rules(limits))
 
 
@@ -878,6 +895,49 @@ def m13_threshold_band_log_seconds(spark, sf_dir):
     )
 
 
+@query
+def m14_severity_triage_log_seconds(spark, sf_dir):
+    return severity_on_log(spark, sf_dir)
+
+
+def severity_on_log(
+    spark: SparkSession, sf_dir: str, limits: alerts.Thresholds = LOG_LIMITS, dlq_limit: int = 1, hold: int = 600
+) -> DataFrame:
+    grid = log_series_grid(spark, sf_dir)
+    sums = metrics.rolling(
+        grid,
+        {
+            "applied_10m": (model.APPLIED, 600),
+            "dlq_5m": (model.DLQ, 300),
+            "warnings_15m": ("warnings", 900),
+            "received_2h": (model.RECEIVED, 7200),
+            "applied_2h": (model.APPLIED, 7200),
+            **metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300}),
+        },
+    )
+    sums = sums.join(log_backlog(spark, sf_dir), "bucket", "left")
+    sums = sums.join(alerts.latest_run(grid, run_history(spark, sf_dir)), "bucket", "left")
+    rows = alerts.held(
+        sums,
+        {
+            "latency_high": (alerts.p95("5m") > limits.p95_seconds, hold),
+            "lag_high": (F.col("consumer_lag") > limits.lag, hold),
+        },
+    )
+    burn = F.try_divide(F.col("received_2h") - F.col("applied_2h"), F.col("received_2h")) / F.lit(1.0 - slo.SUCCESS_TARGET)
+    level = slo.severity_triage(
+        halted=F.col("applied_10m") == 0,
+        critical_mismatch=F.col("critical_mismatches") > 0,
+        latency_high=F.col("latency_high"),
+        dlq_last_5m=F.col("dlq_5m"),
+        lag_high=F.col("lag_high"),
+        schema_warnings=F.col("warnings_15m"),
+        burn=burn,
+        dlq_limit=dlq_limit,
+    )
+    return rows.select((F.col("bucket") + metrics.STEP).alias("eval_ts"), level.alias("severity"))
+
+
 @query
 def m15_bench_summary(spark, sf_dir):
     return metrics.bench_summary(_bench_runs(spark, sf_dir))

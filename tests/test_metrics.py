@@ -4,7 +4,7 @@ import pytest
 from helpers import at
 from pyspark.sql import functions as F
 
-from changeflow.operators import alerts, metrics, slo
+from changeflow.operators import alerts, metrics, reconcile, slo
 
 
 def outcomes(spark, rows):
@@ -177,3 +177,24 @@ def test_registered_metrics_on_the_log_s_own_clock(spark, small_dir):
     for name in ("m4_event_rate_log_seconds", "m13_threshold_band_log_seconds"):
         steps = found[name](spark, small_dir).agg(F.count("*"), F.min("eval_ts"), F.max("eval_ts")).first()
         assert tuple(steps) == ((hi - lo) // 15 + 1, lo + 15, hi + 15)
+
+
+def test_gauge_of_the_last_run_and_holds(spark):
+    grid = spark.createDataFrame([(i * 15,) for i in range(60)], "bucket bigint")
+    base = 1704067200
+    stamps = [(at(s * 1000), n, n // 2) for s, n in ((70, 4), (75, 6), (300, 0))]
+    runs = spark.createDataFrame(stamps, "run_at timestamp, mismatches bigint, critical_mismatches bigint")
+    grid = grid.select((F.col("bucket") + base).alias("bucket"))
+    got = {r.bucket - base: (r.mismatches, r.critical_mismatches) for r in alerts.latest_run(grid, runs).collect()}
+    want = {b: (6, 3) if b + 15 < 300 else (0, 0) for b in range(60, 900, 15)}
+    assert got == want
+    rows = grid.select("bucket", ((F.col("bucket") - base) % 700 != 0).alias("x"))
+    flags = alerts.held(rows, {"high": (F.col("x"), 600)}).orderBy("bucket").collect()
+    assert [r.bucket - base for r in flags if r.high] == list(range(615, 900, 15))
+
+
+def test_run_summary_counts_critical_products(spark):
+    wrong = spark.createDataFrame([("a",), ("a",), ("b",)], "product_id string")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    assert tuple(reconcile.run_summary(wrong, at, ["a"]).first())[1:] == (3, 2)
+    assert tuple(reconcile.run_summary(wrong.limit(0), at, ["a"]).first())[1:] == (0, 0)
