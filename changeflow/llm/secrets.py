@@ -34,6 +34,14 @@ MAX_ROWS = 20_000
 NAMES = ("key", "token", "secret", "passwd", "password", "pwd", "auth", "credential", "bearer", "apikey")
 PLACES = ("test", "example", "sample", "doc", "readme", "fixture", "mock", "vendor")
 
+#: Published formats of credentials (cloud and code-host keys, chat and payment tokens, JWTs, PEM bodies), and e-mail addresses.
+FORMATS = (
+    r"(?<![A-Za-z0-9])(?:A(?:KIA|SIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{40}|glpat-[A-Za-z0-9_-]{20}"
+    r"|xox[abprs]-[A-Za-z0-9-]{20}|[rs]k_live_[A-Za-z0-9]{16}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8}"
+    r"|MI[IGH][A-Za-z0-9+/]{45})"
+)
+ADDRESS = r"^[A-Za-z0-9+_.=-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+\.?$"
+
 _TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=@-")
 _DIGIT = re.compile("[0-9]")
 _REST = re.compile("[A-Za-z0-9+/_.=@-]*")
@@ -133,12 +141,18 @@ def find(docs: DataFrame, words: list[str], key: str = "doc_id", text: str = "te
 def learn(findings: DataFrame, label: str = "label", max_rows: int = MAX_ROWS, trees: int = 20, depth: int = 6, seed: int = 5) -> RandomForestClassificationModel | None:
     """A forest over (features, label). None without findings of both labels.
 
-    At most ``max_rows`` are used, picked by hash; null labels are left out.
+    At most ``max_rows`` are used, picked by hash within each label: a label has
+    half of them, or all its findings, and what the other leaves. Null labels are left out.
     """
-    some = findings.where(col(label).isNotNull()).orderBy(F.xxhash64("doc_id", "start", "value"), "doc_id", "start").limit(max_rows)
-    some = written(some.select("features", col(label).cast("double").alias("label")), "secret-findings")
-    if some.select("label").distinct().count() < 2:
+    order = [F.xxhash64("doc_id", "start", "value"), F.col("doc_id"), F.col("start")]
+    rows = findings.select("doc_id", "start", "value", "features", col(label).cast("double").alias("label"))
+    picked = [written(rows.where(of).orderBy(*order).limit(max_rows), "secret-findings") for of in (F.col("label") > 0, F.col("label") <= 0)]
+    n = [df.count() for df in picked]
+    if not all(n):
         return None
+    share = [max(max_rows - n[1], max_rows // 2), max(max_rows - n[0], max_rows - max_rows // 2)]
+    some = [df.orderBy(*order).limit(k).select("features", "label") for df, k in zip(picked, share)]
+    some = written(some[0].unionByName(some[1]), "secret-sample")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="x", labelCol="label")
     return forest.fit(some.select(array_to_vector("features").alias("x"), "label"))
 
@@ -153,7 +167,20 @@ def judge(findings: DataFrame, model: RandomForestClassificationModel | None) ->
 
 
 def rule_label() -> Column:
-    """A label for findings nobody has looked at: a long value with letters and digits in it that is assigned to a secret's name."""
-    named, assigned = F.col("features")[NAMED], F.col("features")[ASSIGNED]
+    """A label for findings nobody has looked at; null where the rule can't tell.
+
+    Secrets are values in a known token format and long values with letters and
+    digits in them that are assigned to a secret's name. Not secrets are e-mail
+    addresses, and, away from such a name, values of one kind or too short for a
+    token. A long mixed value without a name may be either.
+    """
+    near = F.col("features")[NAMED] == 1
+    assigned = near & (F.col("features")[ASSIGNED] == 1)
     mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-    return (named + assigned == 2) & mixed & (F.col("length") >= 16)
+    long = F.col("length") >= 16
+    return (
+        F.when(F.col("value").rlike(FORMATS), F.lit(True))
+        .when(F.col("value").rlike(ADDRESS), F.lit(False))
+        .when(assigned & mixed & long, F.lit(True))
+        .when(~near & ~(mixed & long), F.lit(False))
+    )
