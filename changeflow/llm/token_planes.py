@@ -122,9 +122,11 @@ class Encoder:
     """A byte-level BPE tokenizer that encodes each distinct piece of text once while its cache has room.
 
     A text is cut only where the tokenizer cuts it anyway, so the ids are those of the whole text.
+    Where an added token's string stands in a text, the library gives that token's id, and the text
+    is encoded whole; with ``plain_specials`` the strings of special tokens are ordinary text.
     """
 
-    def __init__(self, vocabulary: str | None = None):
+    def __init__(self, vocabulary: str | None = None, plain_specials: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
@@ -135,7 +137,9 @@ class Encoder:
 
             vocabulary = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (plain_specials and t.special)]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         size = self.tokenizer.get_vocab_size()
         #: By id, whether the token begins with a space, which this vocabulary writes as U+0120.
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
@@ -144,12 +148,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.cut(t) for t in texts]
+        whole = {i for i, t in enumerate(texts) if self.added and self.added.search(t)}
+        cut = [[] if i in whole else self.cut(t) for i, t in enumerate(texts)]
         if len(self.pieces) > CACHED_PIECES:  # pieces that are used again come back from the older half
             self.pieces, self.older = {}, self.pieces
         self.learn(set().union(*cut))
         get = self.pieces.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        return [self.encode_whole(texts[i]) if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
+
+    def encode_whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, wanted: set[str]) -> None:
         """All of these are in the cache afterwards."""
@@ -193,12 +201,12 @@ class Encoder:
         return [first, *(p if p[0] == "\n" else " " + p for p in rest)]
 
 
-def _encoder(vocabulary: str | None) -> Encoder:
+def _encoder(vocabulary: str | None, plain_specials: bool = False) -> Encoder:
     """One per worker process; tasks that reuse the process reuse it."""
-    held = worker_cache("encoder")
-    if vocabulary not in held:
-        held[vocabulary] = Encoder(vocabulary)
-    return held[vocabulary]
+    held, which = worker_cache("encoder"), (vocabulary, plain_specials)
+    if which not in held:
+        held[which] = Encoder(vocabulary, plain_specials)
+    return held[which]
 
 
 # --- tables ------------------------------------------------------------------------------------
@@ -213,12 +221,14 @@ def encode(
     bits: int = 8,
     block: int = BLOCK_IDS,
     segment_ids: int = SEGMENT_IDS,
+    plain_specials: bool = False,
 ) -> DataFrame:
     """Segments of ``docs`` in ascending key order; write them as Parquet.
 
     Null keys come first, equal keys in the order of their texts' hash. A null
     text counts as empty; every document ends with ``end_id``. Repeated rows
-    are encoded as often as they come. Other columns are not read.
+    are encoded as often as they come. Other columns are not read. A special
+    token's string in a text gives its id, as the tokenizer does, unless ``plain_specials``.
     """
     if bits not in (1, 8):
         raise ValueError("bits is 1 (bit planes) or 8 (byte planes)")
@@ -229,7 +239,7 @@ def encode(
     ordered = ranged.sortWithinPartitions(F.asc_nulls_first("key"), F.asc("tie"), F.asc("text")).select("key", "text")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = _encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        enc, end = _encoder(vocabulary, plain_specials), np.array([end_id], "<u4").tobytes()
         shard, number, first = TaskContext.get().partitionId(), 0, 0
         keys, counts, parts, held = [], [], [], 0
 

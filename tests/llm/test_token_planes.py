@@ -61,3 +61,16 @@ def test_odd_documents(spark, odd_docs, no_docs):
         assert any((r.n_tokens, r.ids_crc32) == expected([(0, t)])[0][2:] for t in texts[r.doc_id])
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
     assert T.read_digests(written(T.encode(no_docs), "test")).count() == 0
+
+
+def test_added_tokens_are_the_library_s(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "two  <|endoftext|><|endoftext|>\n, words.", "no <|endoftext |> here"]
+    assert T._encoder(None).encode(texts) == [np.array(fresh.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = {r.doc_id: r.ids[:-1] for r in T.read_ids(written(T.encode(docs), "test")).collect()}
+    assert ids == {i: fresh.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert np.frombuffer(T._encoder(None, True).encode(texts[:1])[0], "<u4").tolist() == [87, 1279, 91, 437, 1659, 5239, 91, 29, 331]
