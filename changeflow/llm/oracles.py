@@ -80,5 +80,64 @@ _SIMILAR = f"WITH RECURSIVE {SIMILAR.format(docs='documents')} SELECT * FROM lin
 _DECONTAMINATE = f"WITH {DECONTAMINATE.format(docs='documents')} SELECT * FROM judged"
 
 
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INT AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY rank <= 10
+"""
+
+# DuckDB has no CRC-32: a byte at a time, eight shifts each (reversed polynomial 0xEDB88320).
+_BYTE = (
+    "list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+)
+_BYTES = "list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT))"
+CRC = f"xor(list_reduce({_BYTES}, lambda r, b: {_BYTE}), 4294967295::BIGINT)"
+
+_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, conv_id - conv_id % 20 AS other_id, {CRC} % 4 AS taken FROM (SELECT DISTINCT conv_id FROM t)),
+rebuilt AS (
+  SELECT i.conv_id, 0 AS own, t.place, t.role, t.text FROM ids i JOIN t ON t.conv_id = i.other_id AND t.place <= i.taken
+  UNION ALL
+  SELECT i.conv_id, 1, t.place, t.role, t.text FROM ids i JOIN t ON t.conv_id = i.conv_id AND t.place > i.taken),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_words, sha256(len(role) || ':' || role || ':' || text) AS turn
+  FROM rebuilt),
+paths AS (
+  SELECT conv_id, depth, n_words, string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM turns
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+sizes AS (SELECT conv_id, max(depth) AS size FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, min(n_words) AS n_words,
+         sha256(coalesce(string_agg(CASE WHEN depth = size THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM paths JOIN sizes USING (conv_id) GROUP BY path),
+children AS (SELECT left(path, length(path) - 64) AS path, count(*) AS n FROM nodes WHERE path <> '' GROUP BY 1),
+each AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path))
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.n_words)::BIGINT AS saved_tokens, n.ends_sha256
+FROM each n JOIN each b ON starts_with(b.path, n.path) LEFT JOIN nodes p ON n.path <> '' AND p.path = left(n.path, length(n.path) - 64)
+GROUP BY n.path, n.conv_id, n.depth, p.conv_id, n.n_convs, n.n_children, n.ends_sha256
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_url_rules": _URL, "op4_decontaminate": _DECONTAMINATE, "op6_similar": _SIMILAR, "op9_archives": _WARC}
+    return {
+        "op2_url_rules": _URL, "op4_decontaminate": _DECONTAMINATE, "op6_similar": _SIMILAR, "op9_archives": _WARC,
+        "op11_hard_negatives": _HARD_NEGATIVES, "op13_prefix_trie": _TRIE,
+    }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import archives, bm25, decontaminate, languages, mixture, quality, secrets, similar, token_planes, url_rules
+from changeflow.llm import (
+    archives,
+    bm25,
+    decontaminate,
+    hard_negatives,
+    languages,
+    mixture,
+    neighbours,
+    prefix_trie,
+    quality,
+    secrets,
+    similar,
+    token_planes,
+    url_rules,
+)
 from changeflow.llm.common import table, written
 
 #: Fixed values: (host, path, verdict) of the contract.
@@ -86,11 +100,28 @@ def op10_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.search(docs, docs.where(F.col("doc_id") % 50 == 0)).select("query_id", "rank", "doc_id", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), hard_negatives.quantised(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.paths(table(spark, sf_dir, "conversations"), prefix_trie.shared_beginnings, most=3)
+    return prefix_trie.trie(rows).drop("x1", "x2")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_token_planes, op2_url_rules, op3_quality, op4_decontaminate, op5_languages,
             op6_similar, op7_mixture, op8_secrets, op9_archives, op10_bm25,
+            op11_hard_negatives, op12_neighbours, op13_prefix_trie,
         )
     }
