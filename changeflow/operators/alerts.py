@@ -41,13 +41,27 @@ DLQ_SERIES = [f"dlq_{r}" for r in M.REASONS]
 
 def signals(grid: DataFrame, lag: DataFrame, mismatches: Column, step: int = M.STEP) -> DataFrame:
     """Rolling sums the rules read, with two gauges beside them: ``lag`` (``bucket, consumer_lag``
-    at every step) and the mismatch count of the last reconciliation."""
+    at every step, see ``worst_lag``) and the mismatch count of the last reconciliation."""
     names = [*M.LE, "latency_count", model.APPLIED, "warnings"]
     wanted = M.per_window(names, WINDOWS) | M.per_window(DLQ_SERIES, {"5m": WINDOWS["5m"]})
     sums = M.rolling(grid, wanted, step)
     return sums.join(lag, "bucket", "left").withColumn("mismatches", mismatches)
 
 
+def worst_lag(lag: DataFrame) -> DataFrame:
+    """(bucket, consumer_lag): that of the topic furthest behind, of ``metrics.lag_series``. A rule on it is active if it is for any topic."""
+    return lag.groupBy("bucket").agg(F.max("lag").alias("consumer_lag"))
+
+
+def oversold(ledger_rows: DataFrame, at: Column, step: int = M.STEP) -> DataFrame:
+    """(bucket, clamps, absorbed): movements of each step at which the floor absorbed demand, and how much of it."""
+    start = (F.floor(F.unix_millis(at) / F.lit(1000 * step)) * step).cast("bigint")
+    clamped = ledger_rows.filter(F.col("absorbed") > 0)
+    return clamped.groupBy(start.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("clamps"), F.sum("absorbed").cast("bigint").alias("absorbed")
+    )
+
+
 def p95(window: str) -> Column:
     return M.histogram_quantile(0.95, f"_{window}")
 
@@ -107,26 +121,22 @@ def held(rows: DataFrame, conditions: Mapping[str, tuple[Column, int]], step: in
 
 def latest_run(grid: DataFrame, runs: DataFrame, step: int = M.STEP) -> DataFrame:
     """(bucket, mismatches, critical_mismatches) of the last run (``reconcile.run_summary``) at or before
-    each step's evaluation time. Steps before the first run have no row.
-
-    Days of a run are expanded first, and steps within each day, as in ``fill_grid``.
-    """
-    span = grid.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).filter("lo IS NOT NULL")
+    each step's evaluation time. Steps before the first run have no row."""
+    span = grid.agg(F.min("bucket").alias("start"), F.max("bucket").alias("end"))
     at = F.unix_millis("run_at") / F.lit(1000)
     first = ((F.ceil(at / step) - 1) * step).cast("bigint")  # evaluated at the end of the step
     in_order = Window.orderBy("run_at")  # one row a run
     values = ["mismatches", "critical_mismatches"]
     runs = runs.select(*values, first.alias("from"), (F.lead(first).over(in_order) - step).alias("to"))
     runs = runs.withColumn("_one", F.lit(1)).join(F.broadcast(span.withColumn("_one", F.lit(1))), "_one")  # one row
-    day = F.lit(M.SLICE_SECONDS // step * step).cast("bigint")
-    runs = runs.select(*values, F.greatest("from", "lo").alias("from"), F.least(F.coalesce("to", "hi"), "hi").alias("to"))
-    days = runs.filter("`from` <= `to`").select(*values, "to", F.explode(F.sequence("from", "to", day)).alias("from"))
-    last = F.least(F.col("to"), F.col("from") + day - step)
-    return days.select(F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias("bucket"), *values)
+    lasting = runs.select(*values, F.greatest("from", "start").alias("lo"), F.least(F.coalesce("to", "end"), "end").alias("hi"))
+    return M.steps_of(lasting, step).select("bucket", *values)
 
 
 def backlog(outcomes: DataFrame, commit_seconds: Column, log_seconds: Column, step: int = M.STEP) -> DataFrame:
-    """Events committed at the source but not yet logged, at the end of every step: the lag over time.
+    """Events committed at the source but not yet logged, at the end of every step: what capture is behind by.
+
+    The consumer's lag is ``metrics.lag_series``.
 
     Each event is +1 at its commit and -1 at its arrival. The grid covers log
     time, which producers don't control; a commit outside of it counts in the

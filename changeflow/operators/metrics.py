@@ -105,18 +105,30 @@ def bucketize(outcomes: DataFrame, seconds: Column | None = None, step: int = ST
     return outcomes.groupBy(start.alias("bucket")).agg(*series_aggregates())
 
 
-def fill_grid(buckets: DataFrame, step: int = STEP) -> DataFrame:
-    """Every step from the first to the last bucket, absent ones as zeros.
+def rollup(buckets: DataFrame, width: int) -> DataFrame:
+    """Coarser rows from finer ones: every series is a count or sum, so they add up. ``bucket`` = start of the row."""
+    start = (F.floor(F.col("bucket") / width) * width).cast("bigint")
+    names = [c for c in buckets.columns if c != "bucket"]
+    return buckets.groupBy(start.alias("bucket")).agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
+
+
+def steps_of(span: DataFrame, step: int = STEP) -> DataFrame:
+    """Every step from ``lo`` to ``hi`` for each row of ``span``, whose other columns stay.
 
     Days are expanded first, and steps within each day, so no row holds more
     than a day's steps or the list of days.
     """
-    names = [c for c in buckets.columns if c != "bucket"]
-    span = buckets.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).filter("lo IS NOT NULL")
+    keep = [c for c in span.columns if c not in ("lo", "hi")]
     day = F.lit(SLICE_SECONDS // step * step).cast("bigint")
-    days = span.select("hi", F.explode(F.sequence("lo", "hi", day)).alias("from"))
+    days = span.filter("lo <= hi").select(*keep, "hi", F.explode(F.sequence("lo", "hi", day)).alias("from"))
     last = F.least(F.col("hi"), F.col("from") + day - step)
-    grid = days.select(F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias("bucket"))
+    return days.select(*keep, F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias("bucket"))
+
+
+def fill_grid(buckets: DataFrame, step: int = STEP) -> DataFrame:
+    """Every step from the first to the last bucket, absent ones as zeros."""
+    names = [c for c in buckets.columns if c != "bucket"]
+    grid = steps_of(buckets.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")), step)
     return grid.join(buckets, "bucket", "left").select(
         "bucket", *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names]
     )
@@ -194,6 +206,70 @@ def consumer_lag(log: DataFrame, processed: DataFrame) -> DataFrame:
     )
 
 
+def _step_of(at: Column, step: int) -> Column:
+    return (F.floor(F.unix_millis(at) / F.lit(1000 * step)) * step).cast("bigint")
+
+
+def _by_day() -> Column:
+    return F.floor(F.col("bucket") / SLICE_SECONDS).cast("bigint")
+
+
+def _so_far(rows: DataFrame, by: Sequence[str], values: Mapping[str, tuple[str, str]], current: bool) -> DataFrame:
+    """``rows`` (with ``bucket``) and running sums or maxima: ``values`` maps a name to ("sum" or "max", column).
+
+    Days are summed up first and carried over the days; the rows of one day are
+    one task's work, however long the history. Null where nothing came before.
+    """
+    how = {"sum": F.sum, "max": F.max}
+    rows = rows.withColumn("_day", _by_day())
+    earlier = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = rows.groupBy(*by, "_day").agg(*[how[h](c).alias(n) for n, (h, c) in values.items()])
+    days = days.select(*by, "_day", *[how[h](n).over(earlier).alias(f"_carry_{n}") for n, (h, _) in values.items()])
+    day = Window.partitionBy(*by, "_day").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0 if current else -1)
+
+    def both(n: str, h: str, c: str) -> Column:
+        carried, here = F.col(f"_carry_{n}"), how[h](c).over(day)
+        return F.coalesce(carried + here, carried, here) if h == "sum" else F.greatest(carried, here)
+
+    keep = [c for c in rows.columns if c != "_day"]
+    return rows.join(days, [*by, "_day"]).select(*keep, *[both(n, h, c).alias(n) for n, (h, c) in values.items()])
+
+
+def lag_series(log: DataFrame, commits: DataFrame, grid: DataFrame, step: int = STEP) -> DataFrame:
+    """(topic, bucket, lag): offsets in the log that the consumer hasn't committed, at the end of every step of ``grid``.
+
+    ``log`` has topic, partition, offset and timestamp of every message, ``commits``
+    the same of every offset the consumer committed. A partition keeps its last end
+    and its last committed offset until it has newer ones, so one that falls silent
+    keeps its lag; one that was never committed lags by its whole log. What lies
+    before the grid counts in its first step.
+
+    Only changes of a partition's lag are kept and summed by topic; their running
+    sum is the topic's lag.
+    """
+    part = ["topic", "partition"]
+    offset, no_offset = F.col("offset"), F.lit(None).cast("bigint")
+    ends = log.groupBy(*part, _step_of(F.col("timestamp"), step).alias("bucket")).agg(F.max(offset).alias("end"), F.min(offset).alias("first"))
+    done = commits.groupBy(*part, _step_of(F.col("timestamp"), step).alias("bucket")).agg(F.max(offset).alias("done"))
+    seen = ends.withColumn("done", no_offset).unionByName(done.withColumns({"end": no_offset, "first": no_offset}))
+    seen = seen.groupBy(*part, "bucket").agg(F.max("end").alias("end"), F.max("done").alias("done"))
+    first = ends.groupBy(*part).agg((F.min("first") - 1).alias("start"))
+    before = _so_far(seen, part, {"end_before": ("max", "end"), "done_before": ("max", "done")}, current=False)
+
+    def grown(name: str) -> Column:
+        old = F.coalesce(f"{name}_before", F.col("start"))
+        return F.greatest(F.col(name), old) - old
+
+    # Commits of a partition whose messages aren't in the log have no lag to take from.
+    moves = before.join(first, part).select("topic", "bucket", (F.coalesce(grown("end"), F.lit(0)) - F.coalesce(grown("done"), F.lit(0))).alias("change"))
+    span = grid.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).withColumn("one", F.lit(1))
+    moves = moves.withColumn("one", F.lit(1)).join(F.broadcast(span), "one")  # one row
+    changes = moves.filter("bucket <= hi").groupBy("topic", F.greatest("bucket", "lo").alias("bucket")).agg(F.sum("change").alias("change"))
+    topics = moves.groupBy("topic").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    steps = steps_of(topics, step).join(changes, ["topic", "bucket"], "left").fillna(0, ["change"])
+    return _so_far(steps, ["topic"], {"lag": ("sum", "change")}, current=True).select("topic", "bucket", "lag")
+
+
 def topic_lag(lag: DataFrame) -> DataFrame:
     return lag.groupBy("topic").agg(F.sum("lag").alias("lag"))
 

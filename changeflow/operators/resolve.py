@@ -4,6 +4,11 @@
 Both are set-based and take the state (and the marks of applied ids) before the
 first event, so any split of a log into batches gives the same answer.
 
+One window labels all events whose ids denote one (key, version). Ids that are
+used again for something else make labels depend on each other: a skipped event
+raises no version, so a later event with a lower version may apply. Keys with
+such ids are found by the same window and settled in rounds.
+
 Pass events that are already materialised (a staged table or a persisted batch):
 the kernel reads them more than once.
 """
@@ -15,6 +20,7 @@ from pyspark.sql import functions as F
 
 from changeflow import model
 from changeflow.operators import blocks
+from changeflow.session import written
 
 KEY = model.KEY
 _ORDER = ["kafka_offset", "kafka_partition"]
@@ -22,15 +28,20 @@ _ORDER = ["kafka_offset", "kafka_partition"]
 _BULKY = ["value", "source", "before", "after"]
 # Rows that stand for the state and for carried marks sort before every event.
 _SEED_OFFSET = -(2**62)
+_SEED_STATE, _SEED_MARK = "state", "mark"
+#: What an applied id is remembered for: the id and its key, or the id alone.
+ID_AND_KEY, ID = "id_and_key", "id"
 
 
 def _seeds(state: DataFrame | None, marks: DataFrame | None) -> list[DataFrame]:
     """State rows and marks in the shape of events, so one shuffle brings all three together."""
     out = []
     if state is not None:
-        out.append(state.select(*KEY, F.col("row_version"), F.lit("state").alias("_seed")))
+        # An id of its own keeps state rows from becoming one large group of ids.
+        no_event = F.concat_ws("\x00", F.lit(_SEED_STATE), *KEY)
+        out.append(state.select(*KEY, no_event.alias("event_id"), "row_version", F.lit(_SEED_STATE).alias("_seed")))
     if marks is not None:
-        out.append(marks.select(*KEY, "event_id", F.col("marked_at").alias("log_ts"), F.lit("mark").alias("_seed")))
+        out.append(marks.select(*KEY, "event_id", F.col("marked_at").alias("log_ts"), F.lit(_SEED_MARK).alias("_seed")))
     return [s.withColumn("kafka_offset", F.lit(_SEED_OFFSET).cast("bigint")) for s in out]
 
 
@@ -46,83 +57,173 @@ def _is_candidate(previous: Column) -> Column:
     return F.col("_seed").isNull() & (previous.isNull() | (F.col("row_version") > previous))
 
 
-def _mark_time() -> Column:
-    return F.when(F.col("_candidate") | (F.col("_seed") == "mark"), F.col("log_ts"))
+def _is_live(ttl_seconds: int) -> Column:
+    age = F.unix_micros("log_ts") - F.unix_micros("_marked_at")
+    return F.col("_marked_at").isNotNull() & (age < F.lit(ttl_seconds * 1_000_000))
 
 
 def _before(*keys: str):
     return Window.partitionBy(*keys).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _ordinary(rows: DataFrame) -> DataFrame:
-    """Candidates and earlier marks; every key's rows in one task, both windows on one shuffle."""
-    ordered = rows.withColumn("_previous", F.max("row_version").over(_before(*KEY)))
+def _mark_scope(dedupe: str) -> list[str]:
+    if dedupe not in (ID_AND_KEY, ID):
+        raise ValueError(f"unknown dedupe {dedupe!r}")
+    return [*KEY, "event_id"] if dedupe == ID_AND_KEY else ["event_id"]
+
+
+def _ordinary(rows: DataFrame, version: Column, mark: Column, scope: list[str]) -> DataFrame:
+    """Candidates and earlier marks; every key's rows in one task.
+
+    ``version`` is null where a row doesn't raise its key's version, ``mark`` where it marks nothing.
+    """
+    ordered = rows.withColumn("_previous", F.max(version).over(_before(*KEY)))
     flagged = ordered.withColumn("_candidate", _is_candidate(F.col("_previous"))).drop("_previous")
-    return flagged.withColumn("_marked_at", F.min(_mark_time()).over(_before(*KEY, "event_id")))
+    return flagged.withColumn("_marked_at", F.max(mark).over(_before(*scope)))
 
 
-def _blockwise(rows: DataFrame, rows_per_block: int) -> DataFrame:
+def _blockwise(rows: DataFrame, version: Column, mark: Column, scope: list[str], rows_per_block: int) -> DataFrame:
     """The same for keys too large for one task: cut by offset, carry between blocks."""
     cut = blocks.with_blocks(rows, "kafka_offset", rows_per_block)
     block = blocks.BLOCK
-    versions = blocks.inherited(cut, KEY, {"_carried": ("max", F.col("row_version"))})
+    versions = blocks.inherited(cut, KEY, {"_carried": ("max", version)})
     local = cut.join(versions, [*KEY, block], "left").withColumn(
-        "_previous", F.greatest("_carried", F.max("row_version").over(_before(*KEY, block)))
+        "_previous", F.greatest("_carried", F.max(version).over(_before(*KEY, block)))
     )
     flagged = local.withColumn("_candidate", _is_candidate(F.col("_previous"))).drop("_carried", "_previous")
     # Copies of one event may themselves be a large group, so they are cut the same way.
-    # A seed without an id (a state row) marks nothing.
-    by_id = [*KEY, "event_id"]
-    marked = blocks.inherited(
-        flagged.filter(F.col("event_id").isNotNull()), by_id, {"_carried_mark": ("min", _mark_time())}
-    )
+    marked = blocks.inherited(flagged, scope, {"_carried_mark": ("max", mark)})
     return (
-        flagged.join(marked, [*by_id, block], "left")
-        .withColumn(
-            "_marked_at", F.least("_carried_mark", F.min(_mark_time()).over(_before(*by_id, block)))
-        )
+        flagged.join(marked, [*scope, block], "left")
+        .withColumn("_marked_at", F.greatest("_carried_mark", F.max(mark).over(_before(*scope, block))))
         .drop("_carried_mark", block)
     )
 
 
+def _judged(rows: DataFrame, ttl_seconds: int) -> DataFrame:
+    live = _is_live(ttl_seconds)
+    return rows.withColumns({"_skipped": live & F.col("_seed").isNull(), "_applied": F.col("_candidate") & ~live})
+
+
+def labelled(
+    passing: DataFrame,
+    seeds: list[DataFrame],
+    ttl_seconds: int = model.MARK_TTL_SECONDS,
+    hot: tuple[DataFrame | None, int] = (None, blocks.HOT_ROWS),
+) -> DataFrame:
+    """Passing events and seeds with _applied, _skipped and _open, by one window over each key.
+
+    It takes every event to raise its key's version, which is true as long as no
+    event with a newer version is skipped. ``_open`` tells keys where one is: up to
+    its first such event a key's labels are right.
+    """
+    rows = _with_seeds(passing, seeds)
+    version = F.col("row_version")
+    mark = F.when(F.col("_candidate") | (F.col("_seed") == _SEED_MARK), F.col("log_ts"))
+    scope = _mark_scope(ID_AND_KEY)
+    clash = F.col("_candidate") & F.col("_skipped")
+
+    def by_key(part: DataFrame) -> DataFrame:
+        judged = _judged(_ordinary(part, version, mark, scope), ttl_seconds)
+        return judged.withColumn("_open", F.coalesce(F.max(clash).over(Window.partitionBy(*KEY)), F.lit(False)))
+
+    listed, limit = hot
+    if listed is None:
+        return by_key(rows).drop("_candidate", "_marked_at")
+    cold_rows, hot_part = blocks.split_hot(rows, KEY, listed)
+    judged = _judged(_blockwise(hot_part, version, mark, scope, limit), ttl_seconds)
+    # At most as many rows as the list of hot keys.
+    clashing = judged.filter(clash).select(*KEY, F.lit(True).alias("_clash")).distinct()
+    judged = judged.join(F.broadcast(clashing), KEY, "left").withColumn("_open", F.coalesce("_clash", F.lit(False))).drop("_clash")
+    return by_key(cold_rows).unionByName(judged).drop("_candidate", "_marked_at")
+
+
+def _open_by_id(rows: DataFrame) -> DataFrame:
+    """``rows`` with _open for keys that share an id with another key, or use one for two versions.
+
+    A mark says nothing of the version it was made for, so its id counts as used for another one.
+    """
+    what = F.struct(*KEY, F.coalesce("row_version", F.lit(-1).cast("bigint")))
+    ids = rows.filter("event_id IS NOT NULL").groupBy("event_id").agg(F.min(what).alias("lo"), F.max(what).alias("hi"))
+    keys = rows.join(ids.filter("lo <> hi").select("event_id"), "event_id", "left_semi").select(*KEY).distinct()
+    return rows.drop("_open").join(keys.withColumn("_open", F.lit(True)), KEY, "left").fillna(False, ["_open"])
+
+
+def _settled(rows: DataFrame, ttl_seconds: int, dedupe: str, hot: tuple[DataFrame | None, int]) -> DataFrame:
+    """Open keys' rows with the labels that one event after the other would get.
+
+    A label depends on labels of earlier rows only. Each round computes all labels
+    anew from the last round's; what depends on right labels only comes out right,
+    so at the latest the n-th round has the first n rows of every key right, and
+    labels that a round leaves as they were are the answer. Independent clashes
+    are settled in the same round: the number of rounds is the length of the
+    longest chain of labels that overturn one another.
+    """
+    scope = _mark_scope(dedupe)
+    counts = F.col("_applied") | F.col("_seed").isNotNull()
+    version = F.when(counts, F.col("row_version"))
+    mark = F.when(F.col("_applied") | (F.col("_seed") == _SEED_MARK), F.col("log_ts"))
+    listed, limit = hot
+    rows = written(rows, "open")
+    while True:
+        before = rows.withColumn("_was", F.struct("_applied", "_skipped"))
+        if listed is None:
+            judged = _ordinary(before, version, mark, scope)
+        elif dedupe == ID_AND_KEY:
+            cold_rows, hot_part = blocks.split_hot(before, KEY, listed)
+            judged = _ordinary(cold_rows, version, mark, scope).unionByName(
+                _blockwise(hot_part, version, mark, scope, limit)
+            )
+        else:  # an id may be on keys of both kinds
+            judged = _blockwise(before, version, mark, scope, limit)
+        rows = written(_judged(judged, ttl_seconds).drop("_candidate", "_marked_at"), "open")
+        if rows.filter(F.col("_was") != F.struct("_applied", "_skipped")).isEmpty():
+            return rows.drop("_was")
+        rows = rows.drop("_was")
+
+
 def event_outcomes(
     gated: DataFrame,
     state: DataFrame | None = None,
     marks: DataFrame | None = None,
     ttl_seconds: int = model.MARK_TTL_SECONDS,
     hot_rows: int = blocks.HOT_ROWS,
+    dedupe: str = ID_AND_KEY,
 ) -> DataFrame:
     """One row per delivered message with ``result`` = applied, rejected, skipped or dlq.
 
-    Within a key, events count in offset order. An event is a candidate when its
-    version beats the greatest one before it; a repeat of an applied id within
-    the time limit is skipped; the rest is stale. Log time is the clock, so a
-    re-run gives the same labels. An id is taken to denote one (key, version);
-    ``id_conflicts`` lists ids that do not.
-
-    A key with more than ``hot_rows`` rows is resolved in blocks of its offsets.
-    Text and row images are null but for dead letters, so the shuffle moves narrow rows.
+    Events count in offset order. An event whose id was applied within the time
+    limit before it is skipped; of the others one applies if its version beats
+    that of its key's state, else it is rejected. Log time is the clock, so a
+    re-run gives the same labels. With ``dedupe="id"`` an id applied on one key is
+    skipped on every other one too; the default remembers it for its key, so that
+    snapshot rows that share an id are not lost.
+
+    The labels are computed here and read back from the shared folder: whether
+    keys are left open has to be known. A key with more than ``hot_rows`` rows is
+    resolved in blocks of its offsets. Text and row images are null but for dead
+    letters, so the shuffle moves narrow rows.
     """
+    _mark_scope(dedupe)
     passing = gated.filter(F.col("dlq_reason").isNull()).drop(*_BULKY)
     dead = gated.filter(F.col("dlq_reason").isNotNull())
-    seeds = _seeds(state, marks)
-    hot, limit = blocks.hot_keys(passing, KEY, hot_rows)
-    if hot is None:
-        resolved = _ordinary(_with_seeds(passing, seeds))
-    else:
-        rows = _with_seeds(passing, seeds)
-        cold_rows, hot_part = blocks.split_hot(rows, KEY, hot)
-        resolved = _ordinary(cold_rows).unionByName(_blockwise(hot_part, limit))
-    live = F.col("_marked_at").isNotNull() & (
-        F.unix_micros("log_ts") - F.unix_micros("_marked_at") < F.lit(ttl_seconds * 1_000_000)
+    hot = blocks.hot_keys(passing, KEY, hot_rows)
+    labels = labelled(passing, _seeds(state, marks), ttl_seconds, hot)
+    if dedupe == ID:
+        labels = _open_by_id(labels)
+    labels = written(labels, "labels")
+    left = labels.filter("_open")
+    if not left.isEmpty():
+        if dedupe == ID:  # marks of an id lie on the key that it was applied on
+            own = left.filter(~F.col("_seed").eqNullSafe(_SEED_MARK))
+            ids = own.select("event_id").distinct()
+            left = own.unionByName(labels.filter(F.col("_seed") == _SEED_MARK).join(ids, "event_id", "left_semi"))
+        labels = labels.filter("NOT _open").unionByName(_settled(left, ttl_seconds, dedupe, hot))
+    result = F.when(F.col("_skipped"), F.lit(model.SKIPPED)).when(F.col("_applied"), F.lit(model.APPLIED))
+    events = labels.filter(F.col("_seed").isNull()).withColumn("result", result.otherwise(F.lit(model.REJECTED)))
+    everything = dead.withColumn("result", F.lit(model.DLQ)).unionByName(
+        events.select(*passing.columns, "result"), allowMissingColumns=True
     )
-    labelled = resolved.filter(F.col("_seed").isNull()).withColumn(
-        "result",
-        F.when(live, F.lit(model.SKIPPED))
-        .when(F.col("_candidate"), F.lit(model.APPLIED))
-        .otherwise(F.lit(model.REJECTED)),
-    ).select(*passing.columns, "result")
-    everything = dead.withColumn("result", F.lit(model.DLQ)).unionByName(labelled, allowMissingColumns=True)
     return everything.withColumn("latency_ms", sync_latency_ms())
 
 
@@ -149,7 +250,7 @@ def mark_applied(
     ttl_seconds: int = model.MARK_TTL_SECONDS,
     now: Column | None = None,
 ) -> DataFrame:
-    """Marks after a batch: the first time an id was applied; a repeat does not extend its life.
+    """Marks after a batch: when an id was last applied; a repeat that is skipped does not extend its life.
 
     With ``now`` given, marks that have outlived the limit are dropped.
     """
@@ -157,17 +258,20 @@ def mark_applied(
         "event_id", *KEY, F.col("log_ts").alias("marked_at")
     )
     rows = fresh if marks is None else marks.select(*fresh.columns).unionByName(fresh)
-    merged = rows.groupBy("event_id", *KEY).agg(F.min("marked_at").alias("marked_at"))
+    merged = rows.groupBy("event_id", *KEY).agg(F.max("marked_at").alias("marked_at"))
     if now is None:
         return merged
     return merged.filter(F.unix_micros("marked_at") > F.unix_micros(now) - F.lit(ttl_seconds * 1_000_000))
 
 
-def was_applied(events: DataFrame, marks: DataFrame, ttl_seconds: int = model.MARK_TTL_SECONDS) -> DataFrame:
-    """Events with ``seen`` = the id was applied before and its mark has not expired."""
-    held = marks.select("event_id", *KEY, "marked_at")
+def was_applied(
+    events: DataFrame, marks: DataFrame, ttl_seconds: int = model.MARK_TTL_SECONDS, dedupe: str = ID_AND_KEY
+) -> DataFrame:
+    """Events with ``seen`` = the id was applied before (on its key, or on any) and its mark has not expired."""
+    scope = _mark_scope(dedupe)
+    held = marks.groupBy(*scope).agg(F.max("marked_at").alias("marked_at"))
     age = F.unix_micros("log_ts") - F.unix_micros("marked_at")
-    return events.join(held, ["event_id", *KEY], "left").withColumn(
+    return events.join(held, scope, "left").withColumn(
         "seen", F.coalesce(age < F.lit(ttl_seconds * 1_000_000), F.lit(False))
     ).drop("marked_at")
 
@@ -245,7 +349,7 @@ def ordering_check(gated: DataFrame, hot_rows: int = blocks.HOT_ROWS) -> DataFra
 
 
 def id_conflicts(gated: DataFrame) -> DataFrame:
-    """Ids that occur with more than one version on the same key (see ``event_outcomes``)."""
+    """Ids that occur with more than one version on the same key: a report, ``event_outcomes`` settles them."""
     return (
         gated.filter(F.col("dlq_reason").isNull())
         .groupBy("event_id", *KEY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,23 +30,12 @@ BURN_PAIRS = [
     ("drip", 72 * 3600, 6 * 3600, 1.0, "ticket"),
 ]
 
-# --- fixed values: budget window and assumed volume ----------------------------------------------------
+# --- fixed value: budget window ------------------------------------------------------------------------
 BUDGET_DAYS = 28
-EVENTS_PER_DAY = 5_000_000
+DAY = 24 * 3600
 
 
-def slo_report(outcomes: DataFrame, mismatch_gauge: int) -> DataFrame:
-    """(slo, value, target, met), from one aggregation of the outcomes and the gauge of the last run."""
-    wide = outcomes.agg(*M.series_aggregates())
-    p95, p99 = M.histogram_quantile(0.95), M.histogram_quantile(0.99)
-    values = {
-        "freshness_p95": p95,
-        "freshness_p99": p99,
-        "successful_processing": F.try_divide(F.col(model.APPLIED), F.col(model.RECEIVED)),
-        "mismatch_rate": F.lit(mismatch_gauge / float(MISMATCH_BASE)),
-        "sla_freshness_p95": p95,
-        "sla_freshness_p99": p99,
-    }
+def _objective_rows(values: Mapping[str, Column]) -> Column:
     rows = [
         F.struct(
             F.lit(name).alias("slo"),
@@ -54,7 +45,60 @@ def slo_report(outcomes: DataFrame, mismatch_gauge: int) -> DataFrame:
         )
         for name, target, way in OBJECTIVES
     ]
-    return wide.select(F.inline(F.array(*rows)))
+    return F.inline(F.array(*rows))
+
+
+def _objectives(mismatches: Column, suffix: str = "") -> dict[str, Column]:
+    p95, p99 = M.histogram_quantile(0.95, suffix), M.histogram_quantile(0.99, suffix)
+    return {
+        "freshness_p95": p95,
+        "freshness_p99": p99,
+        "successful_processing": F.try_divide(F.col(model.APPLIED + suffix), F.col(model.RECEIVED + suffix)),
+        "mismatch_rate": mismatches / F.lit(float(MISMATCH_BASE)),
+        "sla_freshness_p95": p95,
+        "sla_freshness_p99": p99,
+    }
+
+
+def slo_report(outcomes: DataFrame, run: DataFrame) -> DataFrame:
+    """(slo, value, target, met), from one aggregation of the outcomes and the gauge of the last run (one row, ``gauge``)."""
+    wide = outcomes.agg(*M.series_aggregates()).join(F.broadcast(run.select("gauge")), F.lit(True), "left")  # one row each
+    return wide.select(_objective_rows(_objectives(F.col("gauge"))))
+
+
+def over_days(days: DataFrame, window_days: int = BUDGET_DAYS) -> DataFrame:
+    """At the end of every day the series summed over the trailing ``window_days``, as ``<name>_w``, beside the day's own.
+
+    ``days`` are rows of a day (``metrics.rollup``), gapless (``metrics.fill_grid``): a
+    long window is a few dozen rows, not the finer ones it is made of.
+    """
+    names = [model.RECEIVED, model.APPLIED, *M.LE, "latency_count"]
+    return M.rolling(days, M.per_window(names, {"w": window_days * DAY}), DAY)
+
+
+def daily_objectives(days: DataFrame, runs: DataFrame, window_days: int = BUDGET_DAYS) -> DataFrame:
+    """(eval_ts, slo, value, target, met) at the end of every day: freshness and success over the trailing
+    window, mismatches of the day's last reconciliation (``reconcile.run_summary``; null on days without one)."""
+    day = (F.floor(F.unix_seconds("run_at") / DAY) * DAY).cast("bigint")
+    last = runs.groupBy(day.alias("bucket")).agg(F.max_by("mismatches", "run_at").alias("_mismatches"))
+    rows = over_days(days, window_days).join(last, "bucket", "left")
+    return rows.select((F.col("bucket") + DAY).alias("eval_ts"), _objective_rows(_objectives(F.col("_mismatches"), "_w")))
+
+
+def daily_budget(days: DataFrame, target: float = SUCCESS_TARGET, window_days: int = BUDGET_DAYS) -> DataFrame:
+    """At the end of every day: the day's and the trailing window's allowed and consumed failures, and what is left."""
+
+    def budget(suffix: str, label: str) -> list[Column]:
+        received, applied = F.col(model.RECEIVED + suffix), F.col(model.APPLIED + suffix)
+        allowed, consumed = budget_events(received, target), received - applied
+        return [
+            received.alias(f"received_{label}"),
+            F.round(allowed, 4).alias(f"allowed_{label}"),
+            consumed.alias(f"consumed_{label}"),
+            F.round(allowed - consumed, 4).alias(f"remaining_{label}"),
+        ]
+
+    return over_days(days, window_days).select((F.col("bucket") + DAY).alias("eval_ts"), *budget("", "day"), *budget("_w", "window"))
 
 
 def budget_events(volume: Column, target: float = SUCCESS_TARGET) -> Column:
@@ -63,19 +107,22 @@ def budget_events(volume: Column, target: float = SUCCESS_TARGET) -> Column:
 
 
 def error_budget(outcomes: DataFrame, target: float = SUCCESS_TARGET, days: float = BUDGET_DAYS) -> DataFrame:
-    """Allowed, consumed and remaining failures of the events seen, and the budget of the assumed volume."""
+    """Allowed, consumed and remaining failures of the events seen, and the budget of a day and of ``days`` at their mean volume."""
     seen = outcomes.agg(
-        F.count(F.lit(1)).alias("received"), F.count_if(F.col("result") == model.APPLIED).alias("applied")
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(F.col("result") == model.APPLIED).alias("applied"),
+        F.count_distinct(F.floor(M.log_seconds() / DAY)).alias("_days"),
     )
     allowed = budget_events(F.col("received"), target)
     consumed = F.col("received") - F.col("applied")
+    a_day = F.try_divide(allowed, F.col("_days"))
     return seen.select(
         "received",
         F.round(allowed, 4).alias("allowed"),
         consumed.alias("consumed"),
         F.round(allowed - consumed, 4).alias("remaining"),
-        F.round(budget_events(F.lit(EVENTS_PER_DAY), target), 4).alias("allowed_per_day"),
-        F.round(budget_events(F.lit(EVENTS_PER_DAY), target) * F.lit(float(days)), 4).alias("allowed_per_window"),
+        F.round(a_day, 4).alias("allowed_per_day"),
+        F.round(a_day * F.lit(float(days)), 4).alias("allowed_per_window"),
     )
 
 
@@ -116,13 +163,14 @@ def severity_triage(
     lag_high: Column,
     schema_warnings: Column,
     burn: Column,
+    overselling: Column | None = None,
     dlq_limit: int = 50,
     burn_limit: float = 3.0,
 ) -> Column:
     """Escalation level of a set of signals; null when nothing calls for one."""
     yes = lambda c: F.coalesce(c, F.lit(False))
     return (
-        F.when(yes(halted) | yes(critical_mismatch), F.lit("SEV-1"))
+        F.when(yes(halted) | yes(critical_mismatch) | yes(F.lit(False) if overselling is None else overselling), F.lit("SEV-1"))
         .when(yes(latency_high) | yes(dlq_last_5m > dlq_limit) | yes(lag_high), F.lit("SEV-2"))
         .when(yes(schema_warnings > 0) | yes(burn > burn_limit), F.lit("SEV-3"))
     )

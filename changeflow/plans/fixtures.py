@@ -35,7 +35,7 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """a Kafka-shaped log with both envelopes, repeats, late repeats and broken messages."""
+    """a Kafka-shaped log with both envelopes, repeats, late repeats, reused ids and broken messages."""
     use_utc(spark)
     shaped = (
         _numbered_events(spark, sf_dir)
@@ -46,6 +46,13 @@ def build_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("pid", F.expr("CASE WHEN n % 89 = 7 THEN '' ELSE concat('SKU-', user_id) END"))
         .withColumn("wid", F.expr("concat('WH-', wh)"))
+        .withColumn(
+            "eid",
+            F.expr(
+                """CASE WHEN seq % 7 IN (2, 3) THEN concat('U', user_id, '-', wh, '-', seq DIV 7)
+                WHEN seq % 11 = 5 THEN concat('X', user_id, '-', seq) ELSE concat('E', n) END"""
+            ),
+        )
         .withColumn("ver", F.expr("CASE WHEN n % 79 = 5 THEN 0 ELSE ver END"))
         .withColumn(
             "img",
@@ -59,7 +66,7 @@ def build_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn(
             "full_value",
             F.expr(
-                """CASE WHEN n % 2 = 0 THEN concat('{"event_id":"E', n, '","event_time":"', iso, '","op":"', op,
+                """CASE WHEN n % 2 = 0 THEN concat('{"event_id":"', eid, '","event_time":"', iso, '","op":"', op,
                   '","product_id":"', pid, '","warehouse_id":"', wid, '","schema_version":"',
                   CASE WHEN n % 83 < 4 THEN 'v2' ELSE 'v3' END, '","',
                   CASE WHEN op = 'd' THEN 'before' ELSE 'after' END, '":', img, '}')
@@ -93,6 +100,34 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spark, "log", sf_dir, lambda: build_change_log(spark, sf_dir))
 
 
+def consumer_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """offsets the consumer committed, and when: every fifth message, some time after it; one partition falls silent."""
+    n = F.floor(F.col("offset") / 10)
+    silent = (F.col("partition") == 7) & (F.col("timestamp") >= F.lit("2024-01-20").cast("timestamp"))
+    at = F.unix_millis("timestamp") + 20_000 + n % 7 * 60_000
+    return change_log(spark, sf_dir).filter((n % 5 == 0) & ~silent).select(
+        "topic", "partition", "offset", F.timestamp_millis(at).alias("timestamp")
+    )
+
+
+def counted_offsets(outcomes: DataFrame) -> DataFrame:
+    """outcomes over dense offsets of twelve partitions; repeats count an offset again, and some ranges are lost."""
+    n = F.floor(F.col("kafka_offset") / 10).cast("bigint")
+    offset = F.floor(n / 12).cast("bigint")
+    return outcomes.filter(~(offset % 97).isin(5, 6)).select(
+        F.lit(model.MAIN_TOPIC).alias("topic"), (n % 12).cast("int").alias("partition"), offset.alias("offset"), "result"
+    )
+
+
+def log_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """first and last offset of each partition of that log."""
+    n = F.col("event_id")
+    offset = F.floor(n / 12).cast("bigint")
+    return table(spark, sf_dir, "events").groupBy((n % 12).cast("int").alias("partition")).agg(
+        F.min(offset).alias("first_offset"), F.max(offset).alias("end_offset")
+    ).withColumn("topic", F.lit(model.MAIN_TOPIC))
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 source table: stock per (part, supplier)."""
     use_utc(spark)
@@ -163,6 +198,7 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SKU-"), F.col("user_id")).alias("product_id"),
         F.lit("WH-0").alias("warehouse_id"),
         F.col("event_id").alias("seq"),
+        F.col("ts").cast("timestamp").alias("moved_at"),
         F.expr(
             """CAST(CASE event_type WHEN 'purchase' THEN -floor(value) WHEN 'view' THEN -3
             WHEN 'signup' THEN floor(value / 2) ELSE 10 END AS BIGINT)"""

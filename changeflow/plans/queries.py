@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from changeflow import model
 from changeflow.functions.decode import CANONICAL, DEBEZIUM, decode, latest_row, projection_defaults
 from changeflow.model import KEY
-from changeflow.operators import alerts, gates, ledger, metrics, readmodel, reconcile, replay, resolve, slo
+from changeflow.operators import alerts, conservation, gates, ledger, metrics, readmodel, reconcile, replay, resolve, slo
 from changeflow.operators.contract import (
     Contract,
     contract_types,
@@ -455,14 +455,23 @@ def v10_apply_mapping(spark, sf_dir):
 # --- dedupe, order, upsert --------------------------------------------------------------------
 
 
-@query
-def d1_was_applied(spark, sf_dir):
-    """First deliveries are resolved and marked; the repeats then ask the marks."""
+def _seen_before(spark, sf_dir, dedupe: str) -> DataFrame:
     events = gated(spark, sf_dir)
     first = events.filter(F.col("kafka_offset") % 10 == 0)
     repeats = events.filter((F.col("kafka_offset") % 10 != 0) & F.col("dlq_reason").isNull())
-    marks = resolve.mark_applied(resolve.event_outcomes(first))
-    return resolve.was_applied(repeats, marks).select(off(), "event_id", "seen")
+    marks = resolve.mark_applied(resolve.event_outcomes(first, dedupe=dedupe))
+    return resolve.was_applied(repeats, marks, dedupe=dedupe).select(off(), "event_id", "seen")
+
+
+@query
+def d1_was_applied(spark, sf_dir):
+    """First deliveries are resolved and marked; the repeats then ask the marks."""
+    return _seen_before(spark, sf_dir, resolve.ID_AND_KEY)
+
+
+@query
+def d1_was_applied_by_id(spark, sf_dir):
+    return _seen_before(spark, sf_dir, resolve.ID)
 
 
 @query
@@ -500,6 +509,17 @@ def d4_event_outcomes_in_blocks(spark, sf_dir):
     return _outcome_rows(resolve.event_outcomes(gated(spark, sf_dir), hot_rows=12))
 
 
+@query
+def d4_event_outcomes_by_id(spark, sf_dir):
+    """An id is remembered for all keys, as where the id alone is the mark."""
+    return _outcome_rows(resolve.event_outcomes(gated(spark, sf_dir), dedupe=resolve.ID))
+
+
+@query
+def d4_id_conflicts(spark, sf_dir):
+    return resolve.id_conflicts(gated(spark, sf_dir))
+
+
 @query
 def d4_result_counts(spark, sf_dir):
     """The whole way from log text to outcome counts."""
@@ -669,16 +689,10 @@ def q7_source_recency(spark, sf_dir):
 
 # --- metrics ----------------------------------------------------------------------------------
 
-# Rates and alerts look at minutes; the test events lie minutes apart. Reading a
-# minute of log time as a second gives windows with something in them.
-def compressed(column: str = "log_ts") -> Column:
-    return F.floor(F.unix_millis(column) / F.lit(60000)).cast("bigint")
 
 
 def series_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(
-        spark, "grid", sf_dir, lambda: metrics.fill_grid(metrics.bucketize(outcomes(spark, sf_dir), compressed()))
-    )
+    return stage(spark, "grid", sf_dir, lambda: metrics.fill_grid(metrics.bucketize(outcomes(spark, sf_dir))))
 
 
 @query
@@ -732,160 +746,126 @@ def m7_topic_lag(spark, sf_dir):
     return metrics.topic_lag(metrics.consumer_lag(log, done))
 
 
-@query
-def m8_success_rate(spark, sf_dir):
-    return metrics.success_rate(series_grid(spark, sf_dir))
-
-
-def _gauge(spark: SparkSession, sf_dir: str) -> int:
-    """The gauge as the last reconciliation run left it."""
-    run = stage(spark, "gauge", sf_dir, lambda: reconcile.mismatch_gauge(mismatches(spark, sf_dir)))
-    return run.first()["gauge"]
+def lag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    commits = fx.consumer_commits(spark, sf_dir)
+    return metrics.lag_series(fx.change_log(spark, sf_dir), commits, series_grid(spark, sf_dir))
 
 
 @query
-def m9_slo_report(spark, sf_dir):
-    return slo.slo_report(outcomes(spark, sf_dir), _gauge(spark, sf_dir))
+def m7_lag_series(spark, sf_dir):
+    """The lag by topic at every step, each partition's offsets carried forward."""
+    return lag_series(spark, sf_dir).select("topic", (F.col("bucket") + metrics.STEP).alias("eval_ts"), "lag")
 
 
 @query
-def m10_error_budget(spark, sf_dir):
-    return slo.error_budget(outcomes(spark, sf_dir))
+def m7_capture_backlog(spark, sf_dir):
+    """Events committed at the source and not yet logged, at every step."""
+    commit = F.floor(F.unix_millis("commit_ts") / F.lit(1000)).cast("bigint")
+    late = alerts.backlog(outcomes(spark, sf_dir), commit, metrics.log_seconds())
+    return late.select((F.col("bucket") + metrics.STEP).alias("eval_ts"), F.col("consumer_lag").alias("events"))
 
 
 @query
-def m11_burn_rate(spark, sf_dir):
-    return slo.burn_rate(series_grid(spark, sf_dir))
+def m8_success_rate(spark, sf_dir):
+    return metrics.success_rate(series_grid(spark, sf_dir))
 
 
-# Thresholds scaled to the compressed test log, so that every rule has steps on both sides.
-LIMITS = alerts.Thresholds(p95_seconds=7.7, lag=0, dlq_per_second=0.06, warnings_per_second=0.004, mismatches=100)
+def last_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gauge as the last reconciliation run left it, one row."""
+    return stage(spark, "gauge", sf_dir, lambda: reconcile.mismatch_gauge(mismatches(spark, sf_dir)))
 
 
-def alert_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = series_grid(spark, sf_dir)
-    lag = alerts.backlog(outcomes(spark, sf_dir), compressed("commit_ts"), compressed())
-    return alerts.signals(grid, lag, F.lit(_gauge(spark, sf_dir)))
+def day_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15-second rows as hours, and those as days."""
+    hours = stage(spark, "hours", sf_dir, lambda: metrics.rollup(series_grid(spark, sf_dir), 3600))
+    return stage(spark, "days", sf_dir, lambda: metrics.fill_grid(metrics.rollup(hours, slo.DAY), slo.DAY))
 
 
 @query
-def m12_alert_rules(spark, sf_dir):
-    return alerts.alert_rules(alert_signals(spark, sf_dir), alerts.shipped_rules(LIMITS))
+def m9_slo_report(spark, sf_dir):
+    return slo.slo_report(outcomes(spark, sf_dir), last_gauge(spark, sf_dir))
 
 
 @query
-def m13_threshold_band(spark, sf_dir):
-    grid = metrics.rolling(
-        series_grid(spark, sf_dir), metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300})
-    )
-    p95 = alerts.p95("5m")
-    return grid.select(
-        (F.col("bucket") + metrics.STEP).alias("eval_ts"),
-        metrics.threshold_band(p95, 2, 3).alias("latency_band"),
-        metrics.threshold_band(p95, 7.0, 7.8).alias("tight_band"),
-    )
+def m9_daily_objectives(spark, sf_dir):
+    """The objectives at the end of every day, over the trailing 28 days."""
+    return slo.daily_objectives(day_rows(spark, sf_dir), run_history(spark, sf_dir))
 
 
 @query
-def m14_severity_triage(spark, sf_dir):
-    grid = series_grid(spark, sf_dir)
-    sums = metrics.rolling(
-        grid,
-        {
-            "applied_10m": (model.APPLIED, 600),
-            "dlq_5m": (model.DLQ, 300),
-            "warnings_15m": ("warnings", 900),
-            "received_2h": (model.RECEIVED, 7200),
-            "applied_2h": (model.APPLIED, 7200),
-            **metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300}),
-        },
-    )
-    burn = F.try_divide(F.col("received_2h") - F.col("applied_2h"), F.col("received_2h")) / F.lit(1.0 - slo.SUCCESS_TARGET)
-    level = slo.severity_triage(
-        halted=F.col("applied_10m") == 0,
-        critical_mismatch=F.lit(False),
-        latency_high=alerts.p95("5m") > 7.7,
-        dlq_last_5m=F.col("dlq_5m"),
-        lag_high=F.lit(False),
-        schema_warnings=F.col("warnings_15m"),
-        burn=burn,
-        dlq_limit=20,
-    )
-    return sums.select((F.col("bucket") + metrics.STEP).alias("eval_ts"), level.alias("severity"))
-
-
-# --- metrics on the log's own seconds: a 15 s step is 15 s, a hold of 5 m 5 m -------------------------
-
+def m9_conservation(spark, sf_dir):
+    """What the log holds by partition, and what became of it."""
+    rows = fx.counted_offsets(outcomes(spark, sf_dir))
+    found = conservation.conservation(rows, fx.log_ends(spark, sf_dir), metrics.RESULTS, block_offsets=50)
+    return found.withColumnRenamed("partition", "part").drop("topic")
 
-def log_series_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, "log-grid", sf_dir, lambda: metrics.fill_grid(metrics.bucketize(outcomes(spark, sf_dir))))
 
-
-def log_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    commit = F.floor(F.unix_millis("commit_ts") / F.lit(1000)).cast("bigint")
-    return alerts.backlog(outcomes(spark, sf_dir), commit, metrics.log_seconds())
-
-
-# The test log has few events a minute; rates in events per second, so that every rule has steps on both sides.
-LOG_LIMITS = alerts.Thresholds(p95_seconds=3.0, lag=0, dlq_per_second=0.003, warnings_per_second=0.001, mismatches=5)
+@query
+def m9_offset_gaps(spark, sf_dir):
+    rows = fx.counted_offsets(outcomes(spark, sf_dir))
+    found = conservation.offset_gaps(rows, fx.log_ends(spark, sf_dir), block_offsets=50)
+    return found.withColumnRenamed("partition", "part").drop("topic")
 
 
 @query
-def m4_event_rate_log_seconds(spark, sf_dir):
-    return metrics.event_rate(log_series_grid(spark, sf_dir))
+def m9_repeated_offsets(spark, sf_dir):
+    found = conservation.repeated_offsets(fx.counted_offsets(outcomes(spark, sf_dir)))
+    return found.withColumnsRenamed({"partition": "part", "offset": "off"}).drop("topic")
 
 
 @query
-def m5_dlq_by_reason_log_seconds(spark, sf_dir):
-    return metrics.dlq_by_reason(log_series_grid(spark, sf_dir))
+def m9_no_silent_loss(spark, sf_dir):
+    rows = fx.counted_offsets(outcomes(spark, sf_dir))
+    return conservation.no_silent_loss(conservation.conservation(rows, fx.log_ends(spark, sf_dir), metrics.RESULTS))
 
 
 @query
-def m6_schema_warning_count_log_seconds(spark, sf_dir):
-    return metrics.schema_warning_count(log_series_grid(spark, sf_dir))
+def m10_error_budget(spark, sf_dir):
+    return slo.error_budget(outcomes(spark, sf_dir))
 
 
 @query
-def m8_success_rate_log_seconds(spark, sf_dir):
-    return metrics.success_rate(log_series_grid(spark, sf_dir))
+def m10_daily_budget(spark, sf_dir):
+    return slo.daily_budget(day_rows(spark, sf_dir))
 
 
 @query
-def m11_burn_rate_log_seconds(spark, sf_dir):
-    return slo.burn_rate(log_series_grid(spark, sf_dir))
+def m11_burn_rate(spark, sf_dir):
+    return slo.burn_rate(series_grid(spark, sf_dir))
 
 
+# The test log has few events a minute, and its offsets go up in tens: limits at which every rule has steps on both sides.
+LIMITS = alerts.Thresholds(p95_seconds=3.0, lag=20_000, dlq_per_second=0.003, warnings_per_second=0.001, mismatches=5)
 CRITICAL_SKUS = ["SKU-1", "SKU-3"]
 
 
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs within the log: at first all mismatches, then without the missing rows, seeded meanwhile, then none."""
+    """F8: three runs, at each quarter of the log's time: at first all mismatches, then without the missing rows,
+    seeded meanwhile, then those of values only."""
     wrong = stage(spark, "wrong", sf_dir, lambda: mismatches(spark, sf_dir).select("product_id", "reason"))
-    runs = {
-        "2024-01-08 10:00:07": wrong,
-        "2024-01-15 10:00:00": wrong.filter(F.col("reason") != reconcile.MISSING_IN_WEBSITE),
-        "2024-01-22 10:00:00": wrong.filter("false"),
-    }
-    rows = [reconcile.run_summary(df, F.lit(at).cast("timestamp"), CRITICAL_SKUS) for at, df in runs.items()]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
-
-
-def alert_rules_on_log(spark: SparkSession, sf_dir: str, limits: alerts.Thresholds = LOG_LIMITS) -> DataFrame:
-    grid = log_series_grid(spark, sf_dir)
-    gauges = log_backlog(spark, sf_dir).join(alerts.latest_run(grid, run_history(spark, sf_dir)), "bucket", "left")
-    rows = alerts.signals(grid, gauges, F.col("mismatches"))
-    return alerts.alert_rules(rows, alerts.shipped_rules(limits))
+    reason = F.col("reason")
+    left = [wrong, wrong.filter(reason != reconcile.MISSING_IN_WEBSITE), wrong.filter(reason == reconcile.VALUE_MISMATCH)]
+    rows = [reconcile.run_summary(df, F.lit(k), CRITICAL_SKUS) for k, df in enumerate(left, 1)]
+    at = F.unix_millis("log_ts")
+    span = outcomes(spark, sf_dir).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    runs = rows[0].unionByName(rows[1]).unionByName(rows[2]).join(F.broadcast(span), F.lit(True))  # one row
+    at = F.col("lo") + F.floor((F.col("hi") - F.col("lo")) * F.col("run_at") / 4).cast("bigint")
+    return runs.select(F.timestamp_millis(at).alias("run_at"), "mismatches", "critical_mismatches")
 
 
 @query
-def m12_alert_rules_log_seconds(spark, sf_dir):
-    return alert_rules_on_log(spark, sf_dir)
+def m12_alert_rules(spark, sf_dir):
+    grid = series_grid(spark, sf_dir)
+    lag = alerts.worst_lag(lag_series(spark, sf_dir))
+    gauges = lag.join(alerts.latest_run(grid, run_history(spark, sf_dir)), "bucket", "left")
+    rows = alerts.signals(grid, gauges, F.col("mismatches"))
+    return alerts.alert_rules(rows, alerts.shipped_rules(LIMITS))
 
 
 @query
-def m13_threshold_band_log_seconds(spark, sf_dir):
+def m13_threshold_band(spark, sf_dir):
     grid = metrics.rolling(
-        log_series_grid(spark, sf_dir), metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300})
+        series_grid(spark, sf_dir), metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300})
     )
     p95 = alerts.p95("5m")
     return grid.select(
@@ -895,27 +875,32 @@ def m13_threshold_band_log_seconds(spark, sf_dir):
     )
 
 
+def oversold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.oversold(ledger.floor_ledger(fx.movements(spark, sf_dir)), F.col("moved_at"))
+
+
 @query
-def m14_severity_triage_log_seconds(spark, sf_dir):
-    return severity_on_log(spark, sf_dir)
+def m14_severity_triage(spark, sf_dir):
+    return severity(spark, sf_dir)
 
 
-def severity_on_log(
-    spark: SparkSession, sf_dir: str, limits: alerts.Thresholds = LOG_LIMITS, dlq_limit: int = 1, hold: int = 600
+def severity(
+    spark: SparkSession, sf_dir: str, limits: alerts.Thresholds = LIMITS, dlq_limit: int = 1, clamp_limit: int = 1, hold: int = 600
 ) -> DataFrame:
-    grid = log_series_grid(spark, sf_dir)
+    grid = series_grid(spark, sf_dir)
     sums = metrics.rolling(
-        grid,
+        grid.join(oversold(spark, sf_dir).select("bucket", "clamps"), "bucket", "left").fillna(0, ["clamps"]),
         {
             "applied_10m": (model.APPLIED, 600),
             "dlq_5m": (model.DLQ, 300),
             "warnings_15m": ("warnings", 900),
             "received_2h": (model.RECEIVED, 7200),
             "applied_2h": (model.APPLIED, 7200),
+            "clamps_10m": ("clamps", 600),
             **metrics.per_window([*metrics.LE, "latency_count"], {"5m": 300}),
         },
     )
-    sums = sums.join(log_backlog(spark, sf_dir), "bucket", "left")
+    sums = sums.join(alerts.worst_lag(lag_series(spark, sf_dir)), "bucket", "left")
     sums = sums.join(alerts.latest_run(grid, run_history(spark, sf_dir)), "bucket", "left")
     rows = alerts.held(
         sums,
@@ -933,6 +918,7 @@ def severity_on_log(
         lag_high=F.col("lag_high"),
         schema_warnings=F.col("warnings_15m"),
         burn=burn,
+        overselling=F.col("clamps_10m") > clamp_limit,
         dlq_limit=dlq_limit,
     )
     return rows.select((F.col("bucket") + metrics.STEP).alias("eval_ts"), level.alias("severity"))
@@ -965,3 +951,9 @@ def l2_negative_delta_clamps(spark, sf_dir):
     return ledger.negative_delta_clamps(ledger.floor_ledger(fx.movements(spark, sf_dir))).select(
         "product_id", F.col("seq").alias("n"), "delta", "absorbed"
     )
+
+
+@query
+def l2_oversold_series(spark, sf_dir):
+    """The clamps as a series on the evaluation grid's steps."""
+    return oversold(spark, sf_dir).select((F.col("bucket") + metrics.STEP).alias("eval_ts"), "clamps", "absorbed")

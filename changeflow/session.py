@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/changeflow/{spark.sparkContext.applicationId}/{name}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder: lineage ends there, and several readers share one run."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(spark: SparkSession, name: str, of: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once per application to the shared folder and read it back.
 

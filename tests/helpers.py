@@ -50,21 +50,18 @@ def gated_events(spark, events):
     )
 
 
-def one_at_a_time(events, ttl_ms, state=None, marks=None):
+def one_at_a_time(events, ttl_ms, state=None, marks=None, dedupe="id_and_key"):
     """The rules applied to one event after the other, in offset order."""
     state, marks, labels = dict(state or {}), dict(marks or {}), {}
     for offset, event_id, product, warehouse, version, ms in sorted(events):
         key = (product, warehouse)
-        mark = marks.get((event_id, key))
-        if mark is not None and ms - mark >= ttl_ms:
-            del marks[(event_id, key)]
-            mark = None
-        if mark is not None:
+        mark = event_id if dedupe == "id" else (event_id, key)
+        if mark in marks and ms - marks[mark] < ttl_ms:
             labels[offset] = "skipped"
         elif key in state and state[key][0] >= version:
             labels[offset] = "rejected"
         else:
             labels[offset] = "applied"
             state[key] = (version, event_id)
-            marks[(event_id, key)] = ms
+            marks[mark] = max(ms, marks.get(mark, ms))
     return labels, state, marks

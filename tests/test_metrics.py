@@ -4,7 +4,7 @@ import pytest
 from helpers import at
 from pyspark.sql import functions as F
 
-from changeflow.operators import alerts, metrics, reconcile, slo
+from changeflow.operators import alerts, conservation, metrics, reconcile, slo
 
 
 def outcomes(spark, rows):
@@ -137,12 +137,16 @@ def test_shipped_rules(spark):
 
 def test_slo_report_and_budget(spark):
     df = outcomes(spark, [(0, "applied", None, None, 900)] * 9999 + [(0, "dlq", "decode_error", None, None)])
-    report = {r.slo: r for r in slo.slo_report(df, 2).collect()}
+    run = spark.createDataFrame([(2,)], "gauge bigint")
+    report = {r.slo: r for r in slo.slo_report(df, run).collect()}
     assert report["successful_processing"].met and report["freshness_p95"].met
     assert report["mismatch_rate"].value == 0.002 and not report["mismatch_rate"].met
     budget = slo.error_budget(df).first()
     assert (budget.allowed, budget.consumed, budget.remaining) == (5.0, 1, 4.0)
-    assert (budget.allowed_per_day, budget.allowed_per_window) == (2500.0, 70000.0)
+    assert (budget.allowed_per_day, budget.allowed_per_window) == (5.0, 140.0)
+    assert slo.slo_report(df, run.limit(0)).filter("slo = 'mismatch_rate'").first().value is None
+    no_day = slo.error_budget(df.limit(0)).first()
+    assert no_day.received == 0 and no_day.allowed_per_day is None
 
 
 def test_burn_needs_both_windows(spark):
@@ -165,20 +169,110 @@ def test_severity(spark):
     assert level(schema_warnings=1) == "SEV-3" and level(burn=3.5) == "SEV-3" and level(burn=None) is None
     assert level(dlq_last_5m=51, burn=9.0) == "SEV-2" and level(dlq_last_5m=50) is None
     assert level(halted=True, lag_high=True) == "SEV-1"
+    assert level(overselling=True) == "SEV-1" and level(overselling=None) is None
 
 
 def test_registered_metrics_on_the_log_s_own_clock(spark, small_dir):
-    """A step of 15 s is 15 s of the log, so a month has sixty times the steps of the compressed queries."""
+    """A step of 15 s is 15 s of the log, over the whole log."""
     from changeflow.plans import queries as Q
 
     found = Q.registered()
     seconds = Q.outcomes(spark, small_dir).select(F.min(metrics.log_seconds()), F.max(metrics.log_seconds())).first()
     lo, hi = (v // 15 * 15 for v in seconds)
-    for name in ("m4_event_rate_log_seconds", "m13_threshold_band_log_seconds"):
+    for name in ("m4_event_rate", "m7_lag_series", "m13_threshold_band", "m14_severity_triage"):
         steps = found[name](spark, small_dir).agg(F.count("*"), F.min("eval_ts"), F.max("eval_ts")).first()
         assert tuple(steps) == ((hi - lo) // 15 + 1, lo + 15, hi + 15)
 
 
+def test_overselling_alone_raises_sev_1(spark, small_dir):
+    """Steps that only the clamps make SEV-1 are less severe once the clamps' limit is out of reach."""
+    from changeflow.plans import queries as Q
+
+    with_clamps = Q.severity(spark, small_dir, clamp_limit=0).withColumnRenamed("severity", "a")
+    without = Q.severity(spark, small_dir, clamp_limit=10**9).withColumnRenamed("severity", "b")
+    both = with_clamps.join(without, "eval_ts")
+    assert both.filter("a = 'SEV-1' AND b IS DISTINCT FROM 'SEV-1'").count() > 0
+    assert both.filter("a IS DISTINCT FROM b AND a <> 'SEV-1'").count() == 0
+
+
+def lag_by_hand(log, commits, steps, step=15):
+    out = {}
+    for b in steps:
+        total = {}
+        for (topic, part) in {r[:2] for r in log}:
+            mine = lambda rows: [o for t, p, o, s in rows if (t, p) == (topic, part) and s // step * step <= b]
+            start = min(o for t, p, o, _ in log if (t, p) == (topic, part)) - 1
+            total[topic] = total.get(topic, 0) + max([start, *mine(log)]) - max([start, *mine(commits)])
+        out.update({(t, b): v for t, v in total.items()})
+    return out
+
+
+def test_lag_is_carried_forward(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "SLICE_SECONDS", 90)
+    rng = random.Random(9)
+    log = [("t" if p < 3 else "u", p, 10 * p + i, rng.randrange(0, 900) if p < 4 else 40) for p in range(5) for i in range(30)]
+    log = sorted((t, p, o, s) for (t, p, _, s), (_, _, o, _) in zip(sorted(log, key=lambda r: (r[1], r[3])), sorted(log, key=lambda r: (r[1], r[2]))))
+    commits = [(t, p, o, s + rng.randrange(300)) for t, p, o, s in log if p != 2 and not (p == 1 and s > 300) and rng.random() < 0.4]
+    schema = "topic string, partition int, offset bigint, s bigint"
+    frames = [
+        spark.createDataFrame(rows, schema).withColumn("timestamp", F.timestamp_seconds("s")).drop("s") for rows in (log, commits)
+    ]
+    grid = spark.createDataFrame([(b,) for b in range(30, 840, 15)], "bucket bigint")
+    got = {(r.topic, r.bucket): r.lag for r in metrics.lag_series(*frames, grid).collect()}
+    assert got == lag_by_hand(log, commits, range(30, 840, 15))
+    worst = {r.bucket: r.consumer_lag for r in alerts.worst_lag(metrics.lag_series(*frames, grid)).collect()}
+    assert worst == {b: max(v for (_, at_), v in got.items() if at_ == b) for b in range(30, 840, 15)}
+    none = metrics.lag_series(frames[0], frames[1].limit(0), grid).filter("topic = 't' AND bucket = 825").first()
+    assert none.lag == lag_by_hand(log, [], [825])[("t", 825)]
+
+
+def test_rollups_merge_and_windows_of_days(spark):
+    rng = random.Random(11)
+    df = outcomes(spark, [(rng.randrange(0, 40 * 86400), rng.choice(["applied", "dlq"]), None, None, None) for _ in range(2000)])
+    df = df.withColumn("latency_ms", F.when(F.col("result") == "applied", F.unix_seconds("log_ts") % 9000))
+    fine = metrics.bucketize(df)
+    days = metrics.fill_grid(metrics.rollup(metrics.rollup(fine, 3600), slo.DAY), slo.DAY)
+    direct = metrics.fill_grid(metrics.bucketize(df, step=slo.DAY), slo.DAY)
+    assert sorted(days.collect()) == sorted(direct.collect())
+    rows = {r.bucket: r for r in days.collect()}
+    for r in slo.daily_budget(days).collect():
+        end = r.eval_ts - slo.DAY
+        window = [rows[b] for b in range(end - 27 * slo.DAY, end + 1, slo.DAY) if b in rows]
+        received, applied = sum(w.received for w in window), sum(w.applied for w in window)
+        assert (r.received_window, r.consumed_window, r.consumed_day) == (received, received - applied, rows[end].received - rows[end].applied)
+    first = min(rows)
+    runs = spark.createDataFrame([(first + 5, 4, 0), (first + 9, 1, 0), (first + 5 * slo.DAY, 7, 0)], "s bigint, mismatches bigint, critical_mismatches bigint")
+    report = slo.daily_objectives(days, runs.withColumn("run_at", F.timestamp_seconds("s")))
+    rate = {r.eval_ts: r.value for r in report.filter("slo = 'mismatch_rate'").collect()}
+    assert len(rate) == len(rows) and {k: v for k, v in rate.items() if v is not None} == {first + slo.DAY: 0.001, first + 6 * slo.DAY: 0.007}
+
+
+def test_conservation_finds_planted_gaps(spark):
+    results = ["applied", "skipped", "rejected", "dlq"]
+    lost = {("t", 0): {0, 1, 7, 99, 100, 101, 250, 999}, ("t", 1): set(), ("u", 0): set(range(40, 60))}
+    rows = [(t, p, o, results[o % 4]) for (t, p), gone in lost.items() for o in range(1000) if o not in gone]
+    rows += [("t", 1, 5, "applied"), ("t", 1, 6, results[6 % 4])]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, result string")
+    ends = spark.createDataFrame([(t, p, 0, 999) for t, p in lost] + [("u", 9, 3, 8)], "topic string, partition int, first_offset bigint, end_offset bigint")
+    for size in (10**6, 100, 7):
+        gaps = {(r.topic, r.partition, r.from_offset, r.to_offset): r.missing for r in conservation.offset_gaps(df, ends, size).collect()}
+        assert gaps == {
+            ("t", 0, 0, 1): 2, ("t", 0, 7, 7): 1, ("t", 0, 99, 101): 3, ("t", 0, 250, 250): 1, ("t", 0, 999, 999): 1,
+            ("u", 0, 40, 59): 20, ("u", 9, 3, 8): 6,
+        }
+    found = {(r.topic, r.partition): r for r in conservation.conservation(df, ends, results, 100).collect()}
+    assert {k: (r.expected, r.accounted, r.missing, r.repeated, r.conflicting, r.received, r.conserved) for k, r in found.items()} == {
+        ("t", 0): (1000, 992, 8, 0, 0, 992, False), ("t", 1): (1000, 1000, 0, 2, 1, 1002, False),
+        ("u", 0): (1000, 980, 20, 0, 0, 980, False), ("u", 9): (6, 0, 6, 0, 0, 0, False),
+    }
+    loss = conservation.no_silent_loss(conservation.conservation(df, ends, results)).first()
+    assert (loss.value, loss.met) == (34.0, False)
+    assert [(r.offset, r.deliveries, r.results) for r in conservation.repeated_offsets(df).orderBy("offset").collect()] == [(5, 2, 2), (6, 2, 1)]
+    whole = df.filter("topic = 't' AND partition = 1").dropDuplicates(["offset"])
+    assert conservation.conservation(whole, ends.filter("topic = 't' AND partition = 1"), results).first().conserved
+    assert conservation.offset_gaps(df.limit(0)).count() == 0
+
+
 def test_gauge_of_the_last_run_and_holds(spark):
     grid = spark.createDataFrame([(i * 15,) for i in range(60)], "bucket bigint")
     base = 1704067200

@@ -10,8 +10,9 @@ from changeflow.operators import resolve
 DAY_MS = 24 * 3600 * 1000
 
 
-def random_log(rng, n, keys=6, hot=0.0):
-    """Events with swapped versions, ties, repeats near and far; an id always means one (key, version)."""
+def random_log(rng, n, keys=6, hot=0.0, reused=0.0):
+    """Events with swapped versions, ties, repeats near and far; ``reused`` of the new events take an id in use,
+    for another version or another key."""
     events, made, ms = [], [], 0
     versions = {}
     for offset in range(n):
@@ -24,6 +25,9 @@ def random_log(rng, n, keys=6, hot=0.0):
             versions[k] = versions.get(k, 0) + rng.choice([0, 1, 1, 2])
             v = max(1, versions[k] + rng.choice([-2, 0, 0, 1]))
             event_id = f"E{offset}"
+            if made and rng.random() < reused:
+                same_key = [m[0] for m in made[-30:] if (m[1], m[2]) == (p, w)]
+                event_id = rng.choice(same_key or [made[-1][0]]) if rng.random() < 0.7 else rng.choice(made)[0]
             made.append((event_id, p, w, v))
         events.append((offset, event_id, p, w, v, ms + rng.choice([0, 0, -500])))
     return events
@@ -52,18 +56,68 @@ def test_any_batch_split_gives_the_same_answer(spark, seed, hot_rows):
     rng = random.Random(seed)
     events = random_log(rng, 300, hot=0.4)
     want, want_state, _ = one_at_a_time(events, DAY_MS)
+    check_split(spark, rng, events, want, want_state, hot_rows)
+
+
+def check_split(spark, rng, events, want, want_state, hot_rows, dedupe="id_and_key"):
     cuts = sorted(rng.sample(range(1, 300), 2))
     got, state, marks = {}, None, None
     for lo, hi in zip([0, *cuts], [*cuts, 300]):
         gated = gated_events(spark, events[lo:hi]).cache()
-        out = resolve.event_outcomes(gated, state, marks, hot_rows=hot_rows).cache()
+        out = resolve.event_outcomes(gated, state, marks, hot_rows=hot_rows, dedupe=dedupe).cache()
         got.update(labels_of(out))
-        state = spark.createDataFrame(resolve.versioned_upsert(state, gated).collect(), model.STATE)
+        state = spark.createDataFrame(resolve.versioned_upsert(state, out).collect(), model.STATE)
         marks = spark.createDataFrame(resolve.mark_applied(out, marks).select(*[f.name for f in model.MARKS]).collect(), model.MARKS)
     assert got == want
     assert state_of(state) == want_state
 
 
+@pytest.mark.parametrize("dedupe", ["id_and_key", "id"])
+@pytest.mark.parametrize("seed, hot_rows, reused", [(21, 10**6, 0.1), (22, 10**6, 0.6), (23, 25, 0.3), (24, 7, 0.5)])
+def test_reused_ids_equal_one_at_a_time(spark, dedupe, seed, hot_rows, reused):
+    events = random_log(random.Random(seed), 300, hot=0.4, reused=reused)
+    want, state, _ = one_at_a_time(events, DAY_MS, dedupe=dedupe)
+    assert want != one_at_a_time(events, DAY_MS, dedupe="id" if dedupe != "id" else "id_and_key")[0]
+    out = resolve.event_outcomes(gated_events(spark, events).cache(), hot_rows=hot_rows, dedupe=dedupe)
+    assert labels_of(out) == want
+    assert state_of(resolve.versioned_upsert(None, out)) == state
+
+
+@pytest.mark.parametrize("dedupe, seed, hot_rows", [("id_and_key", 31, 10**6), ("id_and_key", 32, 9), ("id", 33, 10**6), ("id", 34, 9)])
+def test_any_batch_split_with_reused_ids(spark, dedupe, seed, hot_rows):
+    rng = random.Random(seed)
+    events = random_log(rng, 300, hot=0.4, reused=0.4)
+    want, want_state, _ = one_at_a_time(events, DAY_MS, dedupe=dedupe)
+    check_split(spark, rng, events, want, want_state, hot_rows, dedupe)
+
+
+def test_a_skipped_event_raises_no_version(spark):
+    gated = gated_events(spark, [(0, "a", "P", "W", 5, 0), (1, "a", "P", "W", 7, 1), (2, "b", "P", "W", 6, 2), (3, "a", "Q", "W", 1, 3)])
+    assert labels_of(resolve.event_outcomes(gated)) == {0: "applied", 1: "skipped", 2: "applied", 3: "applied"}
+    by_id = resolve.event_outcomes(gated, dedupe="id")
+    assert labels_of(by_id) == {0: "applied", 1: "skipped", 2: "applied", 3: "skipped"}
+    assert state_of(resolve.versioned_upsert(None, by_id)) == {("P", "W"): (6, "b")}
+    with pytest.raises(ValueError):
+        resolve.event_outcomes(gated, dedupe="key")
+
+
+def test_an_id_applied_again_after_its_mark_expired_is_remembered_anew(spark):
+    hour = 3_600_000
+    events = [(0, "a", "P", "W", 1, 0), (1, "a", "P", "W", 2, 25 * hour), (2, "a", "P", "W", 3, 26 * hour), (3, "a", "P", "W", 4, 50 * hour)]
+    want = {0: "applied", 1: "applied", 2: "skipped", 3: "applied"}
+    assert labels_of(resolve.event_outcomes(gated_events(spark, events))) == want
+
+
+def test_a_chain_of_overturned_labels(spark):
+    """Every label hangs on the one before it: the rounds go on until none changes."""
+    events, n = [], 0
+    for k in range(12):
+        events += [(n, f"x{k}", "P", "W", 10 * k + 5, n), (n + 1, f"x{k}", "P", "W", 10 * k + 9, n + 1), (n + 2, f"x{k + 1}", "P", "W", 10 * k + 7, n + 2)]
+        n += 3
+    want, _, _ = one_at_a_time(events, DAY_MS)
+    assert labels_of(resolve.event_outcomes(gated_events(spark, events))) == want
+
+
 def test_first_arrival_wins_a_tie_and_new_keys_ignore_versions(spark):
     gated = gated_events(spark, [(0, "a", "P", "W", 5, 0), (1, "b", "P", "W", 5, 1), (2, "c", "Q", "W", 1, 2)])
     assert labels_of(resolve.event_outcomes(gated)) == {0: "applied", 1: "rejected", 2: "applied"}
@@ -95,6 +149,9 @@ def test_was_applied(spark):
     later = gated_events(spark, [(2, "a", "P", "W", 5, 10), (3, "a", "P", "W", 5, DAY_MS), (4, "b", "P", "W", 5, 10)])
     seen = {r.kafka_offset: r.seen for r in resolve.was_applied(later, marks).collect()}
     assert seen == {2: True, 3: False, 4: False}
+    other = gated_events(spark, [(5, "a", "Q", "W", 5, 10)])
+    assert [r.seen for r in resolve.was_applied(other, marks).collect()] == [False]
+    assert [r.seen for r in resolve.was_applied(other, marks, dedupe="id").collect()] == [True]
     assert spark.range(1).select(resolve.mark_key(F.lit("x"))).first()[0] == "cdc:applied:x"
 
 
@@ -123,7 +180,7 @@ def test_delete_modes(spark):
 
 def test_ordinary_path_shuffles_once(spark):
     gated = gated_events(spark, [(0, "a", "P", "W", 1, 0)])
-    plan = resolve.event_outcomes(gated).select("result")._jdf.queryExecution().executedPlan().toString()
+    plan = resolve.labelled(gated, []).select("_applied", "_skipped", "_open")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 

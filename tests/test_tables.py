@@ -16,9 +16,9 @@ from changeflow.sources import tables as S
 NOW = dt.datetime(2024, 1, 2)
 SEED = [
     ("KETTLE-7", "DEPOT-A", 41, 0, "ACTIVE", 61),
-    ("KETTLE-7", "DEPOT-B", 35, 2, "ACTIVE", 88),
-    ("MUG-3", "DEPOT-A", 75, 3, "ACTIVE", 733),
-    ("LAMP-9", "DEPOT-A", 0, 0, "OOS", 150),
+    ("KETTLE-7", "DEPOT-B", 19, 4, "ACTIVE", 46),
+    ("MUG-3", "DEPOT-A", 82, 1, "ACTIVE", 37),
+    ("LAMP-9", "DEPOT-A", 0, 0, "OOS", 205),
 ]
 
 
@@ -43,7 +43,7 @@ def test_mismatch_reasons(spark):
     web = seed_missing(None, source(spark), F.lit(NOW)).filter("stock_status <> 'OOS'")
     web = web.withColumn(
         "row_version",
-        F.when(F.col("warehouse_id") == "DEPOT-B", 90).when(F.col("product_id") == "MUG-3", 700).otherwise(F.col("row_version")),
+        F.when(F.col("warehouse_id") == "DEPOT-B", 52).when(F.col("product_id") == "MUG-3", 31).otherwise(F.col("row_version")),
     ).withColumn("available_qty", F.when(F.col("row_version") == 61, 40).otherwise(F.col("available_qty")))
     view = reconcile.mismatch_view(source(spark), web)
     reasons = {(r.product_id, r.warehouse_id): r.reason for r in view.collect()}
@@ -63,12 +63,12 @@ def test_mismatch_reasons(spark):
 
 def test_snapshot_runs_ahead_of_the_log(spark):
     snapshot = S.snapshot_to_events(source(spark), F.lit(NOW))
-    log = log_of(spark, [message("a", "LAMP-9", "DEPOT-A", 151, qty=9), message("b", "KETTLE-7", "DEPOT-B", 87)])
+    log = log_of(spark, [message("a", "LAMP-9", "DEPOT-A", 206, qty=9), message("b", "KETTLE-7", "DEPOT-B", 45)])
     gated = gates.gate(decode(snapshot.unionByName(log))).cache()
     results = {r.event_id: r.result for r in resolve.event_outcomes(gated).collect()}
     assert results == {"warehouse_inventory-0-0": "applied", "a": "applied", "b": "rejected"}
     state = {(r.product_id, r.warehouse_id): r.row_version for r in resolve.versioned_upsert(None, gated).collect()}
-    assert state[("LAMP-9", "DEPOT-A")] == 151 and state[("KETTLE-7", "DEPOT-B")] == 88
+    assert state[("LAMP-9", "DEPOT-A")] == 206 and state[("KETTLE-7", "DEPOT-B")] == 46
 
 
 def test_dead_letters_go_out_and_come_back(spark, tmp_path):
