@@ -101,7 +101,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consumer_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """offsets the consumer committed, and when: every fifth message, some time after it; one partition falls silent."""
+    """F8: offsets the consumer committed, and when: every fifth message, some time after it; one partition falls silent."""
     n = F.floor(F.col("offset") / 10)
     silent = (F.col("partition") == 7) & (F.col("timestamp") >= F.lit("2024-01-20").cast("timestamp"))
     at = F.unix_millis("timestamp") + 20_000 + n % 7 * 60_000
@@ -111,7 +111,7 @@ def consumer_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counted_offsets(outcomes: DataFrame) -> DataFrame:
-    """outcomes over dense offsets of twelve partitions; repeats count an offset again, and some ranges are lost."""
+    """outcomes over dense offsets of twelve partitions; repeats count an offset again, and some ranges are lost."""
     n = F.floor(F.col("kafka_offset") / 10).cast("bigint")
     offset = F.floor(n / 12).cast("bigint")
     return outcomes.filter(~(offset % 97).isin(5, 6)).select(
@@ -120,7 +120,7 @@ def counted_offsets(outcomes: DataFrame) -> DataFrame:
 
 
 def log_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """first and last offset of each partition of that log."""
+    """first and last offset of each partition of that log."""
     n = F.col("event_id")
     offset = F.floor(n / 12).cast("bigint")
     return table(spark, sf_dir, "events").groupBy((n % 12).cast("int").alias("partition")).agg(

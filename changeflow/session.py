@@ -58,6 +58,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/changeflow/{spark.sparkContext.applicationId}/{name}"
 
 
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _folder(spark, path)
+    return fs.exists(at)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it isn't there."""
+    fs, at = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _folder(spark, path)
+    fs.delete(at, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table of its own in the shared folder: lineage ends there, and several readers share one run."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")

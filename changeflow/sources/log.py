@@ -12,6 +12,8 @@ from changeflow.functions.decode import MALFORMED, parse
 
 # --- fixed values: fetch settings of the consumer ------------------------------------------------
 TRIGGER = "500 milliseconds"
+# A fetch waits for 10,000 bytes, some 25 messages, or half a second.
+MIN_OFFSETS, MAX_DELAY = 25, "500ms"
 
 
 def read_log(
@@ -24,13 +26,16 @@ def read_log(
     streaming: bool = False,
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
+    min_offsets_per_trigger: int | None = MIN_OFFSETS,
+    max_trigger_delay: str = MAX_DELAY,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Log rows (``model.LOG``) from parquet files or from Kafka, as a batch or a stream.
 
     A new consumer group starts at the latest offset, as the stream does here;
     afterwards the checkpoint holds the position. A Kafka batch read covers the
-    whole retained log.
+    whole retained log. A stream waits for ``min_offsets_per_trigger`` messages, but
+    no longer than ``max_trigger_delay``, so that few messages don't make many batches.
     """
     if path is not None:
         if not streaming:
@@ -55,6 +60,10 @@ def read_log(
         reader = reader.option("startingOffsets", starting_offsets).option("failOnDataLoss", "true")
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        if min_offsets_per_trigger:
+            if max_offsets_per_trigger and min_offsets_per_trigger > max_offsets_per_trigger:
+                raise ValueError("min_offsets_per_trigger exceeds max_offsets_per_trigger")
+            reader = reader.option("minOffsetsPerTrigger", min_offsets_per_trigger).option("maxTriggerDelay", max_trigger_delay)
     return reader.load().select(
         "topic",
         "partition",

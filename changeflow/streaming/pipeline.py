@@ -21,15 +21,18 @@ from changeflow.model import KEY
 from changeflow.operators import blocks
 from changeflow.operators.contract import Contract, load_contract
 from changeflow.operators.gates import dlq_envelope, gate
-from changeflow.operators.resolve import event_outcomes, mark_applied, versioned_upsert
+from changeflow.operators.resolve import ID, ID_AND_KEY, event_outcomes, mark_applied, versioned_upsert
 from changeflow.functions.decode import decode
+from changeflow.session import exists
 from changeflow.sinks.state import MarkTable, StateTable
-from changeflow.sinks.tables import append_audit, dlq_messages, write_dlq
+from changeflow.sinks.tables import append_audit, dlq_messages, merge_into_table, write_dlq
 from changeflow.sources.log import TRIGGER
 
 
 @dataclass(frozen=True)
 class Settings:
+    """``merge_table`` names a catalog table that supports MERGE; it then holds the read model instead of files."""
+
     root: str
     contract: Contract | None = None
     buckets: int = 64
@@ -40,6 +43,8 @@ class Settings:
     warn_unknown_fields: bool = False
     apply_mapping: bool = False
     hot_rows: int = blocks.HOT_ROWS
+    dedupe: str = ID_AND_KEY
+    merge_table: str | None = None
 
 
 class Pipeline:
@@ -60,50 +65,78 @@ class Pipeline:
         decoded = decode(log, contract.mapping if s.apply_mapping else None)
         return gate(decoded, contract, s.ignore_tombstones, s.check_types, s.warn_unknown_fields)
 
+    def read_model(self, only: list[int] | None = None) -> DataFrame:
+        if self.settings.merge_table is None:
+            return self.state.read(only)
+        rows = self.spark.table(self.settings.merge_table).select([f.name for f in model.STATE])
+        return rows if only is None else rows.filter(self.state.bucket_of().isin(only))
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """One micro-batch of gated events; safe to repeat with the same id."""
+        """One micro-batch of gated events; safe to repeat with the same id.
+
+        Outcomes are written once: the read model may hold a part of the batch by
+        the time it runs again, so what it was before can't be asked a second time.
+        """
         s = self.settings
+        target = f"{self.outcomes_dir}/batch_id={batch_id}"
         # The stream runs in a session of its own, without adaptive execution; from
         # here on the batch is an ordinary table of the caller's session.
         events = append_audit(batch, self.audit, batch_id, self.spark)
         passing = F.col("dlq_reason").isNull()
-        # One pass for what the batch touches; the bucket list is at most ``buckets`` long.
-        earliest, touched = events.agg(
-            F.min(F.unix_seconds("log_ts")), F.collect_set(F.when(passing, self.state.bucket_of()))
+        # One pass for what the batch touches; the bucket lists have at most ``buckets`` entries.
+        earliest, total, touched, marked = events.agg(
+            F.min(F.unix_seconds("log_ts")),
+            F.count(F.lit(1)),
+            F.collect_set(F.when(passing, self.state.bucket_of())),
+            F.collect_set(F.when(passing, self.marks.bucket_of())),
         ).first()
         if earliest is None:
             return
-        before = self.state.read(before=batch_id, only=touched)
-        marks = self.marks.read(before=batch_id, earliest_log_second=earliest)
-
-        keys = events.filter(passing).select(*KEY).distinct()
-        outcomes = event_outcomes(
-            events.drop("event_date"),
-            before.join(keys, KEY, "left_semi"),
-            None if marks is None else marks.join(keys, KEY, "left_semi"),
-            s.ttl_seconds,
-            s.hot_rows,
-        )
-        target = f"{self.outcomes_dir}/batch_id={batch_id}"
-        outcomes.write.mode("overwrite").parquet(target)
-        written = self.spark.read.schema(outcomes.schema).parquet(target)
+        before = self.read_model(touched)
+        if exists(self.spark, f"{target}/_SUCCESS"):
+            outcomes = self.spark.read.parquet(target)
+            done = True
+        else:
+            done = False
+            ids = events.filter(passing).select(*KEY, "event_id").distinct()
+            marks = self.marks.read(batch_id, earliest, marked)
+            scope = ["event_id"] if s.dedupe == ID else [*KEY, "event_id"]
+            outcomes = event_outcomes(
+                events.drop("event_date"),
+                before.join(ids.select(*KEY).distinct(), KEY, "left_semi"),
+                None if marks is None else marks.join(ids, scope, "left_semi"),
+                s.ttl_seconds,
+                s.hot_rows,
+                s.dedupe,
+                total,
+            )
+
+        def outcome_rows() -> None:
+            if not done:
+                outcomes.write.mode("overwrite").parquet(target)
 
         def dead_letters() -> None:
-            dead = dlq_envelope(written.filter(~passing))
+            dead = dlq_envelope(outcomes.filter(~passing))
             write_dlq(dlq_messages(dead), f"{self.dlq}/batch_id={batch_id}")
 
         def new_marks() -> None:
-            self.marks.write(batch_id, mark_applied(written))
+            self.marks.write(batch_id, mark_applied(outcomes))
+            self.marks.forget(earliest)
 
-        def new_state() -> None:
-            if touched:
-                self.state.write(batch_id, versioned_upsert(before, written, s.delete_mode), touched)
+        def next_state() -> None:
+            if touched and s.merge_table is None and not self.state.is_staged(batch_id):
+                self.state.stage(batch_id, versioned_upsert(before, outcomes, s.delete_mode))
 
-        # The three sinks do not depend on each other; a failure of any fails the batch.
-        with ThreadPoolExecutor(3) as pool:
-            jobs = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in (dead_letters, new_marks, new_state)]
+        # These do not depend on each other; a failure of any fails the batch.
+        with ThreadPoolExecutor(4) as pool:
+            jobs = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in (outcome_rows, dead_letters, new_marks, next_state)]
             for job in jobs:
                 job.result()
+        # Only now, with the outcomes and the staged copy whole, the read model changes.
+        if touched and s.merge_table is not None:
+            merge_into_table(versioned_upsert(None, outcomes, s.delete_mode), s.merge_table)
+        elif touched:
+            self.state.swap(batch_id)
 
     def outcomes(self) -> DataFrame:
         return self.spark.read.parquet(self.outcomes_dir)

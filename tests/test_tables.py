@@ -1,5 +1,8 @@
 import datetime as dt
+import glob
 import json
+import os
+import re
 
 import pytest
 from helpers import at, gated_events, log_of, message
@@ -8,8 +11,8 @@ from pyspark.sql import functions as F
 from changeflow import model
 from changeflow.functions.decode import decode
 from changeflow.operators import gates, readmodel, reconcile, replay, resolve
-from changeflow.sinks.state import StateTable
-from changeflow.sinks.tables import append_audit, dlq_messages, read_audit, seed_missing, write_dlq
+from changeflow.sinks.state import MarkTable, StateTable
+from changeflow.sinks.tables import append_audit, dlq_messages, merge_into_table, read_audit, seed_missing, write_dlq
 from changeflow.sources import log as L
 from changeflow.sources import tables as S
 
@@ -109,27 +112,103 @@ def test_audit_replay_is_idempotent(spark, tmp_path):
     assert labels == {"skipped"}
 
 
+def versions(df):
+    return {r.product_id: r.row_version for r in df.collect()}
+
+
 def test_state_table(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "s"), buckets=4)
     assert table.read().count() == 0
     first = gated_events(spark, [(i, f"a{i}", f"P{i}", "W", 1, 0) for i in range(20)])
-    table.write(0, resolve.versioned_upsert(None, first), table.touched(first))
+    table.replace(0, resolve.versioned_upsert(None, first))
     second = gated_events(spark, [(30, "b", "P3", "W", 2, 5)])
-
-    def step():
-        touched = table.touched(second)
-        before = table.read(before=1, only=touched)
-        table.write(1, resolve.versioned_upsert(before, second), touched)
-
+    touched = table.touched(second)
+    untouched = sorted(f for f in glob.glob(f"{table.table}/bucket=*/*.parquet") if f"bucket={touched[0]}/" not in f)
     for _ in range(2):
-        step()
-        rows = {r.product_id: r.row_version for r in table.read().collect()}
+        table.replace(1, resolve.versioned_upsert(table.read(touched), second))
+        rows = versions(table.read())
         assert len(rows) == 20 and rows["P3"] == 2 and rows["P4"] == 1
-    assert {r.row_version for r in table.read(before=1).collect()} == {1}
+    # Files of other buckets are the same ones; copies of earlier batches are gone.
+    assert set(untouched) <= set(glob.glob(f"{table.table}/bucket=*/*.parquet"))
+    assert os.listdir(tmp_path / "s" / "staged") == ["batch=1"]
+    scan = table.read(touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in scan
     with pytest.raises(ValueError):
         StateTable(spark, str(tmp_path / "s"), buckets=8).read()
 
 
+def test_a_crash_between_stage_and_swap_loses_nothing(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "s"), buckets=4)
+    table.replace(0, resolve.versioned_upsert(None, gated_events(spark, [(i, f"a{i}", f"P{i}", "W", 1, 0) for i in range(20)])))
+    events = gated_events(spark, [(20 + i, f"b{i}", f"P{i}", "W", 2, 5) for i in range(20)])
+    table.stage(1, resolve.versioned_upsert(table.read(), events))
+    assert set(versions(table.read()).values()) == {1}
+    # A part of the swap had happened: the batch that runs again must not start from it.
+    staged = spark.read.parquet(str(tmp_path / "s/staged/batch=1")).filter("bucket = 2")
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table.table)
+    assert set(versions(table.read()).values()) == {1, 2}
+    table.replace(1, spark.createDataFrame([], model.STATE))
+    assert versions(table.read()) == {f"P{i}": 2 for i in range(20)}
+
+
+def test_marks_are_pruned_and_forgotten(spark, tmp_path):
+    day = 86400
+    table = MarkTable(spark, str(tmp_path / "m"), buckets=8)
+    base = int(at(0).replace(tzinfo=dt.timezone.utc).timestamp())
+    assert table.read(5, base) is None
+    for batch in range(4):
+        marks = [(f"e{batch}-{i}", "P", "W", at(batch * day * 1000 + i)) for i in range(30)]
+        rows = spark.createDataFrame(marks, model.MARKS)
+        table.write(batch, rows)
+        if batch == 2:
+            table.write(batch, rows)  # a batch that runs again
+    now = base + 3 * day
+    assert {r.event_id[:2] for r in table.read(4, now).collect()} == {"e2", "e3"}
+    assert {r.event_id[:2] for r in table.read(3, now).collect()} == {"e2"}
+    one = spark.createDataFrame([("e3-7",)], "event_id string").select(table.bucket_of()).first()[0]
+    pruned = table.read(4, now, [one])
+    assert "e3-7" in {r.event_id for r in pruned.collect()} and pruned.distinct().count() < 30
+    scan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", scan) and re.search(r"PartitionFilters: \[[^\]]*mark_day", scan)
+    read = {re.search(r"bucket=(\d+)", r[0]).group(1) for r in pruned.select(F.input_file_name()).distinct().collect()}
+    assert read == {str(one)}
+    assert table.forget(now) == [base // day, base // day + 1]
+    assert sorted(int(d[9:]) for d in os.listdir(tmp_path / "m") if d.startswith("mark_day=")) == [base // day + 2, base // day + 3]
+    assert table.forget(now) == []
+
+
+def test_merge_asks_for_newer_versions_only(spark, monkeypatch):
+    """No catalog with MERGE is at hand: what is asked of one."""
+    asked = []
+
+    class Writer:
+        def __init__(self, table, on):
+            asked.append((table, str(on)))
+
+        def whenMatched(self, condition):
+            asked.append(("matched", str(condition)))
+            return self
+
+        def whenNotMatched(self):
+            asked.append(("missing",))
+            return self
+
+        def updateAll(self):
+            asked.append("update")
+            return self
+
+        insertAll = updateAll
+
+        def merge(self):
+            asked.append("merge")
+
+    monkeypatch.setattr(type(spark.range(1)), "mergeInto", lambda df, table, on: Writer(table, on), raising=False)
+    merge_into_table(resolve.versioned_upsert(None, gated_events(spark, [(0, "a", "P", "W", 5, 0)])), "shop.stock")
+    assert asked[0][0] == "shop.stock" and all(f"shop.stock.{k}" in asked[0][1] and f"batch.{k}" in asked[0][1] for k in model.KEY)
+    assert asked[1][0] == "matched" and "shop.stock.row_version" in asked[1][1] and "<" in asked[1][1]
+    assert asked[2:] == ["update", ("missing",), "update", "merge"]
+
+
 def test_read_model_queries(spark):
     state = resolve.versioned_upsert(
         None, gated_events(spark, [(0, "a", "P", "W", 1, 0), (1, "b", "P", "V", 1, 5), (2, "c", "Q", "W", 1, 9)])
@@ -169,6 +248,26 @@ def test_read_log_arguments(spark, tmp_path):
     assert L.read_log(spark, str(tmp_path / "log"), streaming=True).isStreaming
 
 
+def test_stream_admission(spark, monkeypatch):
+    """The Kafka source isn't here: the options it would get."""
+    from pyspark.sql.streaming import DataStreamReader
+
+    def options(**kw):
+        given = {}
+        monkeypatch.setattr(DataStreamReader, "option", lambda self, k, v: given.update({k: v}) or self)
+        monkeypatch.setattr(DataStreamReader, "load", lambda self: spark.createDataFrame([], model.LOG))
+        L.read_log(spark, brokers=["b:1", "c:2"], topic="t", group_id="g", streaming=True, **kw)
+        return given
+
+    plain = options()
+    assert (plain["minOffsetsPerTrigger"], plain["maxTriggerDelay"]) == (25, "500ms") and "maxOffsetsPerTrigger" not in plain
+    bounded = options(max_offsets_per_trigger=9000, min_offsets_per_trigger=400, max_trigger_delay="2s")
+    assert (bounded["minOffsetsPerTrigger"], bounded["maxOffsetsPerTrigger"], bounded["maxTriggerDelay"]) == (400, 9000, "2s")
+    assert "minOffsetsPerTrigger" not in options(min_offsets_per_trigger=None)
+    with pytest.raises(ValueError, match="exceeds"):
+        options(max_offsets_per_trigger=10)
+
+
 def test_route_topic_matches_whole_names(spark):
     log = log_of(spark, ["{}"]).withColumn("topic", F.explode(F.array(*[F.lit(t) for t in ("a.b", "a.b.c", "x.a.b", "aXb")])))
     out = {r.topic for r in L.route_topic(log, r"a\.(b)", "n.$1").collect()}
