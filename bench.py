@@ -77,7 +77,7 @@ def main() -> None:
     work = {
         "pipeline_end_to_end": end_to_end,
         "stream_micro_batch": micro_batch,
-        "stream_read_model_batch": read_model_batch,
+        "stream_read_model_batch": (micro_batch, read_model_batch),  # the first isn't timed: it makes what the second follows
         "cold_log_to_slo_report": cold_report,
         "decode_and_gate": lambda: drain(gates.gate(decode(log))),
         "event_outcomes": lambda: drain(resolve.event_outcomes(q.gated(spark, SF_DIR))),
@@ -102,8 +102,8 @@ def main() -> None:
 
     times = {}
     for name, run in work.items():
-        run()  # first run compiles
-        best = min(_timed(run) for _ in range(2))
+        before, run = run if isinstance(run, tuple) else (lambda: None, run)
+        best = min([_timed(before, run) for _ in range(3)][1:])  # the first run compiles
         times[name] = round(best, 3)
     messages = log.agg(F.count(F.lit(1))).first()[0]
     print(
@@ -121,7 +121,8 @@ def main() -> None:
     )
 
 
-def _timed(run) -> float:
+def _timed(before, run) -> float:
+    before()
     start = time.perf_counter()
     run()
     return time.perf_counter() - start

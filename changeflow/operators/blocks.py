@@ -1,11 +1,14 @@
 """Running values over ordered groups when one group may hold a large part of all rows.
 
-A window over a key puts all rows of that key into one task. A key with more
-than ``hot_rows`` rows is therefore cut into blocks of its order column. Each
-block is summarised (with map-side partial aggregation), a window over the few
-block summaries of a key gives what every block inherits from the blocks before
-it, and the window over the rows runs inside one block. Keys below the limit
-keep a single block and take no extra step.
+A window over a key puts all rows of that key into one task. So keys are cut into
+blocks of their order column. Each block is summarised where its rows are, a
+window over the few block summaries of a key gives what every block inherits from
+the blocks before it, and the window over the rows runs inside one block.
+
+``running`` does so for all keys in one plan: rows are dealt by (key, block) once,
+summaries by key, and what they inherit goes back. No job runs while the plan is
+built. The kernel of the outcomes, which has several windows over the same
+shuffle, keeps ordinary keys whole instead and cuts hot ones only (``hot_keys``).
 """
 
 from __future__ import annotations
@@ -15,23 +18,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a key from which it is hot, and positions of a block.
 HOT_ROWS = 2_000_000
-# The list of hot keys is broadcast, so its length is bounded: the row limit is
-# raised until at most this many keys can exceed it.
-MAX_HOT_KEYS = 10_000
 
 BLOCK = "_block"
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
-    """Keys with more rows than the limit, and the limit used. ``None`` when there are none."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    if not total or largest <= hot_rows:
-        return None, hot_rows
-    limit = max(hot_rows, total // MAX_HOT_KEYS)
-    return counts.filter(F.col("_rows") > limit).select(*keys), limit
+    """Keys with more rows than the limit, and the limit. ``None`` when there are none.
+
+    There are at most as many as all rows over the limit: some 20 MB of keys for 3 * 10^11 rows.
+    """
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select(*keys)
+    return (None if hot.isEmpty() else hot), hot_rows
 
 
 def with_blocks(df: DataFrame, order: str, rows_per_block: int) -> DataFrame:
@@ -41,7 +41,7 @@ def with_blocks(df: DataFrame, order: str, rows_per_block: int) -> DataFrame:
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys). ``hot`` has at most MAX_HOT_KEYS rows."""
+    """(rows of ordinary keys, rows of hot keys). ``hot`` is the short list of ``hot_keys``."""
     listed = F.broadcast(hot)
     return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
 
@@ -64,6 +64,11 @@ def _combine(how: str, carried: Column, local: Column) -> Column:
     return (F.greatest if how == "max" else F.least)(carried, local)
 
 
+def dealt(df: DataFrame, keys: Sequence[str], order: str, positions: int = HOT_ROWS) -> DataFrame:
+    """``df`` with its blocks, dealt by key and block; what is grouped by both needs no further shuffle."""
+    return with_blocks(df, order, positions).repartition(*keys, BLOCK)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -71,33 +76,13 @@ def running(
     values: Mapping[str, tuple[str, Column]],
     hot_rows: int = HOT_ROWS,
     current: bool = True,
-    hot: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
-    """Running sum/max/min per key, up to the current row (or the row before it).
-
-    ``hot`` is the answer of ``hot_keys`` where the caller already has it.
-    """
-    end = 0 if current else -1
-
-    def local(part: DataFrame, by: Sequence[str]) -> dict[str, Column]:
-        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-        return {name: _AGGREGATES[how](col).over(w) for name, (how, col) in values.items()}
-
-    def plain(part: DataFrame) -> DataFrame:
-        return part.select("*", *[c.alias(n) for n, c in local(part, keys).items()])
-
-    listed, limit = hot_keys(df, keys, hot_rows) if hot is None else hot
-    if listed is None:
-        return plain(df)
-    cold_rows, hot_part = split_hot(df, keys, listed)
-    blocked = with_blocks(hot_part, order, limit)
-    carry = inherited(blocked, keys, values).select(
-        *keys, BLOCK, *[F.col(n).alias(f"_carry_{n}") for n in values]
-    )
-    joined = blocked.join(carry, [*keys, BLOCK], "left")
-    here = local(joined, [*keys, BLOCK])
-    merged = joined.select("*", *[here[n].alias(f"_local_{n}") for n in values]).select(
+    """Running sum/max/min per key, up to the current row (or the row before it)."""
+    cut = dealt(df, keys, order, hot_rows)
+    carry = inherited(cut, keys, values).select(*keys, BLOCK, *[F.col(n).alias(f"_carry_{n}") for n in values])
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if current else -1)
+    here = cut.select("*", *[_AGGREGATES[how](col).over(inside).alias(f"_local_{n}") for n, (how, col) in values.items()])
+    return here.join(carry, [*keys, BLOCK]).select(
         *df.columns,
         *[_combine(how, F.col(f"_carry_{n}"), F.col(f"_local_{n}")).alias(n) for n, (how, _) in values.items()],
     )
-    return plain(cold_rows).unionByName(merged)

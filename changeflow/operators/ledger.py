@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.model import KEY
@@ -34,12 +34,23 @@ def floor_ledger(
         moves = movements.join(start, KEY, "left")
     else:
         moves = moves.withColumn("_qty", F.lit(None).cast("bigint")).withColumn("_version", F.lit(None).cast("bigint"))
-    hot = blocks.hot_keys(moves, KEY, hot_rows)
-    summed = blocks.running(
-        moves, KEY, order, {"_sum": ("sum", F.col("delta")), "_moves": ("sum", F.lit(1))}, hot=hot
-    ).withColumn("_balance", F.coalesce("_qty", F.lit(OPENING_QTY)) + F.col("_sum"))
-    before = blocks.running(
-        summed, KEY, order, {"_lowest_before": ("min", F.col("_balance"))}, current=False, hot=hot
+    # Sums and lowest sums of blocks merge, so a block inherits both from one summary of those before it.
+    cut, block = blocks.dealt(moves, KEY, order, hot_rows), blocks.BLOCK
+    inside = Window.partitionBy(*KEY, block).orderBy(order)
+    here = cut.withColumns({"_sum": F.sum("delta").over(inside), "_moves": F.row_number().over(inside).cast("bigint")})
+    here = here.withColumn("_low", F.min("_sum").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    parts = here.groupBy(*KEY, block).agg(F.sum("delta").alias("_d"), F.count(F.lit(1)).alias("_n"), F.min("_sum").alias("_l"))
+    earlier = Window.partitionBy(*KEY).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("bigint")
+    parts = parts.withColumns({"_d0": F.coalesce(F.sum("_d").over(earlier), none), "_n0": F.coalesce(F.sum("_n").over(earlier), none)})
+    parts = parts.withColumn("_l0", F.min(F.col("_d0") + F.col("_l")).over(earlier)).select(*KEY, block, "_d0", "_n0", "_l0")
+    start_qty = F.coalesce("_qty", F.lit(OPENING_QTY))
+    before = here.join(parts, [*KEY, block]).withColumns(
+        {
+            "_balance": start_qty + F.col("_d0") + F.col("_sum"),
+            "_lowest_before": start_qty + F.least(F.col("_l0"), F.col("_d0") + F.col("_low")),
+            "_moves": F.col("_n0") + F.col("_moves"),
+        }
     )
     zero = F.lit(0).cast("bigint")
     shortfall = -F.least(zero, F.col("_balance"), F.coalesce("_lowest_before", zero))

@@ -201,16 +201,18 @@ def event_outcomes(
     snapshot rows that share an id are not lost.
 
     The labels are computed here and read back from the shared folder: whether
-    keys are left open has to be known. ``total`` is the number of rows, where the
-    caller has counted them: few rows have no hot key to look for. A key with more than ``hot_rows`` rows is
+    keys are left open has to be known. ``total`` is a bound of all rows, state and
+    marks included, where the caller knows one: few rows have no hot key to look for. A key with more than ``hot_rows`` rows is
     resolved in blocks of its offsets. Text and row images are null but for dead
     letters, so the shuffle moves narrow rows.
     """
     _mark_scope(dedupe)
     passing = gated.filter(F.col("dlq_reason").isNull()).drop(*_BULKY)
     dead = gated.filter(F.col("dlq_reason").isNotNull())
-    hot = (None, hot_rows) if total is not None and total <= hot_rows else blocks.hot_keys(passing, KEY, hot_rows)
-    labels = labelled(passing, _seeds(state, marks), ttl_seconds, hot)
+    seeds = _seeds(state, marks)
+    # The state and marks of a key join its window, so they count.
+    hot = (None, hot_rows) if total is not None and total <= hot_rows else blocks.hot_keys(_with_seeds(passing.select(*KEY, "kafka_offset"), seeds), KEY, hot_rows)
+    labels = labelled(passing, seeds, ttl_seconds, hot)
     if dedupe == ID:
         labels = _open_by_id(labels)
     labels = written(labels, "labels")

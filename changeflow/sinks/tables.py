@@ -42,16 +42,48 @@ def write_dlq(messages: DataFrame, path: str | None = None, kafka: Mapping[str,
     ).save()
 
 
-def append_audit(events: DataFrame, root: str, batch_id: int, spark: SparkSession | None = None) -> DataFrame:
+#: Bytes of message text that a file of the history holds, at least where a day has so many.
+AUDIT_FILE_BYTES = 256 << 20
+#: What a row takes beside its text.
+_ROW_BYTES = 200
+
+
+def audit_day() -> Column:
+    return F.to_date(F.coalesce("commit_ts", "log_ts"))
+
+
+def audit_bytes() -> Column:
+    return F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + _ROW_BYTES)
+
+
+def append_audit(
+    events: DataFrame,
+    root: str,
+    batch_id: int,
+    spark: SparkSession | None = None,
+    day_bytes: Mapping | None = None,
+    file_bytes: int = AUDIT_FILE_BYTES,
+) -> DataFrame:
     """Add a batch to the long-term history and read it back (with ``spark``, where given).
 
     The batch owns its directory, so writing it again replaces it. ``event_date``
-    is the partition column replay prunes on.
+    is the partition column replay prunes on. Each date has one writer for every
+    ``file_bytes`` of it, so a batch leaves as many files as it has dates, and one
+    more for each such portion. ``day_bytes`` (date to bytes) is counted here
+    where the caller hasn't: one entry for each date of the batch.
     """
     target = f"{root}/batch_id={batch_id}"
-    day = F.to_date(F.coalesce("commit_ts", "log_ts"))
-    dated = events.withColumn("event_date", day)
-    dated.write.mode("overwrite").partitionBy("event_date").parquet(target)
+    dated = events.withColumn("event_date", audit_day())
+    if day_bytes is None:
+        day_bytes = {r[0]: r[1] for r in dated.groupBy("event_date").agg(audit_bytes()).collect()}
+    salts = {day: -(-size // file_bytes) for day, size in day_bytes.items()}
+    salt = F.lit(0).cast("bigint")
+    for day, n in salts.items():
+        if n > 1:
+            salt = F.when(F.col("event_date").eqNullSafe(F.lit(day)), F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(n))).otherwise(salt)
+    writers = max(1, sum(salts.values()))
+    rows = dated.withColumn("_salt", salt).repartition(writers, "event_date", "_salt").drop("_salt")
+    rows.write.mode("overwrite").partitionBy("event_date").parquet(target)
     return (spark or events.sparkSession).read.schema(dated.schema).parquet(target)
 
 

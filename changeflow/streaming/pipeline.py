@@ -25,7 +25,7 @@ from changeflow.operators.resolve import ID, ID_AND_KEY, event_outcomes, mark_ap
 from changeflow.functions.decode import decode
 from changeflow.session import exists
 from changeflow.sinks.state import MarkTable, StateTable
-from changeflow.sinks.tables import append_audit, dlq_messages, merge_into_table, write_dlq
+from changeflow.sinks.tables import append_audit, audit_bytes, audit_day, dlq_messages, merge_into_table, write_dlq
 from changeflow.sources.log import TRIGGER
 
 
@@ -79,19 +79,27 @@ class Pipeline:
         """
         s = self.settings
         target = f"{self.outcomes_dir}/batch_id={batch_id}"
-        # The stream runs in a session of its own, without adaptive execution; from
-        # here on the batch is an ordinary table of the caller's session.
-        events = append_audit(batch, self.audit, batch_id, self.spark)
         passing = F.col("dlq_reason").isNull()
-        # One pass for what the batch touches; the bucket lists have at most ``buckets`` entries.
-        earliest, total, touched, marked = events.agg(
-            F.min(F.unix_seconds("log_ts")),
-            F.count(F.lit(1)),
-            F.collect_set(F.when(passing, self.state.bucket_of())),
-            F.collect_set(F.when(passing, self.marks.bucket_of())),
-        ).first()
-        if earliest is None:
-            return
+        # Parsed once: a pass for what the batch touches, then the history. Dates of a batch are few, its bucket lists
+        # have at most ``buckets`` entries.
+        batch.persist()
+        try:
+            days = batch.groupBy(audit_day().alias("day")).agg(
+                audit_bytes(),
+                F.min(F.unix_seconds("log_ts")),
+                F.count(F.lit(1)),
+                F.collect_set(F.when(passing, self.state.bucket_of())),
+                F.collect_set(F.when(passing, self.marks.bucket_of())),
+            ).collect()
+            if not days:
+                return
+            # The stream runs in a session of its own, without adaptive execution; from
+            # here on the batch is an ordinary table of the caller's session.
+            events = append_audit(batch, self.audit, batch_id, self.spark, {r[0]: r[1] for r in days})
+        finally:
+            batch.unpersist()
+        earliest, total = min(r[2] for r in days), sum(r[3] for r in days)
+        touched, marked = (sorted({b for r in days for b in r[k]}) for k in (4, 5))
         before = self.read_model(touched)
         if exists(self.spark, f"{target}/_SUCCESS"):
             outcomes = self.spark.read.parquet(target)
@@ -108,7 +116,7 @@ class Pipeline:
                 s.ttl_seconds,
                 s.hot_rows,
                 s.dedupe,
-                total,
+                4 * total,  # a state row for each key at most, and hardly more than a mark for each id
             )
 
         def outcome_rows() -> None:

@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-from changeflow.operators import ledger
+from pyspark.sql import functions as F
+
+from changeflow.operators import blocks, ledger
 
 
 def loop(moves, opening):
@@ -32,3 +34,37 @@ def test_floor_ledger_equals_the_loop(spark, seed, hot_rows):
     assert got == loop(moves, opening)
     clamps = {r.seq for r in ledger.negative_delta_clamps(out).collect()}
     assert clamps == {s for s, (_, _, a) in got.items() if a > 0} and clamps
+
+
+def jobs_while(spark, build):
+    sc = spark.sparkContext
+    sc.setJobGroup("plan", "building a plan")
+    try:
+        out = build()
+        return out, list(sc.statusTracker().getJobIdsForGroup("plan"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_job_while_a_plan_is_built_and_few_shuffles(spark, tmp_path):
+    """Nine tenths of all rows in one key, in small blocks."""
+    rows = [("A" if i % 10 else "B", "W", i, [-30, -20, 5, 15][i * 7 % 4]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "product_id string, warehouse_id string, seq bigint, delta bigint")
+    df.write.parquet(str(tmp_path / "moves"))
+    df = spark.read.parquet(str(tmp_path / "moves"))
+    out, jobs = jobs_while(spark, lambda: ledger.floor_ledger(df, hot_rows=50))
+    assert jobs == []
+    got = {r.seq: (r.on_hand, r.row_version, r.absorbed) for r in out.collect()}
+    assert got == loop([(p, s, d) for p, _, s, d in rows], {})
+    run, jobs = jobs_while(spark, lambda: blocks.running(df, ["product_id"], "seq", {"total": ("sum", F.col("delta"))}, 50))
+    assert jobs == []
+    total, want = {}, {}
+    for p, _, s, d in rows:
+        total[p] = total.get(p, 0) + d
+        want[s] = total[p]
+    assert {r.seq: r.total for r in run.collect()} == want
+    for frame in (out, run):
+        # Exchanges that are reused are shuffled once.
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+        assert len(shuffled) <= 3, plan

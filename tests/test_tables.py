@@ -12,7 +12,7 @@ from changeflow import model
 from changeflow.functions.decode import decode
 from changeflow.operators import gates, readmodel, reconcile, replay, resolve
 from changeflow.sinks.state import MarkTable, StateTable
-from changeflow.sinks.tables import append_audit, dlq_messages, merge_into_table, read_audit, seed_missing, write_dlq
+from changeflow.sinks.tables import append_audit, audit_bytes, audit_day, dlq_messages, merge_into_table, read_audit, seed_missing, write_dlq
 from changeflow.sources import log as L
 from changeflow.sources import tables as S
 
@@ -112,6 +112,24 @@ def test_audit_replay_is_idempotent(spark, tmp_path):
     assert labels == {"skipped"}
 
 
+def test_audit_files_go_by_bytes(spark, tmp_path):
+    log = log_of(spark, [message(f"e{i}", "P" * 50, "W", 1 + i) for i in range(2000)])
+    day = F.when(F.col("offset") < 1900, "2024-01-05").otherwise(F.concat(F.lit("2024-01-0"), (F.col("offset") % 4 + 1).cast("string")))
+    gated = gates.gate(decode(log.withColumn("timestamp", day.cast("timestamp")).repartition(16)))
+    gated = gated.withColumn("commit_ts", F.col("log_ts")).cache()
+    sizes = {str(r[0]): r[1] for r in gated.groupBy(audit_day()).agg(audit_bytes()).collect()}
+    for target in (10**9, 150_000):
+        root = str(tmp_path / f"audit{target}")
+        append_audit(gated, root, 0, file_bytes=target)
+        files = {d: len(glob.glob(f"{root}/batch_id=0/event_date={d}/*.parquet")) for d in sizes}
+        assert sum(files.values()) <= len(sizes) + sum(sizes.values()) / target
+        assert all(n <= -(-sizes[d] // target) for d, n in files.items())
+        assert read_audit(spark, root).count() == 2000
+    assert max(files.values()) > 2
+    back = replay.replay_from_audit(read_audit(spark, root), F.lit(dt.datetime(2024, 1, 1)), F.lit(dt.datetime(2024, 1, 1, 23)))
+    assert back.count() == 25 and "PartitionFilters: [isnotnull(event_date" in back._jdf.queryExecution().executedPlan().toString()
+
+
 def versions(df):
     return {r.product_id: r.row_version for r in df.collect()}
 
