@@ -71,8 +71,9 @@ def build_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                   CASE WHEN n % 83 < 4 THEN 'v2' ELSE 'v3' END, '","',
                   CASE WHEN op = 'd' THEN 'before' ELSE 'after' END, '":', img, '}')
                 ELSE concat('{"op":"', op, '","ts_ms":', commit_ms + 30,
-                  ',"source":{"db":"warehouse","schema":"public","table":"warehouse_inventory","txId":', n, ',"lsn":',
-                  CASE WHEN n % 4 = 3 THEN concat('"', n * 8, '"') ELSE concat('', n * 8) END, ',"ts_ms":', commit_ms,
+                  ',"source":{"db":"warehouse","schema":"public","table":"warehouse_inventory","txId":', n,
+                  CASE WHEN n % 40 = 3 THEN '' WHEN n % 40 = 7 THEN ',"lsn":null' WHEN n % 4 = 3 THEN concat(',"lsn":"', n * 8, '"')
+                    ELSE concat(',"lsn":', n * 8) END, ',"ts_ms":', commit_ms,
                   '},"before":', CASE WHEN op = 'd' THEN img ELSE 'null' END,
                   ',"after":', CASE WHEN op = 'd' THEN 'null' ELSE img END, '}') END"""
             ),

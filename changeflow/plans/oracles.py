@@ -22,7 +22,8 @@ flat AS (SELECT n, user_id, qty, commit_ms, iso,
         CASE WHEN n % 79 = 5 THEN 0 ELSE 2 * seq + (n * 7919) % 7 END AS ver,
         n % 97 = 13 AS broken,
         n % 2 = 0 AS canonical,
-        CASE WHEN n % 2 = 1 THEN 'warehouse_inventory-' || (n * 8) || '-' || n
+        CASE WHEN n % 40 = 3 THEN '' WHEN n % 40 = 7 THEN '0' ELSE CAST(n * 8 AS VARCHAR) END AS lsn,
+        CASE WHEN n % 2 = 1 THEN 'warehouse_inventory-' || CASE WHEN n % 40 = 3 THEN '' WHEN n % 40 = 7 THEN '0' ELSE CAST(n * 8 AS VARCHAR) END || '-' || n
              WHEN seq % 7 IN (2, 3) THEN 'U' || user_id || '-' || (n % 3) || '-' || (seq // 7)
              WHEN seq % 11 = 5 THEN 'X' || user_id || '-' || seq ELSE 'E' || n END AS eid,
         CASE WHEN n % 2 = 0 AND n % 83 < 4 THEN 'v2' ELSE 'v3' END AS sver,
@@ -93,8 +94,9 @@ full_text AS (SELECT *, CASE WHEN canonical THEN concat('{"event_id":"', eid, '"
           '","product_id":"', pid, '","warehouse_id":"', wid, '","schema_version":"', sver, '","',
           CASE WHEN op = 'd' THEN 'before' ELSE 'after' END, '":', im, '}')
         ELSE concat('{"op":"', op, '","ts_ms":', commit_ms + 30,
-          ',"source":{"db":"warehouse","schema":"public","table":"warehouse_inventory","txId":', n, ',"lsn":',
-          CASE WHEN n % 4 = 3 THEN concat('"', n * 8, '"') ELSE concat('', n * 8) END, ',"ts_ms":', commit_ms,
+          ',"source":{"db":"warehouse","schema":"public","table":"warehouse_inventory","txId":', n,
+          CASE WHEN n % 40 = 3 THEN '' WHEN n % 40 = 7 THEN ',"lsn":null' WHEN n % 4 = 3 THEN concat(',"lsn":"', n * 8, '"')
+            ELSE concat(',"lsn":', n * 8) END, ',"ts_ms":', commit_ms,
           '},"before":', CASE WHEN op = 'd' THEN im ELSE 'null' END, ',"after":',
           CASE WHEN op = 'd' THEN 'null' ELSE im END, '}') END AS whole FROM img),
 tx AS (SELECT *, CASE WHEN broken THEN left(whole, length(whole) - 5) ELSE whole END AS text FROM full_text)"""
@@ -444,11 +446,11 @@ def _all() -> dict[str, str]:
             CAST(CASE WHEN op <> 'd' THEN qty END AS BIGINT) AS after_qty, CASE WHEN op <> 'd' THEN reserved END AS after_reserved,
             CASE WHEN op <> 'd' THEN raw_status END AS after_status, CASE WHEN op <> 'd' THEN ver END AS after_version
             FROM lg WHERE NOT canonical AND NOT broken""",
-        "p4_derive_event_id": f"""WITH {_FLAT} SELECT off, 'warehouse_inventory-' || (n * 8) || '-' || n AS event_id
+        "p4_derive_event_id": f"""WITH {_FLAT} SELECT off, 'warehouse_inventory-' || lsn || '-' || n AS event_id
             FROM lg WHERE NOT canonical AND NOT broken""",
         "p5_derive_event_time": f"""WITH {_FLAT} SELECT off, commit_ms AS event_ms, commit_ms AS source_ms
             FROM lg WHERE NOT canonical AND NOT broken""",
-        "p6_normalize_lsn": f"WITH {_FLAT} SELECT off, CAST(n * 8 AS VARCHAR) AS lsn FROM lg WHERE NOT canonical AND NOT broken",
+        "p6_normalize_lsn": f"WITH {_FLAT} SELECT off, lsn FROM lg WHERE NOT canonical AND NOT broken",
         "p7_promote_keys": f"""WITH {_FLAT} SELECT off, op, pid AS product_id, wid AS warehouse_id
             FROM lg WHERE NOT canonical AND NOT broken""",
         "p8_default_schema_version": f"""WITH {_FLAT} SELECT CASE WHEN canonical THEN 'canonical' ELSE 'debezium' END AS envelope,
