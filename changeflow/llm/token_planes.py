@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -38,6 +39,8 @@ MAGIC = b"IDPLANE1"
 END_ID = 0
 SEGMENT_IDS = 1 << 20
 BLOCK_IDS = 1 << 16
+#: Text that a task encodes at a time: the more, the fewer distinct pieces it holds for its size.
+SLICE_BYTES = 4 << 20
 
 _SEGMENT = "shard int, segment int, first_id long, n_ids long, doc_ids array<bigint>, doc_tokens array<bigint>, content binary"
 _ARROW = pa.schema(
@@ -115,7 +118,51 @@ def unpack_segment(content: bytes) -> np.ndarray:
 
 #: Byte-level BPE never joins what stands before a lone space or line end with what follows, if both are visible.
 _CUT = re.compile(r"(?<=[!-~\w])(?=[ \n][!-~\w])")
-CACHED_PIECES = 300_000
+#: White space other than lone spaces and line ends between visible characters (in the syntax of Arrow's expressions).
+_ODD_SPACE = r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|\A[ \n]|[ \n]\z|\x01"
+#: Marks where plain texts are cut; a text with this character isn't plain.
+_BEFORE = "\x01"
+_MARKS = (".", ",")
+#: Some 200 bytes each.
+CACHED_PIECES = 700_000
+
+
+class _Pool:
+    """The ids of pieces of text, one after another, and where those of each piece lie."""
+
+    def __init__(self) -> None:
+        self.ids, self.used = np.empty(1 << 18, "<u4"), 0
+        self.begin, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.slots: dict[str, int] = {}
+        self.count = 0
+
+    @staticmethod
+    def _room(array: np.ndarray, n: int) -> np.ndarray:
+        if n <= len(array):
+            return array
+        out = np.empty(max(n, 2 * len(array)), array.dtype)
+        out[: len(array)] = array
+        return out
+
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at, end = self.count, self.count + len(pieces)
+        self.ids = self._room(self.ids, self.used + len(ids))
+        self.begin, self.size = self._room(self.begin, end), self._room(self.size, end)
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.size[at:end] = sizes
+        self.begin[at:end] = self.used + np.cumsum(sizes) - sizes
+        self.slots.update(zip(pieces, range(at, end)))
+        self.used, self.count = self.used + len(ids), end
+
+    def places(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
+
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces, one after another, and how many each has."""
+        sizes = self.size[slots]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[slots] - ends + sizes, sizes)
+        return self.ids[at], sizes
 
 
 class Encoder:
@@ -140,65 +187,86 @@ class Encoder:
         self.tokenizer.encode_special_tokens = plain_specials
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (plain_specials and t.special)]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.unusual = "|".join([_ODD_SPACE, *map(re.escape, added)])
         size = self.tokenizer.get_vocab_size()
         #: By id, whether the token begins with a space, which this vocabulary writes as U+0120.
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.forget()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def forget(self) -> None:
+        self.pool = _Pool()
+        self.pool.add([""], np.zeros(0, "<u4"), np.zeros(1, np.int64))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        whole = {i for i, t in enumerate(texts) if self.added and self.added.search(t)}
-        cut = [[] if i in whole else self.cut(t) for i, t in enumerate(texts)]
-        if len(self.pieces) > CACHED_PIECES:  # pieces that are used again come back from the older half
-            self.pieces, self.older = {}, self.pieces
-        self.learn(set().union(*cut))
-        get = self.pieces.__getitem__
-        return [self.encode_whole(texts[i]) if i in whole else b"".join(map(get, pieces)) for i, pieces in enumerate(cut)]
-
-    def encode_whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, wanted: set[str]) -> None:
-        """All of these are in the cache afterwards."""
-        pieces, older, new, marked = self.pieces, self.older, [], []
-        for p in wanted.difference(pieces):
-            if p in older:
-                pieces[p] = older[p]
-            elif p[-1:] in (".", ",") and (word := p.rstrip(".,"))[-1:].isalpha():
-                marked.append((p, word, p[len(word) :]))  # the marks are tokens apart from the letters before them
-            else:
-                new.append(p)
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        if self.pool.count > CACHED_PIECES:
+            self.forget()
+        unusual = pc.match_substring_regex(texts, self.unusual)
+        out: list[bytes] = [b""] * len(texts)
+        at = np.flatnonzero(~unusual.to_numpy(zero_copy_only=False))
+        for i, ids in zip(at.tolist(), self.encode_plain(texts.filter(pc.invert(unusual)))):
+            out[i] = ids
+        for i in np.flatnonzero(unusual.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.encode_unusual(texts[i].as_py())
+        return out
+
+    def encode_plain(self, texts: pa.Array) -> list[bytes]:
+        """Texts whose white space is lone spaces and line ends: cut before each, for all texts at once."""
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", _BEFORE + " "), "\n", _BEFORE + "\n")
+        parts = pc.split_pattern(marked, _BEFORE)
+        bounds = parts.offsets.to_numpy()
+        coded = parts.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        self.learn(pieces)
+        ids, sizes = self.pool.gather(self.pool.places(pieces)[coded.indices.to_numpy()])
+        ends = (np.r_[0, np.cumsum(sizes)][bounds - bounds[0]] * 4).tolist()
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip(ends, ends[1:])]
+
+    def encode_unusual(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        pieces = _CUT.split(text)
+        self.learn(list(dict.fromkeys(pieces)))
+        return self.pool.gather(self.pool.places(pieces))[0].tobytes()
+
+    def learn(self, wanted: list[str]) -> None:
+        """All of these, each of which comes once, are in the pool afterwards."""
+        slots = self.pool.slots
+        new, marked, stems, marks = [], [], [], []
+        for p in wanted:
+            if p not in slots:
+                if p[-1:] in _MARKS and (word := p.rstrip(".,"))[-1:].isalpha():
+                    marked.append(p)  # the marks are tokens apart from the letters before them
+                    stems.append(word)
+                    marks.append(p[len(word) :])
+                else:
+                    new.append(p)
         if marked:
-            self.learn({x for _, *both in marked for x in both})
-            for p, word, marks in marked:
-                pieces[p] = pieces[word] + pieces[marks]
+            new += [p for p in {*stems, *marks}.difference(new) if p not in slots]
         plain = [p for p in new if p[:1] == " " and p[1:].isalpha()]
         for at in range(0, len(plain), 256):
             self.encode_words(plain[at : at + 256])
-        self.encode_each([p for p in new if p not in pieces])
+        self.encode_each([p for p in new if p not in slots])
+        if marked:
+            both = np.stack([self.pool.places(stems), self.pool.places(marks)], axis=1)
+            ids, sizes = self.pool.gather(both.ravel())
+            self.pool.add(marked, ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode_words(self, words: list[str]) -> None:
         """Words with a space before each are encoded as one text: a word's first token alone begins with a space."""
         ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
-        data, ends = ids.tobytes(), (np.flatnonzero(self.begins[ids]) * 4).tolist() + [len(ids) * 4]
-        if len(ends) == len(words) + 1:
-            self.pieces.update(zip(words, map(data.__getitem__, map(slice, ends, ends[1:]))))
+        ends = np.r_[np.flatnonzero(self.begins[ids]), len(ids)]
+        if len(ends) == len(words) + 1 and ends[0] == 0:
+            self.pool.add(words, ids, np.diff(ends))
 
     def encode_each(self, new: list[str]) -> None:
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.pieces[piece] = np.array(e.ids, "<u4").tobytes()
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if " ".join(text.split()) != text.replace("\n", " "):  # some white space isn't a lone space or line end
-            return _CUT.split(text)
-        if not text:
-            return []
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *(p if p[0] == "\n" else " " + p for p in rest)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self.pool.add(some, np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64))
 
 
 def _encoder(vocabulary: str | None, plain_specials: bool = False) -> Encoder:
@@ -268,16 +336,21 @@ def encode(
     return ordered.mapInArrow(segments, _SEGMENT)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], chars: int = 1 << 20) -> Iterator[tuple[list, list[str]]]:
-    """Whole documents, about so many characters at a time."""
+def _slices(batches: Iterator[pa.RecordBatch], chars: int = SLICE_BYTES) -> Iterator[tuple[list, pa.Array]]:
+    """Whole documents, about so many bytes of text at a time, whatever the size of Spark's batches."""
+    keys, texts, held = [], [], 0
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1)
-        begin, held = 0, 0
-        for i in range(len(texts)):
-            held += len(texts[i].as_buffer() or b"")
-            if held >= chars or i + 1 == len(texts):
-                yield keys[begin : i + 1].to_pylist(), texts[begin : i + 1].to_pylist()
-                begin, held = i + 1, 0
+        begin = 0
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros(0, np.int64)
+        for i in np.flatnonzero(np.diff((held + ends) // chars, prepend=held // chars)).tolist():
+            keys += batch.column(0)[begin : i + 1].to_pylist()
+            yield keys, pa.concat_arrays([*texts, batch.column(1)[begin : i + 1]])
+            keys, texts, begin = [], [], i + 1
+        keys += batch.column(0)[begin:].to_pylist()
+        texts.append(batch.column(1)[begin:])
+        held = (held + int(ends[-1] if len(ends) else 0)) % chars
+    if keys:
+        yield keys, pa.concat_arrays(texts)
 
 
 def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list, list, np.ndarray]]:
