@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,9 +81,26 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+_scope = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside, on this thread, are deleted at the end: for work that runs again and again."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            delete(spark, path)
+        _scope.paths = outer
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table of its own in the shared folder: lineage ends there, and several readers share one run."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -23,7 +23,7 @@ from changeflow.operators.contract import Contract, load_contract
 from changeflow.operators.gates import dlq_envelope, gate
 from changeflow.operators.resolve import ID, ID_AND_KEY, event_outcomes, mark_applied, versioned_upsert
 from changeflow.functions.decode import decode
-from changeflow.session import exists
+from changeflow.session import exists, scratch_scope
 from changeflow.sinks.state import MarkTable, StateTable
 from changeflow.sinks.tables import append_audit, audit_bytes, audit_day, dlq_messages, merge_into_table, write_dlq
 from changeflow.sources.log import TRIGGER
@@ -77,6 +77,10 @@ class Pipeline:
         Outcomes are written once: the read model may hold a part of the batch by
         the time it runs again, so what it was before can't be asked a second time.
         """
+        with scratch_scope(self.spark):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         s = self.settings
         target = f"{self.outcomes_dir}/batch_id={batch_id}"
         passing = F.col("dlq_reason").isNull()

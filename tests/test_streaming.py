@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.decode import decode
 from changeflow.operators import gates, resolve
 from changeflow.plans import fixtures as fx
-from changeflow.session import delete
+from changeflow.session import delete, folders, scratch_path
 from changeflow.sources.log import read_log
 from changeflow.streaming.pipeline import Pipeline, Settings
 from changeflow.streaming.readmodel import ReadModelStream
@@ -69,6 +69,14 @@ def test_a_repeated_batch_changes_nothing(spark, truth, tmp_path):
     assert rows(pipe.state.read(), STATE) == want_state
 
 
+def test_batches_leave_no_scratch_tables(spark, truth, tmp_path):
+    log, _, _ = truth
+    pipe = Pipeline(spark, Settings(str(tmp_path / "out"), buckets=4))
+    before = set(folders(spark, scratch_path(spark, "")))
+    pipe.process(pipe.events(log.filter("offset < 900")), 0)
+    assert set(folders(spark, scratch_path(spark, ""))) == before
+
+
 def test_replayed_history_is_a_no_op(spark, truth, tmp_path):
     """Replay: the same messages again within the marks' life leave the state as it is."""
     log, _, want_state = truth
