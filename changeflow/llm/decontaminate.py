@@ -1,14 +1,16 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams meets every window of the documents.
 
 An item's windows are its n-grams of normalised words (an item with fewer words
-is one window). Their hashes and their texts are the set; every executor gets it
-with the plan, as the literals of IN, which Spark turns into a hash set. Each
-window of a document is looked up by hash, and a hit is verified by its words.
-All of that happens inside the row: no document is shuffled.
+is one window). Their hashes and their texts are the set. Each window of a
+document is looked up by hash, and a hit is verified by its words.
 
-The set is bounded by ``max_windows``. Beyond it the windows of the documents
-meet the set in a shuffled join by hash, hits are verified in a join by words,
-and the results are the same.
+How the set travels goes by its measured bytes, the results are the same:
+
+* up to ``literal_bytes`` with the plan, as the literals of IN, which Spark turns
+  into a hash set; all of it happens inside the row, no document is shuffled;
+* up to ``broadcast_bytes`` of hashes as a broadcast table, which the windows of
+  the documents meet in a hash join; only rows with a hit are shuffled;
+* beyond, in a shuffled join.
 
 Only DataFrame functions are used.
 """
@@ -21,7 +23,10 @@ from pyspark.sql import functions as F
 from changeflow.llm.common import ITEM_WORD, ascii_lower, col, free, words, written
 
 N = 13
-MAX_WINDOWS = 200_000
+#: The driver parses and serializes literals: with so many bytes (some 20,000 windows) it needs a few hundred MB of heap.
+LITERAL_BYTES = 2 << 20
+#: A row of the broadcast table takes some 40 bytes in memory: 1.6 million windows.
+BROADCAST_BYTES, HASH_BYTES = 64 << 20, 40
 #: The same words before lower-casing.
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -49,7 +54,7 @@ def _hash_of(gram: str) -> str:
 
 
 def _in_row(w: DataFrame, windows: DataFrame) -> DataFrame:
-    """``hits`` by literal sets. ``windows``: at most max_windows rows (length, gram)."""
+    """``hits`` by literal sets. ``windows`` (length, gram): at most ``literal_bytes`` of them."""
     sets: dict[int, list] = {}
     for r in windows.select("length", "gram", F.expr(_hash_of("gram")).alias("hash")).distinct().collect():
         sets.setdefault(r.length, []).append((r.hash, r.gram))
@@ -67,12 +72,13 @@ def _in_row(w: DataFrame, windows: DataFrame) -> DataFrame:
     return w.select("*", F.explode(F.array(F.expr(hits))).alias("hits"))
 
 
-def _joined(w: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
-    """``hits`` by shuffled joins, for sets of any size."""
+def _joined(w: DataFrame, windows: DataFrame, lengths: list[int], small: bool) -> DataFrame:
+    """``hits`` by joins; the set of hashes is broadcast if it is ``small``."""
     w = written(w.withColumn("row_id", F.monotonically_increasing_id()), "decontaminate-rows")
     per_length = [F.expr(f"if(size(wh) >= {n}, {_window_hashes(n)}, null)") for n in lengths]
     probes = w.select("row_id", F.explode(F.flatten(F.array_compact(F.array(*per_length)))).alias("p")).select("row_id", "p.*")
     listed = windows.select(F.expr(_hash_of("gram")).alias("hash")).distinct()
+    listed = F.broadcast(listed) if small else listed.hint("merge")
     maybe = probes.join(listed, "hash", "left_semi").groupBy("row_id").agg(F.collect_list(F.struct("start", "length")).alias("maybe"))
     grams = w.join(maybe, "row_id").select("row_id", F.expr("inline(maybe)"), "w").withColumn("gram", F.expr("array_join(slice(w, start, length), ' ')"))
     exact = grams.select("row_id", "start", "length", "gram").join(windows.select("gram").distinct(), "gram", "left_semi")
@@ -83,7 +89,7 @@ def _joined(w: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
 
 def scan(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    n: int = N, max_windows: int = MAX_WINDOWS, prefix: str = "",
+    n: int = N, literal_bytes: int = LITERAL_BYTES, broadcast_bytes: int = BROADCAST_BYTES, prefix: str = "",
 ) -> DataFrame:
     """``docs`` with n_words, n_hit (words inside hits), contaminated, spans and grams.
 
@@ -99,11 +105,13 @@ def scan(
     w = w.withColumn("w", F.coalesce("w", F.array().cast("array<string>"))).withColumn("wh", F.expr("transform(w, x -> xxhash64(x))"))
 
     windows = written(benchmark_windows(benchmark, item, item_text, n).select("length", "gram").distinct(), "benchmark-windows")
-    if windows.count() <= max_windows:
+    # Of a literal the driver holds the gram, its hash and what is around them.
+    count, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("gram") + 24), F.lit(0))).first()
+    if size <= literal_bytes:
         found = _in_row(w, windows)
     else:
         lengths = sorted(r.length for r in windows.select("length").distinct().collect())  # 13 numbers at most
-        found = _joined(w, windows, lengths)
+        found = _joined(w, windows, lengths, count * HASH_BYTES <= broadcast_bytes)
     found = found.withColumn("hits", F.array_sort("hits"))
     spans = """aggregate(hits, cast(array() as array<struct<start int, end int>>), (a, h) ->
         if(size(a) > 0 and element_at(a, -1).end >= h.start,
@@ -119,9 +127,12 @@ def scan(
     return out.select(*(F.col(row).getField(c).alias(c) for c in kept), *(F.col(x.removeprefix(prefix) if prefix else x).alias(x) for x in names))
 
 
-def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", n: int = N, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted as strings) and contaminated of every document; items without an id aren't listed."""
-    found = scan(docs.select(col(key).alias("doc_id"), col(text).alias("text")), benchmark, "text", item, item_text, n, max_windows)
+def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", n: int = N, **more) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (sorted as strings) and contaminated of every document; items without an id aren't listed.
+
+    Without documents the result is empty, without benchmark items nothing is hit.
+    """
+    found = scan(docs.select(col(key).alias("doc_id"), col(text).alias("text")), benchmark, "text", item, item_text, n, **more)
     windows = written(benchmark_windows(benchmark, item, item_text, n).select("item", "gram"), "benchmark-items")
     # Only hits are expanded: a document without any is one row.
     rows = found.drop("text", "spans").withColumn("row_id", F.monotonically_increasing_id())
