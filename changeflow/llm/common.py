@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +44,19 @@ _caches: dict[str, dict] = {}
 
 
 def worker_cache(owner: str) -> dict:
-    """What an operator keeps in a worker process between its tasks; another operator's task there frees it."""
-    for other, held in _caches.items():
-        if other != owner:
-            held.clear()
-    return _caches.setdefault(owner, {})
+    """What an operator keeps in a worker process between its tasks.
+
+    Another operator's first task there frees it, and gives back to the system what
+    the allocators hold of memory that was in use before.
+    """
+    if owner not in _caches:
+        _caches.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps the memory
+            ctypes.CDLL(None).malloc_trim(0)
+        _caches[owner] = {}
+    return _caches[owner]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -36,6 +36,36 @@ def test_distance_by_hand():
     assert a.tolist() == [6, 5, 7]
 
 
+def code(gram):
+    return sum(ord(c) << (42 - 21 * i) for i, c in enumerate(gram))
+
+
+def brute(train, texts, size=L.PROFILE):
+    """Profiles by loops, and for each text the language at the least out-of-place distance."""
+    ranked = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], code(x[0])))[:size]]
+    counts = {}
+    for text, lang in train:
+        if text is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(plain(text))
+    profiles = {lang: {g: i for i, g in enumerate(ranked(c))} for lang, c in counts.items() if c}
+    out = []
+    for text in texts:
+        own = ranked(plain(text or ""))
+        away = {lang: sum(abs(p[g] - i) if g in p else size for i, g in enumerate(own)) for lang, p in sorted(profiles.items())}
+        best = min(away, key=lambda lang: (away[lang], lang), default=None) if own else None
+        out.append((L.UNKNOWN, 0.0) if best is None else (best, 1 - away[best] / (size * len(own))))
+    return out
+
+
+@pytest.mark.parametrize("size", [20, L.PROFILE])
+def test_distances_are_those_of_loops(spark, documents, size):
+    rows = documents.select("doc_id", "text", "lang").collect()
+    train = [r for r in rows if r.doc_id % 3]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(documents, L.learn(documents.where("doc_id % 3 <> 0"), size=size)).collect()}
+    for r, (lang, score) in zip(rows, brute([(t.text, t.lang) for t in train], [r.text for r in rows], size)):
+        assert got[r.doc_id][0] == lang and abs(got[r.doc_id][1] - score) < 1e-12
+
+
 def test_held_out_accuracy(spark, documents):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     got = L.identify(documents.where(held), L.learn(documents.where(~held))).collect()

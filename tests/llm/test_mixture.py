@@ -44,6 +44,35 @@ def test_takes_come_near_their_targets_and_reruns_agree(spark, documents):
         assert max(r.times for r in rows) - min(r.times for r in rows) <= 1  # complete epochs first
 
 
+def brute(rows, pattern=(5, 2, 1), cap=3):
+    """How often each (doc, source, size, key) is taken: complete epochs, then the smallest keys until the rest runs out."""
+    sources = sorted({r.source for r in rows}, key=lambda x: (x is None, x or ""))
+    sizes = [sum(r["size"] for r in rows if r.source == x) for x in sources]
+    times = {}
+    for source, size, target in zip(sources, sizes, fill(sizes, [pattern[k % len(pattern)] for k in range(len(sources))], cap)):
+        epochs = int(target // size) if size else 0
+        rest, units = target - epochs * size, {}
+        for r in rows:
+            if r.source == source:
+                units.setdefault(r.sample_key, []).append(r)
+        reach, last = 0, None
+        for key in sorted(units):
+            unit = sum(r["size"] for r in units[key])
+            if rest > 0 and reach < rest and reach + unit / 2 <= rest:
+                last = key
+            reach += unit
+        for key, some in units.items():
+            for r in some:
+                times[r.doc] = epochs + (last is not None and key <= last)
+    return times
+
+
+def test_takes_are_those_of_a_plain_walk(spark, documents):
+    rows = M.keyed(documents, "doc_id", "text", "source", 7).collect()
+    for bucket_rows in (5, 4000):
+        assert {r.doc_id: r.times for r in M.taken(documents, bucket_rows=bucket_rows).collect()} == brute(rows)
+
+
 def test_smaller_keys_are_taken(spark):
     docs = spark.range(400).selectExpr("id as doc_id", "'a b c d' as text", "if(id < 300, 'x', 'y') as source")
     keys = {r.doc: r.sample_key for r in M.keyed(docs, "doc_id", "text", "source", 7).collect()}

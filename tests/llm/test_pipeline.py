@@ -9,20 +9,40 @@ from changeflow.llm import token_planes as T  # noqa: E402
 
 
 def test_stages_over_the_small_tables(spark, small_dir, documents):
+    """Each stage against a brute-force version of it, on what its predecessor kept."""
+    import test_decontaminate
+    import test_languages
+    import test_mixture
+    import test_similar
+
     docs, kept = documents, {}
     for name, stage in P.STAGES:
-        before, docs = docs, P.written(stage(spark, docs, small_dir), name)
+        docs = P.written(stage(spark, docs, small_dir), name)
         kept[name] = docs
         if name != P.STAGES[-1][0]:
             assert docs.columns == documents.columns
-            assert docs.distinct().exceptAll(before.distinct()).count() == 0
+            assert docs.distinct().exceptAll(documents.distinct()).count() == 0
     rows = lambda name: [(r.doc_id, r.text) for r in kept[name].collect()]
-    assert len(rows("language_id")) >= 0.98 * documents.count()
-    from test_similar import brute
 
-    one = brute(rows("language_id"))
+    given = documents.collect()
+    judged = test_languages.brute([(r.text, r.lang) for r in given], [r.text for r in given])
+    known = {r.doc_id for r, (lang, score) in zip(given, judged) if lang != "und" and score >= P.LEAST_LANGUAGE_SCORE}
+    assert {d for d, _ in rows("language_id")} == known and len(known) >= 0.98 * len(given)
+
+    one = test_similar.brute(rows("language_id"), P.NEAR_THRESHOLD, P.NEAR_WORDS)
     assert {d for d, _ in rows("ngram_jaccard_join")} == {d for d, _, c in one if d == c}
+
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()]
+    hits = test_decontaminate.brute(rows("ngram_jaccard_join"), bench)
+    clean = {d for d, (n, hit, _) in hits.items() if not (hit and 20 * hit >= n)}
+    assert {d for d, _ in rows("benchmark_decontamination")} == clean
+
+    from changeflow.llm import mixture
+
+    times = test_mixture.brute(mixture.keyed(kept["benchmark_decontamination"], "doc_id", "text", "source", 7).collect())
     mixed = sorted(rows("source_mixture"))
+    assert [d for d, _ in mixed] == [d for d in sorted(times) for _ in range(times[d])]
+
     tokenizer, start, want = T._encoder(None).tokenizer, 0, []
     for d, text in mixed:
         ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")

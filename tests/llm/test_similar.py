@@ -9,10 +9,10 @@ from changeflow.llm import components as G
 from changeflow.llm import similar as S
 
 
-def brute(rows, threshold=(90, 100)):
+def brute(rows, threshold=(90, 100), n=3):
     """(n_shingles, component_id) of each row, from all pairs."""
     p, q = threshold
-    sets = [frozenset(S.shingles(t).tolist()) for _, t in rows]
+    sets = [frozenset(S.shingles(t, n).tolist()) for _, t in rows]
     top = list(range(len(rows)))
 
     def find(i):
@@ -85,6 +85,58 @@ def test_empty_segments_are_made_up_for(monkeypatch):
     assert found > 1000
 
 
+@given(st.integers(9, 300), st.integers(0, 10**6))
+@settings(max_examples=100, deadline=None)
+def test_any_order_of_segments_will_do(size, seed):
+    """Linked sets share a signature whatever the costs say, as long as both go by the same."""
+    draw = np.random.default_rng(seed)
+    pool = np.unique(draw.integers(0, 2**63, 2 * size).astype(np.uint64))
+    draw.shuffle(pool)
+    a, b = np.sort(pool[:size]), np.sort(np.r_[pool[: size - size // 20], pool[size : size + size // 25]])
+    shared = len(np.intersect1d(a, b))
+    if 100 * shared < 80 * (len(a) + len(b) - shared):
+        return
+    costs = {}
+    for band, m in {*S.Bands(80, 100).schemes(len(a)), *S.Bands(80, 100).schemes(len(b))}:
+        costs[band] = {int(k): int(draw.integers(1, 9)) for k in draw.integers(0, m, m)}
+    bands = S.Bands(80, 100, costs=costs)
+    assert np.array_equal(a, b) or set(S.signatures(a, bands)) & set(S.signatures(b, bands))
+
+
+def test_packed_numbers_come_back():
+    draw = np.random.default_rng(5)
+    for bits, width in ((40, 5), (48, 6), (64, 8)):
+        values = np.sort(draw.integers(0, 2 ** min(bits, 62), 1000).astype(np.uint64))
+        assert np.array_equal(S._ascending(S._packed_ascending(values, width), width), values)
+    docs = draw.integers(0, 2**31, 50).astype(np.uint64)
+    assert np.array_equal(S._numbers(S._planes(docs, 4), 4), docs)
+
+
+def test_repeated_keys(monkeypatch):
+    monkeypatch.setattr(S, "CHUNK_KEYS", 60)
+    draw, held, count = random.Random(6), S._Repeated(), {}
+    for _ in range(30):
+        keys = sorted(draw.sample(range(400), 20))
+        held.add(np.array(keys, np.uint64))
+        for k in keys:
+            count[k] = count.get(k, 0) + 1
+    every = np.arange(400, dtype=np.uint64)
+    assert held.has(every).tolist() == [count.get(k, 0) > 1 for k in range(400)]
+
+
+def test_sketches_never_show_more_differences():
+    draw = np.random.default_rng(7)
+    for size in (10, 300, 3000):
+        pool = np.unique(draw.integers(0, 2**63, 2 * size).astype(np.uint64))
+        a, b = pool[:size], pool[size // 5 : size + size // 9]
+        x, y = (S.wide_sketch(s) for s in (a, b))
+        to = min(len(x), len(y))
+        fold = lambda s: np.bitwise_xor.reduce(s.reshape(-1, to), axis=0)
+        differing = sum(int(v).bit_count() for v in (fold(x) ^ fold(y)).view(np.uint64))
+        assert differing <= len(np.setxor1d(a, b))
+        assert np.array_equal(fold(x), S.sketch(a, 64 * to))
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = sorted(map(tuple, S.components(odd_docs).collect()), key=str)
