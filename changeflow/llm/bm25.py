@@ -5,12 +5,13 @@ read. Its postings are cut into blocks of document numbers; the largest impact
 of each term, and of each term in each block, is kept. As in block-max WAND a
 floor, the k-th best score known so far, decides what is passed over: the terms
 whose bounds together stay below the floor can't lift a document over it alone,
-so only the other terms' postings are walked; what the passed-over terms can add
-is bounded first for all documents, then by the block maxima; documents that
+so only the other terms' postings are walked, and of these only blocks whose
+maxima, summed over the query's terms, reach the floor; what the passed-over terms can add is bounded first for all documents, then by the block maxima; documents that
 still may reach the floor get their whole score. Each step is one array
 operation. A document is left out only if it can't be among the best, so the
 result is that of scoring everything. The floor starts from one shard that every
-query is held against, and rises with each shard a task reads.
+query is held against, and rises with each shard a task reads. Tasks are as many
+as there are cores, so what they send to be merged grows with the queries only.
 
 Document frequencies, the number of documents and their mean length are taken
 over all shards before any is searched, so the scores of all shards are on one
@@ -119,6 +120,7 @@ class Shard:
         in_block = self.doc // block
         new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])])) if len(term) else np.zeros(0, np.int64)
         self.run_block = in_block[new]
+        self.run_begin = np.append(new, len(term))
         self.run_max = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
         self.run_start = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
         self.blocks = -(-len(self.ids) // block)
@@ -146,8 +148,16 @@ class Shard:
         slack = 1 + 1e-9
         few = int(np.searchsorted(total, SHARE * floor / slack))  # terms that together stay below a share of the floor
         rest, lead = order[:few], order[few:]
-        postings, of = self._expand(self.start[at[lead]], self.start[at[lead] + 1])
-        scores = np.bincount(self.doc[postings], weights[lead][of] * self.impact[postings], len(self.ids))
+        begin, end, scale = self.start[at[lead]], self.start[at[lead] + 1], weights[lead]
+        if floor > 0:  # blocks whose maxima stay below the floor are passed over, postings unread
+            runs, of = self._expand(self.run_start[at[lead]], self.run_start[at[lead] + 1])
+            most = np.bincount(self.run_block[runs], scale[of] * self.run_max[runs], self.blocks)
+            runs_kept = (most + (total[few - 1] if few else 0.0))[self.run_block[runs]] * slack >= floor
+            if not runs_kept.all():
+                runs, scale = runs[runs_kept], scale[of[runs_kept]]
+                begin, end = self.run_begin[runs], self.run_begin[runs + 1]
+        postings, of = self._expand(begin, end)
+        scores = np.bincount(self.doc[postings], scale[of] * self.impact[postings], len(self.ids))
         if not few:
             found = np.flatnonzero((scores > 0) & (scores >= floor))
             return found, scores[found]
@@ -220,7 +230,8 @@ def _search_block(index: DataFrame, queries: list, mean: float, k: int) -> DataF
             if len(ids):
                 yield pa.RecordBatch.from_arrays([pa.array([query] * len(ids), pa.int64()), pa.array(ids), pa.array(scores)], names=["query_id", "doc_id", "score"])
 
-    found = index.mapInArrow(search, "query_id long, doc_id long, score double")
+    few = index.coalesce(2 * index.sparkSession.sparkContext.defaultParallelism)
+    found = few.mapInArrow(search, "query_id long, doc_id long, score double")
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
 
