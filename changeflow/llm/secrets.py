@@ -17,7 +17,8 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +48,15 @@ _DIGIT = re.compile("[0-9]")
 _REST = re.compile("[A-Za-z0-9+/_.=@-]*")
 _SIGN = re.compile("=>|:=|[:=]")
 _NAMED = re.compile(rf"(?i)(?:{'|'.join(NAMES)})\w{{0,20}}[\"']?\s?\Z")
-_VALUE = re.compile(r"\s?[\"']?([^\s\"']{6,})")
+#: An authorization's scheme is a word before the value.
+_VALUE = re.compile(r"\s?[\"']?(?:(?i:bearer|basic|token)\s+[\"']?)?([^\s\"']{6,})")
+_KNOWN = re.compile(FORMATS)
 _WORD = re.compile(r"[^\W\d_]+")
 _KINDS = 4
-#: Where features() says whether a word before is a secret's name, and whether the value is assigned.
-NAMED, ASSIGNED = 8 + _KINDS + _KINDS**2, 10 + _KINDS + _KINDS**2
+#: Where features() says whether a word before is a secret's name, the last one is, and whether the value is assigned.
+NAMED, NAMED_LAST, ASSIGNED = (8 + _KINDS + _KINDS**2 + k for k in range(3))
+#: What ``rule_label`` looks at, so that a forest fitted to it doesn't: it would only learn the rule again.
+RULE_FEATURES = (NAMED, NAMED_LAST, ASSIGNED)
 
 
 def candidates(text: str | None) -> list[tuple[int, int]]:
@@ -110,6 +115,7 @@ def features(text: str, start: int, end: int, path: str | None, words: frozenset
         float(any(x in w for w in names for x in NAMES)), float(bool(names) and any(x in names[-1] for x in NAMES)), float(re.search(r"[:=]\s?[\"']?$", before) is not None),
         float(before[-1:] in ("'", '"')), float(after[:1] in ("'", '"')), float(before[-2:].strip().startswith(")")),
         float(any(x in place for x in PLACES)), zlib.crc32(place.encode("utf-8", "surrogatepass")) % 16 / 16, float(any(w.lower() in words for w in _WORD.findall(after)[:1])),
+        float(_KNOWN.search(value) is not None),
     ]
 
 
@@ -120,7 +126,12 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> l
 
 
 def find(docs: DataFrame, words: list[str], key: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
-    """(doc_id, start, length, value, features) of every candidate. Null texts have none; ``path`` may be absent or null."""
+    """(doc_id, start, length, value, features) of every candidate.
+
+    Null and empty texts and tables without rows have none; ``path`` may be absent
+    or null; repeated rows have theirs each. Texts are scanned whole, in time that
+    grows with their length.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frozenset(words))  # DICTIONARY words
     place = col(path).cast("string") if path in docs.columns else F.lit(None).cast("string")
 
@@ -138,9 +149,27 @@ def find(docs: DataFrame, words: list[str], key: str = "doc_id", text: str = "te
     return docs.select(col(key).cast("long"), col(text), place).mapInArrow(found, "doc_id long, start long, length long, value string, features array<double>")
 
 
-def learn(findings: DataFrame, label: str = "label", max_rows: int = MAX_ROWS, trees: int = 20, depth: int = 6, seed: int = 5) -> RandomForestClassificationModel | None:
+@dataclass(frozen=True)
+class Forest:
+    """Spark's forest, and the features it was fitted without."""
+
+    model: RandomForestClassificationModel
+    without: tuple[int, ...]
+
+
+def _vector(without: Sequence[int]) -> Column:
+    kept = F.filter("features", lambda x, i: ~i.isin(list(without))) if without else F.col("features")
+    return array_to_vector(kept)
+
+
+def learn(
+    findings: DataFrame, label: str = "label", max_rows: int = MAX_ROWS, trees: int = 20, depth: int = 6, seed: int = 5, without: Sequence[int] = ()
+) -> Forest | None:
     """A forest over (features, label). None without findings of both labels.
 
+    ``without`` lists features that the labels were made from. Repeated findings
+    count as often as they come.
+
     At most ``max_rows`` are used, picked by hash within each label: a label has
     half of them, or all its findings, and what the other leaves. Null labels are left out.
     """
@@ -154,15 +183,21 @@ def learn(findings: DataFrame, label: str = "label", max_rows: int = MAX_ROWS, t
     some = [df.orderBy(*order).limit(k).select("features", "label") for df, k in zip(picked, share)]
     some = written(some[0].unionByName(some[1]), "secret-sample")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="x", labelCol="label")
-    return forest.fit(some.select(array_to_vector("features").alias("x"), "label"))
+    return Forest(forest.fit(some.select(_vector(without).alias("x"), "label")), tuple(without))
 
 
-def judge(findings: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
-    """``findings`` with score, 0 to 1, and secret (score of 0.5 or more). Without a model nothing is dropped: score 1."""
-    if model is None:
+def judge(findings: DataFrame, forest: Forest | None) -> DataFrame:
+    """``findings`` with score, 0 to 1, and secret (score of 0.5 or more).
+
+    The forest removes false positives; a value in a known token format isn't one,
+    whatever it says: score 1. Without a forest nothing is dropped. Without
+    findings the result is empty.
+    """
+    if forest is None:
         return findings.withColumns({"score": F.lit(1.0), "secret": F.lit(True)})
-    out = model.transform(findings.withColumn("x", array_to_vector("features")))
-    score: Column = F.round(vector_to_array("probability")[1], 9)
+    out = forest.model.transform(findings.withColumn("x", _vector(forest.without)))
+    found = F.round(vector_to_array("probability")[1], 9)
+    score: Column = F.when(F.col("value").rlike(FORMATS), F.lit(1.0)).otherwise(found)
     return out.select(*findings.columns, score.alias("score")).withColumn("secret", F.col("score") >= 0.5)
 
 
