@@ -21,6 +21,7 @@ from changeflow.operators import gates, ledger, reconcile, resolve, slo  # noqa:
 from changeflow.plans import fixtures as fx  # noqa: E402
 from changeflow.plans import queries as q  # noqa: E402
 from changeflow.streaming.pipeline import Pipeline, Settings  # noqa: E402
+from changeflow.streaming.readmodel import ReadModelStream  # noqa: E402
 from changeflow.session import local_session, scratch_path, use_utc  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
