@@ -6,7 +6,9 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,15 +82,39 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table of its own in the shared folder.
+_made: list[str] | None = None
+
+
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` as a table of its own in the shared folder, partitioned ``by`` a column if given.
 
     It cuts lineage: a lost executor re-reads files instead of repeating the
     work, and several readers share one run.
     """
     path = scratch_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if _made is not None:
+        _made.append(path)
+    if by is None:
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # a table without rows has no partitions to see it from
+
+
+def folder_of(table: DataFrame) -> str:
+    """Where ``written`` put it."""
+    return re.sub(r"/([^/]*=[^/]*/)*[^/]*$", "", table.inputFiles()[0])
+
+
+@contextlib.contextmanager
+def listing_tables(into: list[str]) -> Iterator[None]:
+    """Paths of the tables written inside go to the list, for who knows when they are no longer read."""
+    global _made
+    outer, _made = _made, into
+    try:
+        yield
+    finally:
+        _made = outer
 
 
 def ascii_lower(text: Column) -> Column:

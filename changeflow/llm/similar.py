@@ -53,8 +53,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import col, worker_cache, written
+from changeflow.llm.common import col, folder_of, worker_cache, written
 from changeflow.llm.components import roots
+from changeflow.session import delete
 
 SHINGLE_WORDS = 3
 THRESHOLD = (90, 100)
@@ -368,7 +369,7 @@ def _again(index: DataFrame) -> DataFrame:
     documents, to see which keys occur again, then to let these through. What a
     task holds are a range's different keys, however long their lists.
     """
-    packed = index.where("range is not null").select("range", "chunk", "keys", "docs")
+    packed = index.select("range", "chunk", "keys", "docs")
     first = packed.select("range", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("chunk"), "keys", F.lit(None).cast("binary").alias("docs"))
     both = first.unionByName(packed.withColumn("turn", F.lit(1)))
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -455,8 +456,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, key: str, text: str, n: int, thre
 
 def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int, int]) -> DataFrame:
     """(doc_id, text_hash, n, cls, root, component_id) of every document; cls and root are null for empty sets."""
-    written_index = written(_index(docs, key, text, n, threshold), "similar-index")
-    index = written_index.where("range is null").drop("range", "keys", "docs")
+    kind = F.when(F.col("range").isNull(), "docs").otherwise("keys")
+    both = written(_index(docs, key, text, n, threshold).withColumn("kind", kind), "similar-index", by="kind")
+    index = both.where("kind = 'docs'").drop("kind", "range", "keys", "docs")
     classes = written(
         index.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("lead").alias("lead"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide", ignorenulls=True).alias("wide")),
         "similar-classes",
@@ -464,8 +466,11 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     member = F.struct("cls", "doc_id", "n", "sketch", "wide")
 
     # Lists with two different members or more, and their leaders. All of it is dealt by key once.
-    entries = _again(written_index).join(index.where("at is not null").select("chunk", "at", "lead"), ["chunk", "at"])
-    entries = written(entries.select("key", "lead"), "similar-entries").repartition("key").dropDuplicates(["key", "lead"])
+    entries = _again(both.where("kind = 'keys'")).join(index.where("at is not null").select("chunk", "at", "lead"), ["chunk", "at"])
+    once = written(entries.select("key", "lead"), "similar-entries")
+    if both.inputFiles():  # the packed keys, most of the index, have been read for the last time
+        delete(docs.sparkSession, folder_of(both) + "/kind=keys")
+    entries = once.repartition("key").dropDuplicates(["key", "lead"])
     leader = lambda j: F.min(F.struct(F.xxhash64("lead", F.lit(j)).alias("at"), F.col("lead").alias("lead")))["lead"]
     together = lambda j: F.bit_xor(F.xxhash64("lead", F.lit(j)))
     heads = entries.groupBy("key").agg(
@@ -475,6 +480,8 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     # Sets that share much share many lists; of lists with the same members one is enough.
     heads = heads.groupBy("low", "high", "size", "x1", "x2").agg(F.min_by(F.struct("key", "leaders"), "key").alias("one"), F.count(F.lit(1)).alias("alike"))
     lists = written(entries.join(heads.select("one.*", "alike"), "key"), "similar-lists")
+    if once.inputFiles():
+        delete(docs.sparkSession, folder_of(once))
 
     def as_members(pairs: DataFrame) -> DataFrame:
         """Pairs (lead, leader) as x and y, where the sketches allow them: the short ones first, the wide ones for what these leave."""
