@@ -7,11 +7,14 @@ the columns of documents.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import decontaminate, languages, mixture, similar, token_planes
-from changeflow.llm.common import prepare, table, written
+from changeflow.llm.common import listing_tables, prepare, table, written
+from changeflow.session import delete
 
 #: A text whose n-grams lie further from every language's profile than this is none of them.
 LEAST_LANGUAGE_SCORE = 0.2
@@ -50,12 +53,28 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return token_planes.read_digests(written(token_planes.encode(docs), "token-planes"))
 
 
+_tables: list[str] = []
+
+
+def _stage(run):
+    """The stage, with tables of the stage before it deleted: by now that one's result is written."""
+
+    @functools.wraps(run)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _tables:
+            delete(spark, _tables.pop())
+        with listing_tables(_tables):
+            return run(spark, docs, sf_dir)
+
+    return stage
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("ngram_jaccard_join", drop_near_duplicates),
-    ("benchmark_decontamination", drop_benchmark_documents),
-    ("source_mixture", mix_sources),
-    ("token_planes", write_tokens),
+    ("language_id", _stage(identify_language)),
+    ("ngram_jaccard_join", _stage(drop_near_duplicates)),
+    ("benchmark_decontamination", _stage(drop_benchmark_documents)),
+    ("source_mixture", _stage(mix_sources)),
+    ("token_planes", _stage(write_tokens)),
 ]
 
 #: Language profiles and sampling keys can't be stated in SQL; tests hold each stage against a brute-force version.
