@@ -8,7 +8,7 @@ import pytest
 from helpers import at, gated_events, log_of, message
 from pyspark.sql import functions as F
 
-from changeflow import model
+from changeflow import model, session
 from changeflow.functions.decode import decode
 from changeflow.operators import gates, readmodel, reconcile, replay, resolve
 from changeflow.sinks.state import MarkTable, StateTable
@@ -330,3 +330,15 @@ def test_bench_files(spark, tmp_path):
     s = out["sustained"]
     assert (s.runs, s.rate_mean, s.rate_stdev, s.events_sent_total) == (3, 12.0, 1.63, 30)
     assert out["burst"].rate_stdev == 0.0
+
+
+def test_staged_tables_are_built_of_methods_that_the_jvm_compiles(spark):
+    limit, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(limit)
+
+    def build():
+        seen.append(spark.conf.get(limit))
+        return spark.range(3)
+
+    assert session.stage(spark, "methods", "here", build).count() == 3
+    assert (seen, spark.conf.get(limit)) == (["8000"], before)
