@@ -155,3 +155,14 @@ def test_switches_are_off_by_default_and_act_when_on(spark):
     assert gate_of(spark, extra, contract=typed).schema_decision == "compatible"
     e = gate_of(spark, extra, contract=typed, warn_unknown_fields=True, check_types=True)
     assert (e.dlq_reason, e.schema_decision, e.schema_field) == (None, "conditional", "colour")
+
+
+def test_constraints_are_compiled(spark):
+    """No lambda, which Spark would interpret row by row."""
+    gated = gates.gate(decode(log_of(spark, [message("a", "P", "W", 1)])))
+    assert "lambda" not in gated._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_broken_constraints_are_named(spark):
+    e = gate_of(spark, message("a", "P" * 500, "W", 1, qty=-1))
+    assert (e.dlq_reason, e.dlq_detail) == ("projection_error", "chk_available_qty_nonneg,product_id_length")
