@@ -157,29 +157,42 @@ def _settled(rows: DataFrame, ttl_seconds: int, dedupe: str, hot: tuple[DataFram
     so at the latest the n-th round has the first n rows of every key right, and
     labels that a round leaves as they were are the answer. Independent clashes
     are settled in the same round: the number of rounds is the length of the
-    longest chain of labels that overturn one another.
+    longest chain of labels that overturn one another. Where ids are remembered for
+    their key, keys don't depend on each other, so a key whose labels a round leaves
+    as they were is settled, and later rounds read and write the other keys only.
     """
     scope = _mark_scope(dedupe)
     counts = F.col("_applied") | F.col("_seed").isNotNull()
     version = F.when(counts, F.col("row_version"))
     mark = F.when(F.col("_applied") | (F.col("_seed") == _SEED_MARK), F.col("log_ts"))
     listed, limit = hot
-    rows = written(rows, "open")
+    moved = F.coalesce(F.col("_was") != F.struct("_applied", "_skipped"), F.lit(False))
+
+    def by_key(part: DataFrame) -> DataFrame:
+        judged = _judged(_ordinary(part, version, mark, scope), ttl_seconds)
+        return judged.withColumn("_moved", F.max(moved).over(Window.partitionBy(*KEY)))
+
+    rows, settled = written(rows, "open"), None
     while True:
         before = rows.withColumn("_was", F.struct("_applied", "_skipped"))
-        if listed is None:
-            judged = _ordinary(before, version, mark, scope)
-        elif dedupe == ID_AND_KEY:
+        if dedupe == ID:  # an id joins keys, so all go on until none moves; it may be on hot keys and others
+            judged = _ordinary(before, version, mark, scope) if listed is None else _blockwise(before, version, mark, scope, limit)
+            judged = _judged(judged, ttl_seconds).withColumn("_moved", moved)
+        elif listed is None:
+            judged = by_key(before)
+        else:
             cold_rows, hot_part = blocks.split_hot(before, KEY, listed)
-            judged = _ordinary(cold_rows, version, mark, scope).unionByName(
-                _blockwise(hot_part, version, mark, scope, limit)
-            )
-        else:  # an id may be on keys of both kinds
-            judged = _blockwise(before, version, mark, scope, limit)
-        rows = written(_judged(judged, ttl_seconds).drop("_candidate", "_marked_at"), "open")
-        if rows.filter(F.col("_was") != F.struct("_applied", "_skipped")).isEmpty():
-            return rows.drop("_was")
-        rows = rows.drop("_was")
+            judged = _judged(_blockwise(hot_part, version, mark, scope, limit), ttl_seconds)
+            # At most as many rows as the list of hot keys.
+            moving = judged.filter(moved).select(*KEY, F.lit(True).alias("_moved")).distinct()
+            judged = by_key(cold_rows).unionByName(judged.join(F.broadcast(moving), KEY, "left").fillna(False, ["_moved"]))
+        table = written(judged.drop("_was", "_candidate", "_marked_at"), "open")
+        rows = table.drop("_moved") if dedupe == ID else table.filter("_moved").drop("_moved")
+        done = table.filter("NOT _moved").drop("_moved")
+        if table.filter("_moved").isEmpty():
+            return done if settled is None else settled.unionByName(done)
+        if dedupe == ID_AND_KEY:
+            settled = done if settled is None else settled.unionByName(done)
 
 
 def event_outcomes(

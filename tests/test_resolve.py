@@ -194,3 +194,24 @@ def test_state_follows_outcomes_when_an_id_is_used_again(spark):
     labelled = resolve.event_outcomes(gated_events(spark, [(0, "a", "P", "W", 5, 0), (1, "a", "P", "W", 7, 1)]))
     assert labels_of(labelled) == {0: "applied", 1: "skipped"}
     assert state_of(resolve.versioned_upsert(None, labelled)) == {("P", "W"): (5, "a")}
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 2])
+def test_settled_keys_leave_the_rounds(spark, monkeypatch, hot_rows):
+    """One key has a long chain of labels that overturn one another; the others are settled by the first round."""
+    ids_and_versions = [("a", 5), ("a", 9), ("b", 7), ("b", 8), ("c", 8), ("c", 9)]
+    chain = [(o, e, "P", "W", v, o) for o, (e, v) in enumerate(ids_and_versions)]
+    short = [(1000 + 10 * k + i, f"K{k}-{min(i, 1)}", f"S{k}", "W", i + 1, 1000 + i) for k in range(10) for i in range(4)]
+    events, rounds, written = chain + short, [], resolve.written
+
+    def counted(df, name):
+        table = written(df, name)
+        if name == "open":
+            rounds.append(table.count())
+        return table
+
+    monkeypatch.setattr(resolve, "written", counted)
+    want, _, _ = one_at_a_time(events, DAY_MS)
+    assert labels_of(resolve.event_outcomes(gated_events(spark, events).cache(), hot_rows=hot_rows)) == want
+    assert rounds[0] == rounds[1] == len(events)  # all are open
+    assert len(rounds) > 3 and set(rounds[2:]) == {len(chain)}
