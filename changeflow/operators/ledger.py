@@ -45,7 +45,8 @@ def floor_ledger(
     parts = parts.withColumns({"_d0": F.coalesce(F.sum("_d").over(earlier), none), "_n0": F.coalesce(F.sum("_n").over(earlier), none)})
     parts = parts.withColumn("_l0", F.min(F.col("_d0") + F.col("_l")).over(earlier)).select(*KEY, block, "_d0", "_n0", "_l0")
     start_qty = F.coalesce("_qty", F.lit(OPENING_QTY))
-    before = here.join(parts, [*KEY, block]).withColumns(
+    # As in ``blocks.running``: the rows stay where they lie.
+    before = here.join(parts.hint("merge"), [*KEY, block]).withColumns(
         {
             "_balance": start_qty + F.col("_d0") + F.col("_sum"),
             "_lowest_before": start_qty + F.least(F.col("_l0"), F.col("_d0") + F.col("_low")),
