@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from changeflow import model, session
 from changeflow.functions.decode import decode
 from changeflow.operators import gates, readmodel, reconcile, replay, resolve
+from changeflow.plans import queries
 from changeflow.sinks.state import MarkTable, StateTable
 from changeflow.sinks.tables import append_audit, audit_bytes, audit_day, dlq_messages, merge_into_table, read_audit, seed_missing, write_dlq
 from changeflow.sources import log as L
@@ -342,3 +343,10 @@ def test_staged_tables_are_built_of_methods_that_the_jvm_compiles(spark):
 
     assert session.stage(spark, "methods", "here", build).count() == 3
     assert (seen, spark.conf.get(limit)) == (["8000"], before)
+
+
+def test_website_is_no_second_table(spark, small_dir):
+    rows = queries.website(spark, small_dir)
+    assert rows.count() > 0
+    files = rows.inputFiles()
+    assert files and all("/warehouse-" in f for f in files)
