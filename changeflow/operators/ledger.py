@@ -35,7 +35,7 @@ def floor_ledger(
     else:
         moves = moves.withColumn("_qty", F.lit(None).cast("bigint")).withColumn("_version", F.lit(None).cast("bigint"))
     # Sums and lowest sums of blocks merge, so a block inherits both from one summary of those before it.
-    cut, block = blocks.dealt(moves, KEY, order, hot_rows), blocks.BLOCK
+    cut, block = blocks.dealt(blocks.placed(moves, KEY, order), KEY, order, hot_rows), blocks.BLOCK
     inside = Window.partitionBy(*KEY, block).orderBy(order)
     here = cut.withColumns({"_sum": F.sum("delta").over(inside), "_moves": F.row_number().over(inside).cast("bigint")})
     here = here.withColumn("_low", F.min("_sum").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
@@ -46,7 +46,7 @@ def floor_ledger(
     parts = parts.withColumn("_l0", F.min(F.col("_d0") + F.col("_l")).over(earlier)).select(*KEY, block, "_d0", "_n0", "_l0")
     start_qty = F.coalesce("_qty", F.lit(OPENING_QTY))
     # As in ``blocks.running``: the rows stay where they lie.
-    before = here.join(parts.hint("merge"), [*KEY, block]).withColumns(
+    before = here.join(parts, [*KEY, block], "left").withColumns(
         {
             "_balance": start_qty + F.col("_d0") + F.col("_sum"),
             "_lowest_before": start_qty + F.least(F.col("_l0"), F.col("_d0") + F.col("_low")),
