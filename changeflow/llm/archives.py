@@ -42,6 +42,8 @@ ARC_LINES = {
 }
 KEY_HEADER, REFERS_HEADER = "X-Record-Key", "X-Refers-To-Key"
 ARCHIVE_BYTES = 16 << 20
+#: A member is unpacked from so many bytes at a time: what follows it among these is copied, never the rest of the archive.
+READ_BYTES = 16 << 10
 _CRLF = b"\r\n"
 
 _RECORD = pa.schema(
@@ -238,12 +240,14 @@ def write_warc(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFr
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record, by gzip member and declared length."""
-    rest = content
-    while rest:
-        member = zlib.decompressobj(31)
-        data = member.decompress(rest) + member.flush()
-        rest = member.unused_data
-        head, _, body = data.partition(_CRLF * 2)
+    view, at = memoryview(content), 0
+    while at < len(content):
+        member, data = zlib.decompressobj(31), []
+        while at < len(content) and not member.eof:
+            data.append(member.decompress(view[at : at + READ_BYTES]))
+            at += READ_BYTES
+        at = min(at, len(content)) - len(member.unused_data)
+        head, _, body = b"".join([*data, member.flush()]).partition(_CRLF * 2)
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError("not a WARC record")

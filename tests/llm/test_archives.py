@@ -1,3 +1,6 @@
+import random
+import zlib
+
 import pytest
 
 from changeflow.llm import archives as A
@@ -49,3 +52,27 @@ def test_round_trip_and_revisits(spark, version):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert A.read_warc(written(A.write_warc(A.mark_revisits(A.read_arc(A.write_arc(none)))), "test")).count() == 0
+
+
+def test_a_member_is_read_without_the_rest_of_the_archive(monkeypatch):
+    """Reading an archive takes steps of a bounded size for each record, however many records follow it."""
+    record = dict(record_type="response", content_type="text/html", record_id="<x>", date="d", url="u", ip="i", payload_digest="p")
+    payloads = [bytes(random.Random(i).randbytes(200)) for i in range(2000)] + [random.Random(7).randbytes(5 * A.READ_BYTES), b""]
+    content = b"".join(A.warc_record(record | dict(key=i, payload=p, payload_bytes=len(p))) for i, p in enumerate(payloads))
+    fed, unpack = [], zlib.decompressobj
+
+    class Counted:
+        def __init__(self, bits):
+            self.member = unpack(bits)
+
+        def decompress(self, some):
+            fed.append(len(some))
+            return self.member.decompress(some)
+
+        def __getattr__(self, name):
+            return getattr(self.member, name)
+
+    monkeypatch.setattr(A.zlib, "decompressobj", Counted)
+    got = [block.partition(b"\r\n\r\n")[2] for _, block in A.parse_warc(content)]
+    assert got == payloads
+    assert sum(fed) <= len(payloads) * A.READ_BYTES + len(content)
