@@ -2,16 +2,18 @@
 
 A shard is an inverted index of some thousand documents, built where they are
 read. Its postings are cut into blocks of document numbers; the largest impact
-of each term, and of each term in each block, is kept. As in block-max WAND a
-floor, the k-th best score known so far, decides what is passed over: the terms
-whose bounds together stay below the floor can't lift a document over it alone,
-so only the other terms' postings are walked, and of these only blocks whose
-maxima, summed over the query's terms, reach the floor; what the passed-over terms can add is bounded first for all documents, then by the block maxima; documents that
-still may reach the floor get their whole score. Each step is one array
-operation. A document is left out only if it can't be among the best, so the
-result is that of scoring everything. The floor starts from one shard that every
-query is held against, and rises with each shard a task reads. Tasks are as many
-as there are cores, so what they send to be merged grows with the queries only.
+of each term in each block is kept. As in block-max WAND a floor, the k-th best
+score known so far, decides what is passed over: blocks whose maxima, summed over
+a query's terms, stay below the floor are not read for it. Queries are held
+against a shard many at a time. Terms that many of its documents have lie in a
+dense matrix, in single precision, so their part of all scores, and of all block
+bounds, is one matrix product; the other terms' postings are walked. Documents
+whose score, with the product's largest possible error, reaches the floor get
+their score in double precision. A document is left out only if it can't be among
+the best, so the result is that of scoring everything. The floor starts from one
+shard that every query is held against, and rises with each shard a task reads.
+Tasks are as many as there are cores, so what they send to be merged grows with
+the queries only.
 
 Document frequencies, the number of documents and their mean length are taken
 over all shards before any is searched, so the scores of all shards are on one
@@ -38,8 +40,10 @@ SHARD_POSTINGS = 4_000_000
 BLOCK_DOCS = 64
 QUERY_BLOCK = 4096
 QUERY_TASKS = 48
-#: Of the floor, what passed-over terms may add up to. With less, fewer documents are left to score; with more, fewer postings are walked.
-SHARE = 0.05
+#: Queries that are held against a shard together.
+QUERY_BATCH = 64
+#: Terms that this share of a shard's documents has are kept as a dense matrix, in so many cells at most, commonest first.
+COMMON_SHARE, COMMON_CELLS = 1 / 64, 4 << 20
 NO_ID = -(1 << 63)
 
 _SHARD = "doc_ids array<bigint>, lengths array<int>, terms array<bigint>, counts array<int>, docs binary, tf binary"
@@ -107,7 +111,7 @@ def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 class Shard:
-    """A shard in memory, with impacts, and the largest of each term and of each term in each block."""
+    """A shard in memory, with impacts, and the largest of each term in each block."""
 
     def __init__(self, row: dict, mean: float, block: int = BLOCK_DOCS):
         self.ids, lengths, self.block = row["doc_ids"], row["lengths"].astype(np.float64), block
@@ -116,7 +120,6 @@ class Shard:
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(mean, 1e-9)))
         term = np.repeat(np.arange(len(self.terms)), row["counts"])
         self.start = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
-        self.term_max = np.maximum.reduceat(self.impact, self.start[:-1]) if len(term) else np.zeros(0)
         in_block = self.doc // block
         new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])])) if len(term) else np.zeros(0, np.int64)
         self.run_block = in_block[new]
@@ -128,6 +131,15 @@ class Shard:
         self.doc_term, self.doc_impact = term[by_doc], self.impact[by_doc]
         self.doc_start = np.searchsorted(self.doc[by_doc], np.arange(len(self.ids) + 1))
         self.weight = np.zeros(len(self.terms))
+        counts, n = np.diff(self.start), max(1, len(self.ids))
+        common = np.argsort(-counts, kind="stable")[: COMMON_CELLS // n]
+        common = common[counts[common] >= max(1, COMMON_SHARE * n)]
+        self.column = np.full(len(self.terms), -1)
+        self.column[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.blocks * block), np.float32)
+        inside = np.flatnonzero(self.column[term] >= 0)
+        self.dense[self.column[term[inside]], self.doc[inside]] = self.impact[inside]
+        self.dense_max = self.dense.reshape(len(common), self.blocks, block).max(axis=2)
 
     @staticmethod
     def _expand(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,43 +148,68 @@ class Shard:
         of = np.repeat(np.arange(len(n)), n)
         return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + starts[of], of
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Document numbers and scores of all documents that share a term and reach ``floor``."""
-        at = np.searchsorted(self.terms, terms)
-        known = at < len(self.terms)
-        known[known] = self.terms[at[known]] == terms[known]
-        at, weights = at[known], weights[known]
-        bound = weights * self.term_max[at]
-        order = np.argsort(bound, kind="stable")
-        total = np.cumsum(bound[order])
-        slack = 1 + 1e-9
-        few = int(np.searchsorted(total, SHARE * floor / slack))  # terms that together stay below a share of the floor
-        rest, lead = order[:few], order[few:]
-        begin, end, scale = self.start[at[lead]], self.start[at[lead] + 1], weights[lead]
-        if floor > 0:  # blocks whose maxima stay below the floor are passed over, postings unread
-            runs, of = self._expand(self.run_start[at[lead]], self.run_start[at[lead] + 1])
-            most = np.bincount(self.run_block[runs], scale[of] * self.run_max[runs], self.blocks)
-            runs_kept = (most + (total[few - 1] if few else 0.0))[self.run_block[runs]] * slack >= floor
-            if not runs_kept.all():
-                runs, scale = runs[runs_kept], scale[of[runs_kept]]
-                begin, end = self.run_begin[runs], self.run_begin[runs + 1]
-        postings, of = self._expand(begin, end)
-        scores = np.bincount(self.doc[postings], scale[of] * self.impact[postings], len(self.ids))
-        if not few:
-            found = np.flatnonzero((scores > 0) & (scores >= floor))
-            return found, scores[found]
-        found = np.flatnonzero((scores > 0) & ((scores + total[few - 1]) * slack >= floor))
-        if len(found) > BLOCK_DOCS:  # block maxima bound what the rest can add
-            runs, of = self._expand(self.run_start[at[rest]], self.run_start[at[rest] + 1])
-            more = np.bincount(self.run_block[runs], weights[rest][of] * self.run_max[runs], self.blocks)
-            found = found[(scores[found] + more[found // self.block]) * slack >= floor]
-        self.weight[at[rest]] = weights[rest]
-        own, of = self._expand(self.doc_start[found], self.doc_start[found + 1])
-        added = np.bincount(of, self.weight[self.doc_term[own]] * self.doc_impact[own], len(found))
-        self.weight[at[rest]] = 0
-        scores = scores[found] + added
-        kept = scores >= floor
-        return found[kept], scores[kept]
+    def nearly(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all documents, a row for each query, and by how much of itself a score may be wrong.
+
+        ``query``, ``at`` and ``weights`` are the queries' terms that the shard has: whose, which, how much.
+        In blocks that can't reach a query's floor its scores are not whole.
+        """
+        m = len(floors)
+        column = self.column[at]
+        often, seldom = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+        error = 1e-6 + 2.4e-7 * np.bincount(query[often], minlength=m)  # a single rounds by 6e-8 of itself
+        common = np.zeros((m, len(self.dense)), np.float32)
+        common[query[often], column[often]] = weights[often]
+        runs, of = self._expand(self.run_start[at[seldom]], self.run_start[at[seldom] + 1])
+        whose, scale = query[seldom][of], weights[seldom][of]
+        most = np.bincount(whose * self.blocks + self.run_block[runs], scale * self.run_max[runs], m * self.blocks).reshape(m, self.blocks)
+        open_ = (most + common @ self.dense_max) * (1 + error)[:, None] >= floors[:, None]
+        kept = np.flatnonzero(open_[whose, self.run_block[runs]])
+        runs, whose, scale = runs[kept], whose[kept], scale[kept]
+        postings, of = self._expand(self.run_begin[runs], self.run_begin[runs + 1])
+        width = self.blocks * self.block
+        scores = np.bincount(whose[of] * width + self.doc[postings], scale[of] * self.impact[postings], m * width).reshape(m, width)
+        scores = scores.astype(np.float64, copy=False)  # without postings the sums are whole numbers
+        if (needed := open_.any(axis=0)).all():
+            scores += common @ self.dense
+        else:  # blocks that no query needs
+            docs = np.flatnonzero(np.repeat(needed, self.block))
+            scores[:, docs] += common @ self.dense[:, docs]
+        return scores, error
+
+    def search(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Query, document numbers and scores: all documents that share a term with the query and reach its floor."""
+        scores, error = self.nearly(query, at, weights, floors)
+        queries, found = np.nonzero((scores > 0) & (scores >= (floors * (1 - error))[:, None]))
+        bounds, terms = np.searchsorted(queries, np.arange(len(floors) + 1)), np.searchsorted(query, np.arange(len(floors) + 1))
+        for q in np.flatnonzero(np.diff(bounds)).tolist():
+            docs, mine = found[bounds[q] : bounds[q + 1]], slice(terms[q], terms[q + 1])
+            self.weight[at[mine]] = weights[mine]
+            own, of = self._expand(self.doc_start[docs], self.doc_start[docs + 1])
+            whole = np.bincount(of, self.weight[self.doc_term[own]] * self.doc_impact[own], len(docs))
+            self.weight[at[mine]] = 0
+            kept = whole >= floors[q]
+            yield q, docs[kept], whole[kept]
+
+
+class _Queries:
+    """Terms and weights of queries, one query after another."""
+
+    def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
+        self.count = len(terms)
+        self.terms, self.weights = np.concatenate([np.zeros(0, np.int64), *terms]), np.concatenate([np.zeros(0), *weights])
+        self.ends = np.cumsum([0, *map(len, terms)])
+
+    def batches(self, shard: Shard) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """The first and the end of so many queries, and whose, which and how much their terms are that the shard has."""
+        for first in range(0, self.count, QUERY_BATCH):
+            end = min(self.count, first + QUERY_BATCH)
+            i, j = self.ends[first], self.ends[end]
+            at = np.searchsorted(shard.terms, self.terms[i:j])
+            known = at < len(shard.terms)
+            known[known] = shard.terms[at[known]] == self.terms[i:j][known]
+            query = np.repeat(np.arange(end - first), np.diff(self.ends[first : end + 1]))
+            yield first, end, query[known], at[known], self.weights[i:j][known]
 
 
 def _floor(scores: np.ndarray, k: int) -> float:
@@ -200,10 +237,11 @@ def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> l
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = next((_read_shard(b, 0, mean) for b in shared.value if b.num_rows), None)
         for batch in batches:
-            found = []
-            for terms, weights in zip(batch.column(1), batch.column(2)):
-                scores = shard.search(np.array(terms.values), np.array(weights.values), 0.0)[1] if shard else np.zeros(0)
-                found.append(_floor(scores, k))
+            queries = _Queries(*([np.array(v.values) for v in batch.column(c)] for c in (1, 2)))
+            found = np.zeros(queries.count)
+            for first, end, *terms in queries.batches(shard) if shard else ():
+                scores, error = shard.nearly(*terms, np.zeros(end - first))
+                found[first:end] = [_floor(row[row > 0], k) * (1 - e) for row, e in zip(scores, error)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["query_id", "terms", "weights", "floor"])
 
     spread = queries.select("query_id", "terms", "weights").repartition(QUERY_TASKS)
@@ -217,15 +255,16 @@ def _search_block(index: DataFrame, queries: list, mean: float, k: int) -> DataF
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in shared.value]
+        queries, floors = _Queries([q[1] for q in shared.value], [q[2] for q in shared.value]), np.array([q[3] for q in shared.value])
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = _read_shard(batch, i, mean)
-                for q, (_, terms, weights, floor) in enumerate(shared.value):
-                    ids, scores = best[q]
-                    docs, new = shard.search(terms, weights, max(floor, _floor(scores, k)))
-                    if len(docs):
+                for first, end, *terms in queries.batches(shard):
+                    for q, docs, new in shard.search(*terms, floors[first:end]):
+                        q, (ids, scores) = first + q, best[first + q]
                         new = np.round(new, 6)  # one value, however the sum was ordered
-                        best[q] = _best(np.concatenate([ids, shard.ids[docs]]), np.concatenate([scores, new]), k)
+                        best[q] = ids, scores = _best(np.concatenate([ids, shard.ids[docs]]), np.concatenate([scores, new]), k)
+                        floors[q] = max(floors[q], _floor(scores, k))
         for (query, *_), (ids, scores) in zip(shared.value, best):
             if len(ids):
                 yield pa.RecordBatch.from_arrays([pa.array([query] * len(ids), pa.int64()), pa.array(ids), pa.array(scores)], names=["query_id", "doc_id", "score"])

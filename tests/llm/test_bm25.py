@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from changeflow.llm import bm25
@@ -42,3 +43,29 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert [r.doc_id for r in sorted((x for x in got if x.query_id == 6), key=lambda x: x["rank"])][:2] == [6, 7]
     assert bm25.search(no_docs, odd_docs, 3).count() == 0
     assert bm25.search(odd_docs, no_docs, 3).count() == 0
+
+
+def test_queries_are_held_against_a_shard_together(monkeypatch):
+    """The postings of a batch of queries are gathered at once, and only queries with a document over the floor are looked at alone."""
+    draw = np.random.default_rng(3)
+    docs = [Counter(draw.zipf(1.3, 80).clip(max=5000).tolist()) for _ in range(300)]
+    shard = bm25._read_shard(bm25._shard(list(range(300)), docs), 0, 80.0)
+    queries = [np.array(list(c)) for c in docs[:200]]
+    weights = [draw.random(len(q)) + 0.1 for q in queries]
+    whole = np.zeros((200, 300))
+    for i, (q, w) in enumerate(zip(queries, weights)):
+        for j, c in enumerate(docs):
+            norm = bm25.K1 * (1 - bm25.B + bm25.B * 80 / 80.0)
+            whole[i, j] = sum(x * c[t] * (bm25.K1 + 1) / (c[t] + norm) for t, x in zip(q.tolist(), w.tolist()) if t in c)
+    calls, expand = [], bm25.Shard._expand
+    monkeypatch.setattr(bm25.Shard, "_expand", staticmethod(lambda a, b: calls.append(1) or expand(a, b)))
+    assert len(shard.dense) > 10 and (shard.column < 0).any()
+    for floors in (np.zeros(200), np.sort(whole, axis=1)[:, -10] - 1e-9, whole.max(axis=1) + 1):
+        calls.clear()
+        got = {}
+        for first, end, *terms in bm25._Queries(queries, weights).batches(shard):
+            got |= {first + q: dict(zip(d.tolist(), s.tolist())) for q, d, s in shard.search(*terms, floors[first:end])}
+        for i in range(200):
+            want = {j: whole[i, j] for j in np.flatnonzero((whole[i] > 0) & (whole[i] >= floors[i])).tolist()}
+            assert got.get(i, {}) == pytest.approx(want)
+        assert len(calls) <= 2 * 4 + 200 * (floors[0] < whole[0].max())
