@@ -29,7 +29,7 @@ makes a list of one-deletion keys long.
 
 Lists. Nearly all keys occur once in a corpus and lead to nothing. Tasks pack
 theirs as sorted 40-bit numbers, about three bytes each, and a pass over each
-range of keys lets only those through that occur again.
+range of keys, which holds them as packed, lets only those through that occur again.
 
 Verification. Copies (equal sets) are one class. A list of similar but different
 sets may be long, so lists aren't expanded into pairs. First each member is
@@ -44,12 +44,15 @@ member's leaders the one that it meets in most lists is compared first.
 from __future__ import annotations
 
 import hashlib
+import pickle
+import tempfile
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +70,8 @@ LEADERS = 2
 KEY_BITS = 40
 #: A task packs about so many keys at a time, and so many bytes of text make a range of keys.
 CHUNK_KEYS, RANGE_BYTES = 1 << 19, 16 << 20
+#: A task holds so many bytes of a range's packed keys in memory, more in a file of its own.
+HELD_BYTES = 64 << 20
 #: Segments are ordered by their cost in so many documents.
 COST_SAMPLE = 1_000
 #: Ids that are broadcast, some 50 bytes each.
@@ -260,14 +265,15 @@ class _Chunk:
         return self.count - 1
 
     def packed(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """(range, keys, the document of each)"""
+        """(range, keys, the document of each), compressed"""
+        press = zstandard.ZstdCompressor(level=1)
         keys, docs = np.concatenate(self.keys), np.concatenate(self.docs)
         order = np.argsort(keys, kind="stable")
         keys, docs = keys[order], docs[order]
         of = (keys * _U(self.ranges)) >> _U(KEY_BITS)
         cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True]) if len(keys) else np.zeros(1, np.int64)
         for i, j in zip(cuts[:-1], cuts[1:]):
-            yield int(of[i]), _packed_ascending(keys[i:j], 5), _planes(docs[i:j], 4)
+            yield int(of[i]), press.compress(_packed_ascending(keys[i:j], 5)), press.compress(_planes(docs[i:j], 4))
 
 
 _INDEX = {
@@ -365,33 +371,45 @@ class _Repeated:
 def _again(index: DataFrame) -> DataFrame:
     """(key, chunk, at) of the keys that occur more than once.
 
-    The packed keys of a range come twice in a row: at first without their
-    documents, to see which keys occur again, then to let these through. What a
-    task holds are a range's different keys, however long their lists.
+    The packed keys of a range are kept as they come until all of them are there and it is
+    known which occur again; then these are let through. Keys are shuffled once. Unpacked, a
+    task holds a range's different keys only, however long their lists.
     """
-    packed = index.select("range", "chunk", "keys", "docs")
-    first = packed.select("range", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("chunk"), "keys", F.lit(None).cast("binary").alias("docs"))
-    both = first.unionByName(packed.withColumn("turn", F.lit(1)))
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys_of = None, _Repeated()
-        for batch in batches:
-            for of, turn, chunk, keys, docs in zip(*(batch.column(c).to_pylist() for c in ("range", "turn", "chunk", "keys", "docs"))):
-                if of != now:
-                    now, keys_of = of, _Repeated()
-                found = _ascending(keys, 5)
-                if turn == 0:
-                    keys_of.add(found)
-                    continue
+        unpack = zstandard.ZstdDecompressor()
+        now, count, keys_of = None, 0, _Repeated()
+
+        def let_through() -> Iterator[pa.RecordBatch]:
+            held.seek(0)
+            for _ in range(count):
+                chunk, keys, docs = pickle.load(held)
+                found = _ascending(unpack.decompress(keys), 5)
                 keep = keys_of.has(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[keep].view(np.int64)), pa.array(np.full(int(keep.sum()), chunk, np.int64)), pa.array(_numbers(docs, 4)[keep].view(np.int64))],
+                    [
+                        pa.array(found[keep].view(np.int64)), pa.array(np.full(int(keep.sum()), chunk, np.int64)),
+                        pa.array(_numbers(unpack.decompress(docs), 4)[keep].view(np.int64)),
+                    ],
                     ["key", "chunk", "at"],
-                )
+                )
+            held.seek(0)
+            held.truncate()
 
-    dealt = both.repartition(parts, "range").sortWithinPartitions("range", "turn")
-    return dealt.select("range", "turn", "chunk", "keys", "docs").mapInArrow(again, "key long, chunk long, at long")
+        with tempfile.SpooledTemporaryFile(HELD_BYTES) as held:
+            for batch in batches:
+                for of, *row in zip(*(batch.column(c).to_pylist() for c in ("range", "chunk", "keys", "docs"))):
+                    if of != now:
+                        yield from let_through()
+                        now, count, keys_of = of, 0, _Repeated()
+                    keys_of.add(_ascending(unpack.decompress(row[1]), 5))
+                    pickle.dump(row, held)
+                    count += 1
+            yield from let_through()
+
+    dealt = index.select("range", "chunk", "keys", "docs").repartition(parts, "range").sortWithinPartitions("range")
+    return dealt.mapInArrow(again, "key long, chunk long, at long")
 
 
 def _sets(docs: DataFrame, key: str, text: str, n: int, ids: DataFrame) -> DataFrame:
@@ -470,7 +488,8 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     once = written(entries.select("key", "lead"), "similar-entries")
     if both.inputFiles():  # the packed keys, most of the index, have been read for the last time
         delete(docs.sparkSession, folder_of(both) + "/kind=keys")
-    entries = once.repartition("key").dropDuplicates(["key", "lead"])
+    # Both readers of the dealt entries have this filter, so that they share one shuffle: a join would give it to one of them.
+    entries = once.where("key is not null and lead is not null").repartition("key").dropDuplicates(["key", "lead"])
     leader = lambda j: F.min(F.struct(F.xxhash64("lead", F.lit(j)).alias("at"), F.col("lead").alias("lead")))["lead"]
     together = lambda j: F.bit_xor(F.xxhash64("lead", F.lit(j)))
     heads = entries.groupBy("key").agg(
@@ -483,12 +502,15 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     if once.inputFiles():
         delete(docs.sparkSession, folder_of(once))
 
+    # Few classes are in a list; what follows joins these, not all.
+    listed = written(classes.join(lists.select("lead").distinct(), "lead", "left_semi").select(classes.columns), "similar-listed")
+
     def as_members(pairs: DataFrame) -> DataFrame:
         """Pairs (lead, leader) as x and y, where the sketches allow them: the short ones first, the wide ones for what these leave."""
         pairs = pairs.select("lead", "leader")
         for of in (F.struct("n", "sketch", F.lit(None).cast("array<bigint>").alias("wide")), member):
-            both = pairs.join(classes.select("lead", of.alias("x")), "lead")
-            both = both.join(classes.select(F.col("lead").alias("leader"), of.alias("y")), "leader").where(_may_link("x", "y", threshold))
+            both = pairs.join(listed.select("lead", of.alias("x")), "lead")
+            both = both.join(listed.select(F.col("lead").alias("leader"), of.alias("y")), "leader").where(_may_link("x", "y", threshold))
             pairs = both.select("lead", "leader")
         return both
 
@@ -499,18 +521,18 @@ def _members(docs: DataFrame, key: str, text: str, n: int, threshold: tuple[int,
     tried = written(_pairs(as_members(nearest), "x", "y"), "similar-tried")
     star = written(_linked(tried, docs, key, text, n, threshold), "similar-star")
     placed = written(roots(star), "similar-star-roots")
-    at = classes.join(placed, classes["cls"] == placed["node"], "left").select("lead", F.coalesce("root", "cls").alias("root"))
+    at = listed.join(placed, listed["cls"] == placed["node"], "left").select("lead", F.coalesce("root", "cls").alias("root"))
     apart = led.join(at.withColumnRenamed("root", "a_root"), "lead").join(at.toDF("leader", "b_root"), "leader").where("a_root != b_root")
     rest = written(_pairs(as_members(apart), "x", "y").join(tried, ["u", "v"], "left_anti"), "similar-rest")
     links = _linked(rest, docs, key, text, n, threshold)
     first = written(roots(placed.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links)), "similar-roots")
 
     # Lists whose members are in several components; there, members outside the main one meet those of other components.
-    rooted = classes.join(first, classes["cls"] == first["node"], "left").select("lead", member.alias("x"), F.coalesce("root", "cls").alias("root"))
+    rooted = listed.join(first, listed["cls"] == first["node"], "left").select("lead", member.alias("x"), F.coalesce("root", "cls").alias("root"))
     rooted = lists.select("key", "lead").join(rooted.select("lead", F.col("root")), "lead")
     counts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    open_lists = rooted.join(main.drop("roots"), "key").join(classes.select("lead", member.alias("x")), "lead")
+    open_lists = rooted.join(main.drop("roots"), "key").join(listed.select("lead", member.alias("x")), "lead")
     open_lists = written(open_lists.select("key", "x", "root", "main"), "similar-open")
     outside = open_lists.where("root != main").select("key", F.col("x").alias("a"), F.col("root").alias("a_root"))
     others = open_lists.select("key", F.col("x").alias("b"), F.col("root").alias("b_root"), (F.col("root") == F.col("main")).alias("b_main"))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 
 from changeflow.llm import components as G
 from changeflow.llm import similar as S
+from changeflow.llm.common import written
 
 
 def brute(rows, threshold=(90, 100), n=3):
@@ -157,3 +159,33 @@ def test_roots(spark):
     links = spark.createDataFrame(pairs, "u long, v long")
     assert {r.node: r.root for r in G.roots(links).collect()} == {n: r for n, r in top.items() if n != r}
     assert G.roots(links.limit(0)).count() == 0
+
+
+def test_keys_are_shuffled_once_and_held_in_a_file_if_many(spark, documents, monkeypatch):
+    index = S._index(documents, "doc_id", "text", 3, (90, 100))
+    index = written(index.where("range is not null"), "test-keys")
+    want = Counter((r.key, r.chunk, r.at) for r in S._again(index).collect())
+    assert want and all(n == 1 for n in want.values()) and min(Counter(k for k, *_ in want).values()) > 1
+    monkeypatch.setattr(S, "HELD_BYTES", 100)
+    found = S._again(index)
+    assert Counter((r.key, r.chunk, r.at) for r in found.collect()) == want
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_entries_are_dealt_once(spark, documents, monkeypatch):
+    plans, kept = {}, S.written
+
+    def seen(df, name, **more):
+        plans[name] = df._jdf.queryExecution().optimizedPlan()
+        return kept(df, name, **more)
+
+    def below(node):
+        if node.nodeName().startswith("Repartition"):
+            yield node
+        for i in range(node.children().size()):
+            yield from below(node.children().apply(i))
+
+    monkeypatch.setattr(S, "written", seen)
+    S.components(documents)
+    first, *others = below(plans["similar-lists"])
+    assert others and all(first.sameResult(x) for x in others)
