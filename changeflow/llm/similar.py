@@ -412,12 +412,15 @@ def _again(index: DataFrame) -> DataFrame:
     return dealt.mapInArrow(again, "key long, chunk long, at long")
 
 
+def _sent(ids: DataFrame) -> DataFrame:
+    """So few are sent to all tasks, and no text is shuffled; more meet the documents in a shuffled join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _sets(docs: DataFrame, key: str, text: str, n: int, ids: DataFrame) -> DataFrame:
     """(cls, packed) of the documents in ``ids`` (wanted_id), once for each class."""
     rows = docs.select(col(key).cast("long").alias("doc_id"), col(text).alias("text"))
-    # So few are sent to all tasks, and no text is shuffled; more meet the documents in a shuffled join.
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    rows = rows.join(_sent(ids), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -577,8 +580,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     twice = written(twice.toDF("gone_id", "gone_hash"), "similar-twice")
 
     same = lambda other: col(key).cast("long").eqNullSafe(other["gone_id"]) & (F.xxhash64(col(text)) == other["gone_hash"])
-    kept = docs.join(gone, same(gone), "left_anti")
+    kept = docs.join(_sent(gone), same(gone), "left_anti")
     if twice.isEmpty():
         return kept
+    twice = _sent(twice)
     repeated = kept.join(twice, same(twice), "left_semi").dropDuplicates([key, text])
     return kept.join(twice, same(twice), "left_anti").unionByName(repeated)

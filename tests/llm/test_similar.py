@@ -189,3 +189,20 @@ def test_entries_are_dealt_once(spark, documents, monkeypatch):
     S.components(documents)
     first, *others = below(plans["similar-lists"])
     assert others and all(first.sameResult(x) for x in others)
+
+
+def test_texts_stay_where_they_are_when_copies_go(spark, documents, monkeypatch):
+    """However little Spark broadcasts by itself, the ids of documents that go, and of repeated ones, are sent to the texts."""
+    draw = random.Random(8)
+    rows = [(i % 40, " ".join(f"w{(i % 40) // 2 * 50 + k}" for k in range(30))) for i in range(60)] + [(90 + i, f"a{draw.random()} b") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = S.keep_one(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        found = sorted(kept.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
+    assert found == sorted(set(r for r in rows if r[0] >= 90 or r[0] % 2 == 0))
