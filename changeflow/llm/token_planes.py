@@ -24,6 +24,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,7 @@ _ODD_SPACE = r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x
 #: Marks where plain texts are cut; a text with this character isn't plain.
 _BEFORE = "\x01"
 _MARKS = (".", ",")
+_MARKED = r"\pL[.,]\z"
 #: Some 200 bytes each.
 CACHED_PIECES = 700_000
 
@@ -155,14 +157,19 @@ class _Pool:
         self.used, self.count = self.used + len(ids), end
 
     def places(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
+        """Where these pieces are held; -1 for those that are not."""
+        return np.fromiter(map(self.slots.get, pieces, repeat(-1)), np.int64, len(pieces))
 
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these pieces, one after another, and how many each has."""
-        sizes = self.size[slots]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[slots] - ends + sizes, sizes)
-        return self.ids[at], sizes
+        return _gathered(self.ids, self.begin, self.size, slots)
+
+
+def _gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sizes = size[slots]
+    ends = np.cumsum(sizes)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[slots] - ends + sizes, sizes)
+    return ids[at], sizes
 
 
 class Encoder:
@@ -205,11 +212,10 @@ class Encoder:
             self.forget()
         unusual = pc.match_substring_regex(texts, self.unusual)
         out: list[bytes] = [b""] * len(texts)
-        at = np.flatnonzero(~unusual.to_numpy(zero_copy_only=False))
-        for i, ids in zip(at.tolist(), self.encode_plain(texts.filter(pc.invert(unusual)))):
-            out[i] = ids
-        for i in np.flatnonzero(unusual.to_numpy(zero_copy_only=False)).tolist():
-            out[i] = self.encode_unusual(texts[i].as_py())
+        for which, encode in ((pc.invert(unusual), self.encode_plain), (unusual, self.encode_unusual)):
+            at = np.flatnonzero(which.to_numpy(zero_copy_only=False)).tolist()
+            for i, ids in zip(at, encode(texts.filter(which)) if at else ()):
+                out[i] = ids
         return out
 
     def encode_plain(self, texts: pa.Array) -> list[bytes]:
@@ -217,50 +223,56 @@ class Encoder:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", _BEFORE + " "), "\n", _BEFORE + "\n")
         parts = pc.split_pattern(marked, _BEFORE)
         bounds = parts.offsets.to_numpy()
-        coded = parts.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        self.learn(pieces)
-        ids, sizes = self.pool.gather(self.pool.places(pieces)[coded.indices.to_numpy()])
-        ends = (np.r_[0, np.cumsum(sizes)][bounds - bounds[0]] * 4).tolist()
+        return self.encode_pieces(parts.flatten(), bounds - bounds[0])
+
+    def encode_unusual(self, texts: pa.Array) -> list[bytes]:
+        """Other texts; one with an added token is encoded whole."""
+        pieces, bounds, whole = [], [0], {}
+        for i, text in enumerate(texts.to_pylist()):
+            if self.added and self.added.search(text):
+                whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                pieces += _CUT.split(text)
+            bounds.append(len(pieces))
+        return [whole.get(i, ids) for i, ids in enumerate(self.encode_pieces(pa.array(pieces, pa.string()), np.array(bounds)))]
+
+    def encode_pieces(self, pieces: pa.Array, bounds: np.ndarray) -> list[bytes]:
+        """The ids of the pieces between each two bounds. A mark after a letter is a token apart from the word, so words are looked up without it."""
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary
+        marked = pc.match_substring_regex(distinct, _MARKED)
+        words = pc.if_else(marked, pc.utf8_rtrim(distinct, "".join(_MARKS)), distinct).dictionary_encode()
+        slots = np.zeros((len(distinct), 2), np.int64)  # of the word and its mark; 0 is the empty piece
+        slots[:, 0] = self.learned(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        for mark, at in zip(_MARKS, self.learned(list(_MARKS)).tolist()):
+            slots[pc.and_(marked, pc.ends_with(distinct, mark)).to_numpy(zero_copy_only=False), 1] = at
+        ids, sizes = self.pool.gather(slots.ravel())
+        sizes = sizes.reshape(-1, 2).sum(axis=1)
+        ids, sizes = _gathered(ids, np.cumsum(sizes) - sizes, sizes, coded.indices.to_numpy())
+        ends = (np.r_[0, np.cumsum(sizes)][bounds] * 4).tolist()
         data = ids.tobytes()
         return [data[i:j] for i, j in zip(ends, ends[1:])]
 
-    def encode_unusual(self, text: str) -> bytes:
-        if self.added and self.added.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = _CUT.split(text)
-        self.learn(list(dict.fromkeys(pieces)))
-        return self.pool.gather(self.pool.places(pieces))[0].tobytes()
-
-    def learn(self, wanted: list[str]) -> None:
-        """All of these, each of which comes once, are in the pool afterwards."""
-        slots = self.pool.slots
-        new, marked, stems, marks = [], [], [], []
-        for p in wanted:
-            if p not in slots:
-                if p[-1:] in _MARKS and (word := p.rstrip(".,"))[-1:].isalpha():
-                    marked.append(p)  # the marks are tokens apart from the letters before them
-                    stems.append(word)
-                    marks.append(p[len(word) :])
-                else:
-                    new.append(p)
-        if marked:
-            new += [p for p in {*stems, *marks}.difference(new) if p not in slots]
-        plain = [p for p in new if p[:1] == " " and p[1:].isalpha()]
-        for at in range(0, len(plain), 256):
-            self.encode_words(plain[at : at + 256])
-        self.encode_each([p for p in new if p not in slots])
-        if marked:
-            both = np.stack([self.pool.places(stems), self.pool.places(marks)], axis=1)
-            ids, sizes = self.pool.gather(both.ravel())
-            self.pool.add(marked, ids, sizes.reshape(-1, 2).sum(axis=1))
-
-    def encode_words(self, words: list[str]) -> None:
-        """Words with a space before each are encoded as one text: a word's first token alone begins with a space."""
-        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.r_[np.flatnonzero(self.begins[ids]), len(ids)]
-        if len(ends) == len(words) + 1 and ends[0] == 0:
-            self.pool.add(words, ids, np.diff(ends))
+    def learned(self, wanted: list[str]) -> np.ndarray:
+        """Where the pool holds these, each of which comes once; those that it doesn't are encoded first."""
+        at = self.pool.places(wanted)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [wanted[i] for i in missing.tolist()]
+            plain = [p for p in new if p[:1] == " " and p[1:].isalpha()]
+            for k in range(0, len(plain), 4096):
+                self.encode_words([plain[i : i + 256] for i in range(k, min(k + 4096, len(plain)), 256)])
+            self.encode_each([p for p in new if p not in self.pool.slots])
+            at[missing] = self.pool.places(new)
+        return at
+
+    def encode_words(self, groups: list[list[str]]) -> None:
+        """Words with a space before each are encoded as one text a group: a word's first token alone begins with a space."""
+        for words, found in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.r_[np.flatnonzero(self.begins[ids]), len(ids)]
+            if len(ends) == len(words) + 1 and ends[0] == 0:
+                self.pool.add(words, ids, np.diff(ends))
 
     def encode_each(self, new: list[str]) -> None:
         for at in range(0, len(new), 4096):

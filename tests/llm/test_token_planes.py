@@ -74,3 +74,15 @@ def test_added_tokens_are_the_library_s(spark):
     ids = {r.doc_id: r.ids[:-1] for r in T.read_ids(written(T.encode(docs), "test")).collect()}
     assert ids == {i: fresh.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
     assert np.frombuffer(T._encoder(None, True).encode(texts[:1])[0], "<u4").tolist() == [87, 1279, 91, 437, 1659, 5239, 91, 29, 331]
+
+
+def test_words_are_held_without_their_marks():
+    e = T.Encoder()
+    texts = ["alpha beta, beta. alpha\nalpha, naïve. x1, x.. (b)", "alpha  alpha, alpha.\t«ça». beta,. beta!."]
+    want = [np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode(texts) == want and e.encode(texts[::-1]) == want[::-1] and e.encode([]) == []
+    assert {" alpha", " beta", " naïve", ".", ","} < set(e.pool.slots)
+    assert not {" alpha,", " alpha.", " beta,", " beta.", " naïve."} & set(e.pool.slots)
+    count = e.pool.count
+    e.encode(["\nalpha beta. beta, alpha,"])
+    assert e.pool.count == count
