@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import col, written
+from changeflow.llm.common import col, worker_cache, written
 
 K1, B = 1.2, 0.75
 SHARD_DOCS = 4096
@@ -41,21 +41,34 @@ BLOCK_DOCS = 64
 QUERY_BLOCK = 4096
 QUERY_TASKS = 48
 #: Queries that are held against a shard together.
-QUERY_BATCH = 64
+QUERY_BATCH = 128
 #: Terms that this share of a shard's documents has are kept as a dense matrix, in so many cells at most, commonest first.
 COMMON_SHARE, COMMON_CELLS = 1 / 64, 4 << 20
 NO_ID = -(1 << 63)
+#: Some 200 bytes each.
+CACHED_WORDS = 1 << 17
+#: Of documents whose scores are taken in double precision, so many common terms at a time.
+SCORED_TERMS = 1 << 20
 
 _SHARD = "doc_ids array<bigint>, lengths array<int>, terms array<bigint>, counts array<int>, docs binary, tf binary"
 
 
+class _Hashes(dict):
+    """64-bit hashes of words without marks at either end; the first CACHED_WORDS different ones are kept."""
+
+    def __missing__(self, word: str) -> int:
+        bare = word.strip(".,;:!?\"'()[]|*#&%$")
+        out = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass")) - (1 << 63) if bare else None
+        if len(self) < CACHED_WORDS:
+            self[word] = out
+        return out
+
+
 def terms_of(text: str | None) -> Counter:
     """Words between white space, lower-cased and without marks at either end, as 64-bit hashes."""
-    words = Counter(w.strip(".,;:!?\"'()[]|*#&%$") for w in (text or "").lower().split())
-    words.pop("", None)
-    out: Counter = Counter()
-    for w, n in words.items():
-        out[xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63)] += n
+    hashes = worker_cache("bm25").setdefault("hashes", _Hashes())
+    out = Counter(map(hashes.__getitem__, (text or "").lower().split()))
+    out.pop(None, None)
     return out
 
 
@@ -64,7 +77,9 @@ def _shard(ids: list, docs: list[Counter]) -> pa.RecordBatch:
     tf = np.concatenate([np.fromiter(c.values(), np.int32, len(c)) for c in docs] or [np.zeros(0, np.int32)])
     doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(c) for c in docs])
     order = np.argsort(term, kind="stable")
-    terms, counts = np.unique(term, return_counts=True)
+    term = term[order]
+    begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]][: len(term)])
+    terms, counts = term[begin], np.diff(np.r_[begin, len(term)])
     one = lambda values, kind: pa.array([values], pa.list_(kind))
     return pa.RecordBatch.from_arrays(
         [
@@ -127,10 +142,6 @@ class Shard:
         self.run_max = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
         self.run_start = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
         self.blocks = -(-len(self.ids) // block)
-        by_doc = np.argsort(self.doc, kind="stable")  # the same postings by document
-        self.doc_term, self.doc_impact = term[by_doc], self.impact[by_doc]
-        self.doc_start = np.searchsorted(self.doc[by_doc], np.arange(len(self.ids) + 1))
-        self.weight = np.zeros(len(self.terms))
         counts, n = np.diff(self.start), max(1, len(self.ids))
         common = np.argsort(-counts, kind="stable")[: COMMON_CELLS // n]
         common = common[counts[common] >= max(1, COMMON_SHARE * n)]
@@ -139,6 +150,9 @@ class Shard:
         self.dense = np.zeros((len(common), self.blocks * block), np.float32)
         inside = np.flatnonzero(self.column[term] >= 0)
         self.dense[self.column[term[inside]], self.doc[inside]] = self.impact[inside]
+        by_doc = inside[np.argsort(self.doc[inside], kind="stable")]  # postings of common terms by document
+        self.doc_column, self.doc_impact = self.column[term[by_doc]], self.impact[by_doc]
+        self.doc_start = np.searchsorted(self.doc[by_doc], np.arange(len(self.ids) + 1))
         self.dense_max = self.dense.reshape(len(common), self.blocks, block).max(axis=2)
 
     @staticmethod
@@ -148,8 +162,8 @@ class Shard:
         of = np.repeat(np.arange(len(n)), n)
         return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + starts[of], of
 
-    def nearly(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of all documents, a row for each query, and by how much of itself a score may be wrong.
+    def nearly(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Scores of all documents, a row for each query, by how much of itself a score may be wrong, the part of other than common terms, and the weights of common ones.
 
         ``query``, ``at`` and ``weights`` are the queries' terms that the shard has: whose, which, how much.
         In blocks that can't reach a query's floor its scores are not whole.
@@ -158,8 +172,9 @@ class Shard:
         column = self.column[at]
         often, seldom = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
         error = 1e-6 + 2.4e-7 * np.bincount(query[often], minlength=m)  # a single rounds by 6e-8 of itself
-        common = np.zeros((m, len(self.dense)), np.float32)
-        common[query[often], column[often]] = weights[often]
+        exact = np.zeros((m, len(self.dense)))
+        exact[query[often], column[often]] = weights[often]
+        common = exact.astype(np.float32)
         runs, of = self._expand(self.run_start[at[seldom]], self.run_start[at[seldom] + 1])
         whose, scale = query[seldom][of], weights[seldom][of]
         most = np.bincount(whose * self.blocks + self.run_block[runs], scale * self.run_max[runs], m * self.blocks).reshape(m, self.blocks)
@@ -168,28 +183,62 @@ class Shard:
         runs, whose, scale = runs[kept], whose[kept], scale[kept]
         postings, of = self._expand(self.run_begin[runs], self.run_begin[runs + 1])
         width = self.blocks * self.block
-        scores = np.bincount(whose[of] * width + self.doc[postings], scale[of] * self.impact[postings], m * width).reshape(m, width)
-        scores = scores.astype(np.float64, copy=False)  # without postings the sums are whole numbers
+        rare = np.bincount(whose[of] * width + self.doc[postings], scale[of] * self.impact[postings], m * width).reshape(m, width)
+        rare = rare.astype(np.float64, copy=False)  # without postings the sums are whole numbers
         if (needed := open_.any(axis=0)).all():
-            scores += common @ self.dense
+            scores = rare + common @ self.dense
         else:  # blocks that no query needs
-            docs = np.flatnonzero(np.repeat(needed, self.block))
+            scores, docs = rare.copy(), np.flatnonzero(np.repeat(needed, self.block))
             scores[:, docs] += common @ self.dense[:, docs]
-        return scores, error
+        return scores, error, rare, exact
+
+    def reaching(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries, document numbers and scores, by query: all documents that share a term with a query and reach its floor."""
+        scores, error, rare, common = self.nearly(query, at, weights, floors)
+        queries, docs = np.nonzero((scores > 0) & (scores >= (floors * (1 - error))[:, None]))
+        whole = rare[queries, docs]
+        sizes = np.cumsum(self.doc_start[docs + 1] - self.doc_start[docs])
+        cuts = np.flatnonzero(np.diff(sizes // SCORED_TERMS, prepend=0)) if len(docs) else np.zeros(0, np.int64)
+        for i, j in zip([0, *cuts], [*cuts, len(docs)]):
+            if i < j:
+                own, of = self._expand(self.doc_start[docs[i:j]], self.doc_start[docs[i:j] + 1])
+                whole[i:j] += np.bincount(of, common[queries[i:j][of], self.doc_column[own]] * self.doc_impact[own], j - i)
+        kept = whole >= floors[queries]
+        return queries[kept], docs[kept], whole[kept]
 
     def search(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Query, document numbers and scores: all documents that share a term with the query and reach its floor."""
-        scores, error = self.nearly(query, at, weights, floors)
-        queries, found = np.nonzero((scores > 0) & (scores >= (floors * (1 - error))[:, None]))
-        bounds, terms = np.searchsorted(queries, np.arange(len(floors) + 1)), np.searchsorted(query, np.arange(len(floors) + 1))
+        """The same, one query after another."""
+        queries, docs, scores = self.reaching(query, at, weights, floors)
+        bounds = np.searchsorted(queries, np.arange(len(floors) + 1))
         for q in np.flatnonzero(np.diff(bounds)).tolist():
-            docs, mine = found[bounds[q] : bounds[q + 1]], slice(terms[q], terms[q + 1])
-            self.weight[at[mine]] = weights[mine]
-            own, of = self._expand(self.doc_start[docs], self.doc_start[docs + 1])
-            whole = np.bincount(of, self.weight[self.doc_term[own]] * self.doc_impact[own], len(docs))
-            self.weight[at[mine]] = 0
-            kept = whole >= floors[q]
-            yield q, docs[kept], whole[kept]
+            mine = slice(bounds[q], bounds[q + 1])
+            yield q, docs[mine], scores[mine]
+
+
+class _Best:
+    """The k best documents of each query so far, and from them its floor."""
+
+    def __init__(self, floors: np.ndarray, k: int):
+        self.k, self.floors = k, floors.copy()
+        self.ids, self.scores = np.zeros((len(floors), k), np.int64), np.full((len(floors), k), -np.inf)
+
+    def add(self, first: int, end: int, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Documents of the queries from ``first`` to ``end``, which ``queries`` counts from 0."""
+        old, place = np.nonzero(self.scores[first:end] > -np.inf)
+        queries = np.r_[old, queries]
+        ids, scores = np.r_[self.ids[first:end][old, place], ids], np.r_[self.scores[first:end][old, place], scores]
+        order = np.lexsort((ids, -scores, queries))
+        queries, ids, scores = queries[order], ids[order], scores[order]
+        place = np.arange(len(queries)) - np.searchsorted(queries, queries)
+        kept = place < self.k
+        at = (queries[kept] + first, place[kept])
+        self.ids[at], self.scores[at] = ids[kept], scores[kept]
+        # Nothing below can be among the best, rounding included.
+        self.floors[first:end] = np.maximum(self.floors[first:end], self.scores[first:end, -1] - 2e-6)
+
+    def of(self, q: int) -> tuple[np.ndarray, np.ndarray]:
+        n = int((self.scores[q] > -np.inf).sum())
+        return self.ids[q, :n], self.scores[q, :n]
 
 
 class _Queries:
@@ -224,11 +273,6 @@ def _read_shard(batch: pa.RecordBatch, i: int, mean: float) -> Shard:
     return Shard(arrays | {n: row[n].as_py() for n in ("docs", "tf")}, mean)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
-
-
 def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> list:
     """The queries of a block, with a floor each: their k-th best score in one shard, which is sent to all tasks."""
     first = index.limit(1).toArrow()  # SHARD_DOCS documents
@@ -240,7 +284,7 @@ def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> l
             queries = _Queries(*([np.array(v.values) for v in batch.column(c)] for c in (1, 2)))
             found = np.zeros(queries.count)
             for first, end, *terms in queries.batches(shard) if shard else ():
-                scores, error = shard.nearly(*terms, np.zeros(end - first))
+                scores, error, *_ = shard.nearly(*terms, np.zeros(end - first))
                 found[first:end] = [_floor(row[row > 0], k) * (1 - e) for row, e in zip(scores, error)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["query_id", "terms", "weights", "floor"])
 
@@ -254,18 +298,15 @@ def _search_block(index: DataFrame, queries: list, mean: float, k: int) -> DataF
     )  # QUERY_BLOCK queries
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in shared.value]
-        queries, floors = _Queries([q[1] for q in shared.value], [q[2] for q in shared.value]), np.array([q[3] for q in shared.value])
+        queries, best = _Queries([q[1] for q in shared.value], [q[2] for q in shared.value]), _Best(np.array([q[3] for q in shared.value]), k)
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = _read_shard(batch, i, mean)
                 for first, end, *terms in queries.batches(shard):
-                    for q, docs, new in shard.search(*terms, floors[first:end]):
-                        q, (ids, scores) = first + q, best[first + q]
-                        new = np.round(new, 6)  # one value, however the sum was ordered
-                        best[q] = ids, scores = _best(np.concatenate([ids, shard.ids[docs]]), np.concatenate([scores, new]), k)
-                        floors[q] = max(floors[q], _floor(scores, k))
-        for (query, *_), (ids, scores) in zip(shared.value, best):
+                    whose, docs, scores = shard.reaching(*terms, best.floors[first:end])
+                    best.add(first, end, whose, shard.ids[docs], np.round(scores, 6))  # one value, however the sum was ordered
+        for q, (query, *_) in enumerate(shared.value):
+            ids, scores = best.of(q)
             if len(ids):
                 yield pa.RecordBatch.from_arrays([pa.array([query] * len(ids), pa.int64()), pa.array(ids), pa.array(scores)], names=["query_id", "doc_id", "score"])
 

@@ -69,3 +69,41 @@ def test_queries_are_held_against_a_shard_together(monkeypatch):
             want = {j: whole[i, j] for j in np.flatnonzero((whole[i] > 0) & (whole[i] >= floors[i])).tolist()}
             assert got.get(i, {}) == pytest.approx(want)
         assert len(calls) <= 2 * 4 + 200 * (floors[0] < whole[0].max())
+
+
+def test_a_batch_is_scored_and_merged_at_once(monkeypatch):
+    """Whatever the number of queries with documents over the floor, a batch takes one pass, in pieces of bounded size."""
+    draw = np.random.default_rng(5)
+    docs = [Counter(draw.zipf(1.3, 60).clip(max=3000).tolist()) for _ in range(200)]
+    shards = [bm25._read_shard(bm25._shard(list(range(i, i + 100)), docs[i : i + 100]), 0, 60.0) for i in (100, 0)]
+    queries = [np.array(list(c)) for c in docs[:150]]
+    weights = [draw.random(len(q)) + 0.1 for q in queries]
+    whole = np.array([[round(sum(x * c[t] * 2.2 / (c[t] + 1.2) for t, x in zip(q.tolist(), w.tolist())), 6) for c in docs] for q, w in zip(queries, weights)])
+    calls, expand = [], bm25.Shard._expand
+    monkeypatch.setattr(bm25.Shard, "_expand", staticmethod(lambda a, b: calls.append(1) or expand(a, b)))
+    for terms, most in ((1 << 20, 3), (500, 10**9)):
+        monkeypatch.setattr(bm25, "SCORED_TERMS", terms)
+        best = bm25._Best(np.zeros(150), 4)
+        for shard in shards:
+            for first, end, *some in bm25._Queries(queries, weights).batches(shard):
+                calls.clear()
+                who, found, scores = shard.reaching(*some, best.floors[first:end])
+                assert len(calls) <= most
+                best.add(first, end, who, shard.ids[found], np.round(scores, 6))
+        for q in range(150):
+            want = sorted((-s, d) for d, s in enumerate(whole[q].tolist()) if s > 0)[:4]
+            ids, scores = best.of(q)
+            assert scores.tolist() == pytest.approx([-s for s, _ in want], abs=2e-6)
+            assert ids.tolist() == [d for _, d in want]
+
+
+def test_words_are_hashed_once_while_there_is_room(monkeypatch):
+    bm25.worker_cache("another")
+    monkeypatch.setattr(bm25, "CACHED_WORDS", 3)
+    made = []
+    digest = bm25.xxhash.xxh64_intdigest
+    monkeypatch.setattr(bm25.xxhash, "xxh64_intdigest", lambda b: made.append(b) or digest(b))
+    first, again = (bm25.terms_of("One, one (two) three ... --- four FOUR.") for _ in range(2))
+    assert first == again and sorted(first.values()) == [1, 1, 1, 2, 2] and bm25.terms_of(None) == Counter()
+    assert made.count(b"one") == 2 and made.count(b"two") == 1 and made.count(b"four") > 2
+    bm25.worker_cache("another")
