@@ -40,8 +40,8 @@ MAGIC = b"IDPLANE1"
 END_ID = 0
 SEGMENT_IDS = 1 << 20
 BLOCK_IDS = 1 << 16
-#: Text that a task encodes at a time: the more, the fewer distinct pieces it holds for its size.
-SLICE_BYTES = 4 << 20
+#: Text that a task encodes at a time: the more, the fewer distinct pieces it holds for its size, but a worker's memory grows by some 25 times as much.
+SLICE_BYTES = 1 << 20
 
 _SEGMENT = "shard int, segment int, first_id long, n_ids long, doc_ids array<bigint>, doc_tokens array<bigint>, content binary"
 _ARROW = pa.schema(
@@ -125,53 +125,120 @@ _ODD_SPACE = r"[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x
 _BEFORE = "\x01"
 _MARKS = (".", ",")
 _MARKED = r"\pL[.,]\z"
-#: Some 200 bytes each.
-CACHED_PIECES = 700_000
+#: Pieces and their ids that a worker holds at most between two slices: some 30 bytes a piece and its text, and 4 an id.
+CACHED_PIECES, CACHED_IDS = 700_000, 4 << 20
+#: Bytes; a longer piece is not found again.
+LONGEST_PIECE = 128
+_FACTORS = np.random.default_rng(1).integers(1 << 63, size=LONGEST_PIECE + 1, dtype=np.uint64)
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    if n <= len(array):
+        return array
+    out = np.empty(max(n, len(array) * 3 // 2), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
+def _gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of these runs, one after another, and how many each has."""
+    sizes = size[which]
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if len(values) + total < 1 << 31 else np.int64  # half the memory, if it does
+    at = np.repeat((begin[which] - ends + sizes).astype(kind), sizes)
+    at += np.arange(total, dtype=kind)
+    return values[at], sizes
+
+
+def _bytes(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of strings, and where those of each begin and how many they are."""
+    pieces = pieces.cast(pa.binary())
+    _, offsets, data = pieces.buffers()
+    if not len(pieces):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0, np.int32)
+    bounds = np.frombuffer(offsets, np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+    return np.frombuffer(data or b"", np.uint8), bounds[:-1], np.diff(bounds)
+
+
+def _hashed(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes: of each piece the sum of its bytes times factors of their places, and of its length."""
+    read = np.where(size <= LONGEST_PIECE, size, 0)
+    found, _ = _gathered(data, begin, read, np.arange(len(read)))
+    place, _ = _gathered(np.arange(LONGEST_PIECE), np.zeros(len(read), np.int32), read, np.arange(len(read)))
+    sums = np.zeros(len(found) + 1, np.uint64)
+    np.cumsum(_FACTORS[place] * found, out=sums[1:])
+    ends = np.cumsum(read)
+    return sums[ends] - sums[ends - read] + size.astype(np.uint64) * _FACTORS[-1]
 
 
 class _Pool:
-    """The ids of pieces of text, one after another, and where those of each piece lie."""
+    """The ids of pieces of text, one after another, and where those of each piece lie.
+
+    In arrays, as a Python string and a dictionary's entry take some 150 bytes a piece: pieces are found by their hash
+    among sorted ones, and are the same if their bytes are. Of two with one hash only the first is found.
+    """
 
     def __init__(self) -> None:
         self.ids, self.used = np.empty(1 << 18, "<u4"), 0
-        self.begin, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
-        self.slots: dict[str, int] = {}
+        self.text, self.text_used = np.empty(1 << 18, np.uint8), 0
+        self.begin, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
+        self.text_begin, self.text_size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
         self.count = 0
+        self.hashes, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
-    @staticmethod
-    def _room(array: np.ndarray, n: int) -> np.ndarray:
-        if n <= len(array):
-            return array
-        out = np.empty(max(n, 2 * len(array)), array.dtype)
-        out[: len(array)] = array
-        return out
-
-    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, pieces: pa.Array, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Where these pieces are held from now on; ``begin`` and ``size`` say which of the ids are a piece's."""
         at, end = self.count, self.count + len(pieces)
-        self.ids = self._room(self.ids, self.used + len(ids))
-        self.begin, self.size = self._room(self.begin, end), self._room(self.size, end)
+        data, text_begin, text_size = _bytes(pieces)
+        hashes = _hashed(data, text_begin, text_size)
+        kept = np.where(text_size <= LONGEST_PIECE, text_size, 0)
+        text, _ = _gathered(data, text_begin, kept, np.arange(len(kept)))
+        self.ids, self.text = _room(self.ids, self.used + len(ids)), _room(self.text, self.text_used + len(text))
         self.ids[self.used : self.used + len(ids)] = ids
-        self.size[at:end] = sizes
-        self.begin[at:end] = self.used + np.cumsum(sizes) - sizes
-        self.slots.update(zip(pieces, range(at, end)))
-        self.used, self.count = self.used + len(ids), end
-
-    def places(self, pieces: list[str]) -> np.ndarray:
+        self.text[self.text_used : self.text_used + len(text)] = text
+        for name, values in (
+            ("begin", begin + self.used), ("size", size), ("text_begin", self.text_used + np.cumsum(kept) - kept), ("text_size", text_size),
+        ):
+            setattr(self, name, _room(getattr(self, name), end))
+            getattr(self, name)[at:end] = values
+        slots = np.arange(at, end, dtype=np.int32)
+        found = np.flatnonzero(text_size <= LONGEST_PIECE)
+        found = found[np.argsort(hashes[found], kind="stable")]
+        place = np.searchsorted(self.hashes, hashes[found], "right")
+        self.hashes, self.order = np.insert(self.hashes, place, hashes[found]), np.insert(self.order, place, slots[found])
+        self.used, self.text_used, self.count = self.used + len(ids), self.text_used + len(text), end
+        return slots
+
+    @property
+    def slots(self) -> dict[str, int]:
+        """The pieces that can be found, and where they are held."""
+        runs = ((self.text_begin[i], self.text_begin[i] + self.text_size[i], i) for i in self.order.tolist())
+        return {self.text[a:b].tobytes().decode(): i for a, b, i in runs}
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
         """Where these pieces are held; -1 for those that are not."""
-        return np.fromiter(map(self.slots.get, pieces, repeat(-1)), np.int64, len(pieces))
+        out = np.full(len(pieces), -1, np.int64)
+        if not len(self.hashes) or not len(pieces):
+            return out
+        data, begin, size = _bytes(pieces)
+        hashes = _hashed(data, begin, size)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        slots = self.order[at]
+        which = np.flatnonzero((self.hashes[at] == hashes) & (self.text_size[slots] == size) & (size <= LONGEST_PIECE))
+        ours, sizes = _gathered(self.text, self.text_begin, self.text_size, slots[which])
+        theirs, _ = _gathered(data, begin, size, which)
+        unlike = np.r_[0, np.cumsum(ours != theirs, dtype=np.int64)]
+        ends = np.cumsum(sizes)
+        same = which[unlike[ends] == unlike[ends - sizes]]
+        out[same] = slots[same]
+        return out
 
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these pieces, one after another, and how many each has."""
         return _gathered(self.ids, self.begin, self.size, slots)
 
 
-def _gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    sizes = size[slots]
-    ends = np.cumsum(sizes)
-    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[slots] - ends + sizes, sizes)
-    return ids[at], sizes
-
-
 class Encoder:
     """A byte-level BPE tokenizer that encodes each distinct piece of text once while its cache has room.
 
@@ -202,13 +269,13 @@ class Encoder:
 
     def forget(self) -> None:
         self.pool = _Pool()
-        self.pool.add([""], np.zeros(0, "<u4"), np.zeros(1, np.int64))
+        self.pool.add(pa.array([""]), np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(1, np.int64))
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if isinstance(texts, list):
             texts = pa.array(texts, pa.string())
-        if self.pool.count > CACHED_PIECES:
+        if self.pool.count > CACHED_PIECES or self.pool.used > CACHED_IDS:
             self.forget()
         unusual = pc.match_substring_regex(texts, self.unusual)
         out: list[bytes] = [b""] * len(texts)
@@ -239,46 +306,55 @@ class Encoder:
     def encode_pieces(self, pieces: pa.Array, bounds: np.ndarray) -> list[bytes]:
         """The ids of the pieces between each two bounds. A mark after a letter is a token apart from the word, so words are looked up without it."""
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary
+        distinct, which = coded.dictionary, coded.indices.to_numpy()
         marked = pc.match_substring_regex(distinct, _MARKED)
         words = pc.if_else(marked, pc.utf8_rtrim(distinct, "".join(_MARKS)), distinct).dictionary_encode()
         slots = np.zeros((len(distinct), 2), np.int64)  # of the word and its mark; 0 is the empty piece
-        slots[:, 0] = self.learned(words.dictionary.to_pylist())[words.indices.to_numpy()]
-        for mark, at in zip(_MARKS, self.learned(list(_MARKS)).tolist()):
+        slots[:, 0] = self.learned(words.dictionary)[words.indices.to_numpy()]
+        for mark, at in zip(_MARKS, self.learned(pa.array(_MARKS)).tolist()):
             slots[pc.and_(marked, pc.ends_with(distinct, mark)).to_numpy(zero_copy_only=False), 1] = at
         ids, sizes = self.pool.gather(slots.ravel())
         sizes = sizes.reshape(-1, 2).sum(axis=1)
-        ids, sizes = _gathered(ids, np.cumsum(sizes) - sizes, sizes, coded.indices.to_numpy())
-        ends = (np.r_[0, np.cumsum(sizes)][bounds] * 4).tolist()
-        data = ids.tobytes()
-        return [data[i:j] for i, j in zip(ends, ends[1:])]
+        ids, sizes = _gathered(ids, np.cumsum(sizes) - sizes, sizes, which)
+        ends = np.r_[0, np.cumsum(sizes)][bounds].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(ends, ends[1:])]
 
-    def learned(self, wanted: list[str]) -> np.ndarray:
+    def learned(self, wanted: pa.Array) -> np.ndarray:
         """Where the pool holds these, each of which comes once; those that it doesn't are encoded first."""
         at = self.pool.places(wanted)
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            new = [wanted[i] for i in missing.tolist()]
-            plain = [p for p in new if p[:1] == " " and p[1:].isalpha()]
-            for k in range(0, len(plain), 4096):
-                self.encode_words([plain[i : i + 256] for i in range(k, min(k + 4096, len(plain)), 256)])
-            self.encode_each([p for p in new if p not in self.pool.slots])
-            at[missing] = self.pool.places(new)
+            new = wanted.take(pa.array(missing))
+            at[missing] = self.pool.add(new, *self.encoded(new.to_pylist()))
         return at
 
-    def encode_words(self, groups: list[list[str]]) -> None:
+    def encoded(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of these pieces, and where those of each begin and how many they are."""
+        plain = [i for i, p in enumerate(new) if p[:1] == " " and p[1:].isalpha()]
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        done = [x for k in range(0, len(groups), 16) for x in self.encode_words(new, groups[k : k + 16])]
+        left = np.ones(len(new), bool)
+        for at, _, _ in done:
+            left[at] = False
+        each = np.flatnonzero(left).tolist()
+        done += [self.encode_each(new, each[k : k + 4096]) for k in range(0, len(each), 4096)]
+        begin, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        at, ids, sizes = (np.concatenate(x) for x in zip(*done))
+        size[at], begin[at] = sizes, np.cumsum(sizes) - sizes
+        return ids, begin, size
+
+    def encode_words(self, new: list[str], groups: list[list[int]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
         """Words with a space before each are encoded as one text a group: a word's first token alone begins with a space."""
-        for words, found in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+        texts = ["".join([new[i] for i in g]) for g in groups]
+        for at, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = np.r_[np.flatnonzero(self.begins[ids]), len(ids)]
-            if len(ends) == len(words) + 1 and ends[0] == 0:
-                self.pool.add(words, ids, np.diff(ends))
-
-    def encode_each(self, new: list[str]) -> None:
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            self.pool.add(some, np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64))
+            if len(ends) == len(at) + 1 and ends[0] == 0:
+                yield at, ids, np.diff(ends)
+
+    def encode_each(self, new: list[str], at: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([new[i] for i in at], add_special_tokens=False)]
+        return at, np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
 
 
 def _encoder(vocabulary: str | None, plain_specials: bool = False) -> Encoder:

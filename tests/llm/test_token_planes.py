@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -86,3 +87,47 @@ def test_words_are_held_without_their_marks():
     count = e.pool.count
     e.encode(["\nalpha beta. beta, alpha,"])
     assert e.pool.count == count
+
+
+def test_a_held_piece_takes_few_bytes():
+    words = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}" + "".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(60_000)]
+    e = T.Encoder()
+    tracemalloc.start()
+    try:
+        for i in range(0, len(words), 6000):
+            e.encode([" ".join(["x", *words[i : i + 6000]])])
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert e.pool.count > 50_000 and held < 80 * e.pool.count
+
+
+def test_a_slice_takes_little_memory():
+    e, text = T.Encoder(), "one two three, four. " * (T.SLICE_BYTES // 21)
+    e.encode([text])
+    tracemalloc.start()
+    try:
+        e.encode([text])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 24 << 20
+
+
+def test_pieces_of_one_hash_and_long_pieces(monkeypatch):
+    monkeypatch.setattr(T, "_hashed", lambda data, begin, size: np.zeros(len(size), np.uint64))
+    e = T.Encoder()
+    long = "q" * (T.LONGEST_PIECE + 1)
+    texts = [f"alpha beta gamma {long} beta. ab ba", f"{long} beta delta, {long}", long * 40, "", "delta ab alpha"]
+    want = [np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode(texts) == want and e.encode(texts[::-1]) == want[::-1]
+    assert [e.encode([t])[0] for t in texts] == want
+
+
+def test_the_cache_is_emptied_when_it_holds_many_ids(monkeypatch):
+    monkeypatch.setattr(T, "CACHED_IDS", 1000)
+    e = T.Encoder()
+    for i in range(20):
+        text = "".join(chr(33 + (i + k * k) % 90) for k in range(3000))
+        assert e.encode([text])[0] == np.array(e.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert e.pool.used < 6000
