@@ -1,19 +1,20 @@
 """Exact top-k search: BM25 over an inverted index with block-max pruning, by shard.
 
 A shard is an inverted index of some thousand documents, built where they are
-read. Its postings are cut into blocks of document numbers; the largest impact
-of each term in each block is kept. As in block-max WAND a floor, the k-th best
-score known so far, decides what is passed over: blocks whose maxima, summed over
-a query's terms, stay below the floor are not read for it. Queries are held
-against a shard many at a time. Terms that many of its documents have lie in a
-dense matrix, in single precision, so their part of all scores, and of all block
-bounds, is one matrix product; the other terms' postings are walked. Documents
-whose score, with the product's largest possible error, reaches the floor get
-their score in double precision. A document is left out only if it can't be among
-the best, so the result is that of scoring everything. The floor starts from one
-shard that every query is held against, and rises with each shard a task reads.
-Tasks are as many as there are cores, so what they send to be merged grows with
-the queries only.
+read. In it documents with the same common words lie side by side, long ones
+first, and are cut into blocks. As in block-max WAND a floor, the k-th best score
+known so far, decides what is passed over. Queries are held against a shard many
+at a time. Terms that many of its documents have lie in a dense matrix for each
+block, in single precision, so their part of the scores is a matrix product; their
+largest impacts in each block bound it. The other terms' postings are walked. A
+block is multiplied only for the queries whose bound there reaches their floor,
+and in steps, the commonest terms first: after each step fewer queries go on.
+Documents whose score, with the product's largest possible error, reaches the
+floor get their score in double precision. A document is left out only if it can't
+be among the best, so the result is that of scoring everything. The floor starts
+from one shard that every query is held against, and rises with each shard a task
+reads. Tasks are as many as there are cores, so what they send to be merged grows
+with the queries only.
 
 Document frequencies, the number of documents and their mean length are taken
 over all shards before any is searched, so the scores of all shards are on one
@@ -35,16 +36,25 @@ from pyspark.sql import functions as F
 from changeflow.llm.common import col, worker_cache, written
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 4096
+SHARD_DOCS = 8192
 SHARD_POSTINGS = 4_000_000
 BLOCK_DOCS = 64
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 16384
 QUERY_TASKS = 48
-#: Queries that are held against a shard together.
-QUERY_BATCH = 128
+#: Queries that are held against a shard together, and when all their scores are looked at.
+QUERY_BATCH, FLOOR_BATCH = 512, 128
 #: Terms that this share of a shard's documents has are kept as a dense matrix, in so many cells at most, commonest first.
-COMMON_SHARE, COMMON_CELLS = 1 / 64, 4 << 20
+COMMON_SHARE, COMMON_CELLS = 1 / 64, 8 << 20
+#: Within a shard documents are arranged in so many groups, told apart by so many of the commonest terms.
+GROUPS, GROUP_TERMS = 8, 256
+#: After so many common terms each, queries that can't reach their floor leave a block.
+STEPS = (128, 512)
+#: Postings of other terms lie in lines of so many; so many lines at a time.
+LINE, LINES = 8, 1 << 16
 NO_ID = -(1 << 63)
+MARKS = ".,;:!?\"'()[]|*#&%$"
+#: What a word of marks alone comes to.
+NO_TERM = xxhash.xxh64_intdigest(b"") - (1 << 63)
 #: Some 200 bytes each.
 CACHED_WORDS = 1 << 17
 #: Of documents whose scores are taken in double precision, so many common terms at a time.
@@ -57,7 +67,7 @@ class _Hashes(dict):
     """64-bit hashes of words without marks at either end; the first CACHED_WORDS different ones are kept."""
 
     def __missing__(self, word: str) -> int:
-        bare = word.strip(".,;:!?\"'()[]|*#&%$")
+        bare = word.strip(MARKS)
         out = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass")) - (1 << 63) if bare else None
         if len(self) < CACHED_WORDS:
             self[word] = out
@@ -72,19 +82,70 @@ def terms_of(text: str | None) -> Counter:
     return out
 
 
-def _shard(ids: list, docs: list[Counter]) -> pa.RecordBatch:
-    term = np.concatenate([np.fromiter(c, np.int64, len(c)) for c in docs] or [np.zeros(0, np.int64)])
-    tf = np.concatenate([np.fromiter(c.values(), np.int32, len(c)) for c in docs] or [np.zeros(0, np.int32)])
-    doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(c) for c in docs])
+def _counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same of a text that is read once, as two arrays: words are counted before their marks go, so a term may come again.
+
+    A dictionary of all words is too large for the processor's caches; hashing a word anew is quicker.
+    """
+    words = Counter((text or "").lower().split())
+    try:
+        found = [xxhash.xxh64_intdigest(w.strip(MARKS)) for w in words]
+    except UnicodeEncodeError:
+        found = [xxhash.xxh64_intdigest(w.strip(MARKS).encode("utf-8", "surrogatepass")) for w in words]
+    terms = (np.fromiter(found, np.uint64, len(found)) ^ np.uint64(1 << 63)).view(np.int64)
+    n = np.fromiter(words.values(), np.int32, len(words))
+    kept = terms != NO_TERM
+    return (terms, n) if kept.all() else (terms[kept], n[kept])
+
+
+def _arranged(term: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The order in which documents with the same common words lie side by side, those of many words first.
+
+    The blocks of a shard then have low maxima where a query has little to find.
+    ``term`` are the terms of one document after another, ``sizes`` how many each has.
+    """
+    seen, n = np.unique(term[::8], return_counts=True)  # which terms are common need not be known exactly
+    common = np.sort(seen[np.argsort(-n, kind="stable")[:GROUP_TERMS]])
+    place = np.searchsorted(common, term)
+    found = np.flatnonzero(place < len(common))
+    found = found[common[place[found]] == term[found]]
+    has = np.zeros((len(sizes), len(common)), np.float32)
+    has[np.repeat(np.arange(len(sizes)), sizes)[found], place[found]] = 1
+    size = has.sum(axis=1)
+    has /= np.sqrt(np.maximum(size, 1))[:, None]
+    large = np.flatnonzero(size >= np.median(size))
+    centres = has[large[[size[large].argmax()]]]
+    for _ in range(min(GROUPS, len(large)) - 1):  # the next is least like those before
+        centres = np.vstack([centres, has[large[(has[large] @ centres.T).max(axis=1).argmin()]]])
+    for _ in range(4):
+        group = (has @ centres.T).argmax(axis=1)
+        sums = np.array([has[group == g].sum(axis=0) for g in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1), 1e-9)[:, None]
+    return np.lexsort((-sizes, (has @ centres.T).argmax(axis=1)))
+
+
+def _shard(ids: list, docs: list, arranged: bool = False) -> pa.RecordBatch:
+    """``docs``: of each document its terms and how often it has them, counted or as two arrays in which terms may come again."""
+    docs = [(np.fromiter(d, np.int64, len(d)), np.fromiter(d.values(), np.int32, len(d))) if isinstance(d, Counter) else d for d in docs]
+    sizes = np.fromiter((len(t) for t, _ in docs), np.int64, len(docs))
+    if arranged and docs:
+        order = _arranged(np.concatenate([t for t, _ in docs]), sizes)
+        ids, docs, sizes = [ids[i] for i in order], [docs[i] for i in order], sizes[order]
+    term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in docs)])
+    tf = np.concatenate([np.zeros(0, np.int32), *(n for _, n in docs)])
+    doc = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
     order = np.argsort(term, kind="stable")
-    term = term[order]
+    term, doc, tf = term[order], doc[order], tf[order]
+    new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])][: len(term)])
+    if len(new) < len(term):
+        term, doc, tf = term[new], doc[new], np.add.reduceat(tf, new, dtype=np.int32)
     begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]][: len(term)])
     terms, counts = term[begin], np.diff(np.r_[begin, len(term)])
     one = lambda values, kind: pa.array([values], pa.list_(kind))
     return pa.RecordBatch.from_arrays(
         [
-            one(ids, pa.int64()), one([sum(c.values()) for c in docs], pa.int32()), one(terms, pa.int64()), one(counts.astype(np.int32), pa.int32()),
-            pa.array([doc[order].tobytes()], pa.binary()), pa.array([tf[order].tobytes()], pa.binary()),
+            one(ids, pa.int64()), one([int(n.sum()) for _, n in docs], pa.int32()), one(terms, pa.int64()), one(counts.astype(np.int32), pa.int32()),
+            pa.array([doc.tobytes()], pa.binary()), pa.array([tf.tobytes()], pa.binary()),
         ],
         names=["doc_ids", "lengths", "terms", "counts", "docs", "tf"],
     )
@@ -97,15 +158,14 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         ids, held, size = [], [], 0
         for batch in batches:
             for i, t in zip(*batch.columns):
-                c = terms_of(t.as_py())
                 ids.append(i.as_py())
-                held.append(c)
-                size += len(c)
+                held.append(_counted(t.as_py()))
+                size += len(held[-1][0])
                 if len(ids) >= SHARD_DOCS or size >= SHARD_POSTINGS:
-                    yield _shard(ids, held)
+                    yield _shard(ids, held, True)
                     ids, held, size = [], [], 0
         if ids:
-            yield _shard(ids, held)
+            yield _shard(ids, held, True)
 
     return docs.select(col(key).cast("long"), col(text)).mapInArrow(shards, _SHARD)
 
@@ -126,83 +186,128 @@ def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 class Shard:
-    """A shard in memory, with impacts, and the largest of each term in each block."""
+    """A shard in memory, with impacts, and the largest of each common term in each block."""
 
     def __init__(self, row: dict, mean: float, block: int = BLOCK_DOCS):
-        self.ids, lengths, self.block = row["doc_ids"], row["lengths"].astype(np.float64), block
-        self.terms, self.doc = row["terms"], np.frombuffer(row["docs"], np.int32)
-        tf = np.frombuffer(row["tf"], np.int32).astype(np.float64)
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(mean, 1e-9)))
-        term = np.repeat(np.arange(len(self.terms)), row["counts"])
-        self.start = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
-        in_block = self.doc // block
-        new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])])) if len(term) else np.zeros(0, np.int64)
-        self.run_block = in_block[new]
-        self.run_begin = np.append(new, len(term))
-        self.run_max = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.run_start = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
+        self.ids, self.block, self.terms = row["doc_ids"], block, row["terms"]
+        counts, n = row["counts"].astype(np.int64), max(1, len(self.ids))
+        doc, impact = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["tf"], np.int32).astype(np.float64)
+        below = (K1 * (1 - B + B * row["lengths"].astype(np.float64) / max(mean, 1e-9)))[doc]
+        below += impact
+        impact *= K1 + 1
+        impact /= below
+        del below
         self.blocks = -(-len(self.ids) // block)
-        counts, n = np.diff(self.start), max(1, len(self.ids))
         common = np.argsort(-counts, kind="stable")[: COMMON_CELLS // n]
         common = common[counts[common] >= max(1, COMMON_SHARE * n)]
-        self.column = np.full(len(self.terms), -1)
+        self.column = np.full(len(self.terms), -1, np.int32)
         self.column[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.blocks * block), np.float32)
-        inside = np.flatnonzero(self.column[term] >= 0)
-        self.dense[self.column[term[inside]], self.doc[inside]] = self.impact[inside]
-        by_doc = inside[np.argsort(self.doc[inside], kind="stable")]  # postings of common terms by document
-        self.doc_column, self.doc_impact = self.column[term[by_doc]], self.impact[by_doc]
-        self.doc_start = np.searchsorted(self.doc[by_doc], np.arange(len(self.ids) + 1))
-        self.dense_max = self.dense.reshape(len(common), self.blocks, block).max(axis=2)
+        column = np.repeat(self.column, counts)
+        inside, outside = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+        # Postings of the other terms lie in lines of LINE of a term; in its last line some may be of no impact.
+        seldom = np.where(self.column < 0, counts, 0)
+        lines = -(-seldom // LINE)
+        self.start = np.concatenate([[0], np.cumsum(lines)])
+        self.docs, self.impacts = np.zeros((self.start[-1], LINE), np.int32), np.zeros((self.start[-1], LINE))
+        at = np.arange(len(outside)) + np.repeat(self.start[:-1] * LINE - np.cumsum(seldom) + seldom, seldom)
+        self.docs.reshape(-1)[at], self.impacts.reshape(-1)[at] = doc[outside], impact[outside]
+        del outside, at
+        column, doc, impact = column[inside], doc[inside], impact[inside]
+        self.tiles = np.zeros((self.blocks, len(common), block), np.float32)
+        self.tiles[doc // block, column, doc % block] = impact
+        self.dense = self.tiles.transpose(1, 0, 2)
+        self.dense_max = np.ascontiguousarray(self.tiles.max(axis=2).T) if self.blocks else np.zeros((len(common), 0), np.float32)
+        by_doc = np.argsort(doc.astype(np.uint16) if n <= 1 << 16 else doc, kind="stable")  # postings of common terms by document
+        self.doc_column, self.doc_impact = column[by_doc], impact[by_doc]
+        self.doc_start = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(self.ids)))])
+        ends = [0, *(c for c in STEPS if c < len(common)), len(common)]
+        self.steps = [slice(i, j) for i, j in zip(ends, ends[1:])]
 
     @staticmethod
     def _expand(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All numbers of the ranges, and which range each is of."""
+        """All numbers of the ranges, and how many each range has."""
         n = ends - starts
-        of = np.repeat(np.arange(len(n)), n)
-        return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + starts[of], of
+        numbers = np.repeat(starts - np.cumsum(n) + n, n)
+        numbers += np.arange(len(numbers))
+        return numbers, n
 
-    def nearly(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Scores of all documents, a row for each query, by how much of itself a score may be wrong, the part of other than common terms, and the weights of common ones.
+    def seldom(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
+        """The part of other than common terms in the scores of all documents, a row for each query."""
+        width = self.blocks * self.block
+        out = np.zeros((m, width))
+        cells = out.reshape(-1)
+        seldom = np.flatnonzero(self.column[at] < 0)
+        query, at, weights = query[seldom] * width, at[seldom], weights[seldom]
+        sums = np.cumsum(self.start[at + 1] - self.start[at])
+        cuts = np.flatnonzero(np.diff(sums // LINES, prepend=0)) if len(sums) else np.zeros(0, np.int64)
+        for i, j in zip([0, *cuts], [*cuts, len(at)]):
+            if i < j:
+                lines, n = self._expand(self.start[at[i:j]], self.start[at[i:j] + 1])
+                where, parts = self.docs.take(lines, axis=0) + np.repeat(query[i:j], n)[:, None], self.impacts.take(lines, axis=0)
+                parts *= np.repeat(weights[i:j], n)[:, None]
+                np.add.at(cells, where.reshape(-1), parts.reshape(-1))
+        return out
+
+    def common(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of common terms, a row for each query, and by how much of itself a score in single precision may be wrong."""
+        column = self.column[at]
+        often = np.flatnonzero(column >= 0)
+        out = np.zeros((m, len(self.dense)))
+        out[query[often], column[often]] = weights[often]
+        return out, 1e-6 + 2.4e-7 * np.bincount(query[often], minlength=m)  # a single rounds by 6e-8 of itself
+
+    def nearly(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all documents, a row for each of ``m`` queries, and by how much of itself a score may be wrong.
 
         ``query``, ``at`` and ``weights`` are the queries' terms that the shard has: whose, which, how much.
-        In blocks that can't reach a query's floor its scores are not whole.
         """
-        m = len(floors)
-        column = self.column[at]
-        often, seldom = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-        error = 1e-6 + 2.4e-7 * np.bincount(query[often], minlength=m)  # a single rounds by 6e-8 of itself
-        exact = np.zeros((m, len(self.dense)))
-        exact[query[often], column[often]] = weights[often]
-        common = exact.astype(np.float32)
-        runs, of = self._expand(self.run_start[at[seldom]], self.run_start[at[seldom] + 1])
-        whose, scale = query[seldom][of], weights[seldom][of]
-        most = np.bincount(whose * self.blocks + self.run_block[runs], scale * self.run_max[runs], m * self.blocks).reshape(m, self.blocks)
-        open_ = (most + common @ self.dense_max) * (1 + error)[:, None] >= floors[:, None]
-        kept = np.flatnonzero(open_[whose, self.run_block[runs]])
-        runs, whose, scale = runs[kept], whose[kept], scale[kept]
-        postings, of = self._expand(self.run_begin[runs], self.run_begin[runs + 1])
-        width = self.blocks * self.block
-        rare = np.bincount(whose[of] * width + self.doc[postings], scale[of] * self.impact[postings], m * width).reshape(m, width)
-        rare = rare.astype(np.float64, copy=False)  # without postings the sums are whole numbers
-        if (needed := open_.any(axis=0)).all():
-            scores = rare + common @ self.dense
-        else:  # blocks that no query needs
-            scores, docs = rare.copy(), np.flatnonzero(np.repeat(needed, self.block))
-            scores[:, docs] += common @ self.dense[:, docs]
-        return scores, error, rare, exact
+        scores = self.seldom(query, at, weights, m)
+        common, error = self.common(query, at, weights, m)
+        common = common.astype(np.float32)
+        for b, tile in enumerate(self.tiles):
+            scores[:, b * self.block : (b + 1) * self.block] += common @ tile
+        return scores, error
 
     def reaching(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Queries, document numbers and scores, by query: all documents that share a term with a query and reach its floor."""
-        scores, error, rare, common = self.nearly(query, at, weights, floors)
-        queries, docs = np.nonzero((scores > 0) & (scores >= (floors * (1 - error))[:, None]))
+        """Queries, document numbers and scores, by query: all documents that share a term with a query and reach its floor.
+
+        The common terms are multiplied out in steps, the commonest first; after each only
+        those queries go on in a block that can still reach their floor there, if the other
+        common terms have their largest impact.
+        """
+        m = len(floors)
+        rare = self.seldom(query, at, weights, m)
+        common, error = self.common(query, at, weights, m)
+        low = floors * (1 - error)
+        steps = [common[:, s].astype(np.float32) for s in self.steps]
+        rest = [np.zeros((m, self.blocks))]  # what the steps from each on can add in a block at most
+        for s, part in zip(self.steps[::-1], steps[::-1]):
+            rest.insert(0, rest[0] + part @ self.dense_max[s])
+        open_ = rare.reshape(m, self.blocks, self.block).max(axis=2) + rest[0] >= low[:, None]
+        lacking = [np.ascontiguousarray((low[:, None] - r).T) for r in rest[1:]]
+        open_, found = np.ascontiguousarray(open_.T), []
+        for b in np.flatnonzero(open_.any(axis=1)).tolist():
+            rows, here, tile = np.flatnonzero(open_[b]), slice(b * self.block, (b + 1) * self.block), self.tiles[b]
+            scores = rare[rows, here].astype(np.float32)
+            for s, part, need in zip(self.steps, steps, lacking):
+                scores += part[rows] @ tile[s]
+                on = np.flatnonzero(scores.max(axis=1) >= need[b, rows])
+                if len(on) < len(rows):
+                    rows, scores = rows[on], scores[on]
+            i, j = np.nonzero((scores > 0) & (scores >= low[rows, None]))
+            if len(i):
+                found.append((rows[i], j + here.start))
+        queries, docs = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+        order = np.lexsort((docs, queries))
+        queries, docs = queries[order], docs[order]
         whole = rare[queries, docs]
         sizes = np.cumsum(self.doc_start[docs + 1] - self.doc_start[docs])
         cuts = np.flatnonzero(np.diff(sizes // SCORED_TERMS, prepend=0)) if len(docs) else np.zeros(0, np.int64)
         for i, j in zip([0, *cuts], [*cuts, len(docs)]):
             if i < j:
-                own, of = self._expand(self.doc_start[docs[i:j]], self.doc_start[docs[i:j] + 1])
-                whole[i:j] += np.bincount(of, common[queries[i:j][of], self.doc_column[own]] * self.doc_impact[own], j - i)
+                own, n = self._expand(self.doc_start[docs[i:j]], self.doc_start[docs[i:j] + 1])
+                parts = common[np.repeat(queries[i:j], n), self.doc_column[own]] * self.doc_impact[own]
+                whole[i:j] += np.bincount(np.repeat(np.arange(j - i), n), parts, j - i)
         kept = whole >= floors[queries]
         return queries[kept], docs[kept], whole[kept]
 
@@ -224,7 +329,11 @@ class _Best:
 
     def add(self, first: int, end: int, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Documents of the queries from ``first`` to ``end``, which ``queries`` counts from 0."""
-        old, place = np.nonzero(self.scores[first:end] > -np.inf)
+        if not len(queries):
+            return
+        new = np.zeros(end - first, bool)
+        new[queries] = True
+        old, place = np.nonzero((self.scores[first:end] > -np.inf) & new[:, None])
         queries = np.r_[old, queries]
         ids, scores = np.r_[self.ids[first:end][old, place], ids], np.r_[self.scores[first:end][old, place], scores]
         order = np.lexsort((ids, -scores, queries))
@@ -240,23 +349,35 @@ class _Best:
         n = int((self.scores[q] > -np.inf).sum())
         return self.ids[q, :n], self.scores[q, :n]
 
+    def all(self, first: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the queries from ``first`` to ``end`` the number, the ids and the scores."""
+        queries, place = np.nonzero(self.scores[first:end] > -np.inf)
+        queries += first
+        return queries, self.ids[queries, place], self.scores[queries, place]
+
 
 class _Queries:
     """Terms and weights of queries, one query after another."""
 
     def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
         self.count = len(terms)
-        self.terms, self.weights = np.concatenate([np.zeros(0, np.int64), *terms]), np.concatenate([np.zeros(0), *weights])
+        #: Each term once, in order, and the place there of each query's terms.
+        self.terms, places = np.unique(np.concatenate([np.zeros(0, np.int64), *terms]), return_inverse=True)
+        self.places, self.weights = places.astype(np.int32), np.concatenate([np.zeros(0), *weights])
         self.ends = np.cumsum([0, *map(len, terms)])
 
-    def batches(self, shard: Shard) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    def batches(self, shard: Shard, many: int = QUERY_BATCH) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """The first and the end of so many queries, and whose, which and how much their terms are that the shard has."""
-        for first in range(0, self.count, QUERY_BATCH):
-            end = min(self.count, first + QUERY_BATCH)
+        place = np.searchsorted(self.terms, shard.terms)
+        known = np.flatnonzero(place < len(self.terms))
+        known = known[self.terms[place[known]] == shard.terms[known]]
+        number = np.full(len(self.terms), -1)
+        number[place[known]] = known
+        for first in range(0, self.count, many):
+            end = min(self.count, first + many)
             i, j = self.ends[first], self.ends[end]
-            at = np.searchsorted(shard.terms, self.terms[i:j])
-            known = at < len(shard.terms)
-            known[known] = shard.terms[at[known]] == self.terms[i:j][known]
+            at = number[self.places[i:j]]
+            known = np.flatnonzero(at >= 0)
             query = np.repeat(np.arange(end - first), np.diff(self.ends[first : end + 1]))
             yield first, end, query[known], at[known], self.weights[i:j][known]
 
@@ -270,11 +391,11 @@ def _read_shard(batch: pa.RecordBatch, i: int, mean: float) -> Shard:
     row = {n: batch.column(n)[i] for n in batch.schema.names}
     ids = row["doc_ids"].values.fill_null(NO_ID)
     arrays = {n: np.array(ids if n == "doc_ids" else v.values) for n, v in row.items() if n not in ("docs", "tf")}
-    return Shard(arrays | {n: row[n].as_py() for n in ("docs", "tf")}, mean)
+    return Shard(arrays | {n: row[n].as_buffer() for n in ("docs", "tf")}, mean)
 
 
-def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> list:
-    """The queries of a block, with a floor each: their k-th best score in one shard, which is sent to all tasks."""
+def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> tuple[np.ndarray, _Queries, np.ndarray]:
+    """The ids and the queries of a block, those alike side by side, with a floor each: their k-th best score in one shard, which is sent to all tasks."""
     first = index.limit(1).toArrow()  # SHARD_DOCS documents
     shared = index.sparkSession.sparkContext.broadcast(first.to_batches())
 
@@ -283,32 +404,35 @@ def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> l
         for batch in batches:
             queries = _Queries(*([np.array(v.values) for v in batch.column(c)] for c in (1, 2)))
             found = np.zeros(queries.count)
-            for first, end, *terms in queries.batches(shard) if shard else ():
-                scores, error, *_ = shard.nearly(*terms, np.zeros(end - first))
+            for first, end, *terms in queries.batches(shard, FLOOR_BATCH) if shard else ():
+                scores, error = shard.nearly(*terms, end - first)
                 found[first:end] = [_floor(row[row > 0], k) * (1 - e) for row, e in zip(scores, error)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["query_id", "terms", "weights", "floor"])
 
     spread = queries.select("query_id", "terms", "weights").repartition(QUERY_TASKS)
-    return spread.mapInArrow(floors, "query_id long, terms array<bigint>, weights array<double>, floor double").collect()
+    rows = spread.mapInArrow(floors, "query_id long, terms array<bigint>, weights array<double>, floor double").toArrow()
+    terms, weights = ([np.array(v.values) for v in rows.column(c)] for c in ("terms", "weights"))
+    order = _arranged(np.concatenate(terms), np.fromiter(map(len, terms), np.int64, len(terms))) if terms else np.zeros(0, np.int64)
+    ids, lows = (np.array(rows.column(c), kind)[order] for c, kind in (("query_id", np.int64), ("floor", np.float64)))
+    return ids, _Queries([terms[i] for i in order], [weights[i] for i in order]), lows
 
 
-def _search_block(index: DataFrame, queries: list, mean: float, k: int) -> DataFrame:
-    shared = index.sparkSession.sparkContext.broadcast(
-        [(r.query_id, np.array(r.terms, np.int64), np.array(r.weights, np.float64), r.floor) for r in queries]
-    )  # QUERY_BLOCK queries
+def _search_block(index: DataFrame, queries: tuple[np.ndarray, _Queries, np.ndarray], mean: float, k: int) -> DataFrame:
+    shared = index.sparkSession.sparkContext.broadcast(queries)  # QUERY_BLOCK queries
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, best = _Queries([q[1] for q in shared.value], [q[2] for q in shared.value]), _Best(np.array([q[3] for q in shared.value]), k)
+        names, queries, floors = shared.value
+        best, shard = _Best(floors, k), None
         for batch in batches:
             for i in range(batch.num_rows):
+                del shard  # two have no room beside each other
                 shard = _read_shard(batch, i, mean)
                 for first, end, *terms in queries.batches(shard):
                     whose, docs, scores = shard.reaching(*terms, best.floors[first:end])
                     best.add(first, end, whose, shard.ids[docs], np.round(scores, 6))  # one value, however the sum was ordered
-        for q, (query, *_) in enumerate(shared.value):
-            ids, scores = best.of(q)
-            if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.array([query] * len(ids), pa.int64()), pa.array(ids), pa.array(scores)], names=["query_id", "doc_id", "score"])
+        for first in range(0, len(names), QUERY_BATCH):
+            found, ids, scores = best.all(first, first + QUERY_BATCH)
+            yield pa.RecordBatch.from_arrays([pa.array(names[found]), pa.array(ids), pa.array(scores)], names=["query_id", "doc_id", "score"])
 
     few = index.coalesce(2 * index.sparkSession.sparkContext.defaultParallelism)
     found = few.mapInArrow(search, "query_id long, doc_id long, score double")

@@ -107,3 +107,42 @@ def test_words_are_hashed_once_while_there_is_room(monkeypatch):
     assert first == again and sorted(first.values()) == [1, 1, 1, 2, 2] and bm25.terms_of(None) == Counter()
     assert made.count(b"one") == 2 and made.count(b"two") == 1 and made.count(b"four") > 2
     bm25.worker_cache("another")
+
+
+def test_blocks_that_can_not_reach_a_floor_are_not_multiplied():
+    """Documents with the same common words are side by side, so a query reads few blocks of those that have others."""
+    draw = np.random.default_rng(7)
+    docs = [Counter((draw.zipf(1.2, n).clip(max=2000) * 2 + i % 2).tolist()) for i, n in enumerate(draw.integers(20, 200, 2048).tolist())]
+    shard = bm25._read_shard(bm25._shard(list(range(5, 2053)), docs, True), 0, 100.0)
+    assert sorted(shard.ids.tolist()) == list(range(5, 2053))
+
+    class Tiles(list):
+        read = 0
+
+        def __getitem__(self, i):
+            self.read += 1
+            return list.__getitem__(self, i)
+
+    shard.tiles = Tiles(shard.tiles)
+    for one in (0, 1):
+        queries = [np.array(list(c)) for c in docs[one:60:2]]
+        weights = [draw.random(len(q)) + 0.1 for q in queries]
+        whole = np.array([[sum(x * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * c.total() / 100)) for t, x in zip(q.tolist(), w.tolist())) for c in docs] for q, w in zip(queries, weights)])
+        floors = np.sort(whole, axis=1)[:, -10] - 1e-9
+        shard.tiles.read = 0
+        ((_, _, *terms),) = bm25._Queries(queries, weights).batches(shard)
+        found, at, scores = shard.reaching(*terms, floors)
+        assert 0 < shard.tiles.read <= 16 + bm25.GROUPS - 1 < len(shard.tiles)  # half of them, and where two groups meet
+        for i in range(len(queries)):
+            want = {d + 5: whole[i, d] for d in np.flatnonzero(whole[i] >= floors[i]).tolist()}
+            assert dict(zip(shard.ids[at[found == i]].tolist(), scores[found == i].tolist())) == pytest.approx(want)
+
+
+def test_words_of_documents_are_those_of_queries():
+    for text in (None, "", "... ---", "One, one (two) ONE \ud800x! 　ab\xa0c d.", "a a& &a b"):
+        got = Counter()
+        for term, n in zip(*(x.tolist() for x in bm25._counted(text))):
+            got[term] += n
+        assert got == bm25.terms_of(text)
+    rows = [bm25._shard([1, 2, 3], d) for d in ([bm25._counted(t) for t in ("a a& b", "", "c &a")], [bm25.terms_of(t) for t in ("a a& b", "", "c &a")])]
+    assert rows[0].equals(rows[1])
