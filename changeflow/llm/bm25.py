@@ -39,7 +39,7 @@ K1, B = 1.2, 0.75
 SHARD_DOCS = 8192
 SHARD_POSTINGS = 4_000_000
 BLOCK_DOCS = 64
-QUERY_BLOCK = 16384
+QUERY_BLOCK = 8192
 QUERY_TASKS = 48
 #: Queries that are held against a shard together, and when all their scores are looked at.
 QUERY_BATCH, FLOOR_BATCH = 512, 128
@@ -268,9 +268,11 @@ class Shard:
             scores[:, b * self.block : (b + 1) * self.block] += common @ tile
         return scores, error
 
-    def reaching(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def reaching(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, floors: np.ndarray, k: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Queries, document numbers and scores, by query: all documents that share a term with a query and reach its floor.
 
+        With ``k`` some that can't be among the query's ``k`` best of the shard are left out.
+
         The common terms are multiplied out in steps, the commonest first; after each only
         those queries go on in a block that can still reach their floor there, if the other
         common terms have their largest impact.
@@ -296,8 +298,17 @@ class Shard:
                     rows, scores = rows[on], scores[on]
             i, j = np.nonzero((scores > 0) & (scores >= low[rows, None]))
             if len(i):
-                found.append((rows[i], j + here.start))
-        queries, docs = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+                found.append((rows[i], j + here.start, scores[i, j].astype(np.float64)))
+        queries, docs, near = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1, 2))
+        if k is not None:
+            order = np.lexsort((-near, queries))
+            queries, docs, near = queries[order], docs[order], near[order]
+            first = np.searchsorted(queries, np.arange(m + 1))
+            full = np.flatnonzero(np.diff(first) >= k)
+            least = np.full(m, -np.inf)
+            least[full] = near[first[full] + k - 1] * (1 - 3 * error[full]) - 4e-6  # rounding included
+            kept = near >= least[queries]
+            queries, docs = queries[kept], docs[kept]
         order = np.lexsort((docs, queries))
         queries, docs = queries[order], docs[order]
         whole = rare[queries, docs]
@@ -396,10 +407,12 @@ def _read_shard(batch: pa.RecordBatch, i: int, mean: float) -> Shard:
 
 def _with_floors(queries: DataFrame, index: DataFrame, mean: float, k: int) -> tuple[np.ndarray, _Queries, np.ndarray]:
     """The ids and the queries of a block, those alike side by side, with a floor each: their k-th best score in one shard, which is sent to all tasks."""
-    first = index.limit(1).toArrow()  # SHARD_DOCS documents
+    most = index.agg(F.max(F.size("doc_ids"))).first()[0]
+    first = index.where(F.size("doc_ids") == F.lit(most)).limit(1).toArrow()  # SHARD_DOCS documents; the last shard of a task may have a few only
     shared = index.sparkSession.sparkContext.broadcast(first.to_batches())
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("bm25-search")
         shard = next((_read_shard(b, 0, mean) for b in shared.value if b.num_rows), None)
         for batch in batches:
             queries = _Queries(*([np.array(v.values) for v in batch.column(c)] for c in (1, 2)))
@@ -421,6 +434,7 @@ def _search_block(index: DataFrame, queries: tuple[np.ndarray, _Queries, np.ndar
     shared = index.sparkSession.sparkContext.broadcast(queries)  # QUERY_BLOCK queries
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("bm25-search")  # what building the index took goes back to the system first
         names, queries, floors = shared.value
         best, shard = _Best(floors, k), None
         for batch in batches:
@@ -428,7 +442,7 @@ def _search_block(index: DataFrame, queries: tuple[np.ndarray, _Queries, np.ndar
                 del shard  # two have no room beside each other
                 shard = _read_shard(batch, i, mean)
                 for first, end, *terms in queries.batches(shard):
-                    whose, docs, scores = shard.reaching(*terms, best.floors[first:end])
+                    whose, docs, scores = shard.reaching(*terms, best.floors[first:end], k)
                     best.add(first, end, whose, shard.ids[docs], np.round(scores, 6))  # one value, however the sum was ordered
         for first in range(0, len(names), QUERY_BATCH):
             found, ids, scores = best.all(first, first + QUERY_BATCH)

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from changeflow.llm import bm25
@@ -123,6 +124,7 @@ def test_blocks_that_can_not_reach_a_floor_are_not_multiplied():
             self.read += 1
             return list.__getitem__(self, i)
 
+    assert len(shard.tiles) >= 16
     shard.tiles = Tiles(shard.tiles)
     for one in (0, 1):
         queries = [np.array(list(c)) for c in docs[one:60:2]]
@@ -132,10 +134,13 @@ def test_blocks_that_can_not_reach_a_floor_are_not_multiplied():
         shard.tiles.read = 0
         ((_, _, *terms),) = bm25._Queries(queries, weights).batches(shard)
         found, at, scores = shard.reaching(*terms, floors)
-        assert 0 < shard.tiles.read <= 16 + bm25.GROUPS - 1 < len(shard.tiles)  # half of them, and where two groups meet
+        assert 0 < shard.tiles.read <= len(shard.tiles) // 2 + bm25.GROUPS - 1 < len(shard.tiles)  # half of them, and where two groups meet
         for i in range(len(queries)):
             want = {d + 5: whole[i, d] for d in np.flatnonzero(whole[i] >= floors[i]).tolist()}
             assert dict(zip(shard.ids[at[found == i]].tolist(), scores[found == i].tolist())) == pytest.approx(want)
+        found, at, scores = shard.reaching(*terms, floors * 0, 10)  # without a floor no more than the best get an exact score
+        for i in range(len(queries)):
+            assert 10 <= (found == i).sum() <= 12 and np.sort(scores[found == i])[-10:] == pytest.approx(np.sort(whole[i])[-10:])
 
 
 def test_words_of_documents_are_those_of_queries():
@@ -146,3 +151,15 @@ def test_words_of_documents_are_those_of_queries():
         assert got == bm25.terms_of(text)
     rows = [bm25._shard([1, 2, 3], d) for d in ([bm25._counted(t) for t in ("a a& b", "", "c &a")], [bm25.terms_of(t) for t in ("a a& b", "", "c &a")])]
     assert rows[0].equals(rows[1])
+
+
+def test_floors_are_taken_from_the_largest_shard(spark):
+    docs = [Counter({1: i % 5 + 1, 2 + i % 3: 1}) for i in range(60)]
+    table = pa.Table.from_batches([bm25._shard([0], docs[:1]), bm25._shard(list(range(1, 60)), docs[1:]), bm25._shard([], [])])
+    index = spark.createDataFrame(table).repartition(1)
+    queries = spark.createDataFrame([(7, [1, 2], [0.5, 2.0]), (8, [4], [1.0]), (9, [99], [1.0])], "query_id long, terms array<bigint>, weights array<double>")
+    ids, held, floors = bm25._with_floors(queries, index, 4.0, 10)
+    found = dict(zip(ids.tolist(), floors.tolist()))
+    assert held.count == 3 and found[7] > 0 and found[8] > 0 and found[9] == 0
+    ids, held, floors = bm25._with_floors(queries.limit(0), index.limit(0), 0.0, 10)
+    assert len(ids) == len(floors) == held.count == 0
